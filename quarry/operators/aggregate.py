@@ -254,3 +254,12 @@ def keep_group_best(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame
     group is never sorted in one task."""
     best = df.groupBy(*keys).agg(F.max(score).alias("_best"))
     return df.join(best, list(keys)).filter(F.col(score) == F.col("_best")).drop("_best")
+
+
+def likert_distribution(long: DataFrame, keys: Sequence[str], level: str, levels: Sequence[int]) -> DataFrame:
+    """Counts of each response level per group, empty levels as 0.
+    The level list is fixed (a scale), the group keys come from the data."""
+    cnt = long.groupBy(*keys, level).agg(F.count(F.lit(1)).alias("n"))
+    groups = long.select(*keys).distinct()
+    grid = groups.withColumn(level, F.explode(F.array(*[F.lit(v) for v in levels])))
+    return grid.join(cnt, [*keys, level], "left").select(*keys, level, F.coalesce(F.col("n"), F.lit(0)).alias("n"))

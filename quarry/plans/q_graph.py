@@ -1 +1,110 @@
-"""Queries."""
+"""Graph and recommendation queries over the supplier-part graph and the
+customer-part ratings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import graph, recommend
+from quarry.operators.joins import lookup_dimension
+from quarry.plans.registry import register
+from quarry.plans.views import Views
+from quarry.plans.views_sql import with_views
+
+PART_OFFSET = 1_000_000_000
+
+
+def _names(v: Views):
+    s = v.t.supplier.select(F.col("s_suppkey").alias("node"), F.col("s_name").alias("name"))
+    p = v.t.part.select((F.col("p_partkey") + PART_OFFSET).alias("node"), F.col("p_name").alias("name"))
+    return s.unionByName(p)
+
+
+@register("m2_degree", with_views("edges") + "SELECT src AS node, count(*) AS degree FROM edges GROUP BY 1")
+def m2_degree(spark, root):
+    return graph.degree(Views(spark, root).edges)
+
+
+@register("m3_most_connected", with_views("edges") + f"""
+, d AS (SELECT src AS node, count(*) AS degree FROM edges GROUP BY 1),
+b AS (SELECT node, degree FROM d ORDER BY degree DESC, node DESC LIMIT 1),
+names AS (SELECT s_suppkey AS node, s_name AS name FROM supplier UNION ALL SELECT p_partkey + {PART_OFFSET}, p_name FROM part)
+SELECT b.node, b.degree, names.name FROM b LEFT JOIN names USING (node)""")
+def m3_most_connected(spark, root):
+    v = Views(spark, root)
+    return graph.most_connected(v.edges, _names(v))
+
+
+@register("m1_hop_distance", with_views("edges") + """
+SELECT node, CAST(min(dist) AS INTEGER) AS dist FROM (
+  WITH RECURSIVE bfs(node, dist) AS (
+    SELECT min(src), 0 FROM edges
+    UNION
+    SELECT e.dst, b.dist + 1 FROM bfs b JOIN edges e ON e.src = b.node WHERE b.dist < 10)
+  SELECT * FROM bfs) GROUP BY node""")
+def m1_hop_distance(spark, root):
+    e = Views(spark, root).edges
+    source = e.agg(F.min("src")).first()[0]
+    visited, _ = graph.hop_distance(e, source, 10)
+    return visited.select("node", F.col("dist").cast("int").alias("dist"))
+
+
+_TOP_ITEMS = """
+, t AS (SELECT item_id FROM (SELECT item_id, count(*) AS n FROM ratings GROUP BY 1) ORDER BY n DESC, item_id LIMIT 3),
+tr AS (SELECT r.item_id AS target, r.user_id, r.rating AS r1 FROM ratings r JOIN t USING (item_id)),
+p AS (SELECT tr.target, o.item_id AS partner, tr.r1, o.rating AS r2 FROM ratings o JOIN tr ON o.user_id = tr.user_id
+      WHERE o.item_id <> tr.target),
+s AS (SELECT target, partner, count(*) AS n_common, round(sum(r1 * r2) / sqrt(sum(r1 * r1) * sum(r2 * r2)), 6) AS score
+      FROM p GROUP BY 1, 2)"""
+
+
+@register("n1_item_similarity", with_views("ratings") + _TOP_ITEMS + " SELECT * FROM s")
+def n1_item_similarity(spark, root):
+    r = Views(spark, root).ratings
+    return recommend.similarity_to_targets(r, recommend.most_rated(r, "item_id", 3), "item_id", "user_id")
+
+
+@register("n2_user_similarity", with_views("ratings") + """
+, t AS (SELECT user_id FROM (SELECT user_id, count(*) AS n FROM ratings GROUP BY 1) ORDER BY n DESC, user_id LIMIT 3),
+tr AS (SELECT r.user_id AS target, r.item_id, r.rating AS r1 FROM ratings r JOIN t USING (user_id)),
+p AS (SELECT tr.target, o.user_id AS partner, tr.r1, o.rating AS r2 FROM ratings o JOIN tr ON o.item_id = tr.item_id
+      WHERE o.user_id <> tr.target)
+SELECT target, partner, count(*) AS n_common, round(sum(r1 * r2) / sqrt(sum(r1 * r1) * sum(r2 * r2)), 6) AS score
+FROM p GROUP BY 1, 2""")
+def n2_user_similarity(spark, root):
+    r = Views(spark, root).ratings
+    return recommend.similarity_to_targets(r, recommend.most_rated(r, "user_id", 3), "user_id", "item_id")
+
+
+@register("n3_similar_items_top5", with_views("ratings") + _TOP_ITEMS + """
+SELECT target, partner, n_common, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY score DESC, partner) AS rank FROM s
+  WHERE score > 0.975 AND n_common > 1) WHERE rank <= 5""")
+def n3_similar_items_top5(spark, root):
+    r = Views(spark, root).ratings
+    # Score threshold 0.975; co-count threshold lowered to > 1
+    # for the small fixture (the published runs use > 1000 items / > 10 users).
+    return recommend.similar_to_target(r, recommend.most_rated(r, "item_id", 3), "item_id", "user_id",
+                                       0.975, 1, 5)
+
+
+@register("n6_user_ratings_named", with_views("ratings") + """
+, u AS (SELECT user_id FROM (SELECT user_id, count(*) AS n FROM ratings GROUP BY 1) ORDER BY n DESC, user_id LIMIT 1)
+SELECT r.user_id, r.item_id, round(r.rating, 6) AS rating, p.p_name AS title FROM ratings r JOIN u USING (user_id)
+LEFT JOIN part p ON p.p_partkey = r.item_id""")
+def n6_user_ratings_named(spark, root):
+    v = Views(spark, root)
+    r = v.ratings.join(recommend.most_rated(v.ratings, "user_id", 1), "user_id")
+    titles = v.t.part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
+    out = lookup_dimension(r, titles, "item_id")
+    return out.select("user_id", "item_id", F.round("rating", 6).alias("rating"), "title")
+
+
+@register("n4_n5_als_recommendations")
+def n4_n5_als_recommendations(spark, root):
+    """Rows-only: ALS fit (rank 10, 20 iterations) and top-10 items for the
+    most active user."""
+    r = Views(spark, root).ratings.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
+    model = recommend.fit_als(r, "user_id", "item_id")
+    users = recommend.most_rated(r, "user_id", 1)
+    return recommend.recommend_for(model, users, 10)
