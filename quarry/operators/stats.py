@@ -114,13 +114,19 @@ def morris_g(df: DataFrame, group: str, pre: str, post: str, treat, control) ->
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Mid-ranks with ties averaged: rank + (ties - 1) / 2.
 
-    Computed from the distinct (value, count) table: the cumulative count
-    of smaller values gives the rank, so only distinct values are ordered
-    and the result is joined back on the value."""
+    Computed on the distinct (value, count) table: the count of smaller
+    values gives the rank.  With no grouping the cumulative count runs
+    through ``ordered.global_cumsum`` (range-partitioned, not one task);
+    the ranks are joined back on the value."""
+    from quarry.functions.ordered import global_cumsum, running_sum
+
     cnt = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_t"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = cnt.withColumn("_below", F.coalesce(F.sum("_t").over(w), F.lit(0))) \
-        .withColumn(name, F.col("_below") + (F.col("_t") + 1) / 2.0)
+    if by:
+        below = running_sum(cnt, list(by), [value], "_t", "_below", exclusive=True)
+    else:
+        below = global_cumsum(cnt, [value], ["_t"], exclusive=True, suffix="_below") \
+            .withColumnRenamed("_t_below", "_below")
+    ranks = below.withColumn(name, F.col("_below") + (F.col("_t") + 1) / 2.0)
     return df.join(ranks.select(*by, value, name, F.col("_t").alias("_ties")), [*by, value])
 
 
@@ -251,3 +257,49 @@ def sample_size_proportion(p: Column, margin: float, z: float = 1.96, completene
     """n = z^2 p (1-p) / e^2, inflated by 1 / completeness."""
     n = (z * z) * p * (1 - p) / (margin * margin)
     return n / completeness if completeness is not None else n
+
+
+def bootstrap_mean_difference(df: DataFrame, group: str, value: str, a, b, replicates: int = 1000,
+                              seed: int = 0, probs=(0.025, 0.5, 0.975)) -> DataFrame:
+    """Percentile bootstrap of mean(a) - mean(b).
+
+    Each arm is given a dense index (distributed, ``ordered.running_index``);
+    replicate ``r`` draws index ``pmod(xxhash64(seed, r, arm, j), n)`` for
+    j = 1..n, so draws are reproducible and need no driver-side random
+    state.  Draws join back to the indexed sample on (arm, index); the
+    replicate means are one aggregate and the interval one percentile."""
+    from quarry.functions.ordered import running_index
+    from quarry.operators.aggregate import with_total
+
+    x = df.filter(F.col(group).isin(a, b) & F.col(value).isNotNull()).select(F.col(group).alias("_arm"), value)
+    x = running_index(x, ["_arm"], [value], "_idx")
+    sizes = x.groupBy("_arm").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per (replicate, arm), then exploded to the arm's size
+    grid = sizes.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    draws = grid.withColumn("j", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    draws = draws.withColumn("_idx", F.pmod(F.xxhash64(F.lit(seed), "rep", "_arm", "j"), F.col("_n")) + 1)
+    joined = draws.join(x, ["_arm", "_idx"])
+    means = joined.groupBy("rep").agg(
+        (F.avg(F.when(F.col("_arm") == a, F.col(value))) - F.avg(F.when(F.col("_arm") == b, F.col(value)))).alias("diff"))
+    q = means.agg(F.percentile("diff", F.array(*[F.lit(p) for p in probs])).alias("q"), F.count(F.lit(1)).alias("replicates"))
+    obs = x.agg((F.avg(F.when(F.col("_arm") == a, F.col(value))) - F.avg(F.when(F.col("_arm") == b, F.col(value))))
+                .alias("observed"))
+    out = with_total(q, obs)
+    return out.select("replicates", r6("observed").alias("observed"),
+                      *[r6(F.col("q")[i]).alias(f"q{int(p * 1000):03d}") for i, p in enumerate(probs)])
+
+
+def pairwise_mann_whitney_bh(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Mann-Whitney z and two-sided normal p for every pair of groups,
+    with Benjamini-Hochberg adjusted p-values.  Groups are the distinct
+    values of a low-cardinality column (classes)."""
+    from quarry.functions.dist import norm_sf2
+
+    levels = [r[0] for r in df.select(group).distinct().orderBy(group).collect()]
+    out = None
+    for i, a in enumerate(levels):
+        for b in levels[i + 1:]:
+            m = mann_whitney(df, group, value, a, b).select(F.lit(str(a)).alias("a"), F.lit(str(b)).alias("b"), "z")
+            out = m if out is None else out.unionByName(m)
+    out = out.withColumn("p", norm_sf2(F.col("z")))
+    return benjamini_hochberg(out, "p").select("a", "b", "z", r6("p").alias("p"), r6("p_adj").alias("p_adj"))
