@@ -75,14 +75,13 @@ def flatten_tree(spark: SparkSession, path: str, record_schema: str, date_patter
 
 
 # Layout of a status record (post with optional embedded post).
-STATUS_SCHEMA = """
-id long, created_at string, full_text string, favorite_count long, retweet_count long,
-user struct<screen_name: string, followers_count: long, location: string>,
-entities struct<hashtags: array<struct<text: string>>, user_mentions: array<struct<screen_name: string>>>,
-retweeted_status struct<id: long, created_at string, full_text: string, favorite_count: long, retweet_count: long,
-  user: struct<screen_name: string, followers_count: long, location: string>,
-  entities: struct<hashtags: array<struct<text: string>>, user_mentions: array<struct<screen_name: string>>>>
-""".replace("created_at string", "created_at: string").replace("\n", " ")
+_USER = "struct<screen_name: string, followers_count: long, location: string>"
+_ENTITIES = "struct<hashtags: array<struct<text: string>>, user_mentions: array<struct<screen_name: string>>>"
+STATUS_SCHEMA = (
+    f"id long, created_at string, full_text string, favorite_count long, retweet_count long, user {_USER}, "
+    f"entities {_ENTITIES}, retweeted_status struct<id: long, created_at: string, full_text: string, "
+    f"favorite_count: long, retweet_count: long, user: {_USER}, entities: {_ENTITIES}>"
+)
 
 
 def status_rows(statuses: DataFrame) -> DataFrame:
