@@ -199,16 +199,16 @@ def chi_square(df: DataFrame, row: str, column: str) -> DataFrame:
     Uses sum((o - e)^2 / e) = sum(o^2 / e) - N, where the sum runs over the
     observed cells only, so the empty cells of the grid never need to be
     materialised."""
-    cells = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(row).agg(F.sum("o").alias("rt"))
-    cols = cells.groupBy(column).agg(F.sum("o").alias("ct"))
-    tot = cells.agg(F.sum("o").alias("nt"), F.countDistinct(row).alias("r"), F.countDistinct(column).alias("c"))
+    cells = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("_o"))
+    rows = cells.groupBy(row).agg(F.sum("_o").alias("_rt"))
+    cols = cells.groupBy(column).agg(F.sum("_o").alias("_ct"))
+    tot = cells.agg(F.sum("_o").alias("_nt"), F.countDistinct(row).alias("_nr"), F.countDistinct(column).alias("_nc"))
     e = with_total(cells.join(rows, row).join(cols, column), tot)
-    ex = F.col("rt") * F.col("ct") / F.col("nt")
-    s = e.agg(F.sum(F.col("o") * F.col("o") / ex).alias("q"), F.first("nt").alias("nt"),
-              F.first("r").alias("r"), F.first("c").alias("c"))
-    return s.select(r6(F.col("q") - F.col("nt")).alias("chi2"),
-                    ((F.col("r") - 1) * (F.col("c") - 1)).alias("dof"))
+    ex = F.col("_rt") * F.col("_ct") / F.col("_nt")
+    s = e.agg(F.sum(F.col("_o") * F.col("_o") / ex).alias("_q"), F.first("_nt").alias("_nt"),
+              F.first("_nr").alias("_nr"), F.first("_nc").alias("_nc"))
+    return s.select(r6(F.col("_q") - F.col("_nt")).alias("chi2"),
+                    ((F.col("_nr") - 1) * (F.col("_nc") - 1)).alias("dof"))
 
 
 def cronbach_alpha(df: DataFrame, items: Sequence[str]) -> DataFrame:

@@ -130,7 +130,7 @@ def e26_diagnosis_combinations(spark, root):
 
 
 @register("e27_top_priority_per_year", with_views("admissions") + """
-, c AS (SELECT year(adm_date) AS year, priority, count(*) AS n FROM admissions GROUP BY 1, 2),
+, c AS (SELECT CAST(year(adm_date) AS INTEGER) AS year, priority, count(*) AS n FROM admissions GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY n DESC, priority) AS rk,
         sum(n) OVER (PARTITION BY year) AS tot FROM c)
 SELECT year, CASE WHEN rk <= 3 THEN priority ELSE 'Other' END AS priority, CAST(sum(n) AS BIGINT) AS n,

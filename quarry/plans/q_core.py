@@ -284,7 +284,7 @@ def i3_repeated_blocks(spark, root):
 
 
 @register("i4_spread_fill_zero", with_views("admissions") + """
-, c AS (SELECT year(adm_date) AS year, priority, count(*) AS n FROM admissions WHERE dead GROUP BY 1, 2),
+, c AS (SELECT CAST(year(adm_date) AS INTEGER) AS year, priority, count(*) AS n FROM admissions WHERE dead GROUP BY 1, 2),
 g AS (SELECT y.year, p.priority FROM (SELECT DISTINCT year FROM c) y, (SELECT DISTINCT priority FROM c) p)
 SELECT g.year, g.priority, coalesce(c.n, 0) AS n FROM g LEFT JOIN c USING (year, priority)""")
 def i4_spread_fill_zero(spark, root):

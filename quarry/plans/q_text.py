@@ -60,7 +60,7 @@ def j11_drop_numbers_times(spark, root):
 
 
 @register("j12_alnum_tokens", """
-SELECT doc_id, len(regexp_extract_all(text, '([A-Za-z0-9]+)', 1)) AS n_tokens,
+SELECT doc_id, CAST(len(regexp_extract_all(text, '([A-Za-z0-9]+)', 1)) AS INTEGER) AS n_tokens,
   array_to_string(regexp_extract_all(text, '([A-Za-z0-9]+)', 1), ' ') AS tokens FROM documents""")
 def j12_alnum_tokens(spark, root):
     t = tx.alnum_tokens("text")
@@ -192,7 +192,7 @@ def j9_any_column_contains(spark, root):
 
 
 @register("l1_stopword_removal", f"""
-SELECT doc_id, len({_W}) AS n_tokens, len(list_filter({_W}, lambda w: NOT list_contains({STOP_WORDS!r}, w))) AS n_kept FROM documents""")
+SELECT doc_id, CAST(len({_W}) AS INTEGER) AS n_tokens, CAST(len(list_filter({_W}, lambda w: NOT list_contains({STOP_WORDS!r}, w))) AS INTEGER) AS n_kept FROM documents""")
 def l1_stopword_removal(spark, root):
     d = _docs(spark, root)
     t = tx.words("text")
@@ -216,7 +216,7 @@ def _lexicon(spark):
     return spark.createDataFrame(LEXICON, "word string, score double")
 
 
-_LEX_SQL = "(VALUES " + ", ".join(f"('{w}', {s})" for w, s in LEXICON) + ") lex(word, score)"
+_LEX_SQL = "(VALUES " + ", ".join(f"('{w}', CAST({s} AS DOUBLE))" for w, s in LEXICON) + ") lex(word, score)"
 _POLARITY_SQL = f"""
 , t AS (SELECT doc_id, {_W} AS w FROM documents),
 p AS (SELECT doc_id, unnest(list_transform(range(1, len(w) + 1), lambda i: {{'w': w[i], 'prev': CASE WHEN i > 1 THEN w[i - 1] END}})) AS p FROM t),

@@ -25,6 +25,11 @@ from quarry.session import local_session  # noqa: E402
 from quarry.sources.tables import TABLES  # noqa: E402
 
 
+SPARK2DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+              "BooleanType": "BOOLEAN", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "FloatType": "FLOAT",
+              "ShortType": "SMALLINT", "ByteType": "TINYINT", "ArrayType": "", "StructType": ""}
+
+
 def norm(v):
     if v is None:
         return None
@@ -92,6 +97,12 @@ def main():
             bad += 1
             print(f"FAIL {name}: columns spark={s_names} duck={d_names}")
             continue
+        s_types = {f.name: SPARK2DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in df.schema.fields}
+        d_types = {d[0]: str(d[1]) for d in cur.description}
+        bad_types = [(c, s_types[c], d_types[c]) for c in s_names
+                     if not d_types[c].upper().startswith(s_types[c])]
+        if bad_types:
+            print(f"TYPE {name}: {bad_types}")
         a, b = rows_of(s_names, s_rows), rows_of(d_names, d_rows)
         if len(a) != len(b):
             bad += 1
