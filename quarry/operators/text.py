@@ -211,6 +211,39 @@ def merge_phrases(tokens: Column, phrases: Column) -> Column:
     return F.aggregate(tokens, init, step, lambda acc: acc["out"])
 
 
+def phrase_positions(docs: DataFrame, id_col: str, tokens: str, phrases: DataFrame) -> DataFrame:
+    """L2 (merge, step 1): per document, the 1-based positions i where
+    (t[i], t[i+1]) is a known phrase.  Pairs are exploded with their
+    position and joined to the phrase table, so the phrase list is never
+    copied into every row; the positions per document are bounded by its
+    length."""
+    n = F.size(tokens) - 1
+    pairs = F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                                       lambda i: F.struct(i.alias("pos"), F.element_at(tokens, i).alias("a"),
+                                                          F.element_at(tokens, i + 1).alias("b"))))
+    p = docs.select(id_col, F.explode(pairs).alias("p")).select(id_col, "p.pos", "p.a", "p.b")
+    hits = p.join(phrases.select("a", "b"), ["a", "b"])
+    return hits.groupBy(id_col).agg(F.collect_list("pos").alias("cand"))
+
+
+def merge_at_positions(tokens: Column, cand: Column) -> Column:
+    """L2 (merge, step 2): greedy left-to-right merge at candidate positions,
+    no overlaps, as a fold over the positions of the token array."""
+    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
+    cand = F.coalesce(cand, F.array().cast("array<int>"))
+
+    def step(acc, i):
+        take = ~acc["skip"] & F.array_contains(cand, i) & (i < F.size(tokens))
+        piece = F.when(take, F.concat(F.element_at(tokens, i), F.lit("_"), F.element_at(tokens, i + 1))) \
+            .otherwise(F.element_at(tokens, i))
+        out = F.when(acc["skip"], acc["out"]).otherwise(F.concat(acc["out"], F.array(piece)))
+        return F.struct(out.alias("out"), take.alias("skip"))
+
+    idx = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)))) \
+        .otherwise(F.array().cast("array<int>"))
+    return F.aggregate(idx, init, step, lambda acc: acc["out"])
+
+
 def lexicon_polarity(docs: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                      negators: Sequence[str], alpha: float = 15.0) -> DataFrame:
     """Lexicon polarity per document: sum of word scores (sign flipped

@@ -32,7 +32,8 @@ def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
     toks = F.split(F.trim(F.col("value")), r"\s+")
     return (spark.read.text(path)
             .select(toks[0].cast("long").alias("src"), F.slice(toks, 2, 1 << 20).alias("_n"))
-            .select("src", F.explode("_n").cast("long").alias("dst")))
+            .select("src", F.explode("_n").alias("_d"))
+            .select("src", F.col("_d").cast("long").alias("dst")))
 
 
 def read_quoted_names(spark: SparkSession, path: str) -> DataFrame:
