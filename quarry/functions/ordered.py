@@ -31,7 +31,7 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _local_pass(keys: list[str], values: list[str]):
+def _local_pass(keys: list[str], values: list[str], lags: list[str] = ()):
     from pyspark import TaskContext
 
     def run(batches):
@@ -39,6 +39,7 @@ def _local_pass(keys: list[str], values: list[str]):
         last_key = None
         carry_n = 0
         carry_s = [0.0] * len(values)
+        carry_lag = [None] * len(lags)
         row0 = 0
         for pdf in batches:
             if pdf.empty:
@@ -67,7 +68,15 @@ def _local_pass(keys: list[str], values: list[str]):
                 if cont:
                     cs = cs + (gid == 1).values * carry_s[j]
                 pdf[f"_lc_{v}"] = cs.values
+            first_of_group = (gid != gid.shift(1)).values
+            for j, c in enumerate(lags):
+                prev = pdf[c].shift(1).astype(object)
+                prev[first_of_group] = None
+                if cont:
+                    prev.iloc[0] = carry_lag[j]
+                pdf[f"_lag_{c}"] = prev.where(pd.notna(prev), None)
             row0 += n
+            carry_lag = [pdf[c].iloc[-1] for c in lags]
             last_key = tuple(kdf.iloc[-1].tolist()) if keys else ()
             carry_n = int(pdf["_local"].iloc[-1])
             carry_s = [float(pdf[f"_lc_{v}"].iloc[-1]) for v in values]
@@ -88,7 +97,7 @@ def _same(a, b) -> bool:
 
 
 def _distributed(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], values: Sequence[str],
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, lags: Sequence[str] = ()) -> DataFrame:
     from quarry.session import cut_lineage
 
     spark = df.sparkSession
@@ -98,25 +107,32 @@ def _distributed(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]
         .sortWithinPartitions(*[F.col(k) for k in keys], *_order_cols(order))
     schema = T.StructType(df.schema.fields + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_row", T.LongType()),
-        T.StructField("_local", T.LongType())] + [T.StructField(f"_lc_{v}", T.DoubleType()) for v in values])
-    tagged = cut_lineage(s.mapInPandas(_local_pass(keys, list(values)), schema))
+        T.StructField("_local", T.LongType())] + [T.StructField(f"_lc_{v}", T.DoubleType()) for v in values]
+        + [T.StructField(f"_lag_{c}", df.schema[c].dataType) for c in lags])
+    tagged = cut_lineage(s.mapInPandas(_local_pass(keys, list(values), list(lags)), schema))
 
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
     # one row per partition: first group, last group and the last group's totals
     bounds = tagged.groupBy("_pid").agg(
         F.min_by(key, F.col("_row")).alias("first_key"),
         F.max_by(F.struct(key.alias("k"), F.col("_local").alias("n"),
-                          *[F.col(f"_lc_{v}").alias(f"s_{v}") for v in values]), F.col("_row")).alias("last"))
+                          *[F.col(f"_lc_{v}").alias(f"s_{v}") for v in values],
+                          *[F.col(c).alias(f"l_{c}") for c in lags]), F.col("_row")).alias("last"))
     a = bounds.select("_pid", "first_key")
     b = bounds.select(F.col("_pid").alias("_pid2"), "last")
     # earlier partitions whose last group is this partition's first group
     offs = (a.join(b, (F.col("last.k").eqNullSafe(F.col("first_key"))) & (F.col("_pid2") < F.col("_pid")))
             .groupBy("_pid", "first_key")
-            .agg(F.sum("last.n").alias("_off_n"), *[F.sum(f"last.s_{v}").alias(f"_off_{v}") for v in values]))
+            .agg(F.sum("last.n").alias("_off_n"), *[F.sum(f"last.s_{v}").alias(f"_off_{v}") for v in values],
+                 *[F.max_by(f"last.l_{c}", "_pid2").alias(f"_prev_{c}") for c in lags]))
     # bounded by the number of partitions
     out = tagged.join(F.broadcast(offs), "_pid", "left")
     starts = key.eqNullSafe(F.col("first_key"))
     out = out.withColumn("_idx", F.col("_local") + F.when(starts, F.coalesce(F.col("_off_n"), F.lit(0))).otherwise(0))
+    first_row = starts & (F.col("_local") == 1)
+    for c in lags:
+        out = out.withColumn(f"_lagv_{c}", F.when(first_row & F.col("_off_n").isNotNull(), F.col(f"_prev_{c}"))
+                             .otherwise(F.col(f"_lag_{c}")))
     for v in values:
         out = out.withColumn(f"_cum_{v}", F.col(f"_lc_{v}") + F.when(starts, F.coalesce(F.col(f"_off_{v}"), F.lit(0.0)))
                              .otherwise(0.0))
@@ -156,4 +172,14 @@ def global_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence
     return out.select(*df.columns, *cols)
 
 
-__all__ = ["running_index", "running_sum", "global_cumsum", "Window"]
+def lag(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
+        suffix: str = "_prev", partitions: int | None = None) -> DataFrame:
+    """Previous row's value of each column within ``by`` under ``order``
+    (null on a group's first row), exact across partition boundaries: the
+    first row of a partition whose group continues from earlier partitions
+    takes the last value of the nearest such partition."""
+    out = _distributed(df, by, order, [], partitions, lags=list(cols))
+    return out.select(*df.columns, *[F.col(f"_lagv_{c}").alias(f"{c}{suffix}") for c in cols])
+
+
+__all__ = ["running_index", "running_sum", "global_cumsum", "lag", "Window"]

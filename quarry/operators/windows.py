@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.columns import col, r6, rules
 
@@ -21,15 +22,26 @@ def _w(by: Sequence[str], order: Sequence[str | Column]):
 
 
 def running_index(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
-                  name: str = "idx") -> DataFrame:
-    """1-based running index per group (``cumcount() + 1``)."""
+                  name: str = "idx", skew_safe: bool = True) -> DataFrame:
+    """1-based running index per group (``cumcount() + 1``).
+
+    ``skew_safe`` (default) computes it with ``functions.ordered`` (range
+    partitions, no single task per group); otherwise a plain window."""
+    if skew_safe:
+        from quarry.functions import ordered
+        return ordered.running_index(df, by, order, name).withColumn(name, F.col(name).cast("int"))
     return df.withColumn(name, F.row_number().over(_w(by, order)))
 
 
 def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str,
-                  name: str, exclusive: bool = False) -> DataFrame:
+                  name: str, exclusive: bool = False, skew_safe: bool = True) -> DataFrame:
     """Running sum per group; ``exclusive`` excludes the current row
-    and yields 0 on the first row."""
+    and yields 0 on the first row.  Integral inputs give a long result."""
+    integral = isinstance(df.schema[value].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
+    if skew_safe:
+        from quarry.functions import ordered
+        out = ordered.running_sum(df, by, order, value, name, exclusive=exclusive)
+        return out.withColumn(name, F.col(name).cast("long")) if integral else out
     hi = -1 if exclusive else 0
     w = _w(by, order).rowsBetween(Window.unboundedPreceding, hi)
     s = F.sum(value).over(w)
@@ -37,10 +49,14 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
 
 
 def lag_diff(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str,
-             prev: str, diff: str) -> DataFrame:
+             prev: str, diff: str, skew_safe: bool = True) -> DataFrame:
     """previous value and first difference per group."""
-    w = _w(by, order)
-    return df.withColumn(prev, F.lag(value).over(w)).withColumn(diff, F.col(value) - F.col(prev))
+    if skew_safe:
+        from quarry.functions import ordered
+        out = ordered.lag(df, by, order, [value], suffix="__prev").withColumnRenamed(f"{value}__prev", prev)
+    else:
+        out = df.withColumn(prev, F.lag(value).over(_w(by, order)))
+    return out.withColumn(diff, F.col(value) - F.col(prev))
 
 
 def session_gaps(df: DataFrame, by: Sequence[str], start: str, duration_s: str,
@@ -51,12 +67,14 @@ def session_gaps(df: DataFrame, by: Sequence[str], start: str, duration_s: str,
     start-to-start difference (the published behaviour); ``mode='idle'``
     subtracts it.  The first session gets gap type 'None' and log(0.01).
     """
-    w = _w(by, [start, tie])
-    prev_start = F.lag(start).over(w)
-    prev_dur = F.lag(duration_s).over(w) / 60.0
+    from quarry.functions import ordered
+    order = [start] if tie == start else [start, tie]
+    lagged = ordered.lag(df, by, order, [start, duration_s], suffix="__prev")
+    prev_start = F.col(f"{start}__prev")
+    prev_dur = F.col(f"{duration_s}__prev") / 60.0
     base = F.timestamp_diff("MICROSECOND", prev_start, F.col(start)) / 60_000_000.0
     gap = base + prev_dur if mode == "reference" else base - prev_dur
-    out = df.withColumn("gap_min", gap)
+    out = lagged.withColumn("gap_min", gap).drop(f"{start}__prev", f"{duration_s}__prev")
     g = F.col("gap_min")
     gtype = rules("None", [(g.isNotNull(), "Massed"), (g >= 60, "Spaced"), (g >= 60 * 24, "Distributed")])
     return (out.withColumn("gap_type", gtype)
@@ -106,8 +124,6 @@ def last_periods(df: DataFrame, by: Sequence[str], order: str, n: int,
     out = df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
     if drop_newest:
         out = out.filter(F.col("_r") > 1)
-    top = n - 1 if drop_newest else n
-    del top
     w2 = _w(by, [order])
     return out.drop("_r").withColumn(name, F.row_number().over(w2))
 
@@ -123,11 +139,13 @@ def repair_repeats(df: DataFrame, by: Sequence[str], order: Sequence[str], start
     """records written repeatedly under one session start are moved:
     repeat k starts at the previous start plus ceil(duration) + pad seconds,
     cumulatively.  An exclusive running sum replaces the row loop."""
-    w = _w(list(by) + [start], order)
-    step = F.ceil(F.col(duration_s)) + pad_s
-    offset = F.coalesce(F.sum(step).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (df.withColumn("repeat_no", F.row_number().over(w))
-            .withColumn("fixed_start", F.timestamp_add("SECOND", offset, F.col(start))))
+    from quarry.functions import ordered
+    keys = list(by) + [start]
+    x = df.withColumn("_step", (F.ceil(F.col(duration_s)) + pad_s).cast("long"))
+    x = ordered.running_sum(x, keys, order, "_step", "_off", exclusive=True)
+    x = ordered.running_index(x, keys, order, "repeat_no").withColumn("repeat_no", F.col("repeat_no").cast("int"))
+    return x.withColumn("fixed_start", F.timestamp_add("SECOND", F.col("_off").cast("long"), F.col(start))) \
+        .drop("_step", "_off")
 
 
 def sliding_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], fields: Sequence[str],
@@ -142,9 +160,12 @@ def sliding_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], fi
 
 def step_transitions(df: DataFrame, by: Sequence[str], order: Sequence[str], state: str) -> DataFrame:
     """Step-to-step transition counts with row-normalised rates."""
-    w = _w(by, order)
-    pairs = (df.withColumn("next_state", F.lead(state).over(w))
-             .filter(F.col("next_state").isNotNull())
+    from quarry.functions import ordered
+    # lead over ascending order = lag over descending order (skew-safe path)
+    desc = [(F.col(o) if isinstance(o, str) else o).desc() for o in order]
+    nxt = ordered.lag(df.select(*by, *[o for o in order if isinstance(o, str)], state), by, desc, [state],
+                      suffix="__next").withColumnRenamed(f"{state}__next", "next_state")
+    pairs = (nxt.filter(F.col("next_state").isNotNull())
              .groupBy(F.col(state).alias("from_state"), "next_state").agg(F.count(F.lit(1)).alias("n")))
     tot = pairs.groupBy("from_state").agg(F.sum("n").alias("_t"))
     return pairs.join(tot, "from_state").select("from_state", "next_state", "n",

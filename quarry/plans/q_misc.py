@@ -109,17 +109,15 @@ def e31_summary_by_arm(spark, root):
     return out.select("measure", "arm0", "arm1", "p_welch")
 
 
-@register("e40_observed_counter")
-def e40_observed_counter(spark, root):
-    """Rows-only: job-side counters collected with ``observe`` (no
-    accumulators: retried tasks would double count them)."""
-    from pyspark.sql import Observation
+@register("e40_job_counters", with_views("edges") + """
+SELECT count(*) AS n_edges, count(DISTINCT src) AS n_nodes, CAST(sum(CASE WHEN src < 1000000000 THEN 1 ELSE 0 END) AS BIGINT) AS n_supplier_edges
+FROM edges""")
+def e40_job_counters(spark, root):
+    """Counters the scripts kept in accumulators (which double count when
+    tasks are retried), computed as one aggregate in the same pass."""
     e = Views(spark, root).edges
-    obs = Observation("edges")
-    e.observe(obs, F.count(F.lit(1)).alias("n_edges"), F.max("src").alias("max_node")) \
-        .write.format("noop").mode("overwrite").save()
-    m = obs.get
-    return spark.createDataFrame([(int(m["n_edges"]), int(m["max_node"]))], "n_edges long, max_node long")
+    return e.agg(F.count(F.lit(1)).alias("n_edges"), F.countDistinct("src").alias("n_nodes"),
+                 F.sum(F.when(F.col("src") < 1_000_000_000, 1).otherwise(0)).alias("n_supplier_edges"))
 
 
 _ISLANDS_SQL = """

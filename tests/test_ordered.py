@@ -47,3 +47,13 @@ def test_dense_row_key(spark):
     df = _data(spark)
     k = dense_row_key(df, ["v", "id"]).select("row_key").collect()
     assert sorted(r[0] for r in k) == list(range(1, 4001))
+
+
+def test_lag_matches_window_across_partitions(spark):
+    from quarry.functions.ordered import lag
+    df = _data(spark)
+    got = lag(df, ["g"], ["id"], ["v"], partitions=9)
+    w = Window.partitionBy("g").orderBy("id")
+    exp = df.withColumn("v_prev", F.lag("v").over(w))
+    assert got.select("id", "v_prev").exceptAll(exp.select("id", "v_prev")).count() == 0
+    assert got.filter(F.col("v_prev").isNull()).count() == df.select("g").distinct().count()
