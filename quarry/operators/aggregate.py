@@ -68,17 +68,40 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
 
 def quantiles_by(df: DataFrame, keys: Sequence[str], value: str,
                  probs: Sequence[float] = (0.25, 0.5, 0.75),
-                 names: Sequence[str] = ("q1", "median", "q3")) -> DataFrame:
+                 names: Sequence[str] = ("q1", "median", "q3"), skew_safe: bool = True) -> DataFrame:
     """Exact interpolated quantiles (R type 7) per group.
 
     Values are first reduced to (group, value, frequency) by a partial
-    aggregate, so a hot group carries only its distinct values into the
-    final ``percentile`` merge.
-    """
+    aggregate.  With ``skew_safe`` (default) the order statistics are then
+    located without gathering a group: cumulative frequencies come from
+    ``functions.ordered.running_sum`` (range-partitioned), each group's size
+    is an equi-join, and the value holding 0-based rank k is the one whose
+    cumulative range [cum - w, cum) contains k, picked by a conditional
+    aggregate.  Otherwise Spark's ``percentile`` merges a group's distinct
+    values in one task."""
     freq = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
-    q = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs]), F.col("_w"))
-    out = freq.groupBy(*keys).agg(q.alias("_q"))
-    return out.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    if not skew_safe:
+        q = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs]), F.col("_w"))
+        out = freq.groupBy(*keys).agg(q.alias("_q"))
+        return out.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    from quarry.functions.ordered import running_sum
+
+    cum = running_sum(freq, list(keys), [value], "_w", "_cum")
+    sizes = freq.groupBy(*keys).agg(F.sum("_w").alias("_n"))
+    x = cum.join(sizes, list(keys)) if keys else with_total(cum, sizes)
+    lo_excl = F.col("_cum") - F.col("_w")
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        k_lo, k_hi = F.floor(h), F.ceil(h)
+        has_lo = (lo_excl <= k_lo) & (k_lo < F.col("_cum"))
+        has_hi = (lo_excl <= k_hi) & (k_hi < F.col("_cum"))
+        aggs += [F.max(F.when(has_lo, F.col(value).cast("double"))).alias(f"_lo{i}"),
+                 F.max(F.when(has_hi, F.col(value).cast("double"))).alias(f"_hi{i}"),
+                 F.max(h - k_lo).alias(f"_fr{i}")]
+    g = x.groupBy(*keys).agg(*aggs)
+    return g.select(*keys, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
+                             for i, n in enumerate(names)])
 
 
 def describe_by(df: DataFrame, keys: Sequence[str], value: str, prefix: str = "") -> DataFrame:

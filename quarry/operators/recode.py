@@ -219,8 +219,10 @@ def dummies(df: DataFrame, c: str, levels: Sequence[str], reference: str | None
 
 def qcut_edges(df: DataFrame, c: str, q: int) -> DataFrame:
     """B25 (step 1): exact interpolated quantile edges as one row."""
+    from quarry.operators.aggregate import quantiles_by
     probs = [i / q for i in range(q + 1)]
-    return df.agg(F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_edges"))
+    e = quantiles_by(df, [], c, probs=probs, names=[f"_e{i}" for i in range(q + 1)])
+    return e.select(F.array(*[F.col(f"_e{i}") for i in range(q + 1)]).alias("_edges"))
 
 
 def qcut(df: DataFrame, c: str, q: int, labels: Sequence[str], name: str) -> DataFrame:

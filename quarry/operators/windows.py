@@ -149,13 +149,33 @@ def repair_repeats(df: DataFrame, by: Sequence[str], order: Sequence[str], start
 
 
 def sliding_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], fields: Sequence[str],
-                      length: int, name: str = "seq") -> DataFrame:
+                      length: int, name: str = "seq", skew_safe: bool = True) -> DataFrame:
     """every window of ``length`` consecutive steps per group, as an
-    array of structs (incomplete tail windows dropped).  The frame is
-    bounded (``length`` rows), so memory per row is bounded too."""
-    w = _w(by, order).rowsBetween(0, length - 1)
-    return (df.withColumn(name, F.collect_list(F.struct(*[F.col(f) for f in fields])).over(w))
-            .filter(F.size(name) == length))
+    array of structs (incomplete tail windows dropped).
+
+    ``skew_safe`` (default) builds the window from exact leads: lead k is
+    the ordered lag (``functions.ordered.lag``) of lead k-1 over the reversed
+    order, so no group is ever held by one task.  Otherwise a bounded
+    window frame ``rowsBetween(0, length - 1)`` is used."""
+    if not skew_safe:
+        w = _w(by, order).rowsBetween(0, length - 1)
+        return (df.withColumn(name, F.collect_list(F.struct(*[F.col(f) for f in fields])).over(w))
+                .filter(F.size(name) == length))
+    from quarry.functions import ordered
+    desc = [F.col(o).desc() for o in order]
+    cur = df.withColumn("_one__n0", F.lit(1))
+    for f in fields:
+        cur = cur.withColumn(f"{f}__n0", F.col(f))
+    base_cols = list(df.columns)
+    for k in range(1, length):
+        srcs = [f"{f}__n{k - 1}" for f in [*fields, "_one"]]
+        cur = ordered.lag(cur, by, desc, srcs, suffix="__lead")
+        for f in [*fields, "_one"]:
+            cur = cur.withColumnRenamed(f"{f}__n{k - 1}__lead", f"{f}__n{k}")
+    seq = F.array(*[F.struct(*[F.col(f"{f}__n{k}").alias(f) for f in fields]) for k in range(length)])
+    helper = [f"{f}__n{k}" for k in range(length) for f in [*fields, "_one"]]
+    return cur.filter(F.col(f"_one__n{length - 1}").isNotNull()).select(*base_cols, seq.alias(name)) \
+        if helper else cur
 
 
 def step_transitions(df: DataFrame, by: Sequence[str], order: Sequence[str], state: str) -> DataFrame:

@@ -324,11 +324,10 @@ SELECT user_id, round(avg(CASE WHEN question = 'click' THEN gap END), 6) AS clic
   round(avg(CASE WHEN question = 'purchase' THEN gap END), 6) AS purchase, round(avg(CASE WHEN question = 'signup' THEN gap END), 6) AS signup,
   round(avg(CASE WHEN question = 'view' THEN gap END), 6) AS view FROM g GROUP BY user_id""")
 def f17_capped_gaps_wide(spark, root):
-    from pyspark.sql import Window
-    a = _att(spark, root)
-    w = Window.partitionBy("user_id").orderBy(*ORDER)
+    from quarry.functions import ordered
+    a = ordered.lag(_att(spark, root).select("user_id", "question", "ts", "event_id"), ["user_id"], ORDER, ["ts"])
     g = a.select("user_id", "question",
-                 F.least(F.ceil(minutes_between(F.lag("ts").over(w), F.col("ts"))), F.lit(10080)).alias("gap"))
+                 F.least(F.ceil(minutes_between(F.col("ts_prev"), F.col("ts"))), F.lit(10080)).alias("gap"))
     levels = ["click", "error", "purchase", "signup", "view"]
     wide = reshape.long_to_wide(g, ["user_id"], "question", "gap", levels, "avg")
     return wide.select("user_id", *[r6(c).alias(c) for c in levels])

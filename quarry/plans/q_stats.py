@@ -275,14 +275,14 @@ def o21_model_rollup(spark, root):
 SELECT CAST(floor(ln(gap)) AS BIGINT) AS log_gap_bin, arm, count(*) AS n, round(avg(correct), 6) AS mean_correct,
   round(quantile_cont(correct, 0.5), 6) AS median_correct FROM g WHERE gap > 0 GROUP BY 1, 2""")
 def e46_decay_curve(spark, root):
-    from pyspark.sql import Window
-
+    from quarry.functions import ordered
     from quarry.functions.columns import minutes_between
     from quarry.operators.aggregate import quantiles_by
     v = Views(spark, root)
-    w = Window.partitionBy("user_id", "question").orderBy("ts", "event_id")
-    g = v.attempts.join(v.profiles.select("user_id", "arm"), "user_id") \
-        .withColumn("gap", minutes_between(F.lag("ts").over(w), F.col("ts"))).filter(F.col("gap") > 0) \
+    j = v.attempts.join(v.profiles.select("user_id", "arm"), "user_id").select("user_id", "question", "ts", "event_id",
+                                                                               "arm", "correct")
+    g = ordered.lag(j, ["user_id", "question"], ["ts", "event_id"], ["ts"]) \
+        .withColumn("gap", minutes_between(F.col("ts_prev"), F.col("ts"))).filter(F.col("gap") > 0) \
         .withColumn("log_gap_bin", F.floor(F.log("gap")))
     m = g.groupBy("log_gap_bin", "arm").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("correct")).alias("mean_correct"))
     q = quantiles_by(g, ["log_gap_bin", "arm"], "correct", probs=(0.5,), names=("median_correct",))

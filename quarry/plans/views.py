@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import day_start
@@ -34,10 +34,10 @@ class Views:
     def attempts(self) -> DataFrame:
         """Learner attempts: one row per answer, ``try_no`` numbered within
         (user, session, question) by the total order (ts, event_id)."""
+        from quarry.functions.ordered import running_index
         e = self.t.events
         k = F.get_json_object("props", "$.k").cast("int")
-        w = Window.partitionBy("user_id", "session", "question").orderBy("ts", "event_id")
-        return (
+        base = (
             e.select(
                 "user_id", "event_id", "ts",
                 day_start("ts").alias("session"),
@@ -47,8 +47,10 @@ class Views:
             )
             .withColumn("correct", (F.col("k") % 2).cast("int"))
             .withColumn("feedback", (F.col("k") % 3).cast("int"))
-            .withColumn("try_no", F.row_number().over(w))
         )
+        # try number within (user, session, question): range-partitioned, not one task per user
+        return running_index(base, ["user_id", "session", "question"], ["ts", "event_id"], "try_no") \
+            .withColumn("try_no", F.col("try_no").cast("int"))
 
     @cached_property
     def profiles(self) -> DataFrame:

@@ -57,3 +57,16 @@ def test_lag_matches_window_across_partitions(spark):
     exp = df.withColumn("v_prev", F.lag("v").over(w))
     assert got.select("id", "v_prev").exceptAll(exp.select("id", "v_prev")).count() == 0
     assert got.filter(F.col("v_prev").isNull()).count() == df.select("g").distinct().count()
+
+
+def test_distributed_quantiles_equal_percentile(spark):
+    from quarry.operators.aggregate import quantiles_by
+    df = _data(spark).withColumn("v", F.col("v") * 1.5 + (F.col("id") % 3))
+    a = quantiles_by(df, ["g"], "v", probs=(0.1, 0.5, 0.9), names=("a", "b", "c"))
+    b = quantiles_by(df, ["g"], "v", probs=(0.1, 0.5, 0.9), names=("a", "b", "c"), skew_safe=False)
+    ra = {r["g"]: (round(r["a"], 9), round(r["b"], 9), round(r["c"], 9)) for r in a.collect()}
+    rb = {r["g"]: (round(r["a"], 9), round(r["b"], 9), round(r["c"], 9)) for r in b.collect()}
+    assert ra == rb
+    one = quantiles_by(df, [], "v").first()
+    two = quantiles_by(df, [], "v", skew_safe=False).first()
+    assert [round(x, 9) for x in one] == [round(x, 9) for x in two]
