@@ -139,29 +139,57 @@ def _distributed(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]
     return out
 
 
+SMALL_ROWS = 1_000_000
+
+
+def _small(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows (a bounded count that
+    stops early on large inputs); such a table may sit in one task."""
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
+
+def _window(by: Sequence[str], order: Sequence[str | Column]) -> Window:
+    w = Window.partitionBy(*by) if by else Window.partitionBy()
+    return w.orderBy(*_order_cols(order))
+
+
 def running_index(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "idx",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """1-based position of each row within its ``by`` group under ``order``
-    (a total order: end it with a unique key)."""
+    (a total order: end it with a unique key).  Inputs of at most
+    ``small_rows`` rows (checked) use a plain window."""
+    if _small(df, small_rows):
+        return df.withColumn(name, F.row_number().over(_window(by, order)).cast("long"))
     out = _distributed(df, by, order, [], partitions)
     return out.select(*df.columns, F.col("_idx").alias(name))
 
 
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str, name: str,
-                exclusive: bool = False, partitions: int | None = None) -> DataFrame:
+                exclusive: bool = False, partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Running sum of ``value`` within ``by`` under ``order`` (nulls count
     as 0); ``exclusive`` leaves out the current row.  Returned as double."""
+    v = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+    if _small(df, small_rows):
+        cum = F.sum(v).over(_window(by, order).rowsBetween(Window.unboundedPreceding, 0))
+        return df.withColumn(name, cum - v if exclusive else cum)
     out = _distributed(df, by, order, [value], partitions)
     cum = F.col(f"_cum_{value}")
     if exclusive:
-        cum = cum - F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+        cum = cum - v
     return out.select(*df.columns, cum.alias(name))
 
 
 def global_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence[str], exclusive: bool = False,
-                  suffix: str = "_cum", partitions: int | None = None) -> DataFrame:
+                  suffix: str = "_cum", partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Cumulative sums over one global order (no grouping), e.g. ranks over
     the distinct values of a score.  Adds ``<value><suffix>`` columns."""
+    if _small(df, small_rows):
+        w = _window([], order).rowsBetween(Window.unboundedPreceding, 0)
+        out = df
+        for v in values:
+            x = F.coalesce(F.col(v).cast("double"), F.lit(0.0))
+            out = out.withColumn(f"{v}{suffix}", F.sum(x).over(w) - x if exclusive else F.sum(x).over(w))
+        return out
     out = _distributed(df, [], order, list(values), partitions)
     cols = []
     for v in values:
@@ -173,11 +201,17 @@ def global_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence
 
 
 def lag(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
-        suffix: str = "_prev", partitions: int | None = None) -> DataFrame:
+        suffix: str = "_prev", partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Previous row's value of each column within ``by`` under ``order``
     (null on a group's first row), exact across partition boundaries: the
     first row of a partition whose group continues from earlier partitions
     takes the last value of the nearest such partition."""
+    if _small(df, small_rows):
+        w = _window(by, order)
+        out = df
+        for c in cols:
+            out = out.withColumn(f"{c}{suffix}", F.lag(c).over(w))
+        return out
     out = _distributed(df, by, order, [], partitions, lags=list(cols))
     return out.select(*df.columns, *[F.col(f"_lagv_{c}").alias(f"{c}{suffix}") for c in cols])
 

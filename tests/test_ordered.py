@@ -4,7 +4,7 @@ hot group spread over several partitions."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quarry.functions.ordered import global_cumsum, running_index, running_sum
+from quarry.functions.ordered import global_cumsum, lag, running_index, running_sum
 
 
 def _data(spark):
@@ -16,7 +16,7 @@ def _data(spark):
 
 def test_running_index_matches_window(spark):
     df = _data(spark)
-    got = running_index(df, ["g"], ["v", "id"], "pos", partitions=7)
+    got = running_index(df, ["g"], ["v", "id"], "pos", partitions=7, small_rows=0)
     w = Window.partitionBy("g").orderBy("v", "id")
     exp = df.withColumn("pos", F.row_number().over(w))
     assert got.select("id", "pos").exceptAll(exp.select("id", F.col("pos").cast("long"))).count() == 0
@@ -25,7 +25,7 @@ def test_running_index_matches_window(spark):
 
 def test_running_sum_exclusive(spark):
     df = _data(spark)
-    got = running_sum(df, ["g"], ["id"], "v", "s", exclusive=True, partitions=5)
+    got = running_sum(df, ["g"], ["id"], "v", "s", exclusive=True, partitions=5, small_rows=0)
     w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.withColumn("s", F.coalesce(F.sum("v").over(w), F.lit(0.0)))
     assert got.select("id", "s").exceptAll(exp.select("id", "s")).count() == 0
@@ -33,7 +33,7 @@ def test_running_sum_exclusive(spark):
 
 def test_global_cumsum(spark):
     df = _data(spark)
-    got = global_cumsum(df, ["id"], ["v"], partitions=6).orderBy("id").select("v_cum").collect()
+    got = global_cumsum(df, ["id"], ["v"], partitions=6, small_rows=0).orderBy("id").select("v_cum").collect()
     vals = [r[0] for r in df.orderBy("id").select("v").collect()]
     acc, exp = 0.0, []
     for x in vals:
@@ -52,7 +52,7 @@ def test_dense_row_key(spark):
 def test_lag_matches_window_across_partitions(spark):
     from quarry.functions.ordered import lag
     df = _data(spark)
-    got = lag(df, ["g"], ["id"], ["v"], partitions=9)
+    got = lag(df, ["g"], ["id"], ["v"], partitions=9, small_rows=0)
     w = Window.partitionBy("g").orderBy("id")
     exp = df.withColumn("v_prev", F.lag("v").over(w))
     assert got.select("id", "v_prev").exceptAll(exp.select("id", "v_prev")).count() == 0
@@ -70,3 +70,13 @@ def test_distributed_quantiles_equal_percentile(spark):
     one = quantiles_by(df, [], "v").first()
     two = quantiles_by(df, [], "v", skew_safe=False).first()
     assert [round(x, 9) for x in one] == [round(x, 9) for x in two]
+
+
+def test_small_and_distributed_paths_agree(spark):
+    df = _data(spark)
+    a = running_sum(df, ["g"], ["id"], "v", "s", partitions=5, small_rows=0)
+    b = running_sum(df, ["g"], ["id"], "v", "s")
+    assert a.exceptAll(b).count() == 0
+    c = lag(df, ["g"], ["id"], ["v"], partitions=5, small_rows=0)
+    d = lag(df, ["g"], ["id"], ["v"])
+    assert c.exceptAll(d).count() == 0
