@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
-from quarry.sources.readers import STATUS_SCHEMA, status_rows
+from quarry.sources.readers import STATUS_SCHEMA, status_rows  # noqa: F401 (re-exported)
 
 
 def statuses_from_posts(posts: DataFrame) -> DataFrame:
