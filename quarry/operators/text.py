@@ -175,15 +175,17 @@ def bigram_phrases(docs: DataFrame, id_col: str, text: str, min_count: int = 3,
     Adjacent pairs are formed inside each row with array functions and
     exploded, so counting unigrams and bigrams is two partial aggregates."""
     toks = docs.select(words(text).alias("t"))
-    uni = toks.select(F.explode("t").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    vocab = uni.agg(F.count(F.lit(1)).alias("V"))
     n = F.size("t") - 1
-    pairs = F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                                       lambda i: F.struct(F.element_at("t", i).alias("a"),
-                                                          F.element_at("t", i + 1).alias("b"))))
-    bi = (toks.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-          .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"))
-          .filter(F.col("n_ab") >= min_count))
+    unis = F.transform("t", lambda w: F.struct(w.alias("a"), F.lit(None).cast("string").alias("b")))
+    bis = F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                                     lambda i: F.struct(F.element_at("t", i).alias("a"),
+                                                        F.element_at("t", i + 1).alias("b"))))
+    items = F.concat(unis, F.coalesce(bis, F.array().cast("array<struct<a:string,b:string>>")))
+    # one tokenisation, one shuffle: unigram rows have b = null
+    counts = toks.select(F.explode(items).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    uni = counts.filter(F.col("b").isNull()).select(F.col("a").alias("w"), "n")
+    vocab = uni.agg(F.count(F.lit(1)).alias("V"))
+    bi = counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count)).select("a", "b", F.col("n").alias("n_ab"))
     from quarry.operators.aggregate import with_total
     j = (with_total(bi, vocab)
          .join(uni.select(F.col("w").alias("a"), F.col("n").alias("n_a")), "a")
