@@ -69,7 +69,8 @@ def stream_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     """The P1 rows with repeated ids suppressed within the watermark on
     the post time (``dropDuplicatesWithinWatermark``).  The watermark must
     exceed the largest gap between copies of one id."""
-    src = spark.readStream.schema(STATUS_SCHEMA).option("maxFilesPerTrigger", 2).json(landing)
+    # stateful: one micro-batch per drain keeps the state-store passes down
+    src = spark.readStream.schema(STATUS_SCHEMA).json(landing)
     rows = status_rows(src).withColumn("event_time", F.to_timestamp("timestamp"))
     dedup = rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["id"]).drop("event_time")
     q = (dedup.writeStream.format("parquet").outputMode("append")
