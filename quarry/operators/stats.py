@@ -303,3 +303,17 @@ def pairwise_mann_whitney_bh(df: DataFrame, group: str, value: str) -> DataFrame
             out = m if out is None else out.unionByName(m)
     out = out.withColumn("p", norm_sf2(F.col("z")))
     return benjamini_hochberg(out, "p").select("a", "b", "z", r6("p").alias("p"), r6("p_adj").alias("p_adj"))
+
+
+def correlation_pvalues(df: DataFrame, cols: Sequence[str], alpha: float = 0.05) -> DataFrame:
+    """Pearson r of every column pair with its two-sided p-value
+    (t = r sqrt((n - 2) / (1 - r^2)), n - 2 degrees of freedom); cells with
+    p > alpha are zeroed."""
+    from quarry.functions.dist import t_sf2
+    from quarry.operators.aggregate import correlation_pairs
+
+    c = correlation_pairs(df, cols)
+    t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r")))
+    out = c.withColumn("p", t_sf2(t, F.col("n") - 2))
+    return out.select("var_a", "var_b", "n", "r", r6("p").alias("p"),
+                      F.when(F.col("p") <= alpha, F.col("r")).otherwise(F.lit(0.0)).alias("r_significant"))

@@ -291,3 +291,10 @@ def e46_decay_curve(spark, root):
 
 
 __all__ = ["sequences"]
+
+
+@register("e21_correlation_pvalues")
+def e21_correlation_pvalues(spark, root):
+    """Rows-only: survey item correlations with p-values, non-significant
+    cells zeroed."""
+    return stats.correlation_pvalues(Views(spark, root).survey, [f"i{i}" for i in range(1, 6)])

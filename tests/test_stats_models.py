@@ -86,3 +86,14 @@ def test_bootstrap_is_reproducible(spark):
     a = bootstrap_mean_difference(df, "g", "v", 1, 0, replicates=50, seed=1).first()
     b = bootstrap_mean_difference(df, "g", "v", 1, 0, replicates=50, seed=1).first()
     assert a == b and a["q025"] <= a["observed"] <= a["q975"]
+
+
+def test_correlation_pvalue_known_case(spark):
+    from quarry.operators.stats import correlation_pvalues
+    # x and a noisy copy; compare with the closed-form t-test p-value
+    rows = [(float(i), float(i) + (7.0 if i % 2 else -7.0)) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    r = correlation_pvalues(df, ["a", "b"]).first()
+    t = r["r"] * math.sqrt(18 / (1 - r["r"] ** 2))
+    assert abs(r["p"] - dist.t_two_sided(t, 18)) < 1e-6
+    assert r["r_significant"] == (r["r"] if r["p"] <= 0.05 else 0.0)
