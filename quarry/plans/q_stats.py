@@ -298,3 +298,11 @@ def e21_correlation_pvalues(spark, root):
     """Rows-only: survey item correlations with p-values, non-significant
     cells zeroed."""
     return stats.correlation_pvalues(Views(spark, root).survey, [f"i{i}" for i in range(1, 6)])
+
+
+@register("t7_median_difference_interval")
+def t7_median_difference_interval(spark, root):
+    """Rows-only: distribution-free 95% interval for the median difference
+    of an item between platforms (no pair enumeration; unit-tested against
+    brute force)."""
+    return stats.median_difference_interval(Views(spark, root).survey, "platform", "i1", 0, 1)

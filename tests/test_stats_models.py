@@ -97,3 +97,17 @@ def test_correlation_pvalue_known_case(spark):
     t = r["r"] * math.sqrt(18 / (1 - r["r"] ** 2))
     assert abs(r["p"] - dist.t_two_sided(t, 18)) < 1e-6
     assert r["r_significant"] == (r["r"] if r["p"] <= 0.05 else 0.0)
+
+
+def test_median_difference_interval_matches_brute_force(spark):
+    from quarry.operators.stats import median_difference_interval
+    xs = [1.0, 2.5, 2.5, 4.0, 7.0, 3.0, 9.5, 0.5]
+    ys = [3.0, 4.5, 6.0, 2.0, 8.0, 8.0, 5.5]
+    df = spark.createDataFrame([(0, v) for v in xs] + [(1, v) for v in ys], "g int, v double")
+    r = median_difference_interval(df, "g", "v", 0, 1).first()
+    diffs = sorted(y - x for x in xs for y in ys)
+    k = r["k"]
+    assert r["lo"] == diffs[k - 1] and r["hi"] == diffs[len(diffs) - k]
+    nm = len(diffs)
+    med = diffs[nm // 2] if nm % 2 else (diffs[nm // 2 - 1] + diffs[nm // 2]) / 2
+    assert r["median_diff"] == med

@@ -45,7 +45,6 @@ NOTES = {
     "U6": "row-wise sums and means (b28_row_sums)",
     "U7": "windows and joins instead of row loops (f12, e32, e28, d7 queries)",
     "U8": "generated column expressions (e26_diagnosis_combinations, b22_b23_dummies)",
-    "T7": "NOT BUILT this round (all-pairs differences ruled out; exact selection pending)",
     "O10": "NOT BUILT this round (exact kNN without candidate caps pending)",
     "O11": "NOT BUILT this round (depends on O10)",
 }
