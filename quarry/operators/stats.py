@@ -368,19 +368,49 @@ def median_difference_interval(df: DataFrame, group: str, value: str, a, b, z: f
     k = max(k, 1)
     x_idx = running_index(x, [], ["v"], "_k")
 
-    def kth(rank: int) -> float:
-        lo, hi = sy["lo"] - sx["hi"] - 1.0, sy["hi"] - sx["lo"]
+    from quarry.functions.ordered import running_sum
+
+    def counts_at(cands: list[float]) -> list[int]:
+        # every candidate in one pass: rows are repeated per candidate inside
+        # the row (explode of a literal array), counts partitioned by candidate
+        arr = F.array(*[F.struct(F.lit(i).alias("cid"), F.lit(float(d)).alias("d")) for i, d in enumerate(cands)])
+        xs = x.select(F.explode(arr).alias("c"), "v").select("c.cid", "v", F.lit(1).alias("is_x"))
+        ys = y.select(F.explode(arr).alias("c"), "v").select("c.cid", (F.col("v") - F.col("c.d")).alias("v"),
+                                                                F.lit(0).alias("is_x"))
+        c = running_sum(xs.unionByName(ys), ["cid"], ["v", "is_x"], "is_x", "_before", exclusive=True)
+        got = {r["cid"]: int(r["c"]) for r in c.filter(F.col("is_x") == 0).groupBy("cid")
+               .agg(F.sum(F.lit(n) - F.col("_before")).alias("c")).collect()}
+        return [got.get(i, 0) for i in range(len(cands))]
+
+    def kth_many(ranks: list[int], ways: int = 16) -> dict[int, float]:
+        bounds = {r: [sy["lo"] - sx["hi"] - 1.0, sy["hi"] - sx["lo"]] for r in ranks}
         for _ in range(iters):
-            mid = (lo + hi) / 2.0
-            if mid <= lo or mid >= hi or hi - lo <= 1e-12 * max(1.0, abs(hi)):
+            live = [r for r in ranks if bounds[r][1] - bounds[r][0] > 1e-12 * max(1.0, abs(bounds[r][1]))]
+            if not live:
                 break
-            if _pairs_at_most(x, y, mid, n) >= rank:
-                hi = mid
-            else:
-                lo = mid
-        return _smallest_difference_above(x_idx, y, lo)
-
-    lower, upper = kth(k), kth(n * m - k + 1)
-    med = kth((n * m + 1) // 2) if (n * m) % 2 == 1 else (kth(n * m // 2) + kth(n * m // 2 + 1)) / 2.0
+            cands, owner = [], []
+            for r in live:
+                lo, hi = bounds[r]
+                for j in range(1, ways + 1):
+                    cands.append(lo + (hi - lo) * j / (ways + 1))
+                    owner.append(r)
+            cnt = counts_at(cands)
+            for r in live:
+                lo, hi = bounds[r]
+                for d, c, o in zip(cands, cnt, owner):
+                    if o != r:
+                        continue
+                    if c >= r:
+                        hi = min(hi, d)
+                    else:
+                        lo = max(lo, d)
+                bounds[r] = [lo, hi]
+        return {r: _smallest_difference_above(x_idx, y, bounds[r][0]) for r in ranks}
+
+    nm = n * m
+    mids = [(nm + 1) // 2] if nm % 2 == 1 else [nm // 2, nm // 2 + 1]
+    got = kth_many(sorted({k, nm - k + 1, *mids}))
+    lower, upper = got[k], got[nm - k + 1]
+    med = got[mids[0]] if len(mids) == 1 else (got[mids[0]] + got[mids[1]]) / 2.0
     return df.sparkSession.createDataFrame([(int(n), int(m), int(k), float(med), float(lower), float(upper))],
                                            "n long, m long, k long, median_diff double, lo double, hi double")
