@@ -7,7 +7,9 @@ DataFrames.  These helpers are for the bench, the tests and command-line use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +41,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the session names one; only when it
-    is unset (local tests) fall back to a fresh scratch folder."""
+    """The folder named by ``spark.checkpoint.dir``.  Only a session whose
+    executors are threads of the driver (``local[..]``) may leave it unset:
+    it gets a scratch folder.  On a cluster an unset folder is an error."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
@@ -61,3 +66,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    the passes that run there import it from any working directory."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-ship-"), "quarry.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, files in os.walk(os.path.join(root, "quarry")):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    out.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
