@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import url_filter
+from quarry.llm import bpe, packing, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -33,3 +34,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page url against the four rules, default allow."""
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 ids; one row per piece."""
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op3_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded again."""
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE, keep_ids=False)
