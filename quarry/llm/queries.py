@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, packing, url_filter
+from quarry.llm import bpe, language_id, packing, simhash_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -50,3 +50,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE, keep_ids=False)
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs, language_id.learn(docs))
+    return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op10_simhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, 3 bits."""
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
