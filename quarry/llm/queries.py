@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, language_id, packing, simhash_dedup, toxicity, url_filter
+from quarry.llm import bpe, chat_format, language_id, packing, simhash_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -37,6 +37,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @query("op1_packing")
@@ -72,3 +73,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, 3 bits."""
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_chat_format")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one of control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    chunks = chat_format.format_conversations(turns.unionByName(own), BYTE_BPE)
+    return chat_format.read_back(chunks, BYTE_BPE)
