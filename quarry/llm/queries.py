@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat_format, language_id, packing, simhash_dedup, toxicity, url_filter
+from quarry.llm import bpe, chat_format, fingerprints, language_id, packing, simhash_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -83,3 +83,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
     chunks = chat_format.format_conversations(turns.unionByName(own), BYTE_BPE)
     return chat_format.read_back(chunks, BYTE_BPE)
+
+
+@query("op8_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
