@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +29,18 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import slices
 
-FRAGMENTS = 200_000       # fragments kept per generation of a task's table
+FRAGMENTS = 300_000       # fragments kept in a task's table before it starts anew
 LONG = 64                 # longer fragments are encoded but not kept
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
-_ASCII_CONTROL_BLANKS = re.compile("[\x1c-\x1f]")     # blank to str.split, not to the vocabulary's pattern
+_ASCII_CONTROL_BLANKS = "\x1c\x1d\x1e\x1f"     # blank to str.split, not to the vocabulary's pattern
 _OTHER_SPLIT = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-_LETTER_RUN = re.compile(r"[A-Za-z]+")
+# a run of Latin-1 letters (one word to the vocabulary's pattern, unchanged by
+# NFC) and ASCII punctuation behind it but apostrophes (the pattern's next word)
+_PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+# Fixed value: the word pattern of the vocabulary file.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def forced_pairs(vocab: dict[str, int], suffix: str = "") -> set[str]:
@@ -66,68 +73,89 @@ class WordBpe:
         for p in sorted(pairs):
             by_first[p[0]] = by_first.get(p[0], "") + p[1]
         self.cuts = re.compile("|".join(f"(?<={a})(?=[{b}])" for a, b in by_first.items()), re.I | re.A) if by_first else None
-        self.new: dict[str, tuple[bytes, int, str]] = {}
-        self.old: dict[str, tuple[bytes, int, str]] = {}
-
-    def _entry(self, ids: list[int]) -> tuple[bytes, int, str]:
-        return np.asarray(ids, "<u4").tobytes(), len(ids), " ".join(map(self.strings.__getitem__, ids))
+        self.model = self.whole.model
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.visible = {b: 256 + i for i, b in enumerate(hidden)}          # byte-level stand-ins of other bytes
+        # the short way for plain words holds for the pattern that it was read from
+        self.plain = bool(self.suffix) and json.dumps(spec["pre_tokenizer"]).count(json.dumps(WORD_PATTERN)) == 1
+        self.rare = re.compile("[" + "".join(by_first) + "]") if by_first else None      # letters before which a cut can fall
+        self.table = _Fragments(self._ids)
+
+    def _ids(self, fragment: str) -> list[int]:
+        """Ids of one fragment: cut on at its own forced pairs, word by word."""
+        word = _PLAIN_WORD.fullmatch(fragment) if self.plain else None
+        if word is None:
+            return self.whole.encode(fragment, add_special_tokens=False).ids
+        letters, stops = word.groups()
+        letters = letters.lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.visible)
+        if self.rare is not None and self.rare.search(letters):
+            *parts, letters = self.cuts.split(letters)
+            ids = [t.id for part in parts for t in self.open.tokenize(part)] + [t.id for t in self.model.tokenize(letters)]
+        else:
+            ids = [t.id for t in self.model.tokenize(letters)]
+        return ids + [t.id for t in self.model.tokenize(stops)] if stops else ids
 
     def fragments(self, text: str) -> list[str]:
         """The text cut at every blank (blanks are in no token)."""
-        return _OTHER_SPLIT.findall(text) if _ASCII_CONTROL_BLANKS.search(text) else text.split()
-
-    def inner(self, fragment: str) -> list[str]:
-        """A run of ASCII letters cut at its forced pairs, else the fragment."""
-        if self.cuts is None or not _LETTER_RUN.fullmatch(fragment):
-            return [fragment]
-        return self.cuts.split(fragment)
-
-    def learn(self, fragments: list[str]) -> dict[str, tuple[bytes, int, str]]:
-        """Encode distinct fragments that the table does not hold."""
-        out, plain = {}, []
-        for f in fragments:
-            parts = self.inner(f)
-            if len(parts) == 1:
-                plain.append(f)
-                continue
-            ids = [t.id for part in parts[:-1] for t in self.open.tokenize(part.lower())]
-            out[f] = self._entry(ids + self.whole.encode(parts[-1], add_special_tokens=False).ids)
-        for f, e in zip(plain, self.whole.encode_batch(plain, add_special_tokens=False), strict=True):
-            out[f] = self._entry(e.ids)
-        return out
+        return _OTHER_SPLIT.findall(text) if any(c in text for c in _ASCII_CONTROL_BLANKS) else text.split()
 
-    def encode_parts(self, texts: list[str]) -> list[list[tuple[bytes, int, str]]]:
-        """Per text its encoded fragments: ids as little-endian 32-bit
-        integers, their number and their decoded string."""
-        cut = [self.fragments(t) for t in texts]
-        new, old = self.new, self.old
-        missing = set()
-        for words in cut:
-            for w in set(words):
-                if w not in new:
-                    if w in old:
-                        new[w] = old[w]
-                    else:
-                        missing.add(w)
-        got = self.learn(sorted(missing)) if missing else {}
-        look = {w: e for w, e in got.items() if len(w) > LONG}
-        new.update((w, e) for w, e in got.items() if len(w) <= LONG)
-        if look:
-            out = [[new[w] if w in new else look[w] for w in words] for words in cut]
-        else:
-            out = [[new[w] for w in words] for words in cut]
-        if len(new) > FRAGMENTS:
-            self.old, self.new = new, {}
+    def encode_bytes(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        out = b"".join(map(self.table.__getitem__, self.fragments(text)))
+        self.table.bound()
         return out
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(p[0] for p in self.encode_parts([text])[0]), "<u4").tolist()
+        return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """As the library does without a decoder: token strings, one space between."""
         return " ".join(map(self.strings.__getitem__, ids))
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
+class _Fragments(dict):
+    """Encoded ids of each fragment seen, a bounded number of them."""
+
+    def __init__(self, ids_of):
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, fragment: str) -> bytes:
+        ids = self.ids_of(fragment)
+        got = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.asarray(ids, "<u4").tobytes()
+        if len(fragment) <= LONG:
+            self[fragment] = got
+        return got
+
+    def bound(self) -> None:
+        if len(self) > FRAGMENTS:
+            self.clear()
+
+
+class _Strings(dict):
+    """Decoded string of each fragment's ids, a bounded number of them."""
+
+    def __init__(self, enc: WordBpe):
+        super().__init__()
+        self.enc = enc
+
+    def __missing__(self, ids: bytes) -> str:
+        got = self.enc.decode(np.frombuffer(ids, "<u4").tolist())
+        if len(ids) <= 4 * LONG:
+            self[ids] = got
+        return got
+
+    def bound(self) -> None:
+        if len(self) > FRAGMENTS:
+            self.clear()
+
+
 _ENCODERS: dict[str, WordBpe] = {}
 
 
@@ -151,16 +179,20 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
+        strings = _Strings(enc)
         for part in slices(batches, "text"):
-            texts = [t or "" for t in part.column("text").to_pylist()]
             counts, ids, id_sha, text_sha = [], [], [], []
-            for fragments in enc.encode_parts(texts):
-                blob = b"".join([f[0] for f in fragments])
+            for text in part.column("text").to_pylist():
+                encoded = list(map(enc.table.__getitem__, enc.fragments(text or "")))
+                blob = b"".join(encoded)
                 counts.append(len(blob) // 4)
                 id_sha.append(hashlib.sha256(blob).hexdigest())
-                text_sha.append(hashlib.sha256(" ".join([f[2] for f in fragments if f[1]]).encode()).hexdigest())
+                decoded = " ".join(filter(None, map(strings.__getitem__, encoded)))
+                text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
                 if keep_ids:
                     ids.append(blob)
+                enc.table.bound()
+                strings.bound()
             cols = [part.column("id"), pa.array(counts, pa.int64())]
             names = ["id", "n_tokens"]
             if keep_ids:

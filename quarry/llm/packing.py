@@ -137,10 +137,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity:
             ids, blobs, held = [], [], 0
 
         for part in slices(batches, "text"):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            for doc, fragments in zip(part.column("id").to_pylist(), enc.encode_parts(texts), strict=True):
+            for doc, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
                 ids.append(doc)
-                blobs.append(b"".join([f[0] for f in fragments]) + end)
+                blobs.append(enc.encode_bytes(text or "") + end)
                 held += len(blobs[-1])
                 if len(ids) >= block or held >= 64 << 20:
                     yield from flush()
