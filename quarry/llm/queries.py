@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat_format, fingerprints, language_id, packing, simhash_dedup, toxicity, url_filter
+from quarry.llm import bpe, chat_format, fingerprints, language_id, packing, simhash_dedup, substring_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -89,3 +89,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text and of its edited text."""
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 50 or more words that repeat."""
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
