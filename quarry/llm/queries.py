@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat_format, fingerprints, language_id, packing, simhash_dedup, substring_dedup, toxicity, url_filter
+from quarry.llm import ann, bpe, chat_format, fingerprints, language_id, packing, simhash_dedup, substring_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -96,3 +96,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without passages of 50 or more words that repeat."""
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op7_ann")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th vector, among all rows."""
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
