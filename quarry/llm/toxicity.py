@@ -23,10 +23,11 @@ from quarry.llm.training import sample_per_class
 
 BUCKETS = 1 << 15
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
-STEM = 5                  # bytes of a word's stem
+STEM = 4                  # bytes of a word's stem
 PER_CLASS = 2000          # labelled texts per class that are learned from, about
 TRAIN_CHARS = 20_000      # characters of a training text
 EPOCHS, BATCH = 12, 64
+SEEN = 1                  # training texts in which a word must occur to have an embedding
 CUT = 0.7
 WORDS = 1 << 16           # words in work at a time
 
@@ -87,6 +88,7 @@ class ToxicityModel:
         self.constant: float | None = None
         self.cuts = np.full(len(FUNCTION_WORDS) + 1, 0.5)
         self.languages = _language_table()
+        self.known = {"word": np.ones(BUCKETS, bool), "stem": np.ones(BUCKETS, bool)}
         self._tables: tuple[np.ndarray, np.ndarray] | None = None
 
     # ------------------------------------------------------------------ scoring
@@ -147,6 +149,14 @@ class ToxicityModel:
         return np.where(raw < cut, raw / cut * CUT, CUT + (raw - cut) / (1 - cut) * (1 - CUT))
 
     # ------------------------------------------------------------------ training
+    def forget_rare(self, words: Words) -> None:
+        """Words of fewer than ``SEEN`` training texts say nothing: their
+        embeddings are zero and stay so, like those of words never seen."""
+        for name, ids in (("word", words.word), ("stem", words.stem)):
+            pairs = np.unique(words.row * BUCKETS + ids)
+            self.known[name] = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= SEEN
+            getattr(self, name)[~self.known[name]] = 0
+
     def step(self, words: Words, rows: np.ndarray, y: np.ndarray, state: dict, rate: float) -> None:
         """One Adagrad step on the texts ``rows`` (their words are contiguous)."""
         spans = [(np.searchsorted(words.row, r), np.searchsorted(words.row, r, "right")) for r in rows]
@@ -203,9 +213,10 @@ class ToxicityModel:
         if emb_at:
             place, grad = np.concatenate(emb_at), np.concatenate(emb_grad)
             for name, table, ids in (("word", self.word, words.word[at][place]), ("stem", self.stem, words.stem[at][place])):
-                uniq, inv = np.unique(ids, return_inverse=True)
+                known = self.known[name][ids]
+                uniq, inv = np.unique(ids[known], return_inverse=True)
                 total = np.zeros((len(uniq), DIM), np.float32)
-                np.add.at(total, inv, grad)
+                np.add.at(total, inv, grad[known])
                 past = state.setdefault(name, np.full(BUCKETS, 1e-8, np.float32))
                 past[uniq] += (total * total).mean(axis=1)
                 table[uniq] -= rate * total / np.sqrt(past[uniq])[:, None]
@@ -225,6 +236,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held, train = order[:max(1, len(y) // 5)], order[max(1, len(y) // 5):]
+    model.forget_rare(words)
     state: dict = {}
     for epoch in range(EPOCHS):
         rng.shuffle(train)
