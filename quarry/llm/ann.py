@@ -92,7 +92,7 @@ def build_index(rows: DataFrame, dim: int, id_col: str = "vec_id", vector_col: s
     return plain.mapInArrow(run, "n int, ids binary, vectors binary, codes binary, norms binary, fits binary")
 
 
-def search_block(block: dict, qid: np.ndarray, q: np.ndarray, turn: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def search_block(block: dict, qid: np.ndarray, q: np.ndarray, turn: np.ndarray, k: int, width_of_bound: float = ERROR) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The ``k`` nearest rows of an index block for each query."""
     dim, width = q.shape[1], turn.shape[0]
     ids = np.frombuffer(block["ids"], np.int64)
@@ -102,7 +102,7 @@ def search_block(block: dict, qid: np.ndarray, q: np.ndarray, turn: np.ndarray,
     signs -= 1
     norm, fit = np.frombuffer(block["norms"], np.float64), np.frombuffer(block["fits"], np.float64)
     scale = (norm / fit / np.sqrt(width)).astype(np.float32)
-    spread = (norm * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit * ERROR / np.sqrt(width - 1)).astype(np.float32)
+    spread = (norm * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit * width_of_bound / np.sqrt(width - 1)).astype(np.float32)
     for a in range(0, len(q), TOGETHER):
         part = q[a:a + TOGETHER]
         estimate = ((part @ turn[:dim]).astype(np.float32) @ signs.T) * scale
@@ -121,7 +121,7 @@ def search_block(block: dict, qid: np.ndarray, q: np.ndarray, turn: np.ndarray,
 
 
 def search(index: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-           bits: int = BITS) -> DataFrame:
+           bits: int = BITS, error: float = ERROR) -> DataFrame:
     """The ``k`` nearest index rows of each query row, its own id left out.
 
     Returns query_id, ``rank`` int from 1, the neighbour's id and ``score``
@@ -155,7 +155,7 @@ def search(index: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col:
             turn = rotation(width)
             for batch in batches:
                 for block in batch.to_pylist():
-                    out = list(search_block(block, qid, q, turn, k))
+                    out = list(search_block(block, qid, q, turn, k, error))
                     if out:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].tolist() for o in out], pa.list_(pa.int64())),
@@ -169,10 +169,10 @@ def search(index: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col:
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-            bits: int = BITS) -> DataFrame:
+            bits: int = BITS, error: float = ERROR) -> DataFrame:
     """Index ``rows`` (all of them, in the dimension most of them have) and
-    search ``queries``; see ``search``."""
+    search ``queries``; see ``search``.  A larger ``error`` reranks more."""
     sizes = rows.where(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("d")).count().orderBy(F.desc("count"), "d").first()
     dim = int(sizes.d) if sizes else 1
     index = written(build_index(rows, dim, id_col, vector_col, bits))
-    return search(index, queries, dim, k, id_col, vector_col, bits)
+    return search(index, queries, dim, k, id_col, vector_col, bits, error)
