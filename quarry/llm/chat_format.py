@@ -18,7 +18,9 @@ length passes through a task as a stream.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import slices
 
 CHUNK = 1 << 15           # tokens of a written chunk
-FRAGMENTS, LONG = 200_000, 64
+FRAGMENTS, LONG = 150_000, 64
 
 # The control strings of the template, in the order of their ids.
 MARKERS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|role|>", "<|body|>"]
@@ -39,6 +41,9 @@ ESCAPED = [*MARKERS, "<|endoftext|>"]
 _ESCAPE = re.compile("|".join(f"{re.escape(c[0])}\\\\*{re.escape(c[1:])}" for c in ESCAPED))
 _UNESCAPE = re.compile("|".join(f"{re.escape(c[0])}\\\\+{re.escape(c[1:])}" for c in ESCAPED))
 _CHUNKS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+# one blank, a run of Latin-1 letters (one word to the pattern) and ASCII
+# punctuation behind it but apostrophes (the pattern's next word)
+_PLAIN_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _OTHER_BLANK = re.compile(r"[^\S \t\r\n]")
 
 
@@ -52,77 +57,93 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(lambda m: m[0][0] + m[0][2:], text)
 
 
-class ByteBpe:
-    """A reversible byte-level vocabulary with reserved ids above it."""
+def _alphabet() -> dict[str, int]:
+    """Bytes of the printable stand-ins of byte-level vocabularies: a visible
+    Latin-1 character stands for itself, the others in turn for the characters
+    from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+class Vocabulary:
+    """The bytes of every id, and the reserved ids above them."""
+
+    def __init__(self, path: str):
+        spec = json.load(open(path, encoding="utf-8"))
+        alphabet = _alphabet()
+        tokens = spec["model"]["vocab"] | {a["content"]: a["id"] for a in spec["added_tokens"]}
+        added = {a["content"] for a in spec["added_tokens"]}
+        self.size = max(tokens.values()) + 1
+        self.bytes: list[bytes] = [b""] * self.size
+        for token, i in tokens.items():
+            self.bytes[i] = token.encode() if token in added else bytes(alphabet[c] for c in token)
+        self.marker = {m: self.size + i for i, m in enumerate(MARKERS)}
+        self.name = {i: m for m, i in self.marker.items()}
+
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode()
+
+
+class _Pieces(dict):
+    """Encoded ids of each piece of text seen, a bounded number of them."""
+
+    def __init__(self, tok):
+        super().__init__()
+        self.tok, self.model = tok, tok.model
+        self.visible = {b: ord(c) for c, b in _alphabet().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        word = _PLAIN_WORD.fullmatch(piece)
+        if word is None:
+            ids = self.tok.encode(piece, add_special_tokens=False).ids
+        else:
+            ids = []
+            for part in word.groups():
+                if part:
+                    ids += [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.visible))]
+        got = np.asarray(ids, "<u4").tobytes()
+        if len(piece) <= LONG:
+            self[piece] = got
+        return got
+
+
+class Coder:
+    """Encoder of a reversible byte-level vocabulary."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.vocabulary = vocabulary_of(path)
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
         self.tok.encode_special_tokens = True
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.size = max(vocab.values()) + 1
-        alphabet = self._alphabet()
-        self.bytes: list[bytes] = [b""] * self.size
-        for token, i in vocab.items():
-            self.bytes[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-        self.marker = {m: self.size + i for i, m in enumerate(MARKERS)}
-        self.name = {i: m for m, i in self.marker.items()}
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    @staticmethod
-    def _alphabet() -> dict[str, int]:
-        """Bytes of the printable stand-ins of byte-level vocabularies: a
-        visible Latin-1 character stands for itself, the others in turn for
-        the characters from U+0100 on."""
-        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-        rest = [b for b in range(256) if b not in set(shown)]
-        return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers.  The pattern
-        before the merges never joins a non-blank with blanks after it, so a
-        text is cut before each run of blanks; each distinct piece is encoded
-        once.  A text with other than the four usual blanks is not cut."""
-        cut, missing = [], set()
-        for t in texts:
-            parts = [t] if _OTHER_BLANK.search(t) else _CHUNKS.findall(t)
-            cut.append(parts)
-            for p in set(parts):
-                if p not in self.new:
-                    if p in self.old:
-                        self.new[p] = self.old[p]
-                    else:
-                        missing.add(p)
-        got = {}
-        if missing:
-            ordered = sorted(missing)
-            for p, e in zip(ordered, self.tok.encode_batch(ordered, add_special_tokens=False), strict=True):
-                got[p] = np.asarray(e.ids, "<u4").tobytes()
-        self.new.update((p, v) for p, v in got.items() if len(p) <= LONG)
-        new = self.new
-        out = [b"".join([new[p] if p in new else got[p] for p in parts]) for parts in cut]
-        if len(new) > FRAGMENTS:
-            self.old, self.new = new, {}
+        self.pieces = _Pieces(self.tok)
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers.  The pattern before
+        the merges never joins a non-blank with blanks after it, so the text is
+        cut before each run of blanks and each distinct piece encoded once.  A
+        text with other than the four usual blanks is not cut."""
+        parts = [text] if _OTHER_BLANK.search(text) else _CHUNKS.findall(text)
+        out = b"".join(map(self.pieces.__getitem__, parts))
+        if len(self.pieces) > FRAGMENTS:
+            self.pieces.clear()
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode()
-
 
-_CODERS: dict[str, ByteBpe] = {}
+@functools.cache
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
-def coder(path: str) -> ByteBpe:
-    if path not in _CODERS:
-        _CODERS[path] = ByteBpe(path)
-    return _CODERS[path]
+@functools.cache
+def coder(path: str) -> Coder:
+    return Coder(path)
 
 
-def _segment(c: ByteBpe, role: str, role_ids: bytes, body: bytes) -> tuple[bytes, int, int]:
+def _segment(c: Vocabulary, role: str, role_ids: bytes, body: bytes) -> tuple[bytes, int, int]:
     """A turn's ids with its markers, and where its text lies among them."""
     mark = lambda name: np.asarray([c.marker[name]], "<u4").tobytes()
     if role == "user":
@@ -154,16 +175,16 @@ def format_conversations(turns: DataFrame, vocabulary: str, conv_col: str = "con
         c = coder(vocabulary)
         for part in slices(batches, "text"):
             roles = part.column("role").to_pylist()
-            bodies = c.encode_all([escape(t) for t in part.column("text").to_pylist()])
-            names = c.encode_all([escape(r) for r in roles])
-            made = [_segment(c, r, n, b) for r, n, b in zip(roles, names, bodies, strict=True)]
+            bodies = [c.encode(escape(t)) for t in part.column("text").to_pylist()]
+            names = [c.encode(escape(r)) for r in roles]
+            made = [_segment(c.vocabulary, r, n, b) for r, n, b in zip(roles, names, bodies, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("conv"), part.column("turn"), part.column("role"), pa.array([m[0] for m in made], pa.binary()),
                  pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64())],
                 names=["conv", "turn", "role", "ids", "before", "length"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(vocabulary)
+        c = vocabulary_of(vocabulary)
         begin = np.asarray([c.marker["<s>"]], "<u4").tobytes()
         out: list[tuple] = []
         conv, opened = None, False
@@ -214,7 +235,7 @@ def format_conversations(turns: DataFrame, vocabulary: str, conv_col: str = "con
 class _Reader:
     """Reads one conversation back from its tokens, chunk by chunk."""
 
-    def __init__(self, c: ByteBpe):
+    def __init__(self, c: Vocabulary):
         self.c = c
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n = self.loss_chars = self.chars = 0
@@ -268,7 +289,7 @@ def read_back(chunks: DataFrame, vocabulary: str, conv_col: str = "conv_id") ->
     must come from ``format_conversations`` in this plan (in order)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(vocabulary)
+        c = vocabulary_of(vocabulary)
         conv, reader, out = None, None, []
 
         def rows() -> pa.RecordBatch:
