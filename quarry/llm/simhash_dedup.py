@@ -186,9 +186,10 @@ def components(links: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        # written, so that both sides of the joins are dealt for them alone and Spark can split a hot node
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        lower = written(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .unionByName(lower.select("u", F.col("m").alias("v"))).distinct())
         pairs = written(small)
@@ -216,7 +217,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted)
-    classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     named = rooted.join(classes, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                                          "component_id")

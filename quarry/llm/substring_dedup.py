@@ -155,10 +155,11 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
                              *((k, pa.array(s[k])) for k in ("start", "windows", "anchor", "segment"))])
 
     every = docs.mapInArrow(scan, "id long, body int, start int, windows int, anchor long, segment long")
-    shared = every.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
+    # both sides of a join are dealt for it alone, so that Spark can split a hot key: aggregates are written first
+    shared = written(every.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor"))
     rows = written(every.join(shared, "anchor"))
-    nodes = rows.groupBy("anchor", "segment").agg(F.min("id").alias("least"))
-    several = nodes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    nodes = written(rows.groupBy("anchor", "segment").agg(F.min("id").alias("least")))
+    several = written(nodes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     placed = rows.join(nodes, ["anchor", "segment"])
     whole = placed.where("least < id").select("id", "body", "start", "windows")
 
@@ -227,7 +228,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
                          ("b", pa.array(_sequence_hashes(words, place, place + window, _BASE_C).view(np.int64)))])
 
     hot = bearers.where(F.col("kinds") > group).mapInArrow(suffixes, "id long, body int, start int, a long, b long")
-    deep = hot.groupBy("a", "b").agg(F.min("id").alias("least"))
+    deep = written(hot.groupBy("a", "b").agg(F.min("id").alias("least")))
     long_prefixes = hot.join(deep, ["a", "b"]).where("least < id").select("id", "body", "start", F.lit(1).alias("windows"))
     return whole.unionByName(trees).unionByName(long_prefixes)
 
