@@ -135,14 +135,3 @@ def month_start(ts: str | Column) -> Column:
 
 def quarter_start(ts: str | Column) -> Column:
     return F.trunc(F.to_date(col(ts)), "quarter")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check is a bounded ``limit(max_rows + 1).count()``, so it stops early
-    on a large input; above the bound the plain frame is returned and the
-    planner (with AQE) picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

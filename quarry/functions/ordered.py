@@ -1,219 +1,138 @@
-"""Ordered running counts and sums without a single-task window.
+"""Ordered running counts, sums and lags without a single-task window.
 
 A window ``PARTITION BY g ORDER BY o`` puts every row of a group into one
 task, and an unpartitioned window puts the whole table there.  When one
 group may hold a third of all rows, that task is the job.  The functions
-here compute the same running index / running sums exactly, distributed:
-
-1. range-partition the rows on ``(g, o)`` (a sampled, distributed sort), so
-   a hot group is spread over many consecutive partitions;
-2. inside each partition, rows are sorted and a vectorised pandas pass
-   numbers / sums them per group (state carried across Arrow batches);
-3. the result is checkpointed to the shared checkpoint folder, which pins
-   the row-to-partition assignment;
-4. a group can only continue across a partition boundary, so a table with
-   one row per partition (its first and last group, and the last group's
-   totals) gives every partition the offset of the group it starts with;
-   that table is bounded by the partition count and is broadcast.
+here give the same results at every size, in one way:
+
+1. the rows are dealt by range of (g, o) (a sampled, distributed sort) and
+   written once with the number of their range, so a hot group lies in many
+   consecutive ranges and the ranges are the same wherever they are read;
+2. plain windows over (g, range) count, sum and look back inside a range;
+3. only the group that a range begins with can go on from earlier ranges:
+   one aggregate per (g, range) and a window over these few rows (at most one
+   more per group than ranges) give what came before.
+
+Everything is built-in expressions, so types, nulls and NaN come out as in a
+window.  Rows that tie under ``order`` are told apart by a hash of the row.
+Step 1 runs when the function is called: the ranges must be fixed before two
+branches of a plan can agree on them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+GROUP, PLACE, TIE = "__group", "__place", "__tie"
+
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _local_pass(keys: list[str], values: list[str], lags: list[str] = ()):
-    from pyspark import TaskContext
-
-    def run(batches):
-        pid = TaskContext.get().partitionId()
-        last_key = None
-        carry_n = 0
-        carry_s = [0.0] * len(values)
-        carry_lag = [None] * len(lags)
-        row0 = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            n = len(pdf)
-            if keys:
-                kdf = pdf[keys]
-                prev = kdf.shift(1)
-                differs = (kdf != prev) & ~(kdf.isna() & prev.isna())
-                change = differs.any(axis=1)
-                change.iloc[0] = True
-                gid = change.cumsum()
-                first_key = tuple(kdf.iloc[0].tolist())
-            else:
-                gid = pd.Series(1, index=pdf.index)
-                first_key = ()
-            cont = last_key is not None and _same(first_key, last_key)
-            local = gid.groupby(gid).cumcount() + 1
-            if cont:
-                local = local + (gid == 1) * carry_n
-            pdf["_pid"] = pid
-            pdf["_row"] = range(row0, row0 + n)
-            pdf["_local"] = local.astype("int64").values
-            for j, v in enumerate(values):
-                cs = pdf[v].fillna(0).astype("float64").groupby(gid.values).cumsum()
-                if cont:
-                    cs = cs + (gid == 1).values * carry_s[j]
-                pdf[f"_lc_{v}"] = cs.values
-            first_of_group = (gid != gid.shift(1)).values
-            for j, c in enumerate(lags):
-                prev = pdf[c].shift(1).astype(object)
-                prev[first_of_group] = None
-                if cont:
-                    prev.iloc[0] = carry_lag[j]
-                pdf[f"_lag_{c}"] = prev.where(pd.notna(prev), None)
-            row0 += n
-            carry_lag = [pdf[c].iloc[-1] for c in lags]
-            last_key = tuple(kdf.iloc[-1].tolist()) if keys else ()
-            carry_n = int(pdf["_local"].iloc[-1])
-            carry_s = [float(pdf[f"_lc_{v}"].iloc[-1]) for v in values]
-            yield pdf
-
-    return run
-
-
-def _same(a, b) -> bool:
-    if len(a) != len(b):
-        return False
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if x != y:
-            return False
-    return True
-
-
-def _distributed(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], values: Sequence[str],
-                 partitions: int | None = None, lags: Sequence[str] = ()) -> DataFrame:
-    from quarry.session import cut_lineage
+def _key(by: Sequence[str]) -> Column:
+    """The group as one value: a struct compares nulls as equal."""
+    return F.struct(*[F.col(k) for k in by]) if by else F.struct(F.lit(0))
+
+
+def _placed(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], partitions: int | None) -> DataFrame:
+    """The rows with group, range number and tie-break, written once."""
+    from quarry.session import ensure_checkpoint_dir
 
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(by)
-    s = df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order)) \
-        .sortWithinPartitions(*[F.col(k) for k in keys], *_order_cols(order))
-    schema = T.StructType(df.schema.fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_row", T.LongType()),
-        T.StructField("_local", T.LongType())] + [T.StructField(f"_lc_{v}", T.DoubleType()) for v in values]
-        + [T.StructField(f"_lag_{c}", df.schema[c].dataType) for c in lags])
-    tagged = cut_lineage(s.mapInPandas(_local_pass(keys, list(values), list(lags)), schema))
-
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    # one row per partition: first group, last group and the last group's totals
-    bounds = tagged.groupBy("_pid").agg(
-        F.min_by(key, F.col("_row")).alias("first_key"),
-        F.max_by(F.struct(key.alias("k"), F.col("_local").alias("n"),
-                          *[F.col(f"_lc_{v}").alias(f"s_{v}") for v in values],
-                          *[F.col(c).alias(f"l_{c}") for c in lags]), F.col("_row")).alias("last"))
-    a = bounds.select("_pid", "first_key")
-    b = bounds.select(F.col("_pid").alias("_pid2"), "last")
-    # earlier partitions whose last group is this partition's first group
-    offs = (a.join(b, (F.col("last.k").eqNullSafe(F.col("first_key"))) & (F.col("_pid2") < F.col("_pid")))
-            .groupBy("_pid", "first_key")
-            .agg(F.sum("last.n").alias("_off_n"), *[F.sum(f"last.s_{v}").alias(f"_off_{v}") for v in values],
-                 *[F.max_by(f"last.l_{c}", "_pid2").alias(f"_prev_{c}") for c in lags]))
-    # bounded by the number of partitions
-    out = tagged.join(F.broadcast(offs), "_pid", "left")
-    starts = key.eqNullSafe(F.col("first_key"))
-    out = out.withColumn("_idx", F.col("_local") + F.when(starts, F.coalesce(F.col("_off_n"), F.lit(0))).otherwise(0))
-    first_row = starts & (F.col("_local") == 1)
-    for c in lags:
-        out = out.withColumn(f"_lagv_{c}", F.when(first_row & F.col("_off_n").isNotNull(), F.col(f"_prev_{c}"))
-                             .otherwise(F.col(f"_lag_{c}")))
-    for v in values:
-        out = out.withColumn(f"_cum_{v}", F.col(f"_lc_{v}") + F.when(starts, F.coalesce(F.col(f"_off_{v}"), F.lit(0.0)))
-                             .otherwise(0.0))
-    return out
-
-
-SMALL_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (a bounded count that
-    stops early on large inputs); such a table may sit in one task."""
-    return limit > 0 and df.limit(limit + 1).count() <= limit
-
-
-def _window(by: Sequence[str], order: Sequence[str | Column]) -> Window:
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return w.orderBy(*_order_cols(order))
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn(TIE, F.xxhash64(*hashable))
+    ranged = tied.repartitionByRange(n, *[F.col(k) for k in by], *_order_cols(order), F.col(TIE))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordered-{uuid.uuid4().hex}"
+    ranged.withColumn(PLACE, F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(tied.schema.add(PLACE, T.IntegerType())).parquet(path).withColumn(GROUP, _key(by))
+
+
+def _inside(order: Sequence[str | Column]):
+    return Window.partitionBy(GROUP, PLACE).orderBy(*_order_cols(order), F.col(TIE))
+
+
+def _before(rows: int | None = None):
+    """Earlier ranges of a group (the last ``rows`` of them)."""
+    first = Window.unboundedPreceding if rows is None else -rows
+    return Window.partitionBy(GROUP).orderBy(PLACE).rowsBetween(first, -1)
+
+
+def _sum_type(df: DataFrame, value: str) -> T.DataType:
+    return df.select(F.sum(F.col(value))).schema[0].dataType
+
+
+def _running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], values: Sequence[str], exclusive: bool,
+             names: Sequence[str], partitions: int | None) -> DataFrame:
+    placed = _placed(df, by, order, partitions)
+    whole = placed.groupBy(GROUP, PLACE).agg(*[F.sum(F.col(v)).alias(f"__s{i}") for i, v in enumerate(values)])
+    offsets = whole.select(GROUP, PLACE, *[F.sum(f"__s{i}").over(_before()).alias(f"__o{i}") for i in range(len(values))])
+    frame = _inside(order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    local = placed.withColumns({f"__l{i}": F.sum(F.col(v)).over(frame) for i, v in enumerate(values)})
+    out = local.join(offsets, [GROUP, PLACE], "left")
+    sums = []
+    for i, (v, name) in enumerate(zip(values, names, strict=True)):
+        kind = _sum_type(df, v)
+        zero = F.lit(0).cast(kind)
+        sums.append((F.coalesce(F.col(f"__l{i}"), zero) + F.coalesce(F.col(f"__o{i}").cast(kind), zero)).cast(kind).alias(name))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *sums)
 
 
 def running_index(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "idx",
-                  partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """1-based position of each row within its ``by`` group under ``order``
-    (a total order: end it with a unique key).  Inputs of at most
-    ``small_rows`` rows (checked) use a plain window."""
-    if _small(df, small_rows):
-        return df.withColumn(name, F.row_number().over(_window(by, order)).cast("long"))
-    out = _distributed(df, by, order, [], partitions)
-    return out.select(*df.columns, F.col("_idx").alias(name))
+                  partitions: int | None = None) -> DataFrame:
+    """1-based position (long) of each row within its ``by`` group under
+    ``order``."""
+    one = df.withColumn("__one", F.lit(1).cast("long"))
+    out = _running(one, by, order, ["__one"], False, [name], partitions)
+    return out.drop("__one")
 
 
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str, name: str,
-                exclusive: bool = False, partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Running sum of ``value`` within ``by`` under ``order`` (nulls count
-    as 0); ``exclusive`` leaves out the current row.  Returned as double."""
-    v = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    if _small(df, small_rows):
-        cum = F.sum(v).over(_window(by, order).rowsBetween(Window.unboundedPreceding, 0))
-        return df.withColumn(name, cum - v if exclusive else cum)
-    out = _distributed(df, by, order, [value], partitions)
-    cum = F.col(f"_cum_{value}")
-    if exclusive:
-        cum = cum - v
-    return out.select(*df.columns, cum.alias(name))
+                exclusive: bool = False, partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value`` within ``by`` under ``order`` (nulls count as
+    0), in the type of Spark's ``sum``: long for integers, decimal for
+    decimals.  ``exclusive`` leaves out the current row."""
+    return _running(df, by, order, [value], exclusive, [name], partitions)
 
 
 def global_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence[str], exclusive: bool = False,
-                  suffix: str = "_cum", partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Cumulative sums over one global order (no grouping), e.g. ranks over
-    the distinct values of a score.  Adds ``<value><suffix>`` columns."""
-    if _small(df, small_rows):
-        w = _window([], order).rowsBetween(Window.unboundedPreceding, 0)
-        out = df
-        for v in values:
-            x = F.coalesce(F.col(v).cast("double"), F.lit(0.0))
-            out = out.withColumn(f"{v}{suffix}", F.sum(x).over(w) - x if exclusive else F.sum(x).over(w))
-        return out
-    out = _distributed(df, [], order, list(values), partitions)
-    cols = []
-    for v in values:
-        c = F.col(f"_cum_{v}")
-        if exclusive:
-            c = c - F.coalesce(F.col(v).cast("double"), F.lit(0.0))
-        cols.append(c.alias(f"{v}{suffix}"))
-    return out.select(*df.columns, *cols)
+                  suffix: str = "_cum", partitions: int | None = None) -> DataFrame:
+    """Running sums over one global order (no grouping), e.g. ranks over the
+    distinct values of a score.  Adds ``<value><suffix>`` columns."""
+    return _running(df, [], order, list(values), exclusive, [f"{v}{suffix}" for v in values], partitions)
+
+
+def lags(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str], depth: int, name: str,
+         partitions: int | None = None) -> DataFrame:
+    """The ``depth`` rows before each row within ``by`` under ``order``, as an
+    array of structs of ``cols``, nearest first (shorter at a group's start).
+    One pass whatever the depth: the last ``depth`` rows of each range are
+    what the next ranges can look back to."""
+    placed = _placed(df, by, order, partitions)
+    row = F.struct(*[F.col(c) for c in cols])
+    # newest first, like the result
+    held = placed.select(GROUP, PLACE, row.alias("__row"), F.row_number().over(_inside(order)).alias("__n"),
+                         F.count(F.lit(1)).over(Window.partitionBy(GROUP, PLACE)).alias("__of"))
+    tail = held.where(F.col("__of") - F.col("__n") < depth).groupBy(GROUP, PLACE).agg(
+        F.reverse(F.array_sort(F.collect_list(F.struct("__n", "__row")))).alias("__tail"))
+    # ranges of a group from the nearest back; each holds one row at least, so depth ranges are enough
+    lists = F.reverse(F.collect_list(F.col("__tail")).over(_before(depth)))
+    earlier = tail.select(GROUP, PLACE, F.slice(F.transform(F.flatten(lists), lambda x: x["__row"]), 1, depth).alias("__earlier"))
+    near = F.reverse(F.collect_list(row).over(_inside(order).rowsBetween(-depth, -1)))
+    out = placed.withColumn("__near", near).join(earlier, [GROUP, PLACE], "left")
+    both = F.slice(F.concat("__near", F.coalesce("__earlier", F.array().cast(out.schema["__near"].dataType))), 1, depth)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], both.alias(name))
 
 
 def lag(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
-        suffix: str = "_prev", partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+        suffix: str = "_prev", partitions: int | None = None) -> DataFrame:
     """Previous row's value of each column within ``by`` under ``order``
-    (null on a group's first row), exact across partition boundaries: the
-    first row of a partition whose group continues from earlier partitions
-    takes the last value of the nearest such partition."""
-    if _small(df, small_rows):
-        w = _window(by, order)
-        out = df
-        for c in cols:
-            out = out.withColumn(f"{c}{suffix}", F.lag(c).over(w))
-        return out
-    out = _distributed(df, by, order, [], partitions, lags=list(cols))
-    return out.select(*df.columns, *[F.col(f"_lagv_{c}").alias(f"{c}{suffix}") for c in cols])
-
-
-__all__ = ["running_index", "running_sum", "global_cumsum", "lag", "Window"]
+    (null on a group's first row)."""
+    out = lags(df, by, order, cols, 1, "__lag", partitions)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.get("__lag", F.lit(0))[c].alias(f"{c}{suffix}") for c in cols])

@@ -246,20 +246,28 @@ def exact_combinations(df: DataFrame, flag_cols: Sequence[str]) -> DataFrame:
                     r6(F.coalesce(F.col("n"), F.lit(0)) * 100.0 / F.col("_t")).alias("pct")))
 
 
-def top_k_with_other(df: DataFrame, period: str, label: str, k: int) -> DataFrame:
+def top_k_with_other(df: DataFrame, period: str, label: str, k: int, fill_zero: bool = False) -> DataFrame:
     """Per period, the k most frequent labels and an 'Other' share.
 
     One aggregate over (period, label), a rank window over the small
-    aggregated table, and a second aggregate; no loop over periods."""
+    aggregated table, and a second aggregate; no loop over periods.
+    ``fill_zero`` adds a zero for each label that is named in some period but
+    not in this one."""
     cnt = df.groupBy(period, label).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(period).orderBy(F.desc("n"), F.col(label))
     ranked = cnt.withColumn("_rk", F.row_number().over(w)) \
         .withColumn("_tot", F.sum("n").over(Window.partitionBy(period)))
     named = F.when(F.col("_rk") <= k, F.col(label)).otherwise(F.lit("Other"))
-    return (ranked.groupBy(period, named.alias(label))
-            .agg(F.sum("n").alias("n"), F.first("_tot").alias("_tot"))
-            .select(period, label, F.col("n").cast("long").alias("n"),
-                    r6(F.col("n") / F.col("_tot")).alias("share")))
+    out = (ranked.groupBy(period, named.alias(label))
+           .agg(F.sum("n").alias("n"), F.first("_tot").alias("_tot"))
+           .select(period, label, F.col("n").cast("long").alias("n"),
+                   r6(F.col("n") / F.col("_tot")).alias("share")))
+    if not fill_zero:
+        return out
+    from quarry.operators.reshape import fill_grid
+    cells = out.select(period, label, F.struct("n", "share").alias("_c"))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("share"))
+    return fill_grid(cells, [period, label], "_c", none).select(period, label, "_c.n", "_c.share")
 
 
 def rate_with_total(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:

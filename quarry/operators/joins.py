@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import broadcast_if_small
 
 
 def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "left") -> DataFrame:
@@ -24,10 +23,10 @@ def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how:
     return out
 
 
-def lookup_dimension(df: DataFrame, dim: DataFrame, on: str, max_rows: int = 1_000_000) -> DataFrame:
-    """Join a small dimension (names for ids).  The dimension is
-    broadcast only after checking it has at most ``max_rows`` rows."""
-    return df.join(broadcast_if_small(dim, max_rows), on, "left")
+def lookup_dimension(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """Join a dimension (names for ids).  Whether it is broadcast is
+    left to the planner, which knows its size in bytes when it runs."""
+    return df.join(dim, on, "left")
 
 
 def self_reference_fill(df: DataFrame, key: str, ref: str, cols: Sequence[str]) -> DataFrame:

@@ -170,21 +170,43 @@ def frequency_per_day(text: str | Column) -> Column:
     return F.when(n > 0, F.lit(24.0) / n)
 
 
-def profile_dose_class(age_days: Column, weight: Column, dose: Column, freq_h: Column,
-                       rule_table: Sequence[dict]) -> Column:
-    """Pick a dosing profile by age and weight (first matching
-    rule), then classify the dose per kg against that profile's band and the
-    expected frequency.  ``rule_table`` rows: age_lo, age_hi, wt_lo, wt_hi,
-    lo, hi (mg/kg), every_h, label."""
-    per_kg = dose / weight
-    cls = None
-    for r in rule_table:
-        in_prof = (age_days >= r["age_lo"]) & (age_days <= r["age_hi"]) & \
-                  (weight >= r["wt_lo"]) & (weight <= r["wt_hi"])
-        band = (F.when(freq_h != r["every_h"], F.lit("Wrong frequency"))
-                .when(per_kg < r["lo"], "Under").when(per_kg > r["hi"], "Over").otherwise("Correct"))
-        cls = F.when(in_prof, band) if cls is None else cls.when(in_prof, band)
-    return cls.otherwise(F.lit("No profile"))
+# Once-daily label, and mg/kg bands of the gentamicin profiles.
+ONCE_DAILY = "Once per day/once daily(OD)"
+GENTA_BANDS = {"7.5mg": (6.0, 9.0), "5mg": (4.0, 6.0), "3mg": (2.4, 3.6)}
+# Frequency labels and the units-per-kg band of both penicillin profiles.
+PEN_ONCE, PEN_STAT = "OD/once a day/24hrly", "STAT"
+PEN_BD, PEN_TID, PEN_QID = "BD/twice a day/12hrly", "TID/TDS/three times a day/8hrly", "QID/4 times a day/6hrly"
+PEN_BAND = (40000.0, 60000.0)
+
+
+def gentamicin_profile(age_days: Column, weight: Column) -> Column:
+    """7.5 mg from 7 days of age, before that 5 mg from 2 kg, else 3 mg."""
+    return F.when(age_days >= 7, "7.5mg").when((age_days < 7) & (weight >= 2), "5mg").when((age_days < 7) & (weight < 2), "3mg")
+
+
+def gentamicin_class(age_days: Column, weight: Column, dose: Column, freq: Column) -> Column:
+    """Over above the profile's band or at any but the once-daily
+    frequency, else Under below it, else Correct; null without a profile."""
+    per_kg, profile = dose / weight, gentamicin_profile(age_days, weight)
+    out = None
+    for name, (lo, hi) in GENTA_BANDS.items():
+        band = (F.when((per_kg > hi) | (freq != ONCE_DAILY), "Over").when(per_kg < lo, "Under")
+                .when((per_kg >= lo) & (per_kg <= hi) & (freq == ONCE_DAILY), "Correct"))
+        out = F.when(profile == name, band) if out is None else out.when(profile == name, band)
+    return out
+
+
+def penicillin_class(age_days: Column, weight: Column, dose: Column, freq: Column) -> Column:
+    """Twice daily up to 7 days of age, four times daily after.  Twice
+    daily: Over above the band or at a higher frequency, Under below it or at
+    a lower frequency.  Four times daily: Over above the band, Under below it
+    or at any other frequency.  Correct within the band at the frequency."""
+    per_kg, (lo, hi), f = dose / weight, PEN_BAND, F.trim(freq)
+    inside = (per_kg >= lo) & (per_kg <= hi)
+    bd = (F.when((per_kg > hi) | f.isin(PEN_TID, PEN_QID), "Over").when(inside & (f == PEN_BD), "Correct")
+          .when((per_kg < lo) | f.isin(PEN_ONCE, PEN_STAT), "Under"))
+    qid = F.when(per_kg > hi, "Over").when(inside & (f == PEN_QID), "Correct").when((per_kg < lo) | (f != PEN_QID), "Under")
+    return F.when(age_days <= 7, bd).when(age_days > 7, qid)
 
 
 def well_documented(cols: Sequence[str | Column]) -> Column:

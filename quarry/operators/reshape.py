@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,7 +64,7 @@ def fill_grid(df: DataFrame, keys: Sequence[str], value: str, fill=0) -> DataFra
     grid = levels
     for k in keys:
         grid = grid.withColumn(k, F.explode(k))
-    return grid.join(df, list(keys), "left").select(*keys, F.coalesce(F.col(value), F.lit(fill)).alias(value))
+    return grid.join(df, list(keys), "left").select(*keys, F.coalesce(F.col(value), fill if isinstance(fill, Column) else F.lit(fill)).alias(value))
 
 
 def measured_count(df: DataFrame, key: str, value: str) -> DataFrame:

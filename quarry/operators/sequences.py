@@ -68,3 +68,12 @@ def weighted_sample_key(key: Column, weight: Column) -> Column:
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("double")
     u = (h + 1.0) / (4294967296.0 + 1.0)
     return -F.log(u) / weight
+
+
+def weighted_share(df: DataFrame, order: Sequence[str], share: float) -> DataFrame:
+    """The first ``share`` of all rows under ``order`` (a total order),
+    by distributed row numbers."""
+    from quarry.functions.ordered import running_index
+    from quarry.operators.aggregate import with_total
+    numbered = with_total(running_index(df, [], list(order), "_i"), df.agg(F.count(F.lit(1)).alias("_n")))
+    return numbered.where(F.col("_i") <= F.floor(F.col("_n") * share)).drop("_i", "_n")

@@ -94,22 +94,29 @@ def cohens_d(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
                     r6(d + 1.96 * se).alias("hi"), r6(d / se).alias("z"))
 
 
-def morris_g(df: DataFrame, group: str, pre: str, post: str, treat, control) -> DataFrame:
-    """T4: pre/post/control effect size (Morris 2008 d_ppc2) with the small
-    sample bias correction c_p = 1 - 3 / (4(n_t + n_c - 2) - 1)."""
-    x = df.filter(F.col(group).isin(treat, control))
-    is_t = F.col(group) == treat
-    s = x.agg(
-        F.count(F.when(is_t, 1)).alias("nt"), F.count(F.when(~is_t, 1)).alias("nc"),
-        F.avg(F.when(is_t, F.col(post) - F.col(pre))).alias("dt"),
-        F.avg(F.when(~is_t, F.col(post) - F.col(pre))).alias("dc"),
-        F.var_samp(F.when(is_t, F.col(pre))).alias("vt"), F.var_samp(F.when(~is_t, F.col(pre))).alias("vc"),
-    )
+def _morris(x: DataFrame, is_t, pre: str, post: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Effect size of Morris with the pooled variance of all four samples,
+    bias correction and t, per ``keys``."""
+    aggs = [F.count(F.when(is_t, 1)).alias("nt"), F.count(F.when(~is_t, 1)).alias("nc"),
+            F.avg(F.when(is_t, F.col(post) - F.col(pre))).alias("dt"), F.avg(F.when(~is_t, F.col(post) - F.col(pre))).alias("dc")]
+    aggs += [F.var_samp(F.when(who, F.col(c))).alias(f"v{w}{i}") for w, who in (("t", is_t), ("c", ~is_t)) for i, c in enumerate((pre, post))]
+    s = x.groupBy(*keys).agg(*aggs) if keys else x.agg(*aggs)
     nt, nc = F.col("nt"), F.col("nc")
-    sd_pre = F.sqrt(((nt - 1) * F.col("vt") + (nc - 1) * F.col("vc")) / (nt + nc - 2))
-    cp = 1 - 3 / (4 * (nt + nc - 2) - 1)
-    g = cp * (F.col("dt") - F.col("dc")) / sd_pre
-    return s.select("nt", "nc", r6(g).alias("g"), r6(cp).alias("cp"))
+    sd = F.sqrt(((nc - 1) * (F.col("vc0") + F.col("vc1")) + (nt - 1) * (F.col("vt0") + F.col("vt1"))) / (2 * (nt + nc - 2)))
+    cp = 1 - 3 / (4 * (2 * nt + 2 * nc - 4) - 1)
+    change = F.col("dt") - F.col("dc")
+    return s.select(*keys, "nt", "nc", (cp * change / sd).alias("g"), cp.alias("cp"), sd.alias("sd"),
+                    (change / F.sqrt(sd * sd / nt + sd * sd / nc)).alias("t"))
+
+
+def morris_g(df: DataFrame, group: str, pre: str, post: str, treat, control) -> DataFrame:
+    """T4: pre/post/control effect size, the pooled standard deviation over
+    the four samples (pre and post of both arms), the small-sample correction
+    c_p = 1 - 3 / (4 (2 n_t + 2 n_c - 4) - 1) and the t statistic.  Rows
+    without a pre or post score are left out."""
+    x = df.filter(F.col(group).isin(treat, control) & F.col(pre).isNotNull() & F.col(post).isNotNull())
+    s = _morris(x, F.col(group) == treat, pre, post)
+    return s.select("nt", "nc", *[r6(c).alias(c) for c in ("g", "cp", "sd", "t")])
 
 
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
@@ -260,32 +267,30 @@ def sample_size_proportion(p: Column, margin: float, z: float = 1.96, completene
     return n / completeness if completeness is not None else n
 
 
-def bootstrap_mean_difference(df: DataFrame, group: str, value: str, a, b, replicates: int = 1000,
-                              seed: int = 0, probs=(0.025, 0.5, 0.975)) -> DataFrame:
-    """Percentile bootstrap of mean(a) - mean(b).
+def bootstrap_effect(df: DataFrame, group: str, pre: str, post: str, treat, control, replicates: int = 1000,
+                     per_arm: int = 83, seed: int = 0, probs=(0.025, 0.5, 0.975)) -> DataFrame:
+    """Percentile bootstrap of the pre/post/control effect size (T4).
 
-    Each arm is given a dense index (distributed, ``ordered.running_index``);
-    replicate ``r`` draws index ``pmod(xxhash64(seed, r, arm, j), n)`` for
-    j = 1..n, so draws are reproducible and need no driver-side random
-    state.  Draws join back to the indexed sample on (arm, index); the
-    replicate means are one aggregate and the interval one percentile."""
+    Rows get a dense index per arm (``ordered.running_index``); draw ``j`` of
+    replicate ``r`` takes index ``pmod(xxhash64(seed, r, arm, j), n)``, so
+    draws are repeatable and are made row by row from a range of
+    replicates x 2 x per_arm numbers.  They join the sample on (arm, index);
+    the replicates' effects are one aggregate, the interval one percentile."""
     from quarry.functions.ordered import running_index
     from quarry.operators.aggregate import with_total
 
-    x = df.filter(F.col(group).isin(a, b) & F.col(value).isNotNull()).select(F.col(group).alias("_arm"), value)
-    x = running_index(x, ["_arm"], [value], "_idx")
-    sizes = x.groupBy("_arm").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per (replicate, arm), then exploded to the arm's size
-    grid = sizes.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    draws = grid.withColumn("j", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    draws = draws.withColumn("_idx", F.pmod(F.xxhash64(F.lit(seed), "rep", "_arm", "j"), F.col("_n")) + 1)
-    joined = draws.join(x, ["_arm", "_idx"])
-    means = joined.groupBy("rep").agg(
-        (F.avg(F.when(F.col("_arm") == a, F.col(value))) - F.avg(F.when(F.col("_arm") == b, F.col(value)))).alias("diff"))
-    q = means.agg(F.percentile("diff", F.array(*[F.lit(p) for p in probs])).alias("q"), F.count(F.lit(1)).alias("replicates"))
-    obs = x.agg((F.avg(F.when(F.col("_arm") == a, F.col(value))) - F.avg(F.when(F.col("_arm") == b, F.col(value))))
-                .alias("observed"))
-    out = with_total(q, obs)
+    x = df.filter(F.col(group).isin(treat, control) & F.col(pre).isNotNull() & F.col(post).isNotNull())
+    x = x.select((F.col(group) == treat).alias("_t"), F.col(pre).cast("double").alias("_pre"), F.col(post).cast("double").alias("_post"))
+    x = running_index(x, ["_t"], ["_pre", "_post"], "_idx")
+    sizes = x.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
+    n = F.col("id")
+    draws = df.sparkSession.range(replicates * 2 * per_arm).select(
+        F.floor(n / (2 * per_arm)).alias("rep"), (n % 2 == 0).alias("_t"), F.floor(n % (2 * per_arm) / 2).alias("j"))
+    draws = draws.join(sizes, "_t").select(
+        "rep", "_t", (F.pmod(F.xxhash64(F.lit(seed), "rep", "_t", "j"), F.col("_n")) + 1).alias("_idx"))
+    effects = _morris(draws.join(x, ["_t", "_idx"]), F.col("_t"), "_pre", "_post", ["rep"])
+    q = effects.agg(F.percentile("g", F.array(*[F.lit(p) for p in probs])).alias("q"), F.count(F.lit(1)).alias("replicates"))
+    out = with_total(q, _morris(x, F.col("_t"), "_pre", "_post").select(F.col("g").alias("observed")))
     return out.select("replicates", r6("observed").alias("observed"),
                       *[r6(F.col("q")[i]).alias(f"q{int(p * 1000):03d}") for i, p in enumerate(probs)])
 

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions.columns import col, r6, rules
 
@@ -37,11 +36,9 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
                   name: str, exclusive: bool = False, skew_safe: bool = True) -> DataFrame:
     """Running sum per group; ``exclusive`` excludes the current row
     and yields 0 on the first row.  Integral inputs give a long result."""
-    integral = isinstance(df.schema[value].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
     if skew_safe:
         from quarry.functions import ordered
-        out = ordered.running_sum(df, by, order, value, name, exclusive=exclusive)
-        return out.withColumn(name, F.col(name).cast("long")) if integral else out
+        return ordered.running_sum(df, by, order, value, name, exclusive=exclusive)
     hi = -1 if exclusive else 0
     w = _w(by, order).rowsBetween(Window.unboundedPreceding, hi)
     s = F.sum(value).over(w)
@@ -153,29 +150,27 @@ def sliding_sequences(df: DataFrame, by: Sequence[str], order: Sequence[str], fi
     """every window of ``length`` consecutive steps per group, as an
     array of structs (incomplete tail windows dropped).
 
-    ``skew_safe`` (default) builds the window from exact leads: lead k is
-    the ordered lag (``functions.ordered.lag``) of lead k-1 over the reversed
-    order, so no group is ever held by one task.  Otherwise a bounded
-    window frame ``rowsBetween(0, length - 1)`` is used."""
+    ``skew_safe`` (default) looks back over the reversed order in one pass
+    (``functions.ordered.lags``), so no group is ever held by one task.
+    Otherwise a bounded window frame ``rowsBetween(0, length - 1)`` is used."""
     if not skew_safe:
         w = _w(by, order).rowsBetween(0, length - 1)
         return (df.withColumn(name, F.collect_list(F.struct(*[F.col(f) for f in fields])).over(w))
                 .filter(F.size(name) == length))
+    return sequences_up_to(df, by, order, fields, [length], name).drop("length")
+
+
+def sequences_up_to(df: DataFrame, by: Sequence[str], order: Sequence[str], fields: Sequence[str],
+                    lengths: Sequence[int], name: str = "seq") -> DataFrame:
+    """the sequences of every length in ``lengths`` that begin at each
+    step (incomplete ones dropped), from one look ahead of the longest; column
+    ``length`` tells them apart."""
     from quarry.functions import ordered
     desc = [F.col(o).desc() for o in order]
-    cur = df.withColumn("_one__n0", F.lit(1))
-    for f in fields:
-        cur = cur.withColumn(f"{f}__n0", F.col(f))
-    base_cols = list(df.columns)
-    for k in range(1, length):
-        srcs = [f"{f}__n{k - 1}" for f in [*fields, "_one"]]
-        cur = ordered.lag(cur, by, desc, srcs, suffix="__lead")
-        for f in [*fields, "_one"]:
-            cur = cur.withColumnRenamed(f"{f}__n{k - 1}__lead", f"{f}__n{k}")
-    seq = F.array(*[F.struct(*[F.col(f"{f}__n{k}").alias(f) for f in fields]) for k in range(length)])
-    helper = [f"{f}__n{k}" for k in range(length) for f in [*fields, "_one"]]
-    return cur.filter(F.col(f"_one__n{length - 1}").isNotNull()).select(*base_cols, seq.alias(name)) \
-        if helper else cur
+    ahead = ordered.lags(df, by, desc, list(fields), max(lengths) - 1, "_ahead")
+    whole = ahead.withColumn("_ahead", F.concat(F.array(F.struct(*[F.col(f) for f in fields])), "_ahead"))
+    each = whole.withColumn("length", F.explode(F.array(*[F.lit(n) for n in lengths]))).filter(F.size("_ahead") >= F.col("length"))
+    return each.withColumn(name, F.slice("_ahead", F.lit(1), F.col("length"))).drop("_ahead")
 
 
 def step_transitions(df: DataFrame, by: Sequence[str], order: Sequence[str], state: str) -> DataFrame:

@@ -141,6 +141,19 @@ def e27_top_priority_per_year(spark, root):
     return agg.top_k_with_other(a, "year", "priority", 3)
 
 
+@register("e27_top_priority_per_month", with_views("admissions") + """
+, c AS (SELECT CAST(date_trunc('month', adm_date) AS DATE) AS month, priority, count(*) AS n FROM admissions GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY n DESC, priority) AS rk, sum(n) OVER (PARTITION BY month) AS tot FROM c),
+t AS (SELECT month, CASE WHEN rk <= 4 THEN priority ELSE 'Other' END AS priority, sum(n) AS n, sum(n) / max(tot) AS share FROM r GROUP BY 1, 2),
+g AS (SELECT m.month, l.priority FROM (SELECT DISTINCT month FROM t) m, (SELECT DISTINCT priority FROM t) l)
+SELECT g.month, g.priority, CAST(coalesce(t.n, 0) AS BIGINT) AS n, round(coalesce(t.share, 0), 6) AS share
+FROM g LEFT JOIN t ON g.month = t.month AND g.priority = t.priority""")
+def e27_top_priority_per_month(spark, root):
+    from quarry.functions.columns import month_start
+    a = Views(spark, root).admissions.select(month_start("adm_date").alias("month"), "priority")
+    return agg.top_k_with_other(a, "month", "priority", 4, fill_zero=True)
+
+
 _ATTRITION = [
     ("admitted", "true"),
     ("has_discharge", "discharge_time IS NOT NULL"),
@@ -303,35 +316,17 @@ def b16_feed_frequency(spark, root):
         "feeds_per_day", recode.frequency_per_day("freq_text"))
 
 
-# Gentamicin dosing profiles used by the prescription audit
-# (age days lo/hi, weight kg lo/hi, mg/kg band, hours between doses).
-GENTA_RULES = [
-    dict(age_lo=0, age_hi=7, wt_lo=0.0, wt_hi=2.0, lo=2.5, hi=3.5, every_h=36, label="<=7d <2kg"),
-    dict(age_lo=0, age_hi=7, wt_lo=2.0, wt_hi=99.0, lo=4.5, hi=5.5, every_h=24, label="<=7d >=2kg"),
-    dict(age_lo=8, age_hi=999, wt_lo=0.0, wt_hi=99.0, lo=6.5, hi=7.5, every_h=24, label=">7d"),
-]
-
-
-def _genta_sql():
-    cases = []
-    for r in GENTA_RULES:
-        cond = (f"age_days >= {r['age_lo']} AND age_days <= {r['age_hi']} AND weight_kg >= {r['wt_lo']} "
-                f"AND weight_kg <= {r['wt_hi']}")
-        band = (f"CASE WHEN freq_h <> {r['every_h']} THEN 'Wrong frequency' WHEN dose / weight_kg < {r['lo']} THEN 'Under' "
-                f"WHEN dose / weight_kg > {r['hi']} THEN 'Over' ELSE 'Correct' END")
-        cases.append(f"WHEN {cond} THEN {band}")
-    return "CASE " + " ".join(cases) + " ELSE 'No profile' END"
-
-
-@register("b17_gentamicin_class", with_views("admissions") + f"""
-, d AS (SELECT adm_id, age_days, weight_kg, (price % 50) / 5.0 AS dose, CASE WHEN adm_id % 3 = 0 THEN 36 ELSE 24 END AS freq_h FROM admissions)
-SELECT adm_id, {_genta_sql()} AS genta_class FROM d""")
+@register("b17_gentamicin_class", with_views("admissions") + """
+, d AS (SELECT adm_id, age_days, weight_kg, (price % 50) / 3.0 / weight_kg AS kg,
+  CASE WHEN adm_id % 3 = 0 THEN 'Twice per day' ELSE 'Once per day/once daily(OD)' END AS freq FROM admissions),
+p AS (SELECT *, CASE WHEN age_days >= 7 THEN 6 WHEN weight_kg >= 2 THEN 4 ELSE 2.4 END AS lo,
+  CASE WHEN age_days >= 7 THEN 9 WHEN weight_kg >= 2 THEN 6 ELSE 3.6 END AS hi FROM d)
+SELECT adm_id, CASE WHEN kg > hi OR freq <> 'Once per day/once daily(OD)' THEN 'Over' WHEN kg < lo THEN 'Under' ELSE 'Correct' END AS genta_class
+FROM p""")
 def b17_gentamicin_class(spark, root):
     a = Views(spark, root).admissions
-    d = a.select("adm_id", "age_days", "weight_kg", ((F.col("price") % 50) / 5.0).alias("dose"),
-                 F.when(F.col("adm_id") % 3 == 0, 36).otherwise(24).alias("freq_h"))
-    return d.select("adm_id", recode.profile_dose_class(F.col("age_days"), F.col("weight_kg"), F.col("dose"),
-                                                        F.col("freq_h"), GENTA_RULES).alias("genta_class"))
+    freq = F.when(F.col("adm_id") % 3 == 0, "Twice per day").otherwise(recode.ONCE_DAILY)
+    return a.select("adm_id", recode.gentamicin_class(F.col("age_days"), F.col("weight_kg"), (F.col("price") % 50) / 3.0, freq).alias("genta_class"))
 
 
 @register("b19_well_documented", with_views("admissions") + """

@@ -294,12 +294,11 @@ def i4_spread_fill_zero(spark, root):
 
 
 @register("i6_measured_count", with_views("weights_wide") + """
-, l AS (SELECT adm_id, weight_1 AS w FROM weights_wide UNION ALL SELECT adm_id, weight_2 FROM weights_wide
-   UNION ALL SELECT adm_id, weight_3 FROM weights_wide)
+, l AS (""" + " UNION ALL ".join(f"SELECT adm_id, weight_{i} AS w FROM weights_wide" for i in range(1, 8)) + """)
 SELECT adm_id, count(w) AS n_measured, count(w) > 1 AS measured_multiple FROM l GROUP BY 1""")
 def i6_measured_count(spark, root):
     w = Views(spark, root).weights_wide
-    long = reshape.wide_to_long(w, ["adm_id"], ["weight_1", "weight_2", "weight_3"], "k", "w")
+    long = reshape.wide_to_long(w, ["adm_id"], [f"weight_{i}" for i in range(1, 8)], "k", "w")
     return reshape.measured_count(long, "adm_id", "w")
 
 

@@ -29,6 +29,10 @@ p AS (SELECT user_id, CAST(sum(CAST(session_complete AS INTEGER)) AS BIGINT) AS
 flags AS (SELECT s.*, p.complete_plays FROM s LEFT JOIN p USING (user_id))"""
 
 
+def _tries(spark, root):
+    return Views(spark, root).tries
+
+
 def _att(spark, root):
     return Views(spark, root).attempts
 
@@ -71,7 +75,7 @@ def f4_lag_diff(spark, root):
 
 @register("e28_session_rollup", with_views("attempts") + _ROLLUP_SQL)
 def e28_session_rollup(spark, root):
-    return sequences.session_rollup(_att(spark, root))
+    return sequences.session_rollup(_tries(spark, root))
 
 
 @register("f5_session_gaps", with_views("attempts") + f""", s AS ({_ROLLUP_SQL}),
@@ -81,7 +85,7 @@ SELECT user_id, session, round(gap, 6) AS gap_min,
   CASE WHEN gap >= 1440 THEN 'Distributed' WHEN gap >= 60 THEN 'Spaced' WHEN gap IS NOT NULL THEN 'Massed' ELSE 'None' END AS gap_type,
   round(ln(coalesce(gap, 0.01)), 6) AS gap_log FROM g""")
 def f5_session_gaps(spark, root):
-    s = sequences.session_rollup(_att(spark, root))
+    s = sequences.session_rollup(_tries(spark, root))
     return windows.session_gaps(s, ["user_id"], "session", "total_time", "session") \
         .select("user_id", "session", "gap_min", "gap_type", "gap_log")
 
@@ -94,7 +98,7 @@ SELECT user_id, session, score, prev_score,
     WHEN score >= prev_score THEN (score - prev_score) / (5 - prev_score)
     ELSE (score - prev_score) / prev_score END, 6) AS gain FROM g""")
 def f6_normalised_gain(spark, root):
-    s = sequences.session_rollup(_att(spark, root))
+    s = sequences.session_rollup(_tries(spark, root))
     s = windows.lag_diff(s, ["user_id"], ["session"], "score", "prev_score", "_d")
     return s.select("user_id", "session", "score", "prev_score",
                     r6(windows.normalised_gain("prev_score", "score", 5)).alias("gain"))
@@ -141,7 +145,7 @@ SELECT user_id, count(DISTINCT question) AS questions_reached, round(sum(time_s)
   round(sum(CASE WHEN try_no = 1 THEN correct ELSE 0 END) / count(CASE WHEN try_no = 1 THEN 1 END), 6) AS first_try_share
 FROM attempts a WHERE NOT EXISTS (SELECT 1 FROM fin WHERE fin.user_id = a.user_id) GROUP BY user_id""")
 def e43_dropout_depth(spark, root):
-    a = _att(spark, root)
+    a = _tries(spark, root)
     flags = sequences.completion_flags(a, COMPLETE_AT)
     fin = flags.filter(F.col("complete_plays") >= FINISHED_PLAYS).select("user_id").distinct()
     return sequences.dropout_depth(a, fin)
@@ -178,7 +182,7 @@ def e22_distinct_concat(spark, root):
 @register("e23_any_flag", with_views("attempts") + """
 SELECT user_id, session, bool_or(correct = 1 AND try_no = 1) AS any_first_try_right FROM attempts GROUP BY 1, 2""")
 def e23_any_flag(spark, root):
-    return agg.any_flag(_att(spark, root), ["user_id", "session"],
+    return agg.any_flag(_tries(spark, root), ["user_id", "session"],
                         (F.col("correct") == 1) & (F.col("try_no") == 1), "any_first_try_right")
 
 
@@ -189,7 +193,7 @@ FROM attempts a LEFT JOIN attempts b ON a.user_id = b.user_id AND a.session = b.
   AND b.try_no = a.try_no + 1
 GROUP BY 1, 2""")
 def e32_feedback_success(spark, root):
-    a = sequences.next_try_success(_att(spark, root), ["user_id", "session", "question"])
+    a = sequences.next_try_success(_tries(spark, root), ["user_id", "session", "question"])
     return a.groupBy("question", "feedback").agg(
         F.count(F.lit(1)).alias("n"), F.count("next_correct").alias("n_next"),
         F.coalesce(F.sum("next_correct"), F.lit(0)).alias("n_success"),
@@ -205,7 +209,7 @@ SELECT arm, count(ratio) AS n, round(avg(ratio), 6) AS mean, round(stddev_samp(r
 FROM h GROUP BY arm""")
 def e33_help_ratio_by_arm(spark, root):
     v = Views(spark, root)
-    s = sequences.session_rollup(v.attempts).withColumn("ratio", F.col("help_count") / F.col("n_tries"))
+    s = sequences.session_rollup(v.tries).withColumn("ratio", F.col("help_count") / F.col("n_tries"))
     h = s.join(v.profiles.select("user_id", "arm"), "user_id")
     return agg.describe_by(h, ["arm"], "ratio")
 
@@ -293,18 +297,16 @@ def f13_sliding_sequences(spark, root):
     return s.select("user_id", "event_id", _seq_text("seq").alias("seq_text"))
 
 
+LOOKBACKS = range(3, 11)
+
+
 @register("f14_lagged_views", with_views("attempts") + " SELECT * FROM (" + " UNION ALL ".join(
     f"""SELECT user_id, event_id, {n} AS lookback, array_to_string(s, ',') AS seq_text FROM (
   SELECT user_id, event_id, list(question || ':' || CAST(correct AS VARCHAR)) OVER (PARTITION BY user_id ORDER BY ts, event_id
-    ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS s FROM attempts) WHERE len(s) = {n}""" for n in (3, 4, 5)) + ")")
+    ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS s FROM attempts) WHERE len(s) = {n}""" for n in LOOKBACKS) + ")")
 def f14_lagged_views(spark, root):
-    a = _att(spark, root)
-    out = None
-    for n in (3, 4, 5):
-        s = windows.sliding_sequences(a, ["user_id"], ORDER, ["question", "correct"], n)
-        s = s.select("user_id", "event_id", F.lit(n).alias("lookback"), _seq_text("seq").alias("seq_text"))
-        out = s if out is None else out.unionByName(s)
-    return out
+    s = windows.sequences_up_to(_att(spark, root), ["user_id"], ORDER, ["question", "correct"], list(LOOKBACKS))
+    return s.select("user_id", "event_id", F.col("length").alias("lookback"), _seq_text("seq").alias("seq_text"))
 
 
 @register("f20_next_step_pairs", with_views("attempts") + """
@@ -362,7 +364,7 @@ bad AS (SELECT user_id FROM j WHERE arm = 0 INTERSECT SELECT user_id FROM j WHER
 SELECT user_id, count(*) AS n FROM j WHERE user_id NOT IN (SELECT user_id FROM bad) GROUP BY user_id""")
 def c8_crossover_exclusion(spark, root):
     v = Views(spark, root)
-    j = v.attempts.join(v.profiles.select("user_id", "arm"), "user_id")
+    j = v.tries.join(v.profiles.select("user_id", "arm"), "user_id")
     kept = cohort.crossover_exclusion(j, "user_id", F.col("arm") == 0,
                                       (F.col("feedback") == 1) & (F.col("correct") == 0) & (F.col("try_no") > 2))
     return agg.count_by(kept, ["user_id"])
@@ -402,11 +404,12 @@ def d14_backfill_date(spark, root):
 @register("o23_weighted_user_split", with_views("attempts") + """
 , w AS (SELECT user_id, count(*) AS weight FROM attempts GROUP BY 1),
 k AS (SELECT user_id, weight, -ln((CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) + 1.0) / 4294967297.0) / weight AS key FROM w)
-SELECT user_id, weight, round(key, 9) AS key FROM k ORDER BY key, user_id LIMIT 30""")
+SELECT user_id, weight, round(key, 9) AS key FROM (SELECT *, row_number() OVER (ORDER BY key, user_id) AS i, count(*) OVER () AS n FROM k)
+WHERE i <= floor(0.8 * n)""")
 def o23_weighted_user_split(spark, root):
     w = _att(spark, root).groupBy("user_id").agg(F.count(F.lit(1)).alias("weight"))
     k = w.withColumn("key", sequences.weighted_sample_key(F.col("user_id"), F.col("weight")))
-    return k.orderBy("key", "user_id").limit(30).select("user_id", "weight", F.round("key", 9).alias("key"))
+    return sequences.weighted_share(k, ["key", "user_id"], 0.8).select("user_id", "weight", F.round("key", 9).alias("key"))
 
 
 # ----------------------------------------------------------------- dates
@@ -470,7 +473,7 @@ SELECT event_id, f[1] AS question, TRY_CAST(f[2] AS INTEGER) AS try_no, TRY_CAST
   TRY_CAST(f[4] AS INTEGER) AS correct, TRY_CAST(f[5] AS INTEGER) AS feedback FROM s WHERE len(f) > 4""")
 def a8_packed_records(spark, root):
     from quarry.sources import readers
-    a = _att(spark, root)
+    a = _tries(spark, root)
     short = F.concat_ws(",", "question", F.col("try_no").cast("string"))
     full = F.concat_ws(",", "question", F.col("try_no").cast("string"), F.col("time_s").cast("string"),
                        F.col("correct").cast("string"), F.col("feedback").cast("string"))

@@ -15,32 +15,18 @@ from quarry.plans.views import Views
 from quarry.plans.views_sql import with_views
 from quarry.sources import readers
 
-# Penicillin dosing profiles (mg/kg band, hours between doses).
-PEN_RULES = [
-    dict(age_lo=0, age_hi=7, wt_lo=0.0, wt_hi=99.0, lo=45.0, hi=55.0, every_h=12, label="<=7d"),
-    dict(age_lo=8, age_hi=999, wt_lo=0.0, wt_hi=99.0, lo=45.0, hi=55.0, every_h=8, label=">7d"),
-]
-
-
-def _profile_sql(rules_, dose="dose", weight="weight_kg", freq="freq_h", age="age_days"):
-    cases = []
-    for r in rules_:
-        cond = f"{age} >= {r['age_lo']} AND {age} <= {r['age_hi']} AND {weight} >= {r['wt_lo']} AND {weight} <= {r['wt_hi']}"
-        band = (f"CASE WHEN {freq} <> {r['every_h']} THEN 'Wrong frequency' WHEN {dose} / {weight} < {r['lo']} THEN 'Under' "
-                f"WHEN {dose} / {weight} > {r['hi']} THEN 'Over' ELSE 'Correct' END")
-        cases.append(f"WHEN {cond} THEN {band}")
-    return "CASE " + " ".join(cases) + " ELSE 'No profile' END"
-
-
-@register("b18_penicillin_class", with_views("admissions") + f"""
-, d AS (SELECT adm_id, age_days, weight_kg, (price % 300) / 2.0 AS dose, CASE WHEN adm_id % 2 = 0 THEN 12 ELSE 8 END AS freq_h FROM admissions)
-SELECT adm_id, {_profile_sql(PEN_RULES)} AS pen_class FROM d""")
+@register("b18_penicillin_class", with_views("admissions") + """
+, d AS (SELECT adm_id, age_days, (price % 300) * 1000 / weight_kg AS kg,
+  CASE adm_id % 5 WHEN 0 THEN 'OD' WHEN 1 THEN 'STAT' WHEN 2 THEN 'BD' WHEN 3 THEN 'TID' ELSE 'QID' END AS f FROM admissions)
+SELECT adm_id, CASE WHEN age_days <= 7 THEN
+    CASE WHEN kg > 60000 OR f IN ('TID', 'QID') THEN 'Over' WHEN kg < 40000 OR f IN ('OD', 'STAT') THEN 'Under' ELSE 'Correct' END
+  ELSE CASE WHEN kg > 60000 THEN 'Over' WHEN kg < 40000 OR f <> 'QID' THEN 'Under' ELSE 'Correct' END END AS pen_class
+FROM d""")
 def b18_penicillin_class(spark, root):
     a = Views(spark, root).admissions
-    d = a.select("adm_id", "age_days", "weight_kg", ((F.col("price") % 300) / 2.0).alias("dose"),
-                 F.when(F.col("adm_id") % 2 == 0, 12).otherwise(8).alias("freq_h"))
-    return d.select("adm_id", recode.profile_dose_class(F.col("age_days"), F.col("weight_kg"), F.col("dose"),
-                                                        F.col("freq_h"), PEN_RULES).alias("pen_class"))
+    labels = [recode.PEN_ONCE, recode.PEN_STAT, recode.PEN_BD, recode.PEN_TID, recode.PEN_QID]
+    freq = F.get(F.array(*[F.lit(x) for x in labels]), (F.col("adm_id") % 5).cast("int"))
+    return a.select("adm_id", recode.penicillin_class(F.col("age_days"), F.col("weight_kg"), (F.col("price") % 300) * 1000, freq).alias("pen_class"))
 
 
 @register("b21_ordered_category", with_views("admissions") + """
@@ -97,7 +83,7 @@ def e31_summary_by_arm(spark, root):
     """Rows-only: 'mean (SD, N)' per arm for several measures with a Welch
     p-value column."""
     v = Views(spark, root)
-    s = sequences.session_rollup(v.attempts).join(v.profiles.select("user_id", "arm"), "user_id")
+    s = sequences.session_rollup(v.tries).join(v.profiles.select("user_id", "arm"), "user_id")
     out = None
     for m in ("total_time", "n_tries", "score"):
         g = s.groupBy("arm").agg(F.avg(m).alias("mu"), F.stddev_samp(m).alias("sd"), F.count(m).alias("n"))
@@ -126,28 +112,34 @@ _ISLANDS_SQL = """
 runs AS (SELECT {by}, state, grp, count(*) AS len FROM y GROUP BY ALL)"""
 
 
-def _islands(df, by, state, w=3):
+LOOKBACKS = range(3, 11)
+
+
+def _islands(df, by, state, lookbacks=LOOKBACKS):
     """Runs of equal state per entity (gaps and islands), via two running
     indices computed with the distributed ordered helper; returns run
-    lengths and the count of non-overlapping windows of ``w`` per run."""
+    lengths and, for each lookback, the count of non-overlapping windows of
+    that length per run."""
     from quarry.functions.ordered import running_index
     a = running_index(df, by, ["ts", "event_id"], "_i1")
     b = running_index(a, [*by, state], ["ts", "event_id"], "_i2")
     runs = b.groupBy(*by, state, (F.col("_i1") - F.col("_i2")).alias("_grp")).agg(F.count(F.lit(1)).alias("len"))
-    return runs.withColumn("windows", F.floor(F.col("len") / w))
+    each = runs.withColumn("lookback", F.explode(F.array(*[F.lit(n) for n in lookbacks])))
+    return each.withColumn("windows", F.floor(F.col("len") / F.col("lookback")))
 
 
 @register("f15_run_detection", with_views("attempts") + """
 , x AS (SELECT user_id, ts, event_id, CASE WHEN (k % 100) / 100.0 > 0.7 THEN 'hi' WHEN (k % 100) / 100.0 < 0.4 THEN 'lo' ELSE 'mid' END AS state
   FROM attempts)""" + _ISLANDS_SQL.format(by="user_id") + """
-SELECT user_id, CAST(sum(CASE WHEN state = 'hi' THEN floor(len / 3) ELSE 0 END) AS BIGINT) AS mastery_windows,
-  CAST(sum(CASE WHEN state = 'lo' THEN floor(len / 3) ELSE 0 END) AS BIGINT) AS wheelspin_windows FROM runs GROUP BY 1""")
+SELECT user_id, lookback, CAST(sum(CASE WHEN state = 'hi' THEN len // lookback ELSE 0 END) AS BIGINT) AS mastery_windows,
+  CAST(sum(CASE WHEN state = 'lo' THEN len // lookback ELSE 0 END) AS BIGINT) AS wheelspin_windows
+FROM runs, (SELECT CAST(unnest(range(3, 11)) AS INTEGER) AS lookback) GROUP BY 1, 2""")
 def f15_run_detection(spark, root):
     a = Views(spark, root).attempts
     p = (F.col("k") % 100) / 100.0
     x = a.select("user_id", "ts", "event_id", F.when(p > 0.7, "hi").when(p < 0.4, "lo").otherwise("mid").alias("state"))
     runs = _islands(x, ["user_id"], "state")
-    return runs.groupBy("user_id").agg(
+    return runs.groupBy("user_id", "lookback").agg(
         F.sum(F.when(F.col("state") == "hi", F.col("windows")).otherwise(0)).alias("mastery_windows"),
         F.sum(F.when(F.col("state") == "lo", F.col("windows")).otherwise(0)).alias("wheelspin_windows"))
 
@@ -156,16 +148,17 @@ def f15_run_detection(spark, root):
 , x AS (SELECT user_id, question, ts, event_id, CASE WHEN correct = 1 THEN 'right' ELSE 'wrong' END AS state FROM attempts)
 """ + _ISLANDS_SQL.format(by="user_id, question") + """,
 last AS (SELECT user_id, correct = 0 AS dropped FROM (SELECT user_id, correct, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM attempts) WHERE rk = 1),
-p AS (SELECT user_id, CAST(sum(CASE WHEN state = 'right' THEN floor(len / 3) ELSE 0 END) AS BIGINT) AS streaks,
-        CAST(sum(CASE WHEN state = 'wrong' THEN floor(len / 3) ELSE 0 END) AS BIGINT) AS wheelspins FROM runs GROUP BY 1)
-SELECT p.user_id, p.streaks, p.wheelspins, last.dropped FROM p JOIN last USING (user_id)""")
+p AS (SELECT user_id, lookback, CAST(sum(CASE WHEN state = 'right' THEN len // lookback ELSE 0 END) AS BIGINT) AS streaks,
+        CAST(sum(CASE WHEN state = 'wrong' THEN len // lookback ELSE 0 END) AS BIGINT) AS wheelspins
+      FROM runs, (SELECT CAST(unnest(range(3, 11)) AS INTEGER) AS lookback) GROUP BY 1, 2)
+SELECT p.user_id, p.lookback, p.streaks, p.wheelspins, last.dropped FROM p JOIN last USING (user_id)""")
 def f16_behaviour_patterns(spark, root):
     from quarry.operators.windows import latest_value
     a = Views(spark, root).attempts
     x = a.select("user_id", "question", "ts", "event_id",
                  F.when(F.col("correct") == 1, "right").otherwise("wrong").alias("state"))
     runs = _islands(x, ["user_id", "question"], "state")
-    p = runs.groupBy("user_id").agg(
+    p = runs.groupBy("user_id", "lookback").agg(
         F.sum(F.when(F.col("state") == "right", F.col("windows")).otherwise(0)).alias("streaks"),
         F.sum(F.when(F.col("state") == "wrong", F.col("windows")).otherwise(0)).alias("wheelspins"))
     last = latest_value(a, ["user_id"], "correct", ["ts", "event_id"]).select("user_id", (F.col("correct") == 0).alias("dropped"))
@@ -207,11 +200,8 @@ from quarry.plans.q_text import STOP_WORDS  # noqa: E402
 @register("l3_doc_term_matrix")
 def l3_doc_term_matrix(spark, root):
     """Rows-only: per document, distinct dictionary terms and total count."""
-    from pyspark.ml.functions import vector_to_array
-    model, dtm = topics.doc_term(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS)
-    arr = vector_to_array("features")
-    return dtm.select("doc_id", F.size(F.filter(arr, lambda x: x > 0)).alias("n_terms"),
-                      F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x).alias("n_tokens"))
+    counts = topics.term_counts(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS)
+    return counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("n").alias("n_tokens"))
 
 
 @register("l4_l7_l8_lda_topics")

@@ -74,12 +74,15 @@ def t3_t5_cohens_d(spark, root):
 
 
 @register("t4_morris_g", with_views("attempts", "profiles") + _PREPOST_SQL + """
-, j AS (SELECT pp.*, p.arm FROM pp JOIN profiles p USING (user_id) WHERE p.arm IN (0, 1)),
-st AS (SELECT count(CASE WHEN arm = 1 THEN 1 END) AS nt, count(CASE WHEN arm <> 1 THEN 1 END) AS nc,
-  avg(CASE WHEN arm = 1 THEN post - pre END) AS dt, avg(CASE WHEN arm <> 1 THEN post - pre END) AS dc,
-  var_samp(CASE WHEN arm = 1 THEN pre END) AS vt, var_samp(CASE WHEN arm <> 1 THEN pre END) AS vc FROM j)
-SELECT nt, nc, round((1 - 3 / (4 * (nt + nc - 2) - 1)) * (dt - dc) / sqrt(((nt - 1) * vt + (nc - 1) * vc) / (nt + nc - 2)), 6) AS g,
-  round(1 - 3 / (4 * (nt + nc - 2) - 1), 6) AS cp FROM st""")
+, j AS (SELECT pp.*, p.arm FROM pp JOIN profiles p USING (user_id) WHERE p.arm IN (0, 1) AND pre IS NOT NULL AND post IS NOT NULL),
+st AS (SELECT count(CASE WHEN arm = 1 THEN 1 END) AS nt, count(CASE WHEN arm = 0 THEN 1 END) AS nc,
+  avg(CASE WHEN arm = 1 THEN post END) AS mt1, avg(CASE WHEN arm = 1 THEN pre END) AS mt0,
+  avg(CASE WHEN arm = 0 THEN post END) AS mc1, avg(CASE WHEN arm = 0 THEN pre END) AS mc0,
+  var_samp(CASE WHEN arm = 1 THEN post END) AS vt1, var_samp(CASE WHEN arm = 1 THEN pre END) AS vt0,
+  var_samp(CASE WHEN arm = 0 THEN post END) AS vc1, var_samp(CASE WHEN arm = 0 THEN pre END) AS vc0 FROM j),
+e AS (SELECT *, sqrt(((nc - 1) * vc1 + (nc - 1) * vc0 + (nt - 1) * vt1 + (nt - 1) * vt0) / (2 * (nt + nc - 2))) AS s,
+  1 - 3 / (4 * (2 * nc + 2 * nt - 4) - 1) AS c, (mt1 - mt0) - (mc1 - mc0) AS d FROM st)
+SELECT nt, nc, round(c * d / s, 6) AS g, round(c, 6) AS cp, round(s, 6) AS sd, round(d / sqrt(s * s / nt + s * s / nc), 6) AS t FROM e""")
 def t4_morris_g(spark, root):
     v = Views(spark, root)
     j = _prepost(v).join(v.profiles.select("user_id", "arm"), "user_id")
@@ -195,10 +198,11 @@ def t22_item_total(spark, root):
 
 @register("t6_bootstrap_interval")
 def t6_bootstrap_interval(spark, root):
-    """Rows-only: percentile bootstrap (200 resamples) of the difference in
-    mean weight between arms of the admissions view."""
-    a = Views(spark, root).admissions.select(F.col("dead").cast("int").alias("arm"), "weight_kg")
-    return stats.bootstrap_mean_difference(a, "arm", "weight_kg", 1, 0, replicates=200, seed=7)
+    """Rows-only: percentile bootstrap (1000 resamples of 83 per arm) of the
+    pre/post/control effect size."""
+    v = Views(spark, root)
+    j = _prepost(v).join(v.profiles.select("user_id", "arm"), "user_id")
+    return stats.bootstrap_effect(j, "arm", "pre", "post", 1, 0, seed=7)
 
 
 @register("t14_pairwise_bh")

@@ -32,12 +32,10 @@ class Views:
     # ---------------------------------------------------------------- learning app
     @cached_property
     def attempts(self) -> DataFrame:
-        """Learner attempts: one row per answer, ``try_no`` numbered within
-        (user, session, question) by the total order (ts, event_id)."""
-        from quarry.functions.ordered import running_index
+        """Learner attempts: one row per answer, tries not numbered."""
         e = self.t.events
         k = F.get_json_object("props", "$.k").cast("int")
-        base = (
+        return (
             e.select(
                 "user_id", "event_id", "ts",
                 day_start("ts").alias("session"),
@@ -48,8 +46,13 @@ class Views:
             .withColumn("correct", (F.col("k") % 2).cast("int"))
             .withColumn("feedback", (F.col("k") % 3).cast("int"))
         )
-        # try number within (user, session, question): range-partitioned, not one task per user
-        return running_index(base, ["user_id", "session", "question"], ["ts", "event_id"], "try_no") \
+
+    @cached_property
+    def tries(self) -> DataFrame:
+        """Attempts with ``try_no`` numbered within (user, session, question)
+        by the total order (ts, event_id); no group is held by one task."""
+        from quarry.functions.ordered import running_index
+        return running_index(self.attempts, ["user_id", "session", "question"], ["ts", "event_id"], "try_no") \
             .withColumn("try_no", F.col("try_no").cast("int"))
 
     @cached_property
@@ -185,12 +188,15 @@ class Views:
     @cached_property
     def posts(self) -> DataFrame:
         d = self.t.documents
-        first = d.groupBy("text").agg(F.min("doc_id").alias("orig_id"))
+        # equal texts by a 128-bit digest: no text is shuffled as a key
+        keyed = d.withColumn("_digest", F.unhex(F.md5(F.col("text").cast("binary"))))
+        first = keyed.groupBy("_digest").agg(F.min("doc_id").alias("orig_id"))
+        origin = keyed.select("doc_id", "_digest").join(first, "_digest").where("orig_id < doc_id").select("doc_id", "orig_id")
         ts = F.timestamp_add("MINUTE", F.col("doc_id"), F.to_timestamp_ntz(F.lit(POST_EPOCH)))
-        return (d.join(first, "text")
+        return (d.join(origin, "doc_id", "left")
                 .select(F.col("doc_id").alias("id"), F.col("source").alias("handle"), "text", "lang",
                         ts.alias("ts"),
-                        F.when(F.col("orig_id") < F.col("doc_id"), F.col("orig_id")).alias("retweeted"),
+                        F.col("orig_id").alias("retweeted"),
                         (F.col("n_chars") % 100).alias("likes"),
                         (F.col("doc_id") % 7).alias("retweets")))
 

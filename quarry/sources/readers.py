@@ -21,9 +21,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
         return spark.read.csv(path, schema=schema, sep=sep, header=header, mode="PERMISSIVE")
     pattern = r"\s+" if sep == "whitespace" else sep.replace("|", r"\|").replace(":", ":")
     parts = F.split(F.trim(F.col("value")), pattern)
-    lines = spark.read.text(path)
-    if header:
-        lines = lines.filter(F.monotonically_increasing_id() > 0)
+    # the CSV reader drops the first line of every file; a separator that no line holds keeps lines whole
+    lines = spark.read.csv(path, schema="value string", sep="\u0001", quote="", header=True) if header else spark.read.text(path)
     return lines.select(*[parts[i].try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
@@ -31,7 +30,7 @@ def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
     """A2: lines 'node n1 n2 ...' to an edge list (src, dst)."""
     toks = F.split(F.trim(F.col("value")), r"\s+")
     return (spark.read.text(path)
-            .select(toks[0].cast("long").alias("src"), F.slice(toks, 2, 1 << 20).alias("_n"))
+            .select(toks[0].cast("long").alias("src"), F.slice(toks, F.lit(2), F.size(toks)).alias("_n"))
             .select("src", F.explode("_n").alias("_d"))
             .select("src", F.col("_d").cast("long").alias("dst")))
 
@@ -141,16 +140,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Materialise-or-load.  When ``path`` holds a written stage, read
-    it; else build, write and read back, so later steps depend on the
+    """Materialise-or-load.  When ``path`` holds a finished stage, read
+    it; when there is nothing, build, write and read back (an unfinished one is an error), so later steps depend on the
     stored table (in shared storage), not on the lineage."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop(path, "_SUCCESS")):
+        if fs.exists(hadoop(path)):
+            raise FileExistsError(f"{path} holds no finished stage; it is left as it is")
+        build().write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def resume_grid(done: DataFrame, todo: DataFrame, keys: Sequence[str]) -> DataFrame:

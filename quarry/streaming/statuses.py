@@ -48,15 +48,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def land(statuses: DataFrame, path: str, files: int = 4) -> None:
-    """Write status records as JSON files (the landing zone)."""
-    statuses.repartition(files).write.mode("overwrite").json(path)
+def land(statuses: DataFrame, path: str) -> None:
+    """Write status records as JSON files (the landing zone), one per task."""
+    statuses.write.mode("overwrite").json(path)
 
 
 def stream_rows(spark: SparkSession, landing: str, sink: str, checkpoint: str) -> DataFrame:
     """Drain the landing folder as a stream into post rows (parquet,
     append) and return the sink as a DataFrame."""
-    src = spark.readStream.schema(STATUS_SCHEMA).option("maxFilesPerTrigger", 2).json(landing)
+    src = spark.readStream.schema(STATUS_SCHEMA).json(landing)
     q = (status_rows(src).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink)
          .trigger(availableNow=True).start())
@@ -65,14 +65,18 @@ def stream_rows(spark: SparkSession, landing: str, sink: str, checkpoint: str) -
 
 
 def stream_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                 watermark: str = "365 days") -> DataFrame:
-    """The P1 rows with repeated ids suppressed within the watermark on
-    the post time (``dropDuplicatesWithinWatermark``).  The watermark must
-    exceed the largest gap between copies of one id."""
-    # stateful: one micro-batch per drain keeps the state-store passes down
+                 watermark: str | None = None) -> DataFrame:
+    """The P1 rows with repeated ids suppressed.
+
+    Without ``watermark`` every id is remembered and no late post is lost.
+    With one, ids are forgotten after that much post time (bounded state); a
+    post further behind the newest than that is then dropped as late."""
     src = spark.readStream.schema(STATUS_SCHEMA).json(landing)
     rows = status_rows(src).withColumn("event_time", F.to_timestamp("timestamp"))
-    dedup = rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["id"]).drop("event_time")
+    if watermark is None:
+        dedup = rows.dropDuplicates(["id"]).drop("event_time")
+    else:
+        dedup = rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["id"]).drop("event_time")
     q = (dedup.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink)
          .trigger(availableNow=True).start())

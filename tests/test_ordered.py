@@ -16,16 +16,16 @@ def _data(spark):
 
 def test_running_index_matches_window(spark):
     df = _data(spark)
-    got = running_index(df, ["g"], ["v", "id"], "pos", partitions=7, small_rows=0)
+    got = running_index(df, ["g"], ["v", "id"], "pos", partitions=7)
     w = Window.partitionBy("g").orderBy("v", "id")
     exp = df.withColumn("pos", F.row_number().over(w))
-    assert got.select("id", "pos").exceptAll(exp.select("id", F.col("pos").cast("long"))).count() == 0
+    assert got.select("id", "pos").exceptAll(exp.select("id", F.col("pos").cast("long").alias("pos"))).count() == 0
     assert got.count() == 4000
 
 
 def test_running_sum_exclusive(spark):
     df = _data(spark)
-    got = running_sum(df, ["g"], ["id"], "v", "s", exclusive=True, partitions=5, small_rows=0)
+    got = running_sum(df, ["g"], ["id"], "v", "s", exclusive=True, partitions=5)
     w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.withColumn("s", F.coalesce(F.sum("v").over(w), F.lit(0.0)))
     assert got.select("id", "s").exceptAll(exp.select("id", "s")).count() == 0
@@ -33,7 +33,7 @@ def test_running_sum_exclusive(spark):
 
 def test_global_cumsum(spark):
     df = _data(spark)
-    got = global_cumsum(df, ["id"], ["v"], partitions=6, small_rows=0).orderBy("id").select("v_cum").collect()
+    got = global_cumsum(df, ["id"], ["v"], partitions=6).orderBy("id").select("v_cum").collect()
     vals = [r[0] for r in df.orderBy("id").select("v").collect()]
     acc, exp = 0.0, []
     for x in vals:
@@ -52,7 +52,7 @@ def test_dense_row_key(spark):
 def test_lag_matches_window_across_partitions(spark):
     from quarry.functions.ordered import lag
     df = _data(spark)
-    got = lag(df, ["g"], ["id"], ["v"], partitions=9, small_rows=0)
+    got = lag(df, ["g"], ["id"], ["v"], partitions=9)
     w = Window.partitionBy("g").orderBy("id")
     exp = df.withColumn("v_prev", F.lag("v").over(w))
     assert got.select("id", "v_prev").exceptAll(exp.select("id", "v_prev")).count() == 0
@@ -72,11 +72,38 @@ def test_distributed_quantiles_equal_percentile(spark):
     assert [round(x, 9) for x in one] == [round(x, 9) for x in two]
 
 
-def test_small_and_distributed_paths_agree(spark):
-    df = _data(spark)
-    a = running_sum(df, ["g"], ["id"], "v", "s", partitions=5, small_rows=0)
-    b = running_sum(df, ["g"], ["id"], "v", "s")
-    assert a.exceptAll(b).count() == 0
-    c = lag(df, ["g"], ["id"], ["v"], partitions=5, small_rows=0)
-    d = lag(df, ["g"], ["id"], ["v"])
-    assert c.exceptAll(d).count() == 0
+def _typed(spark):
+    from decimal import Decimal
+    big = 2 ** 53 + 1
+    rows = [(g, i, (big + i) if i % 5 else None, float("nan") if i == 7 else (None if i % 4 == 1 else i / 2.0),
+             Decimal(i) / 4, i % 2 == 0 if i % 3 else None, None if i % 6 == 0 else f"s{i}") for i in range(120) for g in (None, 1, 2) if (i + (g or 0)) % 3]
+    return spark.createDataFrame(rows, "g int, i int, l long, d double, m decimal(20,2), b boolean, s string")
+
+
+def test_types_nulls_and_nan_are_those_of_a_window(spark):
+    from quarry.functions.ordered import lag, lags
+    df = _typed(spark)
+    w = Window.partitionBy("g").orderBy("i")
+    for n in (1, 7):
+        for c, zero in (("l", F.lit(0).cast("long")), ("m", F.lit(0).cast("decimal(30,2)")), ("i", F.lit(0).cast("long"))):
+            got = running_sum(df, ["g"], ["i"], c, "r", partitions=n)
+            want = df.withColumn("r", F.coalesce(F.sum(c).over(w), zero))
+            assert got.schema["r"].dataType == want.schema["r"].dataType
+            assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+        got = running_sum(df, ["g"], ["i"], "d", "r", partitions=n).orderBy("g", "i").select("r").collect()
+        want = df.withColumn("r", F.coalesce(F.sum("d").over(w), F.lit(0.0))).orderBy("g", "i").select("r").collect()
+        assert [str(round(a.r, 6)) for a in got] == [str(round(a.r, 6)) for a in want]
+        cols = ["l", "d", "m", "b", "s"]
+        got = lag(df, ["g"], ["i"], cols, partitions=n)
+        want = df.select("*", *[F.lag(c).over(w).alias(f"{c}_prev") for c in cols])
+        assert got.dtypes == want.dtypes and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        got = lags(df, ["g"], ["i"], ["l", "s"], 5, "p", partitions=n)
+        want = df.withColumn("p", F.reverse(F.collect_list(F.struct("l", "s")).over(w.rowsBetween(-5, -1))))
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_ties_and_empty_input(spark):
+    df = spark.range(0, 300).select((F.col("id") % 2).alias("v"), F.col("id"))
+    got = [r.idx for r in running_index(df, [], ["v"], partitions=6).collect()]
+    assert sorted(got) == list(range(1, 301))
+    assert running_index(df.limit(0), ["v"], ["id"]).count() == 0

@@ -81,11 +81,40 @@ def test_merge_phrases_greedy(spark):
 
 
 def test_bootstrap_is_reproducible(spark):
-    from quarry.operators.stats import bootstrap_mean_difference
-    df = spark.range(0, 200).select((F.col("id") % 2).alias("g"), (F.col("id") % 17).cast("double").alias("v"))
-    a = bootstrap_mean_difference(df, "g", "v", 1, 0, replicates=50, seed=1).first()
-    b = bootstrap_mean_difference(df, "g", "v", 1, 0, replicates=50, seed=1).first()
-    assert a == b and a["q025"] <= a["observed"] <= a["q975"]
+    from quarry.operators.stats import bootstrap_effect
+    df = spark.range(0, 200).select((F.col("id") % 2).alias("g"), (F.col("id") % 17).cast("double").alias("pre"),
+                                    (F.col("id") * 7 % 19 + F.col("id") % 2 * 4).cast("double").alias("post"))
+    a = bootstrap_effect(df, "g", "pre", "post", 1, 0, replicates=60, per_arm=40, seed=1).first()
+    b = bootstrap_effect(df, "g", "pre", "post", 1, 0, replicates=60, per_arm=40, seed=1).first()
+    assert a == b and a["replicates"] == 60 and a["q025"] <= a["observed"] <= a["q975"]
+
+
+def test_morris_g_by_hand(spark):
+    from quarry.operators.stats import morris_g
+    rows = [(1, 1.0, 4.0), (1, 2.0, 6.0), (1, 3.0, 5.0), (0, 2.0, 3.0), (0, 4.0, 4.0), (0, 3.0, 5.0), (0, 5.0, None)]
+    r = morris_g(spark.createDataFrame(rows, "g int, pre double, post double"), "g", "pre", "post", 1, 0).first()
+    # four samples of three, each of variance 1: s = 1; change 3 in one arm, 1 in the other; c = 1 - 3 / (4 * 8 - 1)
+    assert (r.nt, r.nc, r.sd) == (3, 3, 1.0)
+    assert abs(r.cp - (1 - 3 / 31)) < 1e-6 and abs(r.g - 2 * (1 - 3 / 31)) < 1e-6 and abs(r.t - 2 / (2 / 3) ** 0.5) < 1e-6
+
+
+def test_antibiotic_doses_by_hand(spark):
+    from quarry.operators.recode import gentamicin_class, penicillin_class
+    od = "Once per day/once daily(OD)"
+    rows = [(7, 3.0, 18.0, od, "Correct"), (7, 3.0, 27.0, od, "Correct"), (7, 3.0, 17.9, od, "Under"), (8, 3.0, 27.1, od, "Over"),
+            (6, 2.0, 8.0, od, "Correct"), (6, 2.0, 12.0, od, "Correct"), (0, 2.0, 7.9, od, "Under"), (0, 2.0, 12.1, od, "Over"),
+            (3, 1.0, 2.4, od, "Correct"), (3, 1.0, 3.6, od, "Correct"), (3, 1.0, 2.3, od, "Under"), (3, 1.0, 3.0, "STAT", "Over"),
+            (3, 1.0, 2.0, "STAT", "Over"), (None, 1.0, 2.0, od, None)]
+    df = spark.createDataFrame(rows, "age int, w double, dose double, freq string, want string")
+    got = df.withColumn("got", gentamicin_class(*[F.col(c) for c in ("age", "w", "dose", "freq")])).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+    bd, qid, tid, one = "BD/twice a day/12hrly", "QID/4 times a day/6hrly", "TID/TDS/three times a day/8hrly", "OD/once a day/24hrly"
+    rows = [(7, 40000.0, bd, "Correct"), (7, 60000.0, bd, "Correct"), (7, 39999.0, bd, "Under"), (7, 60001.0, bd, "Over"),
+            (7, 50000.0, one, "Under"), (7, 50000.0, "STAT", "Under"), (7, 50000.0, tid, "Over"), (7, 30000.0, qid, "Over"),
+            (8, 50000.0, qid, "Correct"), (8, 50000.0, bd, "Under"), (8, 39000.0, qid, "Under"), (8, 61000.0, bd, "Over"), (None, 1.0, bd, None)]
+    df = spark.createDataFrame(rows, "age int, dose double, freq string, want string")
+    got = df.withColumn("got", penicillin_class(F.col("age"), F.lit(1.0), F.col("dose"), F.col("freq"))).collect()
+    assert [r.got for r in got] == [r.want for r in got]
 
 
 def test_correlation_pvalue_known_case(spark):
