@@ -81,5 +81,13 @@ def residual_trim(df: DataFrame, resid: str, k: float = 2.5) -> DataFrame:
     return with_total(df, s).filter(F.abs((F.col(resid) - F.col("_m")) / F.col("_s")) <= k).drop("_m", "_s")
 
 
-__all__ = ["date_window", "attrition", "date_order_valid", "semi_filter", "anti_filter",
-           "complete_cases", "crossover_exclusion", "min_history", "residual_trim", "Window"]
+def leverage_trim(df: DataFrame, x: str, resid: str, k: float, times: float) -> DataFrame:
+    """Drop rows of a one-regressor fit whose standardised residual
+    exceeds ``k`` or whose leverage 1/n + (x - mean)^2 / Sxx exceeds ``times``
+    the mean leverage 2/n."""
+    from quarry.operators.aggregate import with_total
+    s = df.agg(F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mx"), F.var_pop(x).alias("_vx"),
+               F.avg(resid).alias("_m"), F.stddev_samp(resid).alias("_s"))
+    hat = 1 / F.col("_n") + (F.col(x) - F.col("_mx")) ** 2 / (F.col("_vx") * F.col("_n"))
+    near = (F.abs((F.col(resid) - F.col("_m")) / F.col("_s")) <= k) & (hat <= times * 2 / F.col("_n"))
+    return with_total(df, s).filter(near).drop("_n", "_mx", "_vx", "_m", "_s")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.session import ensure_checkpoint_dir
 
 
 def degree(edges: DataFrame, name: str = "degree") -> DataFrame:
@@ -26,34 +28,35 @@ def hop_distance(edges: DataFrame, source, max_rounds: int = 10, target=None) ->
     ``max_rounds`` rounds, stopping early when the frontier is empty or the
     target has been reached.
 
-    Each round joins the frontier to the edges, removes visited nodes with a
-    ``left_anti`` join and appends the new frontier to the visited table.
-    The visited table is checkpointed to the shared checkpoint folder every
-    round (reliable, survives executor loss), so lineage stays one round
-    deep.  Per round only two numbers come back to the driver: the new
-    frontier size and the number of frontier edges that hit the target.
-    Unreached nodes are simply absent (the reference's 9999 sentinel is a
-    ``coalesce`` away).
+    The edges are written once.  Each round joins the last frontier to them,
+    counts the edges that reach each node, drops visited nodes and appends
+    what is left to the visited table as the next frontier: only new rows are
+    written.  The target's hits are the count of its row, so they need no
+    pass of their own.  Unreached nodes are simply absent (the reference's
+    9999 sentinel is a ``coalesce`` away).
     """
     spark = edges.sparkSession
-    e = edges.select("src", "dst")
-    visited = spark.range(1).select(F.lit(source).cast("long").alias("node"), F.lit(0).alias("dist"))
-    frontier = visited
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hops-{uuid.uuid4().hex}"
+    edges.select("src", "dst").repartition("src").write.parquet(f"{base}/edges")
+    e = spark.read.parquet(f"{base}/edges")
+    row = "node long, dist int, hits long"
+    start = spark.range(1).select(F.lit(source).cast("long").alias("node"), F.lit(0).alias("dist"), F.lit(0).cast("long").alias("hits"))
+    start.write.parquet(f"{base}/visited/round=0")
     info = {"rounds": 0, "hits": 0, "found_at": None}
     for r in range(1, max_rounds + 1):
-        step = frontier.join(e, frontier.node == e.src).select(F.col("dst").alias("node"))
-        if target is not None:
-            hits = step.filter(F.col("node") == F.lit(target)).count()
-            if hits and info["found_at"] is None:
-                info["hits"], info["found_at"] = hits, r
-        new = step.distinct().join(visited.select("node"), "node", "left_anti").withColumn("dist", F.lit(r))
-        new = cut_lineage(new)
-        n_new = new.count()
+        frontier = spark.read.schema(row).parquet(f"{base}/visited/round={r - 1}")
+        visited = spark.read.schema(row).parquet(*[f"{base}/visited/round={i}" for i in range(r)])
+        step = frontier.join(e, frontier.node == e.src).groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("hits"))
+        new = step.join(visited.select("node"), "node", "left_anti").select("node", F.lit(r).alias("dist"), "hits")
+        new.write.parquet(f"{base}/visited/round={r}")
+        written = spark.read.schema(row).parquet(f"{base}/visited/round={r}")
         info["rounds"] = r
-        if n_new == 0:
-            break
-        visited = cut_lineage(visited.unionByName(new))
-        frontier = new
-        if info["found_at"] is not None:
+        if target is not None:
+            hit = written.where(F.col("node") == F.lit(target)).select("hits").first()
+            if hit is not None:
+                info["hits"], info["found_at"] = hit.hits, r
+                break
+        if written.isEmpty():
             break
-    return visited, info
+    done = spark.read.schema(row).parquet(*[f"{base}/visited/round={i}" for i in range(info["rounds"] + 1)])
+    return done.select("node", "dist"), info

@@ -21,6 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
 from quarry.functions.columns import r6
 from quarry.operators.aggregate import with_total
 
@@ -288,7 +289,6 @@ def chained_imputation(df: DataFrame, cols: Sequence[str], rounds: int = 15) ->
     round and column fit a linear regression of the column on the others
     (observed rows) and refill its missing cells.  Each round's table is
     checkpointed to the shared folder, so lineage stays one round deep."""
-    from quarry.session import cut_lineage
 
     miss = {c: f"_miss_{c}" for c in cols}
     x = df
@@ -365,12 +365,57 @@ def grid_search_cv(df: DataFrame, features: Sequence[str], label: str, fold_col:
     return df.sparkSession.createDataFrame(rows, "reg double, mix double, roc_auc double")
 
 
-def isotonic_calibration(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Isotonic regression of outcomes on scores; calibrated scores."""
-    d = df.select(F.col(y).cast("double").alias("label"), F.col(p).alias("p"))
-    va = VectorAssembler(inputCols=["p"], outputCol="features")
-    m = IsotonicRegression(labelCol="label").fit(va.transform(d))
-    return m.transform(va.transform(d)).select("p", "label", r6("prediction").alias("calibrated"))
+def class_weight_grid(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
+                      weights: Sequence[float] = (0.05, 0.275, 0.5, 0.725, 0.95)) -> DataFrame:
+    """A logistic model and a forest for each class weight (class 0
+    weighs w, class 1 weighs 1 - w), scored on ``test`` by ROC AUC and Brier."""
+    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    tr = cut_lineage(va.transform(train).select("features", F.col(label).cast("double").alias("label")))
+    te = cut_lineage(va.transform(test).select("features", F.col(label).cast("double").alias("label")))
+    rows = []
+    for w in weights:
+        weighted = tr.withColumn("w", F.when(F.col("label") == 0, w).otherwise(1.0 - w))
+        for name, est in (("logistic", LogisticRegression(maxIter=50, weightCol="w")),
+                          ("forest", RandomForestClassifier(numTrees=20, maxDepth=5, seed=1, weightCol="w"))):
+            rows.append((name, float(w), *_auc_and_brier(est.fit(weighted).transform(te))))
+    return train.sparkSession.createDataFrame(rows, "model string, weight double, roc_auc double, brier double")
+
+
+def _auc_and_brier(scored: DataFrame) -> tuple[float, float]:
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(scored)
+    p1 = vector_to_array(F.col("probability"))[1]
+    return float(auc), float(scored.select(F.avg((p1 - F.col("label")) ** 2)).first()[0])
+
+
+def repeated_grid_search(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], folds: int = 3, repeats: int = 2,
+                         regs: Sequence[float] = (0.0, 0.01, 0.1)) -> DataFrame:
+    """Repeated k-fold search over the regularisation of a logistic
+    model: each repeat deals the rows into folds by another hash of ``key``.
+    Mean ROC AUC and Brier score over all folds and repeats."""
+    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    d = cut_lineage(va.transform(df).select("features", F.col(label).cast("double").alias("label"),
+                                            *[F.pmod(F.xxhash64(*key, F.lit(r)), F.lit(folds)).alias(f"fold{r}") for r in range(repeats)]))
+    rows = []
+    for reg in regs:
+        est = LogisticRegression(maxIter=50, regParam=reg)
+        got = [_auc_and_brier(est.fit(d.filter(F.col(f"fold{r}") != k)).transform(d.filter(F.col(f"fold{r}") == k)))
+               for r in range(repeats) for k in range(folds)]
+        rows.append((float(reg), len(got), sum(g[0] for g in got) / len(got), sum(g[1] for g in got) / len(got)))
+    return df.sparkSession.createDataFrame(rows, "reg double, n_fits int, roc_auc double, brier double")
+
+
+def isotonic_calibration(df: DataFrame, y: str, p: str, key: str, folds: int = 5) -> DataFrame:
+    """Isotonic regression of outcomes on scores; every row is calibrated
+    by the fit of the folds that it is not in (folds by a hash of ``key``)."""
+    d = df.select(F.col(y).cast("double").alias("label"), F.col(p).alias("p"),
+                  F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(folds)).alias("_fold"))
+    d = VectorAssembler(inputCols=["p"], outputCol="features").transform(d)
+    out = None
+    for k in range(folds):
+        m = IsotonicRegression(labelCol="label").fit(d.filter(F.col("_fold") != k))
+        part = m.transform(d.filter(F.col("_fold") == k)).select("p", "label", r6("prediction").alias("calibrated"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def top_importances(df: DataFrame, features: Sequence[str], label: str, k: int = 10) -> DataFrame:
@@ -383,22 +428,26 @@ def top_importances(df: DataFrame, features: Sequence[str], label: str, k: int =
 
 
 def breusch_pagan(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """Breusch-Pagan LM = n R^2 of squared residuals on the
-    regressors, and the Goldfeld-Quandt variance ratio of the upper and
-    lower halves ordered by the first regressor."""
+    """Breusch-Pagan LM = n R^2 of squared residuals on the regressors,
+    and the Goldfeld-Quandt F: the rows are halved in the order of the first
+    regressor, each half has a fit of its own, and F is the ratio of their
+    residual variances (upper over lower)."""
     from quarry.functions.ordered import running_index
     va = VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip")
-    d = va.transform(df.select(y, *xs).dropna())
+    d = va.transform(running_index(df.select(y, *xs).dropna(), [], [xs[0], y], "_pos"))
     m = LinearRegression(labelCol=y).fit(d)
     r = m.transform(d).withColumn("_e2", (F.col(y) - F.col("prediction")) ** 2)
     aux = LinearRegression(labelCol="_e2", predictionCol="_p2").fit(r)
     n = r.count()
     lm = n * aux.summary.r2
-    o = running_index(r.select(xs[0], "_e2"), [], [xs[0], "_e2"], "_pos")
+
+    def variance(half: DataFrame) -> float:
+        s = LinearRegression(labelCol=y).fit(half).summary
+        return s.meanSquaredError * s.numInstances / (s.numInstances - len(xs) - 1)
+
     half = n // 2
-    gq = o.agg((F.avg(F.when(F.col("_pos") > n - half, F.col("_e2"))) /
-                F.avg(F.when(F.col("_pos") <= half, F.col("_e2")))).alias("gq")).first()["gq"]
-    return df.sparkSession.createDataFrame([(int(n), float(lm), float(gq))], "n long, bp_lm double, gq_ratio double")
+    gq = variance(d.filter(F.col("_pos") > half)) / variance(d.filter(F.col("_pos") <= half))
+    return df.sparkSession.createDataFrame([(int(n), float(lm), float(gq))], "n long, bp_lm double, gq_f double")
 
 
 def delong(df: DataFrame, y: str, p1: str, p2: str) -> DataFrame:

@@ -261,6 +261,21 @@ def vif_two(df: DataFrame, a: str, b: str) -> DataFrame:
     return s.select(r6("r").alias("r"), r6(1 / (1 - F.col("r") ** 2)).alias("vif"))
 
 
+def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Variance inflation factors, the diagonal of the inverse of the
+    features' correlation matrix.  One aggregate over the complete rows gives
+    the matrix (one number per pair of features), which is inverted here."""
+    import numpy as np
+    rows = df.select(*features).dropna()
+    pairs = [(i, j) for i in range(len(features)) for j in range(i)]
+    got = rows.agg(*[F.corr(features[i], features[j]).alias(f"r{i}_{j}") for i, j in pairs]).first()
+    m = np.eye(len(features))
+    for i, j in pairs:
+        m[i, j] = m[j, i] = got[f"r{i}_{j}"]
+    out = [(f, round(float(v), 6)) for f, v in zip(features, np.diag(np.linalg.inv(m)), strict=True)]
+    return df.sparkSession.createDataFrame(out, "feature string, vif double")
+
+
 def sample_size_proportion(p: Column, margin: float, z: float = 1.96, completeness: Column | None = None) -> Column:
     """n = z^2 p (1-p) / e^2, inflated by 1 / completeness."""
     n = (z * z) * p * (1 - p) / (margin * margin)

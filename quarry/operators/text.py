@@ -194,56 +194,41 @@ def bigram_phrases(docs: DataFrame, id_col: str, text: str, min_count: int = 3,
     return j.select("a", "b", "n_ab", r6(score).alias("score")).filter(F.col("score") > threshold)
 
 
-def merge_phrases(tokens: Column, phrases: Column) -> Column:
-    """L2 (merge): greedy left-to-right merge of adjacent pairs listed in
-    ``phrases`` (an array of 'a_b' strings), no overlaps.  A fold with SQL
-    ``aggregate`` over the token array: the state keeps the output and
-    whether the last token was already consumed by a merge."""
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("merged"))
-
-    def step(acc, t):
-        out = acc["out"]
-        last = F.element_at(out, -1)
-        cand = F.concat(last, F.lit("_"), t)
-        can = (F.size(out) > 0) & ~acc["merged"] & F.array_contains(phrases, cand)
-        new_out = F.when(can, F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(cand))) \
-            .otherwise(F.concat(out, F.array(t)))
-        return F.struct(new_out.alias("out"), can.alias("merged"))
-
-    return F.aggregate(tokens, init, step, lambda acc: acc["out"])
-
-
 def phrase_positions(docs: DataFrame, id_col: str, tokens: str, phrases: DataFrame) -> DataFrame:
-    """L2 (merge, step 1): per document, the 1-based positions i where
-    (t[i], t[i+1]) is a known phrase.  Pairs are exploded with their
-    position and joined to the phrase table, so the phrase list is never
-    copied into every row; the positions per document are bounded by its
-    length."""
+    """L2 (merge, step 1): per document, the 1-based positions i, ascending,
+    at which (t[i], t[i+1]) is merged when phrases are merged greedily from
+    left to right without overlap.
+
+    Pairs are exploded with their position and joined to the phrase table, so
+    the phrase list is never copied into every row.  In a run of neighbouring
+    candidates the first, third, fifth ... are taken; the runs of a document
+    are bounded by its length."""
     n = F.size(tokens) - 1
     pairs = F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
                                        lambda i: F.struct(i.alias("pos"), F.element_at(tokens, i).alias("a"),
                                                           F.element_at(tokens, i + 1).alias("b"))))
     p = docs.select(id_col, F.explode(pairs).alias("p")).select(id_col, "p.pos", "p.a", "p.b")
-    hits = p.join(phrases.select("a", "b"), ["a", "b"])
-    return hits.groupBy(id_col).agg(F.collect_list("pos").alias("cand"))
+    hits = p.join(phrases.select("a", "b"), ["a", "b"]).select(id_col, "pos")
+    run = F.col("pos") - F.row_number().over(Window.partitionBy(id_col).orderBy("pos"))
+    first = F.min("pos").over(Window.partitionBy(id_col, "_run"))
+    taken = hits.withColumn("_run", run).withColumn("_first", first).where((F.col("pos") - F.col("_first")) % 2 == 0)
+    return taken.groupBy(id_col).agg(F.sort_array(F.collect_list("pos")).alias("cand"))
 
 
-def merge_at_positions(tokens: Column, cand: Column) -> Column:
-    """L2 (merge, step 2): greedy left-to-right merge at candidate positions,
-    no overlaps, as a fold over the positions of the token array."""
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
-    cand = F.coalesce(cand, F.array().cast("array<int>"))
+def merge_at_positions(tokens: Column, taken: Column) -> Column:
+    """L2 (merge, step 2): the tokens with those at each taken position and
+    the next joined by '_': one slice up to each position, then the rest."""
+    at = F.coalesce(taken, F.array().cast("array<int>"))
+    empty = F.array().cast("array<string>")
 
-    def step(acc, i):
-        take = ~acc["skip"] & F.array_contains(cand, i) & (i < F.size(tokens))
-        piece = F.when(take, F.concat(F.element_at(tokens, i), F.lit("_"), F.element_at(tokens, i + 1))) \
-            .otherwise(F.element_at(tokens, i))
-        out = F.when(acc["skip"], acc["out"]).otherwise(F.concat(acc["out"], F.array(piece)))
-        return F.struct(out.alias("out"), take.alias("skip"))
+    def piece(p: Column, i: Column) -> Column:
+        begin = F.when(i == 0, F.lit(1)).otherwise(F.get(at, i - 1) + 2)
+        joined = F.concat(F.element_at(tokens, p), F.lit("_"), F.element_at(tokens, p + 1))
+        return F.concat(F.slice(tokens, begin, p - begin), F.array(joined))
 
-    idx = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)))) \
-        .otherwise(F.array().cast("array<int>"))
-    return F.aggregate(idx, init, step, lambda acc: acc["out"])
+    end = F.when(F.size(at) > 0, F.element_at(at, -1) + 2).otherwise(F.lit(1))
+    rest = F.when(F.size(tokens) >= end, F.slice(tokens, end, F.size(tokens))).otherwise(empty)
+    return F.concat(F.flatten(F.transform(at, piece)), rest)
 
 
 def lexicon_polarity(docs: DataFrame, id_col: str, text: str, lexicon: DataFrame,
@@ -292,7 +277,3 @@ def polarity_median_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     from quarry.operators.aggregate import quantiles_by
     q = quantiles_by(df, keys, value, probs=(0.5,), names=("median",))
     return q.select(*keys, r6("median").alias("median"))
-
-
-def row_window(df: DataFrame, id_col: str) -> Window:
-    return Window.partitionBy(id_col)

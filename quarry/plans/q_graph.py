@@ -49,6 +49,26 @@ def m1_hop_distance(spark, root):
     return visited.select("node", F.col("dist").cast("int").alias("dist"))
 
 
+@register("m1_hop_to_target", with_views("edges") + """
+, s AS (SELECT min(src) AS source, max(src) AS target FROM edges),
+d AS (SELECT node, min(dist) AS dist FROM (
+  WITH RECURSIVE bfs(node, dist) AS (
+    SELECT source, 0 FROM s
+    UNION
+    SELECT e.dst, b.dist + 1 FROM bfs b JOIN edges e ON e.src = b.node WHERE b.dist < 10)
+  SELECT * FROM bfs) GROUP BY node),
+t AS (SELECT dist FROM d JOIN s ON d.node = s.target)
+SELECT CAST(max(t.dist) AS INTEGER) AS found_at, count(*) AS hits
+FROM t, s JOIN edges e ON e.dst = s.target JOIN d ON d.node = e.src WHERE d.dist = t.dist - 1""")
+def m1_hop_to_target(spark, root):
+    """The search from the smallest node stops at the largest: the round and
+    the number of frontier edges that reach it."""
+    e = Views(spark, root).edges
+    ends = e.agg(F.min("src").alias("a"), F.max("src").alias("b")).first()
+    _, info = graph.hop_distance(e, ends.a, 10, target=ends.b)
+    return spark.createDataFrame([(info["found_at"], info["hits"])], "found_at int, hits long")
+
+
 _TOP_ITEMS = """
 , t AS (SELECT item_id FROM (SELECT item_id, count(*) AS n FROM ratings GROUP BY 1) ORDER BY n DESC, item_id LIMIT 3),
 tr AS (SELECT r.item_id AS target, r.user_id, r.rating AS r1 FROM ratings r JOIN t USING (item_id)),

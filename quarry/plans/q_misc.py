@@ -13,6 +13,7 @@ from quarry.operators.aggregate import with_total
 from quarry.plans.registry import register
 from quarry.plans.views import Views
 from quarry.plans.views_sql import with_views
+from quarry.session import cut_lineage
 from quarry.sources import readers
 
 @register("b18_penicillin_class", with_views("admissions") + """
@@ -62,6 +63,21 @@ def c10_residual_trim(spark, root):
     return kept.agg(F.count(F.lit(1)).alias("n_kept"), r6(F.avg("resid")).alias("mean_resid"))
 
 
+@register("c10_leverage_trim", with_views("cases") + """
+, c AS (SELECT price, quantity FROM cases WHERE price IS NOT NULL AND quantity IS NOT NULL),
+f AS (SELECT regr_slope(price, quantity) AS b, regr_intercept(price, quantity) AS a FROM c),
+r AS (SELECT quantity, price - (a + b * quantity) AS resid FROM c, f),
+s AS (SELECT count(*) AS n, avg(quantity) AS mx, var_pop(quantity) AS vx, avg(resid) AS m, stddev_samp(resid) AS sd FROM r)
+SELECT count(*) AS n_kept, round(avg(quantity), 6) AS mean_quantity FROM r, s
+WHERE abs((resid - m) / sd) <= 2.5 AND 1.0 / n + (quantity - mx) * (quantity - mx) / (vx * n) <= 1.9 * 2 / n""")
+def c10_leverage_trim(spark, root):
+    c = Views(spark, root).cases.filter(F.col("price").isNotNull() & F.col("quantity").isNotNull())
+    fit = c.agg(F.regr_slope("price", "quantity").alias("_b"), F.regr_intercept("price", "quantity").alias("_a"))
+    r = with_total(c, fit).select("quantity", (F.col("price") - (F.col("_a") + F.col("_b") * F.col("quantity"))).alias("resid"))
+    kept = cohort.leverage_trim(r, "quantity", "resid", 2.5, 1.9)
+    return kept.agg(F.count(F.lit(1)).alias("n_kept"), r6(F.avg("quantity")).alias("mean_quantity"))
+
+
 @register("e41_n_pct_cells", with_views("profiles") + """
 , c AS (SELECT coalesce(cadre, 'NA') AS cadre, arm, count(*) AS n FROM profiles GROUP BY 1, 2),
 t AS (SELECT arm, sum(n) AS tot FROM c GROUP BY 1),
@@ -194,14 +210,23 @@ def k2_clock_repair(spark, root):
 
 # ----------------------------------------------------------------- topics and phrases
 
-from quarry.plans.q_text import STOP_WORDS  # noqa: E402
+from quarry.plans.q_text import _W, STOP_WORDS  # noqa: E402
 
 
-@register("l3_doc_term_matrix")
+@register("l3_doc_term_matrix", f"""
+WITH t AS (SELECT doc_id, unnest({_W}) AS w FROM documents),
+n AS (SELECT doc_id, w, count(*) AS n FROM t WHERE w NOT IN ({", ".join(repr(x) for x in STOP_WORDS)}) GROUP BY 1, 2),
+k AS (SELECT w FROM n GROUP BY 1 HAVING count(*) >= 3),
+c AS (SELECT doc_id, count(*) AS n_terms, CAST(sum(n) AS BIGINT) AS n_tokens FROM n JOIN k USING (w) GROUP BY 1)
+SELECT doc_id, coalesce(n_terms, 0) AS n_terms, coalesce(n_tokens, 0) AS n_tokens FROM documents LEFT JOIN c USING (doc_id)""")
 def l3_doc_term_matrix(spark, root):
-    """Rows-only: per document, distinct dictionary terms and total count."""
-    counts = topics.term_counts(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS)
-    return counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("n").alias("n_tokens"))
+    """Per document, distinct dictionary terms and their total count."""
+    d = Views(spark, root).t.documents
+    counts = topics.term_counts(d, "doc_id", "text", STOP_WORDS)
+    per = counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("n").alias("n_tokens"))
+    zero = F.lit(0).cast("long")
+    return d.select("doc_id").join(per, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_terms", zero).alias("n_terms"), F.coalesce("n_tokens", zero).alias("n_tokens"))
 
 
 @register("l4_l7_l8_lda_topics")
@@ -210,7 +235,7 @@ def l4_l7_l8_lda_topics(spark, root):
     number of documents whose dominant topic it is."""
     d = Views(spark, root).t.documents
     cv, dtm = topics.doc_term(d, "doc_id", "text", STOP_WORDS)
-    dtm = dtm.cache()
+    dtm = cut_lineage(dtm)
     lda = topics.fit_lda(dtm, 5)
     terms = topics.top_terms(lda, cv.vocabulary, 10)
     dom = topics.dominant_topic(lda, dtm, "doc_id").groupBy("topic").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -226,7 +251,7 @@ def l5_l6_topic_grid(spark, root):
     for frac in (0.5, 1.0):
         part = d.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1000)) < frac * 1000)
         cv, dtm = topics.doc_term(part, "doc_id", "text", STOP_WORDS)
-        dtm = dtm.cache()
+        dtm = cut_lineage(dtm)
         for k in (3, 5):
             lda = topics.fit_lda(dtm, k)
             terms = topics.top_terms(lda, cv.vocabulary, 10)
@@ -237,10 +262,21 @@ def l5_l6_topic_grid(spark, root):
     return rows
 
 
-@register("l2_merge_phrases")
+@register("l2_merge_phrases", f"""
+WITH t AS (SELECT doc_id, {_W} AS w FROM documents),
+u AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM t) GROUP BY 1),
+v AS (SELECT count(*) AS "V" FROM u),
+p AS (SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: {{'i': i, 'a': w[i], 'b': w[i + 1]}})) AS p FROM t WHERE len(w) >= 2),
+b AS (SELECT p.a AS a, p.b AS b, count(*) AS n_ab FROM p GROUP BY 1, 2 HAVING count(*) >= 3),
+s AS (SELECT b.a, b.b FROM b JOIN u ua ON ua.w = b.a JOIN u ub ON ub.w = b.b, v
+      WHERE round((b.n_ab - 3) * v."V" / (ua.n * ub.n), 6) > 40),
+h AS (SELECT doc_id, p.i AS i, p.i - row_number() OVER (PARTITION BY doc_id ORDER BY p.i) AS run FROM p JOIN s ON p.a = s.a AND p.b = s.b),
+m AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, i - min(i) OVER (PARTITION BY doc_id, run) AS k FROM h) WHERE k % 2 = 0 GROUP BY 1)
+SELECT t.doc_id, CAST(len(t.w) AS INTEGER) AS n_tokens, CAST(len(t.w) - coalesce(m.n, 0) AS INTEGER) AS n_merged
+FROM t LEFT JOIN m USING (doc_id)""")
 def l2_merge_phrases(spark, root):
-    """Rows-only: documents with detected phrases merged greedily
-    (left to right, no overlap)."""
+    """Documents with detected phrases merged greedily (left to right, no
+    overlap)."""
     d = Views(spark, root).t.documents
     phrases = tx.bigram_phrases(d, "doc_id", "text", 3, 40.0)
     toks = d.select("doc_id", tx.words("text").alias("t"))

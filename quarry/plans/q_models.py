@@ -137,6 +137,18 @@ def o13_class_weighted(spark, root):
     return models.classifier_set(train, test, CASE_FEATURES, "y", weight="w")
 
 
+@register("o13_class_weight_grid")
+def o13_class_weight_grid(spark, root):
+    train, test = _split(Views(spark, root))
+    return models.class_weight_grid(train, test, CASE_FEATURES, "y")
+
+
+@register("o14_repeated_grid_search")
+def o14_repeated_grid_search(spark, root):
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "price", "ts"]
+    return models.repeated_grid_search(_cases_filled(Views(spark, root)), CASE_FEATURES, "y", key)
+
+
 @register("o14_grid_search_cv")
 def o14_grid_search_cv(spark, root):
     c = _cases_filled(Views(spark, root))
@@ -146,7 +158,7 @@ def o14_grid_search_cv(spark, root):
 
 @register("o19_isotonic_calibration")
 def o19_isotonic_calibration(spark, root):
-    return models.isotonic_calibration(Views(spark, root).scored, "y", "p")
+    return models.isotonic_calibration(Views(spark, root).scored, "y", "p", "doc_id")
 
 
 @register("o20_feature_importances")

@@ -173,6 +173,17 @@ def t17_vif_two(spark, root):
     return stats.vif_two(Views(spark, root).cases, "price", "discount")
 
 
+@register("t17_vif", with_views("cases") + """
+, x AS (SELECT corr(price, discount) AS ab, corr(price, quantity) AS ac, corr(discount, quantity) AS bc FROM cases
+        WHERE price IS NOT NULL AND discount IS NOT NULL AND quantity IS NOT NULL),
+d AS (SELECT *, 1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc AS det FROM x)
+SELECT 'price' AS feature, round((1 - bc * bc) / det, 6) AS vif FROM d
+UNION ALL SELECT 'discount', round((1 - ac * ac) / det, 6) FROM d
+UNION ALL SELECT 'quantity', round((1 - ab * ab) / det, 6) FROM d""")
+def t17_vif(spark, root):
+    return stats.vif(Views(spark, root).cases, ["price", "discount", "quantity"])
+
+
 @register("t19_sample_size", with_views("signs") + " SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST(ceil(1.96 * 1.96 * 0.5 * 0.5 / (0.05 * 0.05) / (count({c}) * 1.0 / count(*))) AS BIGINT) AS n_required FROM signs"
     for c in ("floppy", "convulsions", "indrawing", "grunting", "jaundice")) + ")")
@@ -264,6 +275,39 @@ def o15_stratified_folds(spark, root):
     return f.select("l_orderkey", "l_linenumber", "l_partkey", "stratum", "fold")
 
 
+@register("o15_site_holdout", with_views("cases") + """
+, s AS (SELECT DISTINCT stratum, site FROM cases WHERE site IS NOT NULL),
+h AS (SELECT stratum, arg_min(site, md5(CAST(site AS VARCHAR))) AS site FROM s GROUP BY 1)
+SELECT c.stratum, h.site, count(CASE WHEN c.site = h.site THEN 1 END) AS n_held, count(CASE WHEN c.site <> h.site THEN 1 END) AS n_train
+FROM cases c JOIN h ON c.stratum = h.stratum GROUP BY 1, 2""")
+def o15_site_holdout(spark, root):
+    c = Views(spark, root).cases
+    held = evaluate.hold_out_sites(c, "stratum", "site").withColumnRenamed("site", "held_site")
+    j = c.join(held, "stratum")
+    return j.groupBy("stratum", F.col("held_site").alias("site")).agg(
+        F.count(F.when(F.col("site") == F.col("held_site"), 1)).alias("n_held"),
+        F.count(F.when(F.col("site") != F.col("held_site"), 1)).alias("n_train"))
+
+
+@register("e46_opportunity_curve", with_views("attempts", "profiles") + """
+, o AS (SELECT a.correct, a.k, p.arm, p.experience, row_number() OVER (PARTITION BY a.user_id, a.question ORDER BY a.ts, a.event_id) AS opportunity
+  FROM attempts a JOIN profiles p USING (user_id))
+SELECT CAST(opportunity AS INTEGER) AS opportunity, CAST(arm AS INTEGER) AS klass, count(*) AS n, round(avg(k / 100.0), 6) AS mean_prediction,
+  round(quantile_cont(k / 100.0, 0.5), 6) AS median_prediction, round(avg(correct), 6) AS mean_correct FROM o GROUP BY 1, 2""")
+def e46_opportunity_curve(spark, root):
+    """The curve by opportunity and learner class: predictions and outcomes."""
+    from quarry.operators import windows
+    from quarry.operators.aggregate import quantiles_by
+    v = Views(spark, root)
+    a = windows.running_index(v.attempts, ["user_id", "question"], ["ts", "event_id"], "opportunity")
+    j = a.join(v.profiles.select("user_id", F.col("arm").alias("klass")), "user_id").withColumn("p", F.col("k") / 100.0)
+    med = quantiles_by(j, ["opportunity", "klass"], "p", probs=(0.5,), names=("median_prediction",))
+    g = j.groupBy("opportunity", "klass").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("p")).alias("mean_prediction"),
+                                              r6(F.avg("correct")).alias("mean_correct"))
+    return g.join(med, ["opportunity", "klass"]).select("opportunity", "klass", "n", "mean_prediction",
+                                                        r6("median_prediction").alias("median_prediction"), "mean_correct")
+
+
 @register("o21_model_rollup", with_views("scored") + """
 , per AS (SELECT lang, source, avg((p - y) * (p - y)) AS brier FROM scored GROUP BY 1, 2)
 SELECT lang, count(*) AS n_runs, round(avg(brier), 6) AS mean, round(min(brier), 6) AS min, round(max(brier), 6) AS max FROM per GROUP BY 1""")

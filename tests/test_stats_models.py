@@ -74,10 +74,13 @@ def test_random_intercept_icc_bounds(spark):
 
 
 def test_merge_phrases_greedy(spark):
-    from quarry.operators.text import merge_phrases
-    df = spark.createDataFrame([(["a", "b", "c", "b", "c", "d"],)], "t array<string>")
-    out = df.select(merge_phrases(F.col("t"), F.array(F.lit("a_b"), F.lit("b_c"), F.lit("c_d")))).first()[0]
-    assert out == ["a_b", "c", "b_c", "d"]
+    from quarry.operators.text import merge_at_positions, phrase_positions
+    rows = [(1, ["a", "b", "c", "b", "c", "d"]), (2, ["x", "a"]), (3, []), (4, ["a", "a", "a", "a", "a"]), (5, ["a", "b"])]
+    df = spark.createDataFrame(rows, "id int, t array<string>")
+    phrases = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "a")], "a string, b string")
+    taken = phrase_positions(df, "id", F.col("t"), phrases)
+    out = df.join(taken, "id", "left").select("id", merge_at_positions(F.col("t"), F.col("cand")).alias("m")).collect()
+    assert {r.id: r.m for r in out} == {1: ["a_b", "c", "b_c", "d"], 2: ["x", "a"], 3: [], 4: ["a_a", "a_a", "a"], 5: ["a_b"]}
 
 
 def test_bootstrap_is_reproducible(spark):
@@ -140,3 +143,41 @@ def test_median_difference_interval_matches_brute_force(spark):
     nm = len(diffs)
     med = diffs[nm // 2] if nm % 2 else (diffs[nm // 2 - 1] + diffs[nm // 2]) / 2
     assert r["median_diff"] == med
+
+
+def test_vif_equals_regression_on_the_others(spark):
+    import numpy as np
+    from quarry.operators.stats import vif
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 3))
+    x[:, 2] += x[:, 0] - 0.5 * x[:, 1]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    got = {r.feature: r.vif for r in vif(df, ["a", "b", "c"]).collect()}
+    for i, f in enumerate("abc"):
+        others = np.column_stack([np.ones(200), np.delete(x, i, axis=1)])
+        resid = x[:, i] - others @ np.linalg.lstsq(others, x[:, i], rcond=None)[0]
+        assert abs(got[f] - 1 / (resid.var() / x[:, i].var())) < 1e-4
+
+
+def test_goldfeld_quandt_fits_each_half(spark):
+    import numpy as np
+    from quarry.operators.models import breusch_pagan
+    rng = np.random.default_rng(4)
+    x = np.sort(rng.uniform(1, 5, 100))
+    y = 2 * x + rng.normal(size=100) * x
+    got = breusch_pagan(spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double"), "y", ["x"]).first()
+
+    def s2(a, b):
+        m = np.column_stack([np.ones(len(a)), a])
+        r = b - m @ np.linalg.lstsq(m, b, rcond=None)[0]
+        return (r @ r) / (len(a) - 2)
+
+    assert abs(got.gq_f - s2(x[50:], y[50:]) / s2(x[:50], y[:50])) < 1e-3
+
+
+def test_hop_distance_counts_every_edge_into_the_target(spark):
+    from quarry.operators.graph import hop_distance
+    e = spark.createDataFrame([(1, 2), (1, 3), (2, 9), (3, 9), (9, 1), (2, 3)], "src long, dst long")
+    visited, info = hop_distance(e, 1, 10, target=9)
+    assert info == {"rounds": 2, "hits": 2, "found_at": 2} and visited.count() == 4
+    assert hop_distance(e, 77, 10)[0].count() == 1
