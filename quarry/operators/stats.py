@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
 from quarry.functions.columns import r6
 from quarry.operators.aggregate import with_total
 
@@ -312,17 +313,35 @@ def bootstrap_effect(df: DataFrame, group: str, pre: str, post: str, treat, cont
 
 def pairwise_mann_whitney_bh(df: DataFrame, group: str, value: str) -> DataFrame:
     """Mann-Whitney z and two-sided normal p for every pair of groups,
-    with Benjamini-Hochberg adjusted p-values.  Groups are the distinct
-    values of a low-cardinality column (classes)."""
+    with Benjamini-Hochberg adjusted p-values.  Groups are the distinct values
+    of a low-cardinality column (classes).
+
+    The data are read once, into counts by value and class; one running sum
+    over the distinct values per class serves all pairs, and one aggregate
+    gives every pair's U and tie sum."""
     from quarry.functions.dist import norm_sf2
+    from quarry.functions.ordered import global_cumsum
 
-    levels = [r[0] for r in df.select(group).distinct().orderBy(group).collect()]
-    out = None
-    for i, a in enumerate(levels):
-        for b in levels[i + 1:]:
-            m = mann_whitney(df, group, value, a, b).select(F.lit(str(a)).alias("a"), F.lit(str(b)).alias("b"), "z")
-            out = m if out is None else out.unionByName(m)
-    out = out.withColumn("p", norm_sf2(F.col("z")))
+    counts = cut_lineage(df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+                         .groupBy(group, value).agg(F.count(F.lit(1)).alias("_c")))
+    levels = [r[0] for r in counts.select(group).distinct().orderBy(group).collect()]
+    wide = counts.groupBy(F.col(value).alias("_v")).agg(
+        *[F.coalesce(F.sum(F.when(F.col(group) == g, F.col("_c"))), F.lit(0).cast("long")).alias(f"_c{i}") for i, g in enumerate(levels)])
+    cum = global_cumsum(wide, ["_v"], [f"_c{i}" for i in range(len(levels))], exclusive=True, suffix="_below")
+    pairs = [(i, j) for i in range(len(levels)) for j in range(i + 1, len(levels))]
+    aggs = [F.sum(f"_c{i}").alias(f"n{i}") for i in range(len(levels))]
+    for i, j in pairs:
+        t = F.col(f"_c{i}") + F.col(f"_c{j}")
+        aggs += [F.sum(F.col(f"_c{i}") * (F.col(f"_c{j}_below") + F.col(f"_c{j}") / 2)).alias(f"u{i}_{j}"),
+                 F.sum((t * t * t - t).cast("double")).alias(f"t{i}_{j}")]
+    one = cum.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(str(levels[i])).alias("a"), F.lit(str(levels[j])).alias("b"), F.col(f"n{i}").alias("n1"),
+                              F.col(f"n{j}").alias("n2"), F.col(f"u{i}_{j}").alias("u"), F.col(f"t{i}_{j}").alias("t")) for i, j in pairs])
+    each = one.select(F.explode(rows).alias("r")).select("r.*")
+    n1, n2 = F.col("n1"), F.col("n2")
+    n = n1 + n2
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("t") / (n * (n - 1))))
+    out = each.select("a", "b", r6((F.col("u") - n1 * n2 / 2.0) / sigma).alias("z")).withColumn("p", norm_sf2(F.col("z")))
     return benjamini_hochberg(out, "p").select("a", "b", "z", r6("p").alias("p"), r6("p_adj").alias("p_adj"))
 
 
@@ -340,17 +359,6 @@ def correlation_pvalues(df: DataFrame, cols: Sequence[str], alpha: float = 0.05)
                       F.when(F.col("p") <= alpha, F.col("r")).otherwise(F.lit(0.0)).alias("r_significant"))
 
 
-def _pairs_at_most(x: DataFrame, y: DataFrame, d: float, n: int) -> int:
-    """Number of pairs (i, j) with y_j - x_i <= d, without forming pairs:
-    sort x together with the shifted y_j - d (y first on ties) and count,
-    for each y, the x values at or after it (n minus the x count before)."""
-    from quarry.functions.ordered import global_cumsum
-    u = x.select(F.col("v"), F.lit(1).alias("is_x")).unionByName(
-        y.select((F.col("v") - F.lit(d)).alias("v"), F.lit(0).alias("is_x")))
-    c = global_cumsum(u, ["v", "is_x"], ["is_x"], exclusive=True, suffix="_before")
-    return int(c.filter(F.col("is_x") == 0).agg(F.sum(F.lit(n) - F.col("is_x_before"))).first()[0] or 0)
-
-
 def _smallest_difference_above(x_idx: DataFrame, y: DataFrame, lo: float) -> float:
     """The smallest y_j - x_i strictly above ``lo``: for each y_j the largest
     x_i < y_j - lo is the k-th smallest x, k = number of x below y_j - lo
@@ -375,8 +383,9 @@ def median_difference_interval(df: DataFrame, group: str, value: str, a, b, z: f
 
     The n x m differences are never formed: each order statistic is found
     by bisection on the value, counting pairs at or below a candidate with
-    one merged sort (``_pairs_at_most``), then made exact by looking up the
-    smallest actual difference above the final lower bound."""
+    one merged sort of the distinct values with their counts, then made
+    exact by looking up the smallest actual difference above the final lower
+    bound."""
     from quarry.functions.ordered import running_index
 
     x = df.filter((F.col(group) == a) & F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
@@ -386,7 +395,10 @@ def median_difference_interval(df: DataFrame, group: str, value: str, a, b, z: f
     n, m = sx["n"], sy["m"]
     k = int(math.floor(n * m / 2.0 - z * math.sqrt(n * m * (n + m + 1) / 12.0)))
     k = max(k, 1)
-    x_idx = running_index(x, [], ["v"], "_k")
+    # distinct values with their counts: every pass sorts these, not the rows
+    xw = cut_lineage(x.groupBy("v").agg(F.count(F.lit(1)).alias("w")))
+    yw = cut_lineage(y.groupBy("v").agg(F.count(F.lit(1)).alias("w")))
+    x_idx = running_index(xw.select("v"), [], ["v"], "_k")
 
     from quarry.functions.ordered import running_sum
 
@@ -394,12 +406,13 @@ def median_difference_interval(df: DataFrame, group: str, value: str, a, b, z: f
         # every candidate in one pass: rows are repeated per candidate inside
         # the row (explode of a literal array), counts partitioned by candidate
         arr = F.array(*[F.struct(F.lit(i).alias("cid"), F.lit(float(d)).alias("d")) for i, d in enumerate(cands)])
-        xs = x.select(F.explode(arr).alias("c"), "v").select("c.cid", "v", F.lit(1).alias("is_x"))
-        ys = y.select(F.explode(arr).alias("c"), "v").select("c.cid", (F.col("v") - F.col("c.d")).alias("v"),
-                                                                F.lit(0).alias("is_x"))
-        c = running_sum(xs.unionByName(ys), ["cid"], ["v", "is_x"], "is_x", "_before", exclusive=True)
+        zero = F.lit(0).cast("long")
+        xs = xw.select(F.explode(arr).alias("c"), "v", "w").select("c.cid", "v", F.lit(1).alias("is_x"), F.col("w").alias("wx"), zero.alias("wy"))
+        ys = yw.select(F.explode(arr).alias("c"), "v", "w").select("c.cid", (F.col("v") - F.col("c.d")).alias("v"), F.lit(0).alias("is_x"),
+                                                                   zero.alias("wx"), F.col("w").alias("wy"))
+        c = running_sum(xs.unionByName(ys), ["cid"], ["v", "is_x"], "wx", "_before", exclusive=True)
         got = {r["cid"]: int(r["c"]) for r in c.filter(F.col("is_x") == 0).groupBy("cid")
-               .agg(F.sum(F.lit(n) - F.col("_before")).alias("c")).collect()}
+               .agg(F.sum(F.col("wy") * (F.lit(n) - F.col("_before"))).alias("c")).collect()}
         return [got.get(i, 0) for i in range(len(cands))]
 
     def kth_many(ranks: list[int], ways: int = 16) -> dict[int, float]:
@@ -425,7 +438,7 @@ def median_difference_interval(df: DataFrame, group: str, value: str, a, b, z: f
                     else:
                         lo = max(lo, d)
                 bounds[r] = [lo, hi]
-        return {r: _smallest_difference_above(x_idx, y, bounds[r][0]) for r in ranks}
+        return {r: _smallest_difference_above(x_idx, yw.select("v"), bounds[r][0]) for r in ranks}
 
     nm = n * m
     mids = [(nm + 1) // 2] if nm % 2 == 1 else [nm // 2, nm // 2 + 1]
