@@ -182,76 +182,106 @@ def rasch_difficulty(pairs: DataFrame) -> DataFrame:
     return j.groupBy(F.col("item_i").alias("item")).agg(r6(F.avg(F.log(F.col("n_ji") / F.col("n_ij")))).alias("difficulty"))
 
 
-def _lpa_estep(items: list[str], mu: np.ndarray, var: np.ndarray, pi: np.ndarray):
-    """Per-partition E-step: responsibilities in numpy, returned as one row
-    of sufficient statistics per partition (ll, r_j, sum r_j x, sum r_j x^2,
-    entropy terms)."""
+def _profile_stats(items: list[str], states: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Per-partition E-step for every start: responsibilities in numpy, one
+    vector of sums per start (log-likelihood, r_j, r_j x, r_j x^2, entropy)."""
     import pandas as pd
 
-    k, d = mu.shape
-
     def run(batches):
-        acc = None
+        acc = [None] * len(states)
         for pdf in batches:
-            x = pdf[items].to_numpy(dtype="float64")
-            if x.size == 0:
+            x, w = pdf[items].to_numpy(dtype="float64"), pdf["_w"].to_numpy(dtype="float64")
+            if not len(w):
                 continue
-            logp = (np.log(pi)[None, :] - 0.5 * np.sum(np.log(2 * np.pi * var))
-                    - 0.5 * (((x[:, None, :] - mu[None, :, :]) ** 2) / var[None, None, :]).sum(axis=2))
-            mx = logp.max(axis=1, keepdims=True)
-            lse = mx[:, 0] + np.log(np.exp(logp - mx).sum(axis=1))
-            r = np.exp(logp - lse[:, None])
-            ent = -(r * np.log(np.where(r > 0, r, 1.0))).sum()
-            vec = np.concatenate([[lse.sum()], r.sum(axis=0), (r.T @ x).ravel(), (r.T @ (x * x)).ravel(), [ent]])
-            acc = vec if acc is None else acc + vec
-        if acc is not None:
-            yield pd.DataFrame({"s": [acc.tolist()]})
+            for s, (mu, var, pi) in enumerate(states):
+                logp = (np.log(pi)[None, :] - 0.5 * np.sum(np.log(2 * np.pi * var))
+                        - 0.5 * (((x[:, None, :] - mu[None, :, :]) ** 2) / var[None, None, :]).sum(axis=2))
+                top = logp.max(axis=1, keepdims=True)
+                lse = top[:, 0] + np.log(np.exp(logp - top).sum(axis=1))
+                r = np.exp(logp - lse[:, None])
+                ent = -(w[:, None] * r * np.log(np.where(r > 0, r, 1.0))).sum()
+                r *= w[:, None]
+                vec = np.concatenate([[w @ lse], r.sum(axis=0), (r.T @ x).ravel(), (r.T @ (x * x)).ravel(), [ent]])
+                acc[s] = vec if acc[s] is None else acc[s] + vec
+        for s, vec in enumerate(acc):
+            if vec is not None:
+                yield pd.DataFrame({"start": s, "pos": np.arange(len(vec)), "v": vec})
 
     return run
 
 
-def latent_profiles(df: DataFrame, items: Sequence[str], k: int, iters: int = 500, tol: float = 1e-7,
-                    seed: int = 1) -> dict:
+def latent_profiles(df: DataFrame, items: Sequence[str], k: int, iters: int = 500, tol: float = 1e-6,
+                    seeds: Sequence[int] = (1, 2, 3)) -> dict:
     """Latent profile analysis (Gaussian mixture, diagonal covariance
-    equal across classes) by EM.
-
-    The data is cached once; every iteration runs a vectorised E-step per
-    partition (``mapInPandas``) that emits one row of sufficient statistics
-    per partition, so only (#partitions x small vector) reaches the driver,
-    where the M-step is a few numpy lines.  Returns log-likelihood, free
-    parameters, AIC, BIC, adjusted BIC, entropy and class shares."""
+    equal across classes) by EM from several seeded starts; the start with the
+    largest likelihood is kept.
+
+    Rows are first reduced to distinct answer patterns with their counts and
+    written once.  A round is one vectorised E-step over the partitions for
+    all starts that still move; Spark sums its vectors, so the driver gets one
+    number per parameter and start, whatever the number of partitions.
+    Returns log-likelihood, free parameters, AIC, BIC, adjusted BIC, entropy,
+    class shares and the parameters (means, variances)."""
     items = list(items)
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in items]).dropna().cache()
-    n = x.count()
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in items]).dropna()
+    x = cut_lineage(x.groupBy(*items).agg(F.count(F.lit(1)).alias("_w")))
     d = len(items)
-    st = x.agg(*[F.avg(c).alias(f"m_{c}") for c in items], *[F.var_pop(c).alias(f"v_{c}") for c in items]).first()
-    rng = np.random.default_rng(seed)
-    sd = np.array([math.sqrt(st[f"v_{c}"] or 1.0) for c in items])
-    mu = np.array([[st[f"m_{c}"] for c in items] for _ in range(k)]) + rng.normal(size=(k, d)) * sd[None, :]
-    var = np.maximum(sd ** 2, 1e-6)
-    pi = np.full(k, 1.0 / k)
-    prev, ll, ent_sum = -np.inf, None, 0.0
+    w = F.col("_w")
+    st = x.agg(F.sum(w).alias("n"), *[(F.sum(F.col(c) * w) / F.sum(w)).alias(f"m_{c}") for c in items],
+               *[(F.sum(F.col(c) * F.col(c) * w) / F.sum(w)).alias(f"q_{c}") for c in items]).first()
+    n = st.n
+    mean = np.array([st[f"m_{c}"] for c in items])
+    sd = np.sqrt(np.maximum([st[f"q_{c}"] - st[f"m_{c}"] ** 2 for c in items], 1e-12))
+    states = [(mean[None, :] + np.random.default_rng(s).normal(size=(k, d)) * sd[None, :], np.maximum(sd ** 2, 1e-6), np.full(k, 1.0 / k))
+              for s in seeds]
+    seen: dict[int, tuple[float, float]] = {}                 # log-likelihood and entropy sum per start
+    live = list(range(len(states)))
     for _ in range(iters):
-        parts = x.mapInPandas(_lpa_estep(items, mu, var, pi), "s array<double>").collect()
-        tot = np.sum([np.array(p["s"]) for p in parts], axis=0)
-        ll = tot[0]
-        rk = tot[1:1 + k]
-        rx = tot[1 + k:1 + k + k * d].reshape(k, d)
-        rxx = tot[1 + k + k * d:1 + k + 2 * k * d].reshape(k, d)
-        ent_sum = tot[-1]
-        pi = np.maximum(rk / n, 1e-12)
-        mu = rx / np.maximum(rk, 1e-12)[:, None]
-        var = np.maximum((rxx - rk[:, None] * mu ** 2).sum(axis=0) / n, 1e-6)
-        if abs(ll - prev) < tol * max(1.0, abs(ll)):
+        if not live:
             break
-        prev = ll
-    x.unpersist()
+        sums = (x.mapInPandas(_profile_stats(items, [states[s] for s in live]), "start int, pos int, v double")
+                .groupBy("start", "pos").agg(F.sum("v").alias("v")).collect())
+        vec = {s: np.zeros(2 + k + 2 * k * d) for s in live}
+        for r in sums:
+            vec[live[r.start]][r.pos] = r.v
+        moving = []
+        for s in live:
+            ll, rk = vec[s][0], vec[s][1:1 + k]
+            rx, rxx = vec[s][1 + k:1 + k + k * d].reshape(k, d), vec[s][1 + k + k * d:1 + k + 2 * k * d].reshape(k, d)
+            before = seen.get(s, (-np.inf, 0.0))[0]
+            seen[s] = float(ll), float(vec[s][-1])
+            if abs(ll - before) < tol * max(1.0, abs(ll)):
+                continue
+            moving.append(s)
+            mu = rx / np.maximum(rk, 1e-12)[:, None]
+            var = np.maximum((rxx - rk[:, None] * mu ** 2).sum(axis=0) / n, 1e-6)
+            states[s] = (mu, var, np.maximum(rk / n, 1e-12))
+        live = moving
+    best = max(seen, key=lambda s: seen[s][0])
+    (mu, var, pi), (ll, ent_sum) = states[best], seen[best]
     p = (k - 1) + k * d + d
     entropy = 1.0 - ent_sum / (n * math.log(k)) if k > 1 else 1.0
-    ll = float(ll)
     return {"k": k, "loglik": ll, "free_params": p, "aic": 2 * p - 2 * ll, "bic": p * math.log(n) - 2 * ll,
             "abic": p * math.log((n + 2) / 24.0) - 2 * ll, "entropy": float(entropy),
-            "shares": [float(v) for v in pi], "means": mu.tolist()}
+            "shares": [float(v) for v in pi], "means": mu.tolist(), "variances": var.tolist()}
+
+
+def profile_membership(df: DataFrame, items: Sequence[str], fit: dict) -> DataFrame:
+    """O7 (posteriors): the rows of ``df`` with ``posterior`` (array, one per
+    class) and ``profile`` (0-based class of the largest, null where an item is
+    missing), by built-in expressions from the fitted parameters."""
+    logs = []
+    for share, mean in zip(fit["shares"], fit["means"]):
+        e = F.lit(math.log(share))
+        for c, m, v in zip(items, mean, fit["variances"]):
+            e = e - (F.col(c).cast("double") - m) * (F.col(c).cast("double") - m) / (2 * v)
+        logs.append(e)
+    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
+    weights = F.transform(F.array(*logs), lambda e: F.exp(e - top))
+    whole = df.withColumn("posterior", F.when(logs[0].isNotNull(), weights))
+    total = F.aggregate("posterior", F.lit(0.0), lambda a, b: a + b)
+    whole = whole.withColumn("posterior", F.transform("posterior", lambda v: v / total))
+    return whole.withColumn("profile", (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))
 
 
 def one_factor(df: DataFrame, items: Sequence[str], iters: int = 100) -> DataFrame:

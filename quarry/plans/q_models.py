@@ -107,6 +107,15 @@ def o7_latent_profiles(spark, root):
                                        "entropy double, shares string")
 
 
+@register("o7_profile_membership")
+def o7_profile_membership(spark, root):
+    """The three-class fit joined back: each user's class and its posterior."""
+    s = Views(spark, root).survey
+    items = [f"i{i}" for i in range(1, 7)]
+    m = models.profile_membership(s, items, models.latent_profiles(s, items, 3))
+    return m.select("user_id", "profile", r6(F.array_max("posterior")).alias("posterior"))
+
+
 @register("o8_one_factor")
 def o8_one_factor(spark, root):
     return models.one_factor(Views(spark, root).survey, [f"i{i}" for i in range(1, 7)])

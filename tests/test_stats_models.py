@@ -39,10 +39,16 @@ def test_latent_profiles_recover_two_groups(spark):
     from quarry.operators.models import latent_profiles
     rows = [(float(i % 3), float(i % 2)) for i in range(100)] + [(10.0 + i % 3, 10.0 + i % 2) for i in range(60)]
     df = spark.createDataFrame(rows, "a double, b double")
-    r = latent_profiles(df, ["a", "b"], 2, seed=3)
+    r = latent_profiles(df, ["a", "b"], 2, seeds=(3, 4))
     assert abs(sum(r["shares"]) - 1) < 1e-9
     assert sorted(round(s, 3) for s in r["shares"]) == [0.375, 0.625]
     assert r["entropy"] > 0.99
+    from quarry.operators.models import profile_membership
+    m = profile_membership(df.unionByName(spark.createDataFrame([(None, 1.0)], "a double, b double")), ["a", "b"], r).collect()
+    low = {x.profile for x in m if x.a is not None and x.a < 5}
+    assert len(low) == 1 and {x.profile for x in m if x.a is not None and x.a > 5} == {0, 1} - low
+    assert [x.profile for x in m if x.a is None] == [None]
+    assert all(abs(sum(x.posterior) - 1) < 1e-9 for x in m if x.a is not None)
 
 
 def test_stratified_folds_cover_and_balance(spark):
