@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import written
+from quarry.llm.common import python_pass, written
 
 BITS = 256                # length of a code, a multiple of 64
 ERROR = 1.9               # width of the error bound in standard deviations of the estimate
@@ -89,7 +89,7 @@ def build_index(rows: DataFrame, dim: int, id_col: str = "vec_id", vector_col: s
             yield block()
 
     plain = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null")
-    return plain.mapInArrow(run, "n int, ids binary, vectors binary, codes binary, norms binary, fits binary")
+    return python_pass(plain, run, "n int, ids binary, vectors binary, codes binary, norms binary, fits binary")
 
 
 def search_block(block: dict, qid: np.ndarray, q: np.ndarray, turn: np.ndarray, k: int, width_of_bound: float = ERROR) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -161,7 +161,7 @@ def search(index: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col:
                             [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].tolist() for o in out], pa.list_(pa.int64())),
                              pa.array([o[2].tolist() for o in out], pa.list_(pa.float64()))], names=["query_id", "ids", "scores"])
 
-        found = found.unionByName(index.mapInArrow(run, "query_id long, ids array<long>, scores array<double>"))
+        found = found.unionByName(python_pass(index, run, "query_id long, ids array<long>, scores array<double>"))
     each = found.select("query_id", F.explode(F.arrays_zip("scores", "ids")).alias("c"))
     order = Window.partitionBy("query_id").orderBy(F.desc("c.scores"), "c.ids")
     ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices
+from quarry.llm.common import python_pass, slices
 
 FRAGMENTS = 300_000       # fragments kept in a task's table before it starts anew
 LONG = 64                 # longer fragments are encoded but not kept
@@ -199,7 +199,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 cols.append(pa.array(ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays([*cols, pa.array(id_sha), pa.array(text_sha)], names=[*names, "ids_sha256", "decoded_sha256"])
+        enc.table.clear()
 
     schema = "id long, n_tokens long, " + ("ids binary, " if keep_ids else "") + "ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return python_pass(rows, run, schema).withColumnRenamed("id", id_col)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices
+from quarry.llm.common import python_pass, slices
 
 CHUNK = 1 << 15           # tokens of a written chunk
 FRAGMENTS, LONG = 150_000, 64
@@ -182,6 +182,7 @@ def format_conversations(turns: DataFrame, vocabulary: str, conv_col: str = "con
                 [part.column("conv"), part.column("turn"), part.column("role"), pa.array([m[0] for m in made], pa.binary()),
                  pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64())],
                 names=["conv", "turn", "role", "ids", "before", "length"])
+        c.pieces.clear()
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = vocabulary_of(vocabulary)
@@ -227,9 +228,9 @@ def format_conversations(turns: DataFrame, vocabulary: str, conv_col: str = "con
     rows = turns.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"),
                         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    coded = rows.mapInArrow(encode, "conv long, turn long, role string, ids binary, before long, length long")
+    coded = python_pass(rows, encode, "conv long, turn long, role string, ids binary, before long, length long")
     dealt = coded.repartition("conv").sortWithinPartitions("conv", "turn", "role", "ids")
-    return dealt.mapInArrow(assemble, "conv long, start long, ids binary, mask binary, n_turns int").withColumnRenamed("conv", conv_col)
+    return python_pass(dealt, assemble, "conv long, start long, ids binary, mask binary, n_turns int").withColumnRenamed("conv", conv_col)
 
 
 class _Reader:
@@ -314,5 +315,5 @@ def read_back(chunks: DataFrame, vocabulary: str, conv_col: str = "conv_id") ->
             yield rows()
 
     plain = chunks.select(F.col(conv_col).alias("conv"), "start", "ids", "mask")
-    return plain.mapInArrow(run, "conv long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long") \
+    return python_pass(plain, run, "conv long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long") \
         .withColumnRenamed("conv", conv_col)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
@@ -27,20 +32,68 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Passes over whole texts get batches of at most ``BATCH_ROWS`` rows, so
+    that what is in flight between Spark and a Python worker stays small.  A
+    session that has set another length than Spark's default keeps it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; when they are through, the worker's free memory goes back
+    to the system (Spark keeps workers for later passes)."""
+    yield from batches
+    _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):      # another C library
+            pass
+
+
+def python_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with bounded batches and memory."""
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(lambda batches: released(fn(batches)), schema)
+
+
+CARRIED = ["kept", "body"]
+
+
+def kept_columns(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, list]:
+    """Rows with ``text`` and the other columns to carry along as the struct
+    ``kept`` (``body``: the text once more only if it is to be carried but is
+    no string, else null), and the columns to select afterwards."""
+    text = F.col(f"`{text_col}`")
+    own = text_col in keep and docs.select(text).schema[0].dataType.simpleString() == "string"
+    others = [F.col(f"`{c}`") for c in keep if not (own and c == text_col)] or [F.lit(None).cast("int").alias("none")]
+    rows = docs.select(F.struct(*others).alias("kept"), text.cast("string").alias("text"), F.lit(own).alias("own"))
+    back = [F.col("body").alias(c) if own and c == text_col else F.col("kept").getField(c).alias(c) for c in keep]
+    return rows.withColumn("body", F.lit(None).cast("string")), back
+
+
+def carried(part: pa.RecordBatch) -> list[pa.Array]:
+    """The columns ``CARRIED`` of a pass over ``kept_columns``."""
+    own = part.num_rows and part.column("own")[0].as_py()
+    return [part.column("kept"), part.column("text") if own else pa.nulls(part.num_rows, pa.string())]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the ``text`` column of a slice holds about
     ``max_bytes`` (one row at least): the working set of a task stays bounded
     whatever Spark's batch length is."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = np.asarray(batch.column(text).fill_null("" if pa.types.is_string(batch.column(text).type)
-                                                          or pa.types.is_large_string(batch.column(text).type)
-                                                          else b"").to_pandas().map(len), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
         group = (np.cumsum(lengths) - lengths) // max_bytes
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -56,22 +109,22 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-_POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+BATCH_ROWS = 1000
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i in [0, n); base is odd."""
-    size = 1 << max(10, int(n).bit_length())
-    if (base, size) not in _POWERS:
-        for key in [k for k in _POWERS if k[0] == base]:
-            del _POWERS[key]
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
-        _POWERS[base, size] = tuple(out)
-    return _POWERS[base, size]
+    size = max(1 << 16, -(-int(n) // (1 << 16)) * (1 << 16))
+    if base in _POWERS and len(_POWERS[base][0]) >= size:
+        return _POWERS[base]
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.full(size, b, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=np.uint64))
+    _POWERS[base] = tuple(out)
+    return _POWERS[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices, utf8
+from quarry.llm.common import CARRIED, carried, kept_columns, python_pass, slices, utf8
 from quarry.llm.training import sample_per_class
 
 BUCKETS = 1 << 15
@@ -176,7 +176,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     an empty table gives an empty result.
     """
     kept = [id_col] if keep is None else list(keep)
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("kept"), F.col(text_col).cast("string").alias("text"))
+    plain, back = kept_columns(docs, kept, text_col)
     plain = plain.withColumn("letters", F.coalesce(F.col("text").rlike(LETTER), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,9 +185,9 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             letters = np.asarray(part.column("letters").to_pylist(), bool) & bool(model.languages)
             names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("kept"), pa.array(names, pa.string()), pa.array(np.where(letters, p, 0.0)), pa.array(unsure & letters)],
-                names=["kept", "lang_pred", "score", "ambiguous"])
+                [*carried(part), pa.array(names, pa.string()), pa.array(np.where(letters, p, 0.0)), pa.array(unsure & letters)],
+                names=[*CARRIED, "lang_pred", "score", "ambiguous"])
 
-    schema = plain.select("kept").schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
-    out = plain.mapInArrow(run, schema)
-    return out.select(*[F.col("kept").getField(c).alias(c) for c in kept], "lang_pred", "score", "ambiguous")
+    schema = plain.select(*CARRIED).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    out = python_pass(plain, run, schema)
+    return out.select(*back, "lang_pred", "score", "ambiguous")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe
-from quarry.llm.common import slices
+from quarry.llm.common import python_pass, slices
 
 WINDOW = 4096
 BLOCK = 2048              # rests that are differenced together
@@ -145,9 +145,10 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity:
                     yield from flush()
         if ids:
             yield from flush()
+        enc.table.clear()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    out = python_pass(rows, run, "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col)
 
 

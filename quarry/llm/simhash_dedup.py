@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blank_table, slices, utf8, word_spans, written
+from quarry.llm.common import blank_table, python_pass, released, slices, utf8, word_spans, written
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BUCKET = 2048             # nodes that are compared in one group
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.array(out, np.uint64).view(np.int64))], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long").withColumnRenamed("id", id_col)
+    return python_pass(rows, run, "id long, fp long").withColumnRenamed("id", id_col)
 
 
 # ---------------------------------------------------------------- covering
@@ -165,14 +165,17 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
                 at = (path << (radius + 1)) + v
                 table.append((path, at, _signed(mask)))
                 below[at] = positions & ~mask
-        masks = F.broadcast(spark.createDataFrame(table, "path int, at int, mask long"))     # 15, 225, 3375 rows
-        dealt = rows.join(masks, "path").select(
-            "fp", F.xxhash64("key", "at", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), F.col("at").alias("path"))
+        if len(paths) == 1:
+            at = F.explode(F.array(*[F.struct(F.lit(a).alias("at"), F.lit(m).alias("mask")) for _, a, m in table]))
+            tables = rows.select("fp", "key", at.alias("t")).select("fp", "key", "t.at", "t.mask")
+        else:                                        # 225 or 3375 rows
+            tables = rows.join(F.broadcast(spark.createDataFrame(table, "path int, at int, mask long")), "path")
+        dealt = tables.select("fp", F.xxhash64("key", "at", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), F.col("at").alias("path"))
         sizes = written(dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
         last = max(bin(p).count("1") for p in below.values()) <= FREE
         small = dealt.join(sizes if last else sizes.where(F.col("n") <= bucket), "key").select("key", "fp")
         found = found.unionByName(small.repartition("key").sortWithinPartitions("key", "fp")
-                                  .mapInArrow(lambda batches: _link_sorted(batches, radius), "a long, b long"))
+                                  .mapInArrow(lambda batches: released(_link_sorted(batches, radius)), "a long, b long"))
         if last or sizes.where(F.col("n") > bucket).isEmpty():
             return found
         rows = written(dealt.join(sizes.where(F.col("n") > bucket), "key").select("fp", "key", "path"))

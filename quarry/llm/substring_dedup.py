@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blank_table, mix, powers, slices, span_hashes, utf8, word_spans, written
+from quarry.llm.common import CARRIED, blank_table, carried, kept_columns, mix, powers, python_pass, slices, span_hashes, utf8, word_spans, written
 
 WINDOW = 50
 GRAM = 12                 # words of an anchor
 GROUP = 2000              # different segments of one anchor that share a tree
-TREE_BYTES = 4 << 20      # text of segments that are named together
+TREE_BYTES = 1 << 20      # text of segments that are named together
 NO_ID = (1 << 63) - 1     # stands for a missing id: larger than any other
 
 _BLANK = blank_table()
@@ -154,7 +154,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
                 yield _emit([("id", pa.array(np.asarray(part.column("id"))[s["row"]])), ("body", pa.array(np.asarray(part.column("body"))[s["row"]])),
                              *((k, pa.array(s[k])) for k in ("start", "windows", "anchor", "segment"))])
 
-    every = docs.mapInArrow(scan, "id long, body int, start int, windows int, anchor long, segment long")
+    every = python_pass(docs, scan, "id long, body int, start int, windows int, anchor long, segment long")
     # both sides of a join are dealt for it alone, so that Spark can split a hot key: aggregates are written first
     shared = written(every.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor"))
     rows = written(every.join(shared, "anchor"))
@@ -183,8 +183,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
                          ("body", pa.array(np.asarray(part.column("body"))[of])), ("start", pa.array(got["start"])),
                          ("windows", pa.array(got["windows"])), ("kinds", pa.array(got["kinds"])), ("text", pa.array(text, pa.string()))])
 
-    bearers = docs.join(wanted, ["id", "body"]).select("id", "body", "text", "wanted").mapInArrow(
-        fetch, "anchor long, id long, body int, start int, windows int, kinds long, text string")
+    bearers = python_pass(docs.join(wanted, ["id", "body"]).select("id", "body", "text", "wanted"), fetch,
+                          "anchor long, id long, body int, start int, windows int, kinds long, text string")
     bearers = written(bearers)
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +212,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
         if held:
             yield from whole_groups(True)
 
-    trees = (bearers.where(F.col("kinds") <= group).drop("kinds").repartition("anchor").sortWithinPartitions("anchor")
-             .mapInArrow(grow, "id long, body int, start int, windows int"))
+    trees = python_pass(bearers.where(F.col("kinds") <= group).drop("kinds").repartition("anchor").sortWithinPartitions("anchor"),
+                        grow, "id long, body int, start int, windows int")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -227,7 +227,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
                          ("a", pa.array(_sequence_hashes(words, place, place + window, _BASE_B).view(np.int64))),
                          ("b", pa.array(_sequence_hashes(words, place, place + window, _BASE_C).view(np.int64)))])
 
-    hot = bearers.where(F.col("kinds") > group).mapInArrow(suffixes, "id long, body int, start int, a long, b long")
+    hot = python_pass(bearers.where(F.col("kinds") > group), suffixes, "id long, body int, start int, a long, b long")
     deep = written(hot.groupBy("a", "b").agg(F.min("id").alias("least")))
     long_prefixes = hot.join(deep, ["a", "b"]).where("least < id").select("id", "body", "start", F.lit(1).alias("windows"))
     return whole.unionByName(trees).unionByName(long_prefixes)
@@ -250,7 +250,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("body")]
     runs = find_repeats(docs.select(*key, text.alias("text")), window, gram, group)
     cut = runs.groupBy("id", "body").agg(F.collect_list(F.struct("start", "windows")).alias("cut"))
-    rows = docs.select(*key, text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("kept")).join(cut, ["id", "body"], "left")
+    held, back = kept_columns(docs.select("*", *[k.alias(f"__{n}") for k, n in zip(key, ("id", "hash"), strict=True)]), [*kept, "__id", "__hash"], text_col)
+    rows = held.withColumns({"id": F.col("kept.__id"), "hash": F.col("kept.__hash")}).join(cut.withColumnRenamed("body", "hash"), ["id", "hash"], "left")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -279,10 +280,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
             blob = out.tobytes()
             texts = [blob[at[x]:max(at[x], at[y] - 1)].decode() for x, y in zip(edge[:-1], edge[1:], strict=True)]
             words = np.diff(begin)
-            yield _emit([("kept", part.column("kept")), ("n_words", pa.array(words.astype(np.int64))),
+            yield _emit([*zip(CARRIED, carried(part), strict=True), ("n_words", pa.array(words.astype(np.int64))),
                          ("n_removed", pa.array((words - np.diff(edge)).astype(np.int64))), ("kept_text", pa.array(texts, pa.string()))])
 
-    plain = rows.select("kept", "text", "cut")
-    schema = plain.select("kept").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    out = plain.mapInArrow(strip, schema)
-    return out.select(*[F.col("kept").getField(c).alias(c) for c in kept], "n_words", "n_removed", "kept_text")
+    plain = rows.select(*CARRIED, "text", "own", "cut")
+    schema = plain.select(*CARRIED).schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    out = python_pass(plain, strip, schema)
+    return out.select(*back[:len(kept)], "n_words", "n_removed", "kept_text")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices, span_hashes, utf8, word_spans
+from quarry.llm.common import CARRIED, carried, kept_columns, python_pass, slices, span_hashes, utf8, word_spans
 from quarry.llm.training import sample_per_class
 
 BUCKETS = 1 << 15
@@ -153,7 +153,7 @@ class ToxicityModel:
         """Words of fewer than ``SEEN`` training texts say nothing: their
         embeddings are zero and stay so, like those of words never seen."""
         for name, ids in (("word", words.word), ("stem", words.stem)):
-            pairs = np.unique(words.row * BUCKETS + ids)
+            pairs = np.unique(words.row.astype(np.int64) * BUCKETS + ids)
             self.known[name] = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= SEEN
             getattr(self, name)[~self.known[name]] = 0
 
@@ -223,6 +223,16 @@ class ToxicityModel:
         self._tables = None
 
 
+def _words_in_parts(blobs: list[bytes], part: int = 256) -> Words:
+    """The words of all texts, a bounded number of texts at a time."""
+    made = []
+    for a in range(0, len(blobs), part):
+        some = blobs[a:a + part]
+        made.append(words_of(np.frombuffer(b"".join(some), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in some])])))
+        made[-1].row = made[-1].row + a
+    return Words(*(np.concatenate([getattr(m, k) for m in made]).astype(np.int32) for k in ("word", "stem", "row")), len(blobs))
+
+
 def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
     """Train on four fifths of the texts, calibrate thresholds on the rest."""
     model = ToxicityModel(seed)
@@ -230,9 +240,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
     if not len(y) or y.min() == y.max():
         model.constant = float(y[0]) if len(y) else 0.0
         return model
-    blobs = [t.encode() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(b) for b in blobs])])
-    words = words_of(np.frombuffer(b"".join(blobs), np.uint8), offsets)
+    words = _words_in_parts([t.encode() for t in texts])
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held, train = order[:max(1, len(y) // 5)], order[max(1, len(y) // 5):]
@@ -285,15 +293,15 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     that label is every score; with none it is 0.  Repeated rows and null ids
     keep a row each; an empty table gives an empty result."""
     kept = [id_col] if keep is None else list(keep)
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("kept"), F.col(text_col).cast("string").alias("text"))
+    plain, back = kept_columns(docs, kept, text_col)
     model.tables()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             s = np.clip(model.scores(words_of(*utf8(part.column("text")))), 0.0, 1.0)
-            yield pa.RecordBatch.from_arrays([part.column("kept"), pa.array(s), pa.array((s >= CUT).astype(np.int32))],
-                                             names=["kept", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*carried(part), pa.array(s), pa.array((s >= CUT).astype(np.int32))],
+                                             names=[*CARRIED, "score", "predicted"])
 
-    schema = plain.select("kept").schema.add("score", "double").add("predicted", "integer")
-    out = plain.mapInArrow(run, schema)
-    return out.select(*[F.col("kept").getField(c).alias(c) for c in kept], "score", "predicted")
+    schema = plain.select(*CARRIED).schema.add("score", "double").add("predicted", "integer")
+    out = python_pass(plain, run, schema)
+    return out.select(*back, "score", "predicted")
