@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,11 @@ class Words:
     row: np.ndarray
     rows: int
 
+    @cached_property
+    def edge(self) -> np.ndarray:
+        """Where each row's words begin, and the end."""
+        return np.searchsorted(self.row, np.arange(self.rows + 1))
+
 
 def words_of(raw: np.ndarray, offsets: np.ndarray) -> Words:
     low = _LOWER[raw]
@@ -159,7 +165,7 @@ class ToxicityModel:
 
     def step(self, words: Words, rows: np.ndarray, y: np.ndarray, state: dict, rate: float) -> None:
         """One Adagrad step on the texts ``rows`` (their words are contiguous)."""
-        spans = [(np.searchsorted(words.row, r), np.searchsorted(words.row, r, "right")) for r in rows]
+        spans = [(int(words.edge[r]), int(words.edge[r + 1])) for r in rows]
         at = np.concatenate([np.arange(a, b) for a, b in spans]) if spans else np.zeros(0, int)
         new_row = np.repeat(np.arange(len(rows)), [b - a for a, b in spans])
         emb = self.word[words.word[at]] + self.stem[words.stem[at]]
