@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import python_pass, slices
+from quarry.llm.common import Known, python_pass, slices
 
-FRAGMENTS = 300_000       # fragments kept in a task's table before it starts anew
+FRAGMENTS = 600_000       # fragments in a task's table at most
+FREQUENT = 150_000        # of these, those that stay when it is full and from task to task
 LONG = 64                 # longer fragments are encoded but not kept
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _ASCII_CONTROL_BLANKS = "\x1c\x1d\x1e\x1f"     # blank to str.split, not to the vocabulary's pattern
@@ -80,13 +81,13 @@ class WordBpe:
         # the short way for plain words holds for the pattern that it was read from
         self.plain = bool(self.suffix) and json.dumps(spec["pre_tokenizer"]).count(json.dumps(WORD_PATTERN)) == 1
         self.rare = re.compile("[" + "".join(by_first) + "]") if by_first else None      # letters before which a cut can fall
-        self.table = _Fragments(self._ids)
+        self.table = Known(self._ids, FRAGMENTS, FREQUENT, LONG)
 
-    def _ids(self, fragment: str) -> list[int]:
+    def _ids(self, fragment: str) -> bytes:
         """Ids of one fragment: cut on at its own forced pairs, word by word."""
         word = _PLAIN_WORD.fullmatch(fragment) if self.plain else None
         if word is None:
-            return self.whole.encode(fragment, add_special_tokens=False).ids
+            return _packed(self.whole.encode(fragment, add_special_tokens=False).ids)
         letters, stops = word.groups()
         letters = letters.lower()
         if not letters.isascii():
@@ -96,7 +97,9 @@ class WordBpe:
             ids = [t.id for part in parts for t in self.open.tokenize(part)] + [t.id for t in self.model.tokenize(letters)]
         else:
             ids = [t.id for t in self.model.tokenize(letters)]
-        return ids + [t.id for t in self.model.tokenize(stops)] if stops else ids
+        if stops:
+            ids += [t.id for t in self.model.tokenize(stops)]
+        return _packed(ids)
 
     def fragments(self, text: str) -> list[str]:
         """The text cut at every blank (blanks are in no token)."""
@@ -119,41 +122,8 @@ class WordBpe:
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
 
 
-class _Fragments(dict):
-    """Encoded ids of each fragment seen, a bounded number of them."""
-
-    def __init__(self, ids_of):
-        super().__init__()
-        self.ids_of = ids_of
-
-    def __missing__(self, fragment: str) -> bytes:
-        ids = self.ids_of(fragment)
-        got = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.asarray(ids, "<u4").tobytes()
-        if len(fragment) <= LONG:
-            self[fragment] = got
-        return got
-
-    def bound(self) -> None:
-        if len(self) > FRAGMENTS:
-            self.clear()
-
-
-class _Strings(dict):
-    """Decoded string of each fragment's ids, a bounded number of them."""
-
-    def __init__(self, enc: WordBpe):
-        super().__init__()
-        self.enc = enc
-
-    def __missing__(self, ids: bytes) -> str:
-        got = self.enc.decode(np.frombuffer(ids, "<u4").tolist())
-        if len(ids) <= 4 * LONG:
-            self[ids] = got
-        return got
-
-    def bound(self) -> None:
-        if len(self) > FRAGMENTS:
-            self.clear()
+def _packed(ids: list[int]) -> bytes:
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.asarray(ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, WordBpe] = {}
@@ -179,7 +149,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        strings = _Strings(enc)
+        strings = Known(lambda ids: enc.decode(np.frombuffer(ids, "<u4").tolist()), FRAGMENTS // 2, FREQUENT // 2, 4 * LONG)
         for part in slices(batches, "text"):
             counts, ids, id_sha, text_sha = [], [], [], []
             for text in part.column("text").to_pylist():
@@ -199,7 +169,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 cols.append(pa.array(ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays([*cols, pa.array(id_sha), pa.array(text_sha)], names=[*names, "ids_sha256", "decoded_sha256"])
-        enc.table.clear()
+        enc.table.trim()
 
     schema = "id long, n_tokens long, " + ("ids binary, " if keep_ids else "") + "ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import python_pass, slices
+from quarry.llm.common import Known, python_pass, slices
 
 CHUNK = 1 << 15           # tokens of a written chunk
-FRAGMENTS, LONG = 150_000, 64
+FRAGMENTS, FREQUENT, LONG = 150_000, 40_000, 64
 
 # The control strings of the template, in the order of their ids.
 MARKERS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|role|>", "<|body|>"]
@@ -85,29 +85,6 @@ class Vocabulary:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode()
 
 
-class _Pieces(dict):
-    """Encoded ids of each piece of text seen, a bounded number of them."""
-
-    def __init__(self, tok):
-        super().__init__()
-        self.tok, self.model = tok, tok.model
-        self.visible = {b: ord(c) for c, b in _alphabet().items()}
-
-    def __missing__(self, piece: str) -> bytes:
-        word = _PLAIN_WORD.fullmatch(piece)
-        if word is None:
-            ids = self.tok.encode(piece, add_special_tokens=False).ids
-        else:
-            ids = []
-            for part in word.groups():
-                if part:
-                    ids += [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.visible))]
-        got = np.asarray(ids, "<u4").tobytes()
-        if len(piece) <= LONG:
-            self[piece] = got
-        return got
-
-
 class Coder:
     """Encoder of a reversible byte-level vocabulary."""
 
@@ -119,7 +96,17 @@ class Coder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.tok.encode_special_tokens = True
-        self.pieces = _Pieces(self.tok)
+        self.visible = {b: ord(c) for c, b in _alphabet().items()}
+        self.pieces = Known(self._ids, FRAGMENTS, FREQUENT, LONG)
+
+    def _ids(self, piece: str) -> bytes:
+        word = _PLAIN_WORD.fullmatch(piece)
+        if word is None:
+            ids = self.tok.encode(piece, add_special_tokens=False).ids
+        else:
+            parts = [p.encode().decode("latin-1").translate(self.visible) for p in word.groups() if p]
+            ids = [t.id for p in parts for t in self.tok.model.tokenize(p)]
+        return np.asarray(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.  The pattern before
@@ -128,8 +115,7 @@ class Coder:
         text with other than the four usual blanks is not cut."""
         parts = [text] if _OTHER_BLANK.search(text) else _CHUNKS.findall(text)
         out = b"".join(map(self.pieces.__getitem__, parts))
-        if len(self.pieces) > FRAGMENTS:
-            self.pieces.clear()
+        self.pieces.bound()
         return out
 
 
@@ -182,7 +168,7 @@ def format_conversations(turns: DataFrame, vocabulary: str, conv_col: str = "con
                 [part.column("conv"), part.column("turn"), part.column("role"), pa.array([m[0] for m in made], pa.binary()),
                  pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64())],
                 names=["conv", "turn", "role", "ids", "before", "length"])
-        c.pieces.clear()
+        c.pieces.trim()
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = vocabulary_of(vocabulary)

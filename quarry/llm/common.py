@@ -7,6 +7,7 @@ import gc
 import sys
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,33 @@ def carried(part: pa.RecordBatch) -> list[pa.Array]:
     return [part.column("kept"), part.column("text") if own else pa.nulls(part.num_rows, pa.string())]
 
 
+class Known(dict):
+    """Answers of ``answer`` for the keys seen, a bounded number of them: at
+    ``most`` entries all but the first ``keep`` go (the first keys that a
+    stream of words shows are its frequent ones).  Keys longer than
+    ``longest`` are answered but not kept."""
+
+    def __init__(self, answer: Callable, most: int, keep: int, longest: int):
+        super().__init__()
+        self.answer, self.most, self.keep, self.longest = answer, most, keep, longest
+
+    def __missing__(self, key):
+        got = self.answer(key)
+        if len(key) <= self.longest:
+            self[key] = got
+        return got
+
+    def bound(self) -> None:
+        if len(self) > self.most:
+            self.trim()
+
+    def trim(self) -> None:
+        if len(self) > self.keep:
+            first = dict(islice(self.items(), self.keep))
+            self.clear()
+            self.update(first)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

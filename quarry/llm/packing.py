@@ -71,9 +71,12 @@ def windows_of(sizes: np.ndarray, capacity: int) -> np.ndarray:
     k = max(1, -(-int(sizes.sum()) // capacity))
     while True:
         window = differencing(sizes, k)
-        if np.bincount(window, weights=sizes, minlength=k).max() <= capacity:
+        most = np.bincount(window, weights=sizes, minlength=k).max()
+        if most <= capacity:
             return window
-        k += 1
+        # so many more that windows as uneven as these would fit, one at least
+        room = max(1.0, capacity - (most - sizes.sum() / k))
+        k = min(len(sizes), max(k + 1, int(np.ceil(sizes.sum() / room))))
 
 
 def _pack_block(lengths: list[int], capacity: int, first_sequence: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -145,7 +148,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity:
                     yield from flush()
         if ids:
             yield from flush()
-        enc.table.clear()
+        enc.table.trim()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     out = python_pass(rows, run, "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
