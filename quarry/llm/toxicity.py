@@ -4,13 +4,14 @@ A word is the sum of two hashed embeddings, one of the word and one of its
 first bytes (inflected insults share a stem).  Filters of several widths slide
 over the words, max pooling keeps each filter's strongest place in the whole
 text, and a logistic layer turns these into a score.  Decision thresholds are
-calibrated by language, told from function words of the text, and mapped to
-one common cut, so that a score of ``CUT`` or more means label 1 everywhere.
+calibrated by language, told from function words of the text, on every labelled
+row that is neither held out nor trained on, and mapped to one common cut, so
+that a score of ``CUT`` or more means label 1 everywhere.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import CARRIED, carried, kept_columns, python_pass, slices, span_hashes, utf8, word_spans
+from quarry.llm.common import CARRIED, carried, kept_columns, python_pass, slices, span_hashes, utf8, word_spans, written
 from quarry.llm.training import sample_per_class
 
 BUCKETS = 1 << 15
@@ -30,6 +31,8 @@ TRAIN_CHARS = 20_000      # characters of a training text
 EPOCHS, BATCH = 12, 64
 SEEN = 1                  # training texts in which a word must occur to have an embedding
 CUT = 0.7
+FOLDS = 5                 # one of so many folds of the labelled rows is never trained on
+CUTS = np.linspace(0.2, 0.99, 80)      # thresholds that are compared
 WORDS = 1 << 16           # words in work at a time
 
 # Function words by which a text's language is told when thresholds are chosen.
@@ -240,7 +243,7 @@ def _words_in_parts(blobs: list[bytes], part: int = 256) -> Words:
 
 
 def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
-    """Train on four fifths of the texts, calibrate thresholds on the rest."""
+    """Train on all the texts; the thresholds stay at one half."""
     model = ToxicityModel(seed)
     y = np.asarray(labels, np.float32)
     if not len(y) or y.min() == y.max():
@@ -248,8 +251,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
         return model
     words = _words_in_parts([t.encode() for t in texts])
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(y))
-    held, train = order[:max(1, len(y) // 5)], order[max(1, len(y) // 5):]
+    train = rng.permutation(len(y))
     model.forget_rare(words)
     state: dict = {}
     for epoch in range(EPOCHS):
@@ -257,21 +259,31 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityModel:
         for a in range(0, len(train), BATCH):
             rows = np.sort(train[a:a + BATCH])
             model.step(words, rows, y[rows], state, 0.1 if epoch < EPOCHS // 2 else 0.03)
-    raw, lang = model.raw_scores(words), model.language(words)
+    return model
+
 
-    def cut_of(rows: np.ndarray) -> float | None:
-        if len(rows) < 20 or not 0 < y[rows].sum() < len(rows):
+def cuts_of(counts: Iterable[tuple[int, int, bool, int, int]]) -> np.ndarray:
+    """The threshold of each told language with the best F1, from counts of
+    rows by (language, label, trained on, number of ``CUTS`` reached).  Rows
+    that were trained on are not judged: those of their language and label that
+    were not stand for them, so the mix of labels is that of all rows."""
+    kinds = len(FUNCTION_WORDS) + 1
+    rows = np.zeros((kinds, 2, 2, len(CUTS) + 1))
+    for lang, y, trained, reached, n in counts:
+        rows[lang, y, int(trained), reached] += n
+    fresh, total = rows[:, :, 0], rows.sum(axis=(2, 3))
+
+    def cut_of(fresh: np.ndarray, total: np.ndarray) -> float | None:
+        seen = fresh.sum(axis=1)
+        if seen.sum() < 20 or not seen.all():
             return None
-        grid = np.linspace(0.2, 0.9, 71)
-        hit = raw[rows][:, None] >= grid
-        tp = (hit & (y[rows][:, None] == 1)).sum(axis=0)
-        f1 = 2 * tp / (hit.sum(axis=0) + (y[rows] == 1).sum())
+        hit = np.cumsum(fresh[:, ::-1], axis=1)[:, -2::-1] * (total / seen)[:, None]     # rows that reach each cut
+        f1 = 2 * hit[1] / (hit.sum(axis=0) + total[1])
         flat = np.flatnonzero(f1 >= f1.max() - 1e-9)
-        return float(grid[flat[len(flat) // 2]])                     # the middle of the best cuts
+        return float(CUTS[flat[len(flat) // 2]])                     # the middle of the best cuts
 
-    every = cut_of(held) or 0.5
-    model.cuts = np.array([cut_of(held[lang[held] == k]) or every for k in range(len(FUNCTION_WORDS) + 1)])
-    return model
+    every = cut_of(fresh.sum(axis=0), total.sum(axis=0)) or 0.5
+    return np.array([cut_of(fresh[k], total[k]) or every for k in range(kinds)])
 
 
 def held_out(id_col: Column) -> Column:
@@ -280,15 +292,45 @@ def held_out(id_col: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Fit on a bounded sample (``PER_CLASS`` labelled texts per class, about)
-    of rows that are not held out.  Labels other than 0 and 1 are left out."""
+    of rows that are not held out, then choose the thresholds on all the other
+    rows that are not held out, among them one fold that is never sampled.
+    Labels other than 0 and 1 are left out."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    marks = marks.where(F.col("y").isin(0, 1) & ~held_out(F.col("id")))
-    picked = sample_per_class(marks, "id", "y", PER_CLASS, 2)
+    marks = written(marks.where(F.col("y").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
     rows = docs.select(F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, TRAIN_CHARS).alias("text"))
-    # at most about 2 x PER_CLASS short rows: their number is bounded by the sample
-    got = rows.join(F.broadcast(picked.groupBy("id").agg(F.max("y").alias("y"))), "id").select("id", "text", "y").collect()
-    got.sort(key=lambda r: (r.id, r.text))
-    return fit([r.text for r in got], [r.y for r in got])
+
+    def sampled(some: DataFrame) -> list:
+        # at most about 2 x PER_CLASS short rows: their number is bounded by the sample
+        picked = sample_per_class(some, "id", "y", PER_CLASS, 2)
+        return sorted(rows.join(F.broadcast(picked), "id").select("id", "text", "y").collect(), key=lambda r: (r.id, r.text))
+
+    got = sampled(marks.where(F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)) != 0))
+    if len({r.y for r in got}) < 2:        # so few rows of a class that the fold may hold them all
+        got = sampled(marks)
+    model = fit([r.text for r in got], [r.y for r in got])
+    if model.constant is None:
+        trained = docs.sparkSession.createDataFrame([(i,) for i in sorted({r.id for r in got})], marks.select("id").schema)
+        model.cuts = cuts_of(_reached(docs, marks, trained, model, id_col, text_col))
+    return model
+
+
+def _reached(docs: DataFrame, marks: DataFrame, trained: DataFrame, model: ToxicityModel, id_col: str, text_col: str) -> list:
+    """Counts of all rows of ``marks`` as ``cuts_of`` takes them.  Whole texts
+    are scored where they are read; only ids and small numbers are joined."""
+    rows = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    model.tables()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            words = words_of(*utf8(part.column("text")))
+            reached = np.searchsorted(CUTS, model.raw_scores(words), "right")
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(model.language(words).astype(np.int32)), pa.array(reached.astype(np.int32))],
+                                             names=["id", "lang", "reached"])
+
+    told = python_pass(rows, run, rows.select("id").schema.add("lang", "integer").add("reached", "integer"))
+    known = F.broadcast(trained.withColumn("known", F.lit(True)))          # bounded by the sample
+    judged = told.join(marks, "id").join(known, "id", "left").withColumn("trained", F.col("known").isNotNull())
+    return [tuple(r) for r in judged.groupBy("lang", "y", "trained", "reached").count().collect()]
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

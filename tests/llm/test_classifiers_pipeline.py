@@ -99,6 +99,35 @@ def test_toxicity_learns_planted_words(ship_llm):
     assert again == {(r.doc_id, r.score) for r in got}
 
 
+def test_toxicity_thresholds_keep_the_mix_of_all_rows():
+    """One clean row in ten scores as high as most toxic ones.  At the true mix
+    (90 clean : 1 toxic) only the high cut is worth it; trained rows are 1 : 1."""
+    at = {s: int(np.searchsorted(toxicity.CUTS, s, "right")) for s in (0.1, 0.6, 0.95)}
+    counts = [(1, 0, False, at[0.1], 8100), (1, 0, False, at[0.6], 900), (1, 0, True, at[0.1], 100),
+              (1, 1, False, at[0.6], 60), (1, 1, False, at[0.95], 40), (1, 1, True, at[0.95], 100)]
+    cuts = toxicity.cuts_of(counts)
+    assert 0.6 < cuts[1] <= 0.95 and len(set(cuts)) == 1
+    even = [(k, y, t, s, n if y else n // 90) for k, y, t, s, n in counts]
+    assert 0.1 < toxicity.cuts_of(even)[1] <= 0.6
+    # toxic rows were trained on nine times in ten: the rest stand for them
+    assert 0.1 < toxicity.cuts_of([(1, 0, False, at[0.1], 900), (1, 0, False, at[0.6], 100), (1, 1, False, at[0.6], 60),
+                                   (1, 1, False, at[0.95], 40), (1, 1, True, at[0.95], 900)])[1] <= 0.6
+
+
+def test_toxicity_thresholds_are_chosen_on_every_row_not_trained_on(ship_llm, monkeypatch):
+    rows = toxic_rows(np.random.default_rng(2), 1500)
+    df = ship_llm.createDataFrame([(i, t) for i, t, _ in rows] + [(7, "w1 again")], "doc_id long, text string")
+    labels = ship_llm.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    seen, choose, per_class = [], toxicity.cuts_of, 50
+    monkeypatch.setattr(toxicity, "PER_CLASS", per_class)
+    monkeypatch.setattr(toxicity, "cuts_of", lambda counts: seen.extend(counts) or choose(counts))
+    toxicity.learn(df, labels)
+    ids = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1] + [7] * (zlib.crc32(b"7") % 3 != 1)
+    assert sum(n for *_, n in seen) == len(ids)
+    trained = sum(n for _, _, t, _, n in seen if t)
+    assert 0 < trained < 4 * per_class and len(ids) - trained > 700
+
+
 def test_toxicity_with_one_class_or_no_label(ship_llm):
     df = ship_llm.createDataFrame([(i, "a b") for i in range(9)], "doc_id long, text string")
     ones = ship_llm.createDataFrame([(i, 1) for i in range(9)], "doc_id long, toxic int")
