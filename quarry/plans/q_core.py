@@ -164,6 +164,14 @@ def d8_prefix_match(spark, root):
     return joins.prefix_match(p, p, "handle", "text", "id", 30)
 
 
+@register("d8_containment_match", with_views("posts") + """
+SELECT a.id, min(b.id) AS matched_id FROM posts a JOIN posts b
+  ON a.handle = b.handle AND contains(b.text, substr(a.text, 1, 30)) AND a.id <> b.id GROUP BY a.id""")
+def d8_containment_match(spark, root):
+    p = Views(spark, root).t.documents.select(F.col("doc_id").alias("id"), F.col("source").alias("handle"), "text")
+    return joins.containment_match(p, p, "handle", "text", "id", 30)
+
+
 @register("d10_bind_by_key", with_views("admissions", "signs") + """
 SELECT a.adm_id, a.hospital, s.floppy FROM admissions a JOIN signs s USING (adm_id)""")
 def d10_bind_by_key(spark, root):

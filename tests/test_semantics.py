@@ -102,3 +102,19 @@ def test_three_valued_composite(spark):
                                "a boolean, b boolean, c boolean")
     out = [r[0] for r in df.select(recode.composite_sign(F.col("a"), F.col("b"), F.col("c"))).collect()]
     assert out == [True, False, None]
+
+
+def test_containment_match_finds_the_passage_at_any_place(spark, monkeypatch):
+    from quarry.operators import joins
+    line = "wash your hands and stay at home today"            # 38 characters, the first 30 count
+    rows = [(10, "who", line + " please"), (4, "who", "RT @x: " + line[:30]), (2, "cdc", line), (7, "who", line[:29] + "!"),
+            (20, "who", "stay at"), (21, "who", "caf\u00e9 \U0001f600 open"), (22, "who", "the caf\u00e9 \U0001f600 opens"),
+            (30, "far", "z" * 5000 + line), (31, "far", line + " again"), (32, "far", None), (33, None, line), (34, "one", line),
+            (40, "void", ""), (41, "void", "anything")]
+    df = spark.createDataFrame(rows, "id long, handle string, text string")
+    got = {r.id: r.matched_id for r in joins.containment_match(df, df, "handle", "text", "id", 30).collect()}
+    assert got == {10: 4, 20: 4, 21: 22, 31: 30, 40: 41}
+    monkeypatch.setattr(joins, "PIECE", 64)                     # passages across pieces of a text
+    again = {r.id: r.matched_id for r in joins.containment_match(df, df, "handle", "text", "id", 30).collect()}
+    assert again == got
+    assert joins.containment_match(df.limit(0), df, "handle", "text", "id", 30).count() == 0
