@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, chat_format, fingerprints, language_id, packing, simhash_dedup, substring_dedup, toxicity, url_filter
+from quarry.llm import ann, bpe, centroids, chat_format, fingerprints, language_id, packing, simhash_dedup, substring_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -103,3 +103,34 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every 20th vector, among all rows."""
     rows = table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
+def kmeans_sql(k: int = 40, rounds: int = 5) -> str:
+    """The clustering in SQL: one assignment and one update per round."""
+    gap = "list_sum(list_transform(list_zip(v.p, c.p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    near = f"SELECT v.r, CAST(min({gap} * 1000 + c.c) AS BIGINT) AS q FROM v CROSS JOIN {{}} c GROUP BY v.r"
+    steps = [r"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, p) - 1 AS c, p FROM (
+    SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, p FROM v ORDER BY h, p LIMIT {k}))"""]
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED ({near.format(f"c{i}")}),
+c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(m.p, c.p) AS p FROM c{i} c LEFT JOIN (
+    SELECT c, list(x ORDER BY i) AS p FROM (
+      SELECT c, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM (
+        SELECT q % 1000 AS c, unnest(v.p) AS x, generate_subscripts(v.p, 1) AS i FROM a{i} JOIN v USING (r)) GROUP BY c, i) GROUP BY c) m USING (c))""")
+    return f"""WITH {", ".join(steps)},
+f AS MATERIALIZED ({near.format(f"c{rounds}")})
+SELECT vec_id, CAST(q % 1000 AS INTEGER) AS cluster, q // 1000 AS distance,
+       CAST(sum(q // 1000) OVER (PARTITION BY q % 1000) AS BIGINT) AS cluster_inertia, CAST(sum(q // 1000) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.p, ',')) AS centroid_sha256
+FROM f JOIN v USING (r) JOIN c{rounds} c ON c.c = q % 1000"""
+
+
+@query("op11_centroid_clustering", sql=kmeans_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64-component vectors in 40 clusters after five rounds."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
