@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, centroids, chat_format, fingerprints, language_id, packing, simhash_dedup, substring_dedup, toxicity, url_filter
+from quarry.llm import ann, bpe, centroids, chat_format, fingerprints, language_id, packing, sharding, simhash_dedup, substring_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -134,3 +134,9 @@ FROM f JOIN v USING (r) JOIN c{rounds} c ON c.c = q % 1000"""
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 64-component vectors in 40 clusters after five rounds."""
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_sharding")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)

@@ -3,11 +3,12 @@
 import hashlib
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from quarry.llm import centroids
+from quarry.llm import centroids, sharding
 
 
 # ------------------------------------------------------------------ centroid clustering
@@ -72,3 +73,73 @@ def test_limbs_add_up():
         parts = centroids._limbs(v)
         assert [sum(p[j] << 32 * i for i, p in enumerate(parts)) for j in range(3)] == v
         assert all(-2 ** 63 <= x < 2 ** 63 for p in parts for x in p)
+
+
+# ------------------------------------------------------------------ shards
+def cut_by_sorting(points, goal):
+    rows = sorted(points)
+    sums = [0]
+    for r in rows:
+        sums.append(sums[-1] + r[2])
+    best = min(range(len(sums)), key=lambda i: (abs(sums[i] - goal), i))
+    return {r[:2] for r in rows[:best]}
+
+
+@pytest.mark.parametrize("most", [4, 40, 1 << 16])
+def test_weighted_medians_equal_sorting(ship_llm, most):
+    rng = random.Random(2)
+    nodes = {0: [], 3: [], 5: []}
+    for i in range(300):
+        nodes[0].append((rng.choice([1.0, 2.0, 2.0, 5.5, -1e300]), rng.getrandbits(64) - 2 ** 63, rng.randrange(1, 50)))
+        nodes[3].append((rng.gauss(0, 1e6), i, rng.randrange(1, 9) ** 4))
+    nodes[5] = [(7.0, 1, 10), (7.0, 2, 1)]
+    df = ship_llm.createDataFrame([(n, *p) for n, ps in nodes.items() for p in ps], "node int, x double, h long, weight long")
+    goals = {n: sum(p[2] for p in ps) * f for (n, ps), f in zip(nodes.items(), (0.5, 2 / 3, 0.5), strict=True)}
+    sizes = {n: (len(ps), min(p[0] for p in ps), max(p[0] for p in ps)) for n, ps in nodes.items()}
+    cuts = sharding.weighted_cuts(df, goals, sizes, most)
+    for n, ps in nodes.items():
+        assert {p[:2] for p in ps if p[:2] < cuts[n]} == cut_by_sorting(ps, goals[n])
+
+
+def sharded(ship_llm, rows, **how):
+    df = ship_llm.createDataFrame(rows, "doc_id long, text string, lang string, source string, size string, shard double, `key` long")
+    out = [r.asDict() for r in sharding.shard_documents(df, **how).collect()]
+    want = [(r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows]
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in out), key=str) == sorted(want, key=str)
+    for s in {r["shard"] for r in out}:
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+    assert all(r["law"] == "bytes" and r["grown_shard"] is None for r in out)
+    return out
+
+
+@pytest.mark.parametrize(("shards", "most"), [(8, 1 << 16), (5, 24), (1, 24)])
+def test_shards_have_near_equal_bytes(ship_llm, shards, most):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("abé ") for _ in range(rng.randrange(1, 200))), rng.choice(["en", "fr", None]),
+             "hot" if rng.random() < 0.4 else f"s{rng.randrange(9)}", "x", float("nan"), 1) for i in range(900)]
+    rows += [(2000 + i, "copy " * 20, "en", f"s{i % 9}", None, None, None) for i in range(450)]            # a third of the bytes
+    rows += [(5000 + i, f"pair {i // 2} " * 9, rng.choice(["en", "de"]), f"s{i % 7}", "y", 0.5, 2) for i in range(60)]
+    rows += [(None, None, None, None, None, None, None), (None, "", "en", "s1", None, None, None), (7, None, "en", None, "", 1.0, 3), rows[0], rows[0]]
+    rng.shuffle(rows)
+    out = sharded(ship_llm, rows, shards=shards, most=most)
+    total, largest = sum(r["size"] for r in out), max(r["size"] for r in out)
+    part = [sum(r["size"] for r in out if r["shard"] == s) for s in range(shards)]
+    assert max(abs(p - total / shards) for p in part) <= 2 * max(largest, 0.02 * total / shards)
+    where = {}
+    for r in out:
+        where.setdefault((r["size"], r["text_crc32"]), []).append(r["shard"])
+    light = [w for (size, _), w in where.items() if size * len(w) <= max(largest, 0.02 * total / shards)]
+    assert all(len(set(w)) == 1 for w in light) and any(len(w) > 1 for w in light)
+
+
+def test_splits_follow_one_dimension(ship_llm):
+    rows = [(i, f"text {i}", "en", f"s{i:03d}", None, None, None) for i in range(160)]
+    out = sharded(ship_llm, rows, shards=8)
+    assert [r["shard"] for r in sorted(out, key=lambda r: r["doc_id"])] == [i // 20 for i in range(160)]
+
+
+def test_few_rows_and_none(ship_llm):
+    out = sharded(ship_llm, [(1, "a", "en", "s", None, None, None), (2, "bb", "en", "s", None, None, None)], shards=8)
+    assert len({r["shard"] for r in out}) == 2
+    docs = ship_llm.createDataFrame([], "doc_id long, text string")
+    assert sharding.shard_documents(docs).collect() == []
