@@ -133,7 +133,7 @@ def test_shards_have_near_equal_bytes(ship_llm, shards, most):
 
 
 def test_splits_follow_one_dimension(ship_llm):
-    rows = [(i, f"text {i}", "en", f"s{i:03d}", None, None, None) for i in range(160)]
+    rows = [(i, f"text {i:03d}", "en", f"s{i:03d}", None, None, None) for i in range(160)]
     out = sharded(ship_llm, rows, shards=8)
     assert [r["shard"] for r in sorted(out, key=lambda r: r["doc_id"])] == [i // 20 for i in range(160)]
 
