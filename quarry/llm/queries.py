@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, bpe, centroids, chat_format, fingerprints, language_id, packing, sharding, simhash_dedup, substring_dedup, toxicity, url_filter
+from quarry.llm import ann, bpe, centroids, chat_format, fingerprints, language_id, packing, ranking, sharding, simhash_dedup, substring_dedup, toxicity, url_filter
 from quarry.llm.common import table
 from quarry.llm.registry import query
 
@@ -140,3 +140,25 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of near equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
+@query("op13_ranked_search", sql=r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+s AS (SELECT count(*) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0),
+q AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+f AS MATERIALIZED (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 * n + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term) CROSS JOIN s),
+m AS (SELECT r, doc_id, 100 - 50 + (50 * len(t) * n) // l AS m FROM d CROSS JOIN s),
+x AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 50""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item, among all documents."""
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -3,12 +3,15 @@
 import hashlib
 import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarry.llm import centroids, sharding
+from quarry.llm import centroids, ranking, sharding
 
 
 # ------------------------------------------------------------------ centroid clustering
@@ -85,7 +88,7 @@ def cut_by_sorting(points, goal):
     return {r[:2] for r in rows[:best]}
 
 
-@pytest.mark.parametrize("most", [4, 40, 1 << 16])
+@pytest.mark.parametrize("most", [4, 40, 1 << 12])
 def test_weighted_medians_equal_sorting(ship_llm, most):
     rng = random.Random(2)
     nodes = {0: [], 3: [], 5: []}
@@ -112,7 +115,7 @@ def sharded(ship_llm, rows, **how):
     return out
 
 
-@pytest.mark.parametrize(("shards", "most"), [(8, 1 << 16), (5, 24), (1, 24)])
+@pytest.mark.parametrize(("shards", "most"), [(8, 1 << 12), (5, 24), (1, 24)])
 def test_shards_have_near_equal_bytes(ship_llm, shards, most):
     rng = random.Random(4)
     rows = [(i, "".join(rng.choice("abé ") for _ in range(rng.randrange(1, 200))), rng.choice(["en", "fr", None]),
@@ -143,3 +146,88 @@ def test_few_rows_and_none(ship_llm):
     assert len({r["shard"] for r in out}) == 2
     docs = ship_llm.createDataFrame([], "doc_id long, text string")
     assert sharding.shard_documents(docs).collect() == []
+
+
+# ------------------------------------------------------------------ ranked search
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def terms_of(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def rank(docs, items, k):
+    count = [(i, Counter(terms_of(t))) for i, t in docs]
+    n, length = sum(bool(c) for _, c in count), sum(c.total() for _, c in count)
+    df = Counter(t for _, c in count for t in c)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(terms_of(t))
+    out = []
+    for item, terms in asked.items():
+        w = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) for t in terms}
+        found = []
+        for i, c in count:
+            m = 50 + 50 * c.total() * n // length if length else 0
+            s = sum(w[t] * (10 ** 9 * c[t] // (1000 * c[t] + 20 * m)) for t in terms if c[t])
+            if s > 0:
+                found.append((-s, i is None, i or 0))
+        out += [(item, r, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(found)[:k], 1)]
+    return sorted(out, key=str)
+
+
+def prose(rng, n):
+    words = [f"{rng.choice(['Wort', 'mot', 'ñan', 'x'])}{i}" for i in range(300)]
+    texts = []
+    for _ in range(n):
+        size = rng.choice([1, 5, 30, 30, 200])
+        texts.append(rng.choice([" ", ", ", "\n\x00"]).join(words[min(299, int(rng.expovariate(0.02)))] for _ in range(size)))
+    return texts
+
+
+@pytest.mark.parametrize(("k", "item_bytes"), [(5, 1 << 19), (50, 200), (1, 1 << 19)])
+def test_ranking_equals_brute_force(ship_llm, k, item_bytes):
+    rng = random.Random(11)
+    texts = prose(rng, 150)
+    docs = list(enumerate(texts)) + [(1, texts[0]), (900, texts[3]), (901, texts[3]), (None, texts[3]), (None, None), (902, ""), (903, " .,!"),
+                                     (904, "wort1 " * 30000 + "ENDE"), (905, "Ünï Mot2 _mot2-MOT2")]
+    items = [(i, t) for i, t in enumerate(rng.sample(texts, 12))] + [(3, "ende"), (50, None), (51, ""), (52, "nowhere"), (None, "mot2 ünï"), (53, "Ünï ÜNÏ")]
+    rng.shuffle(docs)
+    df = ship_llm.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, score long").repartition(3)
+    asked = ship_llm.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, `rank` string")
+    got = ranking.rank_documents(df, asked, k=k, item_bytes=item_bytes).collect()
+    assert sorted([tuple(r) for r in got], key=str) == rank(docs, items, k)
+
+
+def test_ranking_of_nothing(ship_llm):
+    docs = ship_llm.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    items = ship_llm.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert ranking.rank_documents(docs.limit(0), items).collect() == []
+    assert ranking.rank_documents(docs, items.limit(0)).collect() == []
+    assert ranking.rank_documents(docs.where("text is null"), items).collect() == []
+    assert [tuple(r) for r in ranking.rank_documents(docs, items).collect()] == rank([(1, "a"), (2, None)], [(1, "a b")], 50)
+
+
+def test_bounds_hold_and_leave_documents_out():
+    rng = random.Random(12)
+    part = pa.RecordBatch.from_pydict({"text": prose(rng, 400), "id": list(range(400))})
+    vocabulary = ranking.Vocabulary([t.encode() for t in sorted(set(terms_of(" ".join(prose(rng, 8)))))])
+    block = ranking._Block(part, vocabulary, 400, 20000)
+    upper = block.upper()
+    every = np.arange(len(vocabulary.size))
+    exact = np.array([block.score(every, np.eye(len(every), dtype=np.int64)[t], np.arange(400)) for t in every])
+    assert (upper >= exact).all()
+    assert upper.sum() < 1.5 * exact.sum() and ((exact == 0) & (upper > 0)).sum() < 0.05 * (exact == 0).sum()
+
+
+def test_words_with_equal_hashes_are_told_apart():
+    zero, one = "x", "y"                            # such strings have equal polynomial hashes modulo 2^64
+    for _ in range(11):
+        zero, one = zero + one, one + zero
+    raw = np.frombuffer((zero + " " + one).encode(), np.uint8)
+    starts, ends = np.array([0, len(zero) + 1]), np.array([len(zero), len(raw)])
+    hashes = np.full(2, 7, np.uint64)
+    vocabulary = ranking.Vocabulary([zero.encode(), one.encode()])
+    vocabulary.sorted[:], vocabulary.alike = 7, 2
+    assert vocabulary.find(raw, starts, ends, hashes).tolist() == [0, 1]
+    assert ranking.Vocabulary([one.encode()]).find(raw, starts, ends, ranking.span_hashes(raw, starts, ends)).tolist()[1] == 0
