@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 from quarry.llm.common import partitions, written
 
 WHOLE = 0.02              # copies of one text that weigh more of a shard than this (and than any one text) are split
-STEPS = 1 << 16           # steps, and points of last steps, that the driver holds for one pass
+STEPS = 1 << 12           # points of last steps that the driver holds for one level (64 of a node at least)
+MOST_SHARDS = 1 << 14     # the tree's nodes, one row each, are held by the driver and broadcast
 LAW = "bytes"
 SHORT, LONG = -(1 << 63), (1 << 63) - 1
 
@@ -75,8 +76,8 @@ def weighted_cuts(points: DataFrame, goals: dict[int, float], sizes: dict[int, t
     ``points`` has node, x, h and weight; ``sizes`` gives each node's number of
     points and its least and largest x."""
     state = {node: _Search(goal, 0, *sizes[node]) for node, goal in goals.items()}
-    few = max(2, most // max(1, len(state)))
-    steps = max(2, min(1024, few))
+    few = max(min(64, most), most // max(1, len(state)))
+    steps = max(64, min(1024, 16 * most // max(1, len(state))))
     while True:
         for s in state.values():
             if s.at is None and s.lo == s.hi:
@@ -175,8 +176,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, dims: tuple[str, ...] = ("
     than shards some stay empty; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    if shards < 1 or shards > most:
-        raise ValueError(f"shards must lie between 1 and {most}")
+    if not 1 <= shards <= MOST_SHARDS:
+        raise ValueError(f"shards must lie between 1 and {MOST_SHARDS}")
     text = F.col(f"`{text_col}`").cast("string")
     meta = [c for c in dims if c in docs.columns]
     names = [f"m{i}" for i in range(len(meta))] + ["size"]
