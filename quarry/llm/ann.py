@@ -1,16 +1,19 @@
 """Approximate nearest neighbours with randomly rotated one-bit codes.
 
-A vector is padded with zeros to ``BITS`` dimensions, turned by one random
-rotation and stored as the signs of its coordinates (packed bits) with two
-correction scalars: its norm and the inner product of the unit vector with its
-code.  A query's inner product with a vector is then estimated from the bits,
+A vector is padded with zeros to a multiple of 64 dimensions, turned by one
+random rotation and stored as the signs of its coordinates (one packed bit
+each) with two correction scalars: its length (as a logarithm, so that no
+finite vector overflows) and the inner product of the unit vector with its
+code.  A query is turned likewise and its coordinates are rounded to
+``QUERY_BITS`` bits; its inner product with a code is a weighted sum of bit
+counts of the packed words.  That estimates the inner product with the vector,
 with an error bound that holds with high probability; per block of rows only
 vectors whose upper bound reaches the ``k``-th best lower bound are reranked
 by the exact inner product of the original vectors.
 
 The index holds every row.  Queries are a stated set; they are broadcast in
-blocks of bounded size (``QUERY_BLOCK`` vectors), and each block scans the
-index once.
+blocks of bounded size (``QUERY_BLOCK`` vectors); each block scans the index
+once and its result is written before the next one starts.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import python_pass, written
 
-BITS = 256                # length of a code, a multiple of 64
+BITS = 64                 # least length of a code, a multiple of 64; else the vectors' dimension rounded up to one
+QUERY_BITS = 6            # bits of a query's coordinate
 ERROR = 1.9               # width of the error bound in standard deviations of the estimate
 ROWS = 8192               # vectors of an index block
 QUERY_BLOCK = 8192        # queries that are broadcast together (bounds the driver's share)
@@ -42,10 +46,32 @@ def code_bits(dim: int, bits: int = BITS) -> int:
 
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed sign bits, norms, and inner products of unit vector and code."""
-    norm = np.linalg.norm(vectors, axis=1)
-    turned = (vectors / norm[:, None]) @ turn[:vectors.shape[1]]
-    return np.packbits(turned > 0, axis=1), norm, np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[0])
+    """Packed sign bits, logarithms (base 2) of the lengths, and inner products
+    of unit vector and code."""
+    unit, length = directions(vectors)
+    turned = unit @ turn[:vectors.shape[1]]
+    return np.packbits(turned > 0, axis=1), length, np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[0])
+
+
+def directions(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and the logarithms (base 2) of the lengths, for any finite
+    vectors but zero: nothing overflows or vanishes on the way."""
+    most = np.abs(vectors).max(axis=1, keepdims=True)
+    part, power = np.frexp(vectors)
+    even = np.ldexp(part, np.maximum(power - np.frexp(most)[1], -2000))
+    norm = np.linalg.norm(even, axis=1)
+    return even / norm[:, None], np.frexp(most)[1][:, 0] + np.log2(norm)
+
+
+def query_planes(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Turned unit queries with coordinates rounded to ``QUERY_BITS`` bits:
+    the packed bits of each weight (weights by queries by 64-bit words), the
+    least value and the step of each query."""
+    low = turned.min(axis=1, keepdims=True)
+    step = np.maximum(turned.max(axis=1, keepdims=True) - low, 1e-300) / ((1 << QUERY_BITS) - 1)
+    level = np.rint((turned - low) / step).astype(np.uint8)
+    planes = [np.packbits(level >> j & 1, axis=1).view(np.uint64) for j in range(QUERY_BITS)]
+    return np.stack(planes), low, step
 
 
 def _valid(vectors: list, dim: int | None) -> np.ndarray:
@@ -97,25 +123,36 @@ def search_block(block: dict, qid: np.ndarray, q: np.ndarray, turn: np.ndarray,
     dim, width = q.shape[1], turn.shape[0]
     ids = np.frombuffer(block["ids"], np.int64)
     vectors = np.frombuffer(block["vectors"], np.float64).reshape(-1, dim)
-    signs = np.unpackbits(np.frombuffer(block["codes"], np.uint8).reshape(-1, width // 8), axis=1).astype(np.float32)
-    signs *= 2
-    signs -= 1
-    norm, fit = np.frombuffer(block["norms"], np.float64), np.frombuffer(block["fits"], np.float64)
-    scale = (norm / fit / np.sqrt(width)).astype(np.float32)
-    spread = (norm * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit * width_of_bound / np.sqrt(width - 1)).astype(np.float32)
+    codes = np.frombuffer(block["codes"], np.uint64).reshape(-1, width // 64)
+    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
+    length, fit = np.frombuffer(block["norms"], np.float64), np.frombuffer(block["fits"], np.float64)
+    # of unit queries, and of rows as parts of the longest one: the order and the choice are the same
+    norm = np.exp2(length - length.max(initial=-np.inf))
+    scale = norm / fit / np.sqrt(width)
+    spread = norm * np.sqrt(np.maximum(1 - fit * fit, 0)) / fit * width_of_bound / np.sqrt(width - 1)
+    units = directions(q)[0] if len(q) else q
     for a in range(0, len(q), TOGETHER):
         part = q[a:a + TOGETHER]
-        estimate = ((part @ turn[:dim]).astype(np.float32) @ signs.T) * scale
-        error = np.linalg.norm(part, axis=1).astype(np.float32)[:, None] * spread
+        planes, low, step = query_planes(units[a:a + TOGETHER] @ turn[:dim])
+        bits = np.zeros((len(part), len(ids)), np.int32)
+        for j, plane in enumerate(planes):
+            for w in range(plane.shape[1]):
+                bits += np.bitwise_count(plane[:, w, None] & codes[None, :, w]).astype(np.int32) << j
+        # sum of coordinate times sign, the signs being twice the bits less one
+        whole = low[:, 0] * width + step[:, 0] * np.stack([np.bitwise_count(p).sum(axis=1, dtype=np.int64) << j for j, p in enumerate(planes)]).sum(axis=0)
+        estimate = (2 * (low * ones + step * bits) - whole[:, None]) * scale
+        # rounding a coordinate errs by a twelfth of its step squared on the average
+        error = spread[None, :] + step * np.sqrt(width / 12) * width_of_bound * scale
         own = qid[a:a + TOGETHER, None] == ids[None, :]
         estimate[own] = -np.inf
         lower = estimate - error
         n = len(ids)
-        least = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(part), -np.inf, np.float32)
+        least = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(part), -np.inf)
         near = (estimate + error >= least[:, None]) & ~own
         for i in range(len(part)):
             hit = np.flatnonzero(near[i])
-            score = np.einsum("ij,j->i", vectors[hit], part[i])
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = np.einsum("ij,j->i", vectors[hit], part[i])
             top = np.lexsort((ids[hit], -score))[:k]
             yield int(qid[a + i]), ids[hit][top], score[top]
 
@@ -141,7 +178,7 @@ def search(index: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col:
     blocks = max(1, -(-n // QUERY_BLOCK))
     # a hash spreads the ids evenly; half as many again as the mean is the bound of a block
     placed = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    found = spark.createDataFrame([], "query_id long, ids array<long>, scores array<double>")
+    found = spark.createDataFrame([], "query_id long, rank int, id long, score double")
     for b in range(blocks):
         got = placed.where(F.col("block") == b).select("id", "v").collect()      # about QUERY_BLOCK rows
         raw = [r.v for r in got]
@@ -161,11 +198,15 @@ def search(index: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col:
                             [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].tolist() for o in out], pa.list_(pa.int64())),
                              pa.array([o[2].tolist() for o in out], pa.list_(pa.float64()))], names=["query_id", "ids", "scores"])
 
-        found = found.unionByName(python_pass(index, run, "query_id long, ids array<long>, scores array<double>"))
-    each = found.select("query_id", F.explode(F.arrays_zip("scores", "ids")).alias("c"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("c.scores"), "c.ids")
-    ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("c.ids").alias(id_col), F.col("c.scores").alias("score"))
+        each = python_pass(index, run, "query_id long, ids array<long>, scores array<double>").select(
+            "query_id", F.explode(F.arrays_zip("scores", "ids")).alias("c"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("c.scores"), "c.ids")
+        ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        # written, so that the next block's queries take this one's place on the driver and in the workers
+        found = found.unionByName(written(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("c.ids").alias("id"),
+                                                        F.col("c.scores").alias("score"))))
+        sent.destroy()
+    return found.withColumnRenamed("id", id_col)
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",

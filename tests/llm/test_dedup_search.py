@@ -11,7 +11,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quarry.llm import ann, fingerprints, queries, simhash_dedup, substring_dedup
+from quarry.llm import ann, common, fingerprints, queries, simhash_dedup, substring_dedup
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -263,6 +263,75 @@ def test_error_bound_holds_for_most_vectors():
     turn = ann.rotation(256)
     code, norm, fit = ann.encode(v, turn)
     signs = np.unpackbits(code, axis=1) * 2.0 - 1
+    norm = 2 ** norm
     estimate = (q @ turn[:64]) @ signs.T * norm / fit / 16
     bound = norm * np.sqrt(1 - fit * fit) / fit * ann.ERROR / np.sqrt(255) * np.linalg.norm(q)
     assert (np.abs(estimate - v @ q) <= bound).mean() > 0.9
+
+
+def test_any_finite_norm_keeps_its_neighbours(ship_llm):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(600, 64)) * 10.0 ** rng.choice([-150, -20, 0, 20, 150], size=(600, 1))
+    df = ship_llm.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 20 = 0"), 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 600, 20)) and all(len(g) == 20 for g in got.values())
+    hit = 0
+    for q, found in got.items():
+        s = v @ v[q]
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(600), -s))[:20].tolist()
+        hit += len(set(best) & {i for _, i, _ in found})
+        assert [i for _, i, _ in sorted(found)] == sorted([i for _, i, _ in found], key=lambda i: (-s[i], i))
+    assert hit >= 0.9 * 20 * 30
+    huge = ship_llm.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(rng.normal(size=(60, 8)) * 1e20)], "vec_id long, embedding array<float>")
+    assert ann.nearest(huge, huge.where("vec_id % 20 = 0"), 20).count() == 60
+
+
+def test_query_planes_give_the_product_with_a_code():
+    rng = np.random.default_rng(3)
+    t, code = rng.normal(size=(5, 128)), rng.integers(0, 2, (7, 128))
+    planes, low, step = ann.query_planes(t)
+    rounded = low + step * sum((np.unpackbits(p.view(np.uint8), axis=1).astype(float) * 2 ** j for j, p in enumerate(planes)))
+    assert np.abs(rounded - t).max() <= step.max() / 2 + 1e-9
+    words = np.packbits(code, axis=1).view(np.uint64)
+    bits = sum(np.bitwise_count(p[:, None, :] & words[None]).sum(axis=2).astype(float) * 2 ** j for j, p in enumerate(planes))
+    assert np.allclose(low * code.sum(axis=1) + step * bits, rounded @ code.T)
+
+
+# ------------------------------------------------------------------ rows that share an id, words that share a hash
+def test_rows_of_one_id_with_many_texts(ship_llm):
+    rng = random.Random(31)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, f"{rng.randrange(10 ** 9)} a") for _ in range(30000)] + [(7, f"{rng.randrange(10 ** 9)} b") for _ in range(30000)]
+    rows += [(1, passage), (None, "start " + passage), (7, passage + " end"), (7, passage + " end"), (7, "x " * 60)]
+    df = ship_llm.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(df).where("n_words > 2").collect()
+    assert sorted([tuple(r) for r in got], key=str) == sorted(
+        [(1, 60, 0, passage), (None, 61, 60, "start"), (7, 61, 60, "end"), (7, 61, 60, "end"), (7, 60, 0, "x " * 59 + "x")], key=str)
+
+
+def test_texts_behind_one_old_hash_keep_their_own_cuts(ship_llm):
+    """Texts of one id whose 32-bit row hashes meet; one of them is cut."""
+    words = [f"w{i}" for i in range(50)]
+    many = ship_llm.range(150000).selectExpr("id", "concat(id, ' z') AS text").selectExpr("text", "hash(text) AS h")
+    twins = many.groupBy("h").agg({"text": "collect_list"}).where("size(`collect_list(text)`) > 1").limit(3).collect()
+    assert twins
+    rows = [(1, " ".join(words))] + [(i, t) for r in twins for i in (None, 5) for t in r[1]] + [(5, " ".join(words) + " tail")]
+    got = substring_dedup.remove_repeats(ship_llm.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([(r.doc_id, r.kept_text) for r in got], key=str) == sorted(
+        [(i, "tail" if t.endswith("tail") else t) for i, t in rows], key=str)
+
+
+def test_words_of_one_polynomial_hash_differ(ship_llm):
+    a, b = "x", "y"
+    for _ in range(10):
+        a, b = a + b, b + a
+    head = " ".join(f"h{i}" for i in range(49))
+    df = ship_llm.createDataFrame([(1, f"{head} {a}"), (2, f"{head} {b}"), (3, f"{head} {b} c")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+    raw = np.frombuffer(f"{a} {b}".encode(), np.uint8)
+    h = common.place_hashes(raw, np.array([0, len(a) + 1]), np.array([len(a), len(raw)]))
+    assert h[0] != h[1]
