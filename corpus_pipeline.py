@@ -20,21 +20,34 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 ORACLE_SQL = None         # classifiers, fingerprints and encodings are beyond SQL; tested against the operators' brute force
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns but those that the operators read under names
+    that none of their result columns has; positions stay."""
+    return docs.toDF(*[c if c in ("doc_id", "text", "lang") else f"column_{i}_of_documents" for i, c in enumerate(docs.columns)])
+
+
+def _again(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``_apart`` under the names they have in ``docs``."""
+    return rows.select(_apart(docs).columns).toDF(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
     ship(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    judged = toxicity.score(docs, model, keep=docs.columns)
-    return judged.where("predicted = 0").select(docs.columns)
+    plain = _apart(docs)
+    judged = toxicity.score(plain, model, keep=plain.columns)
+    return _again(judged.where("predicted = 0"), docs)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter go, and those whose
     best language is both a near tie and below one half."""
     ship(spark)
-    told = language_id.identify(docs, language_id.learn(docs), keep=docs.columns)
+    plain = _apart(docs)
+    told = language_id.identify(plain, language_id.learn(plain), keep=plain.columns)
     reject = (F.col("lang_pred") == language_id.UNKNOWN) | (F.col("ambiguous") & (F.col("score") < 0.5))
-    return told.where(~reject).select(docs.columns)
+    return _again(told.where(~reject), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,22 +55,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     (one row of it, if the id repeats).  Rows without an id all stay: they
     cannot be named as a class's document."""
     ship(spark)
-    classes = simhash_dedup.near_duplicates(docs.where("doc_id is not null"))
+    plain = _apart(docs)
+    classes = simhash_dedup.near_duplicates(plain.where("doc_id is not null"))
     stay = classes.where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(stay, "doc_id").select(docs.columns).dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    # of a repeated id the row with the least hash, so that a task that runs again keeps the same one
+    whole = F.struct(*plain.columns)
+    one = plain.join(stay, "doc_id").groupBy("doc_id").agg(F.min_by(whole, F.xxhash64(*plain.columns)).alias("row")).select("row.*")
+    return _again(one.unionByName(plain.where("doc_id is null")), docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated passages; texts that lose none
     stay as they are, ``n_chars`` follows the text."""
     ship(spark)
-    cut = substring_dedup.remove_repeats(docs, keep=docs.columns)
+    plain = _apart(docs)
+    cut = substring_dedup.remove_repeats(plain, keep=plain.columns)
     changed = F.col("n_removed") > 0
-    return cut.withColumns({
-        "text": F.when(changed, F.col("kept_text")).otherwise(F.col("text")),
-        "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
-    }).select(docs.columns)
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        n = plain.columns[docs.columns.index("n_chars")]
+        new[n] = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col(n))
+    return _again(cut.withColumns(new), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
@@ -65,14 +65,15 @@ def python_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 CARRIED = ["kept", "body"]
 
 
-def kept_columns(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, list]:
+def kept_columns(docs: DataFrame, keep: list[str], text_col: str, *more: Column) -> tuple[DataFrame, list]:
     """Rows with ``text`` and the other columns to carry along as the struct
     ``kept`` (``body``: the text once more only if it is to be carried but is
-    no string, else null), and the columns to select afterwards."""
+    no string, else null), and the columns to select afterwards.  ``more`` are
+    columns beside these; names of ``docs`` cannot clash with theirs."""
     text = F.col(f"`{text_col}`")
     own = text_col in keep and docs.select(text).schema[0].dataType.simpleString() == "string"
     others = [F.col(f"`{c}`") for c in keep if not (own and c == text_col)] or [F.lit(None).cast("int").alias("none")]
-    rows = docs.select(F.struct(*others).alias("kept"), text.cast("string").alias("text"), F.lit(own).alias("own"))
+    rows = docs.select(F.struct(*others).alias("kept"), text.cast("string").alias("text"), F.lit(own).alias("own"), *more)
     back = [F.col("body").alias(c) if own and c == text_col else F.col("kept").getField(c).alias(c) for c in keep]
     return rows.withColumn("body", F.lit(None).cast("string")), back
 
@@ -176,6 +177,19 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * down[starts])
 
 
+def place_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span: the sum of a mixed value of every byte
+    with its place in the span, so that no algebra of the bytes (as that of a
+    polynomial modulo 2**64) makes two different spans meet."""
+    at = np.arange(len(raw), dtype=np.int64)
+    first = np.zeros(len(raw), np.int64)
+    first[starts] = starts
+    place = (at - np.maximum.accumulate(first)).astype(np.uint64)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(mix((place << np.uint64(8) | raw) * np.uint64(BYTE_BASE) + np.uint64(BYTE_BASE)), out=total[1:])
+    return mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64))
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and row numbers of the words of every row; ``separator``
     is a table of 256 booleans.  A word never crosses a row boundary."""

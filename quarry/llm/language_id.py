@@ -23,8 +23,8 @@ from quarry.llm.training import sample_per_class
 
 BUCKETS = 1 << 15
 PER_LANGUAGE = 400        # training texts per language, about
-TRAIN_CHARS = 4000        # characters of a training text that are learned from
-MAX_LANGUAGES = 256
+TRAIN_CHARS = 200_000     # longer texts are not learned from (the others whole); the bound of the sample's size
+MAX_LANGUAGES = 4096      # more are an error
 AMBIGUOUS = 0.10          # lead of the best codeword over the next, as a share of probability
 CHUNK = 1 << 18           # bytes of a text that are in work at a time
 UNKNOWN = "und"
@@ -155,12 +155,15 @@ def held_out(id_col: Column) -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Fit on a bounded sample (``PER_LANGUAGE`` texts per language, about) of
-    rows with a language that are not held out."""
+    """Fit on a bounded sample (``PER_LANGUAGE`` whole texts per language,
+    about) of rows with a language that are not held out, chosen by a hash of
+    id and text: rows without an id and rows that repeat one are drawn like
+    any other, copies of a row count once."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.coalesce(~held_out(F.col("id")), F.lit(True)))
-    picked = sample_per_class(rows, "id", "lang", PER_LANGUAGE, MAX_LANGUAGES)
-    got = picked.where(F.col("text").rlike(LETTER)).select(F.substring("text", 1, TRAIN_CHARS).alias("text"), "lang").collect()
+    rows = rows.where(F.length("text") <= TRAIN_CHARS)
+    picked = sample_per_class(rows, ["id", "text"], "lang", PER_LANGUAGE, MAX_LANGUAGES)
+    got = picked.where(F.col("text").rlike(LETTER)).select("text", "lang").collect()
     got.sort(key=lambda r: (r.lang, r.text))
     return fit([r.text for r in got], [r.lang for r in got])
 

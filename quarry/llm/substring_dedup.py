@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import CARRIED, blank_table, carried, kept_columns, mix, powers, python_pass, slices, span_hashes, utf8, word_spans, written
+from quarry.llm.common import CARRIED, blank_table, carried, kept_columns, mix, place_hashes, powers, python_pass, slices, utf8, word_spans, written
 
 WINDOW = 50
 GRAM = 12                 # words of an anchor
@@ -66,7 +66,7 @@ def _segments(raw: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> d
     n = len(starts)
     if n < window:
         return {}
-    words = span_hashes(raw, starts, ends)
+    words = place_hashes(raw, starts, ends)
     at = np.arange(n - gram + 1)
     grams = _sequence_hashes(words, at, at + gram, _BASE_A)
     low = np.uint64((1 << _POS) - 1)
@@ -89,8 +89,12 @@ def _emit(columns: list[tuple[str, pa.Array]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c for _, c in columns], names=[n for n, _ in columns])
 
 
-def _runs(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, hit: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """Runs of neighbouring hit windows: id, text hash, first word, windows.
+def _taken(column: pa.Array, rows: np.ndarray) -> pa.Array:
+    return column.take(pa.array(rows))
+
+
+def _runs(ids: np.ndarray, texts: pa.Array, starts: np.ndarray, hit: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """Runs of neighbouring hit windows: id, text digest, first word, windows.
     ``place`` is each window's segment row; ``starts`` its first word."""
     at = np.flatnonzero(hit)
     new = np.ones(len(at), bool)
@@ -98,7 +102,7 @@ def _runs(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, hit: np.ndarra
     edge = np.flatnonzero(new)
     size = np.diff(np.append(edge, len(at)))
     lead = at[edge]
-    return _emit([("id", pa.array(ids[place[lead]])), ("body", pa.array(texts[place[lead]])),
+    return _emit([("id", pa.array(ids[place[lead]])), ("body", _taken(texts, place[lead])),
                   ("start", pa.array(starts[lead].astype(np.int32))), ("windows", pa.array(size.astype(np.int32)))])
 
 
@@ -131,9 +135,9 @@ def _tree(part: pa.RecordBatch, window: int) -> pa.RecordBatch:
     """Repeats within the subtrees of whole anchor groups."""
     raw, offsets = utf8(part.column("text"))
     starts, ends, row = word_spans(raw, offsets, _BLANK)
-    ids, texts = np.asarray(part.column("id")), np.asarray(part.column("body"))
+    ids, texts = np.asarray(part.column("id")), part.column("body")
     first, windows = np.asarray(part.column("start")), np.asarray(part.column("windows"))
-    name = _names(span_hashes(raw, starts, ends), window)
+    name = _names(place_hashes(raw, starts, ends), window)
     seg, place = _window_places(np.searchsorted(row, np.arange(part.num_rows)), windows)
     node = name[place]
     least = np.full(int(node.max(initial=-1)) + 1, NO_ID, np.int64)
@@ -144,17 +148,17 @@ def _tree(part: pa.RecordBatch, window: int) -> pa.RecordBatch:
 
 def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """Runs of repeated windows (id, body, start, windows) of ``docs`` with
-    columns id long (not null), body int (a hash of the text, to tell rows with
-    one id apart) and text."""
+    columns id long (not null), body binary (a digest of the text, to tell rows
+    with one id apart) and text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             s = _segments(*utf8(part.column("text")), window, gram)
             if s:
-                yield _emit([("id", pa.array(np.asarray(part.column("id"))[s["row"]])), ("body", pa.array(np.asarray(part.column("body"))[s["row"]])),
+                yield _emit([("id", pa.array(np.asarray(part.column("id"))[s["row"]])), ("body", _taken(part.column("body"), s["row"])),
                              *((k, pa.array(s[k])) for k in ("start", "windows", "anchor", "segment"))])
 
-    every = python_pass(docs, scan, "id long, body int, start int, windows int, anchor long, segment long")
+    every = python_pass(docs, scan, "id long, body binary, start int, windows int, anchor long, segment long")
     # both sides of a join are dealt for it alone, so that Spark can split a hot key: aggregates are written first
     shared = written(every.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor"))
     rows = written(every.join(shared, "anchor"))
@@ -180,11 +184,11 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
             blob = raw.tobytes()
             text = [blob[x:y].decode() for x, y in zip(starts[a].tolist(), ends[a + got["windows"] + window - 2].tolist(), strict=True)]
             yield _emit([("anchor", pa.array(got["anchor"])), ("id", pa.array(np.asarray(part.column("id"))[of])),
-                         ("body", pa.array(np.asarray(part.column("body"))[of])), ("start", pa.array(got["start"])),
+                         ("body", _taken(part.column("body"), of)), ("start", pa.array(got["start"])),
                          ("windows", pa.array(got["windows"])), ("kinds", pa.array(got["kinds"])), ("text", pa.array(text, pa.string()))])
 
     bearers = python_pass(docs.join(wanted, ["id", "body"]).select("id", "body", "text", "wanted"), fetch,
-                          "anchor long, id long, body int, start int, windows int, kinds long, text string")
+                          "anchor long, id long, body binary, start int, windows int, kinds long, text string")
     bearers = written(bearers)
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,21 +217,21 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
             yield from whole_groups(True)
 
     trees = python_pass(bearers.where(F.col("kinds") <= group).drop("kinds").repartition("anchor").sortWithinPartitions("anchor"),
-                        grow, "id long, body int, start int, windows int")
+                        grow, "id long, body binary, start int, windows int")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             raw, offsets = utf8(part.column("text"))
             starts, ends, row = word_spans(raw, offsets, _BLANK)
-            words = span_hashes(raw, starts, ends)
+            words = place_hashes(raw, starts, ends)
             first = np.searchsorted(row, np.arange(part.num_rows))
             seg, place = _window_places(first, np.asarray(part.column("windows")))
-            yield _emit([("id", pa.array(np.asarray(part.column("id"))[seg])), ("body", pa.array(np.asarray(part.column("body"))[seg])),
+            yield _emit([("id", pa.array(np.asarray(part.column("id"))[seg])), ("body", _taken(part.column("body"), seg)),
                          ("start", pa.array((np.asarray(part.column("start"))[seg] + place - first[seg]).astype(np.int32))),
                          ("a", pa.array(_sequence_hashes(words, place, place + window, _BASE_B).view(np.int64))),
                          ("b", pa.array(_sequence_hashes(words, place, place + window, _BASE_C).view(np.int64)))])
 
-    hot = python_pass(bearers.where(F.col("kinds") > group), suffixes, "id long, body int, start int, a long, b long")
+    hot = python_pass(bearers.where(F.col("kinds") > group), suffixes, "id long, body binary, start int, a long, b long")
     deep = written(hot.groupBy("a", "b").agg(F.min("id").alias("least")))
     long_prefixes = hot.join(deep, ["a", "b"]).where("least < id").select("id", "body", "start", F.lit(1).alias("windows"))
     return whole.unionByName(trees).unionByName(long_prefixes)
@@ -247,11 +251,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     """
     kept = [id_col] if keep is None else list(keep)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("body")]
-    runs = find_repeats(docs.select(*key, text.alias("text")), window, gram, group)
-    cut = runs.groupBy("id", "body").agg(F.collect_list(F.struct("start", "windows")).alias("cut"))
-    held, back = kept_columns(docs.select("*", *[k.alias(f"__{n}") for k, n in zip(key, ("id", "hash"), strict=True)]), [*kept, "__id", "__hash"], text_col)
-    rows = held.withColumns({"id": F.col("kept.__id"), "hash": F.col("kept.__hash")}).join(cut.withColumnRenamed("body", "hash"), ["id", "hash"], "left")
+    # 128 bits of the text: rows that share an id and this digest are copies of one row, with the same cuts
+    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32)).alias("digest")]
+    runs = find_repeats(docs.select(*key, text.alias("text")).withColumnRenamed("digest", "body"), window, gram, group)
+    cut = runs.groupBy("id", "body").agg(F.collect_list(F.struct("start", "windows")).alias("cut")).withColumnRenamed("body", "digest")
+    held, back = kept_columns(docs, kept, text_col, *key)
+    rows = held.join(cut, ["id", "digest"], "left")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -286,4 +291,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     plain = rows.select(*CARRIED, "text", "own", "cut")
     schema = plain.select(*CARRIED).schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
     out = python_pass(plain, strip, schema)
-    return out.select(*back[:len(kept)], "n_words", "n_removed", "kept_text")
+    return out.select(*back, "n_words", "n_removed", "kept_text")

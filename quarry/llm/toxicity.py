@@ -27,7 +27,7 @@ BUCKETS = 1 << 15
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 STEM = 4                  # bytes of a word's stem
 PER_CLASS = 2000          # labelled texts per class that are learned from, about
-TRAIN_CHARS = 20_000      # characters of a training text
+TRAIN_CHARS = 200_000     # longer texts are not trained on (the others whole); the bound of the sample's size
 EPOCHS, BATCH = 12, 64
 SEEN = 1                  # training texts in which a word must occur to have an embedding
 CUT = 0.7
@@ -294,15 +294,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on a bounded sample (``PER_CLASS`` labelled texts per class, about)
     of rows that are not held out, then choose the thresholds on all the other
     rows that are not held out, among them one fold that is never sampled.
-    Labels other than 0 and 1 are left out."""
+    Labels other than 0 and 1 are left out, and so are rows without an id (a
+    label cannot be joined to them); of rows that repeat an id one is trained
+    on; labels that disagree count as 1."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     marks = written(marks.where(F.col("y").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
-    rows = docs.select(F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, TRAIN_CHARS).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.length("text") <= TRAIN_CHARS)
 
     def sampled(some: DataFrame) -> list:
-        # at most about 2 x PER_CLASS short rows: their number is bounded by the sample
-        picked = sample_per_class(some, "id", "y", PER_CLASS, 2)
-        return sorted(rows.join(F.broadcast(picked), "id").select("id", "text", "y").collect(), key=lambda r: (r.id, r.text))
+        # at most about 2 x PER_CLASS rows, one of each id: their number is bounded by the sample
+        picked = sample_per_class(some, ["id"], "y", PER_CLASS, 2)
+        one = rows.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+        return sorted(one.select("id", "text", "y").collect(), key=lambda r: (r.id, r.text))
 
     got = sampled(marks.where(F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(FOLDS)) != 0))
     if len({r.y for r in got}) < 2:        # so few rows of a class that the fold may hold them all

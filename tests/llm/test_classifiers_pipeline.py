@@ -181,3 +181,32 @@ def test_pipeline_runs_through(ship_llm, sf):
     out = corpus_pipeline.run(ship_llm, sf)
     assert out.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset", "doc_tokens"} <= set(out.columns)
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+
+
+def test_stages_carry_columns_of_any_name(ship_llm, sf):
+    docs = table(ship_llm, sf, "documents")
+    names = ["predicted", "score", "lang_pred", "ambiguous", "n_words", "n_removed", "kept_text", "__id", "__hash", "id", "body", "own", "digest", "kept",
+             "cut", "component_id", "fingerprint", "row"]
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names}).cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = sorted(tuple(r) for r in stage(ship_llm, docs, sf).select("doc_id", "text", "n_chars").collect())
+        out = stage(ship_llm, wide, sf)
+        assert out.columns == wide.columns, name
+        got = out.collect()
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names), name
+        assert sorted((r.doc_id, r.text, r.n_chars) for r in got) == plain, name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(ship_llm, wide, sf).count() == last(ship_llm, docs, sf).count()
+
+
+def test_a_sample_draws_rows_that_share_an_id(ship_llm):
+    from quarry.llm.training import sample_per_class
+    rows = [(None, f"text {i}", "en") for i in range(3000)] + [(4, f"text {i}", "de") for i in range(3000)] + [(9, "same", "fr")] * 3000
+    df = ship_llm.createDataFrame(rows, "id long, text string, lang string")
+    got = {r.lang: r["count"] for r in sample_per_class(df, ["id", "text"], "lang", 300, 5).groupBy("lang").count().collect()}
+    assert 200 < got["en"] < 400 and 200 < got["de"] < 400 and got.get("fr", 0) <= 1
+    try:
+        sample_per_class(df, ["id", "text"], "lang", 300, 2)
+        raise AssertionError
+    except ValueError:
+        pass
