@@ -33,5 +33,5 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> None:
     """Import every query module so that its registrations run."""
     from quarry.plans import (  # noqa: F401
-        q_clinical, q_learning, q_core, q_text, q_graph, q_stats, q_models, q_stream, q_misc,
+        q_clinical, q_learning, q_core, q_text, q_graph, q_stats, q_models, q_sampling, q_stream, q_misc,
     )
