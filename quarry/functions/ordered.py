@@ -101,6 +101,12 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
     return _running(df, by, order, [value], exclusive, [name], partitions)
 
 
+def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], sums: dict[str, str],
+                 exclusive: bool = False, partitions: int | None = None) -> DataFrame:
+    """``running_sum`` of several columns (value: name) at the cost of one."""
+    return _running(df, by, order, list(sums), exclusive, list(sums.values()), partitions)
+
+
 def global_cumsum(df: DataFrame, order: Sequence[str | Column], values: Sequence[str], exclusive: bool = False,
                   suffix: str = "_cum", partitions: int | None = None) -> DataFrame:
     """Running sums over one global order (no grouping), e.g. ranks over the

@@ -88,35 +88,6 @@ def one_vs_rest_logit(df: DataFrame, cls: str, features: Sequence[str]) -> DataF
     return spark.createDataFrame(rows, "class string, term string, estimate double")
 
 
-def factor_model(att: DataFrame, user: str, skill: str, success: str, failure: str, y: str,
-                 reg: float = 0.1) -> DataFrame:
-    """Performance factor model: logit P(y) = student effect + skill
-    easiness + skill x prior successes + skill x prior failures.  The
-    student random intercept is approximated by a ridge-penalised student
-    effect (``regParam``) - a documented deviation from the mixed model.
-    Returns log-likelihood, AIC and BIC."""
-    si_u = StringIndexer(inputCol=user, outputCol="_u", handleInvalid="keep")
-    si_s = StringIndexer(inputCol=skill, outputCol="_s", handleInvalid="keep")
-    oh = OneHotEncoder(inputCols=["_u", "_s"], outputCols=["_uo", "_so"], dropLast=False)
-    x = Pipeline(stages=[si_u, si_s, oh]).fit(att).transform(att)
-    sk = vector_to_array("_so")
-    n_sk = att.select(skill).distinct().count()
-    inter = []
-    for i in range(n_sk):
-        x = x.withColumn(f"_ps{i}", sk[i] * F.col(success)).withColumn(f"_pf{i}", sk[i] * F.col(failure))
-        inter += [f"_ps{i}", f"_pf{i}"]
-    va = VectorAssembler(inputCols=["_uo", "_so", *inter], outputCol="features")
-    d = va.transform(x).withColumn("label", F.col(y).cast("double"))
-    m = LogisticRegression(regParam=reg, elasticNetParam=0.0, maxIter=100).fit(d)
-    p = vector_to_array(F.col("probability"))[1]
-    pc = F.greatest(F.least(p, F.lit(1 - 1e-15)), F.lit(1e-15))
-    ll = m.transform(d).agg(F.sum(F.col("label") * F.log(pc) + (1 - F.col("label")) * F.log(1 - pc)).alias("ll"),
-                            F.count(F.lit(1)).alias("n"))
-    k = m.numFeatures + 1
-    return ll.select("n", F.lit(k).alias("k"), r6("ll").alias("loglik"), r6(2 * k - 2 * F.col("ll")).alias("aic"),
-                     r6(k * F.log("n") - 2 * F.col("ll")).alias("bic"))
-
-
 def random_intercept(df: DataFrame, group: str, y: str, x: str, iters: int = 50, tol: float = 1e-8) -> DataFrame:
     """Linear mixed model y = a + b x + u_g + e with a random
     intercept per group, fitted by EM on per-group sufficient statistics.

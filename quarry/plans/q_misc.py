@@ -181,6 +181,44 @@ def f16_behaviour_patterns(spark, root):
     return p.join(last, "user_id")
 
 
+STEP_ORDER = ["view", "click", "signup", "purchase", "error"]         # the steps of a scenario, first to last
+
+
+@register("f16_behaviour_machine", with_views("attempts") + """
+, s AS (SELECT user_id, list_position(['view', 'click', 'signup', 'purchase', 'error'], question) AS step, ts, event_id FROM attempts),
+q AS (SELECT user_id, list(step ORDER BY ts, event_id) AS seq FROM s WHERE step IS NOT NULL GROUP BY user_id),
+w AS MATERIALIZED (
+  SELECT user_id, n, i, seq[i:i + n - 1] AS x FROM q CROSS JOIN (SELECT CAST(unnest(range(3, 11)) AS INTEGER) AS n)
+  CROSS JOIN LATERAL (SELECT unnest(range(1, len(seq) - n + 2)) AS i)),
+m AS MATERIALIZED (
+  SELECT user_id, n, i, x[n] = 1 AS back, x[n - 1] <> 5 AS away, len(list_distinct(x)) = 1 AS spin,
+         x = list_transform(range(0, n), lambda j: x[1] + j) AS plain, list_position(x, 5) AS p, x FROM w),
+t AS MATERIALIZED (
+  SELECT user_id, n, i, back, away, spin, plain, plain OR (NOT spin AND p > 0 AND x = list_transform(range(1, n + 1),
+         lambda j: CASE WHEN j <= p THEN 5 - p + j ELSE j - p END)) AS streak FROM m),
+r AS (
+  WITH RECURSIVE z AS (
+    SELECT user_id, n, CAST(0 AS BIGINT) AS i, 0 AS skip, false AS found, CAST(0 AS BIGINT) AS streaks, CAST(0 AS BIGINT) AS spins, CAST(0 AS BIGINT) AS drops
+    FROM q CROSS JOIN (SELECT CAST(unnest(range(3, 11)) AS INTEGER) AS n)
+    UNION ALL
+    SELECT z.user_id, z.n, t.i,
+      CASE WHEN skip > 0 THEN skip - 1 WHEN streak OR spin THEN z.n - 1 ELSE 0 END,
+      CASE WHEN skip > 1 THEN found OR back ELSE false END,
+      streaks + CASE WHEN skip = 0 AND streak THEN 1 ELSE 0 END,
+      spins + CASE WHEN skip = 0 AND spin THEN 1 ELSE 0 END,
+      drops + CASE WHEN back AND away AND (CASE WHEN skip > 0 THEN NOT found ELSE NOT plain END) THEN 1 ELSE 0 END
+    FROM z JOIN t ON t.user_id = z.user_id AND t.n = z.n AND t.i = z.i + 1)
+  SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY user_id, n ORDER BY i DESC) = 1)
+SELECT user_id, n AS lookback, streaks, spins AS wheelspins, drops AS dropouts FROM r""")
+def f16_behaviour_machine(spark, root):
+    """Streaks, wheel-spins and drop-outs with skip-ahead after a match, over
+    each learner's steps, windows of 3 to 10."""
+    from quarry.operators.behaviour import behaviour_patterns
+    step = F.nullif(F.array_position(F.array(*[F.lit(x) for x in STEP_ORDER]), F.col("question")), F.lit(0))
+    a = Views(spark, root).attempts.withColumn("step", step)
+    return behaviour_patterns(a, "user_id", ["ts", "event_id"], "step", LOOKBACKS, 1, len(STEP_ORDER))
+
+
 @register("k2_clock_repair", with_views("attempts") + r"""
 , r AS (SELECT event_id, CASE event_id % 5
     WHEN 0 THEN CAST(hour(ts) AS VARCHAR) || '.' || lpad(CAST(minute(ts) AS VARCHAR), 2, '0')

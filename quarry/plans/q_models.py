@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import r6
-from quarry.operators import models, windows
+from quarry.functions.ordered import running_sums
+from quarry.operators import mixed, models, rasch
 from quarry.operators.evaluate import stratified_folds
 from quarry.plans.registry import register
 from quarry.plans.views import Views
@@ -57,11 +58,30 @@ def o3_one_vs_rest_logit(spark, root):
 
 @register("o4_factor_model")
 def o4_factor_model(spark, root):
+    """First-try success by skill and prior answers, with a random intercept
+    per learner: log-likelihood, AIC, BIC and the learners' variance."""
+    return _factor_model(spark, root)["fit"]
+
+
+@register("o4_factor_effects")
+def o4_factor_effects(spark, root):
+    """The skills' easiness and slopes of the same model."""
+    e = _factor_model(spark, root)["effects"]
+    return e.select("question", *[r6(c).alias(c) for c in ("easiness", "on_success", "on_failure")])
+
+
+def _factor_model(spark, root):
     a = Views(spark, root).attempts.withColumn("failure", 1 - F.col("correct"))
-    a = windows.running_total(a, ["user_id", "question"], ["ts", "event_id"], "correct", "prior_success", exclusive=True)
-    a = windows.running_total(a, ["user_id", "question"], ["ts", "event_id"], "failure", "prior_failure", exclusive=True)
-    a = a.withColumn("user_id", F.col("user_id").cast("string"))
-    return models.factor_model(a, "user_id", "question", "prior_success", "prior_failure", "correct")
+    a = running_sums(a, ["user_id", "question"], ["ts", "event_id"], {"correct": "prior_success", "failure": "prior_failure"}, exclusive=True)
+    return mixed.factor_mixed_model(a, "user_id", "question", "prior_success", "prior_failure", "correct")
+
+
+@register("o5_random_slope")
+def o5_random_slope(spark, root):
+    """Answer time over the step's number with a random intercept and slope
+    per learner."""
+    r = mixed.random_slope(Views(spark, root).attempts, "user_id", "time_s", "k")
+    return r.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in r.dtypes])
 
 
 @register("o5_t23_mixed_model_icc")
@@ -94,6 +114,19 @@ def o6_rasch_difficulty(spark, root):
     return models.rasch_difficulty(p)
 
 
+@register("o6_rasch_conditional")
+def o6_rasch_conditional(spark, root):
+    """Item difficulties by conditional maximum likelihood (first answers)."""
+    b = rasch.rasch_conditional(_first_attempts(Views(spark, root)), "user_id", "question", "correct")
+    return b.select("question", *[r6(c).alias(c) for c in ("difficulty", "std_error")])
+
+
+@register("o6_rasch_split_test")
+def o6_rasch_split_test(spark, root):
+    """Do the difficulties hold below and above the mean score?"""
+    return rasch.rasch_split_test(_first_attempts(Views(spark, root)), "user_id", "question", "correct")
+
+
 @register("o7_latent_profiles")
 def o7_latent_profiles(spark, root):
     """Latent profiles for k = 2..5 on six survey items."""
