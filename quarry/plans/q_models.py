@@ -118,7 +118,7 @@ def o6_rasch_difficulty(spark, root):
 def o6_rasch_conditional(spark, root):
     """Item difficulties by conditional maximum likelihood (first answers)."""
     b = rasch.rasch_conditional(_first_attempts(Views(spark, root)), "user_id", "question", "correct")
-    return b.select("question", *[r6(c).alias(c) for c in ("difficulty", "std_error")])
+    return b.select("item", *[r6(c).alias(c) for c in ("difficulty", "std_error")])
 
 
 @register("o6_rasch_split_test")

@@ -137,7 +137,7 @@ def test_split_groups(spark):
     rng = random.Random(6)
     b = [-1.0, 0.0, 0.4, 0.9, -0.3, 0.2, -0.8, 0.6]
     good = spark.createDataFrame(rasch_answers(rng, 400, b), "u int, q string, y int")
-    bad = spark.createDataFrame(rasch_answers(rng, 400, b, bend=0.25), "u int, q string, y int")
+    bad = spark.createDataFrame(rasch_answers(rng, 400, b, bend=0.6), "u int, q string, y int")
     fine, broken = (rasch.rasch_split_test(d, "u", "q", "y").first() for d in (good, bad))
     assert fine["items"] == 8 and fine.df == 7 and fine.lr >= 0 and fine.p > 0.01
     assert broken.lr > fine.lr and broken.p < 0.01
