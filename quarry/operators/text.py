@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import col, r6
+from quarry.operators.staged import for_lookup
 
 WORD_SPLIT = r"(?U)\W+"          # Unicode-aware non-word run (Python's \W)
 
@@ -237,15 +238,15 @@ def lexicon_polarity(docs: DataFrame, id_col: str, text: str, lexicon: DataFrame
     after a negator), normalised as s / sqrt(s^2 + alpha).
 
     Each token is paired with its predecessor inside the row (``transform``
-    with index), exploded and joined to the lexicon (the planner picks
-    the join by the sizes it meets); the per-document sum is a partial
-    aggregate."""
+    with index), exploded and joined to the lexicon, which is broadcast if its
+    measured size allows: tokens are not shuffled, and never broadcast.  The
+    per-document sum is a partial aggregate."""
     # tokens are projected once; the lambda then indexes the column
     toks = docs.select(id_col, words(text).alias("_t"))
     t = F.col("_t")
     pairs = F.transform(t, lambda w, i: F.struct(w.alias("w"), F.when(i > 0, F.element_at(t, i)).alias("prev")))
     tok = toks.select(id_col, F.explode(pairs).alias("p")).select(id_col, "p.w", "p.prev")
-    lex = lexicon.select(F.col("word").alias("w"), "score")
+    lex = for_lookup(lexicon.select(F.col("word").alias("w"), "score"))
     neg = F.array(*[F.lit(n) for n in negators])
     scored = tok.join(lex, "w").select(
         id_col, F.when(F.array_contains(neg, F.coalesce(F.col("prev"), F.lit(""))), -F.col("score"))
@@ -261,11 +262,12 @@ def gazetteer_entities(docs: DataFrame, id_col: str, text: str, gazetteer: DataF
     """Entity mentions found by matching word n-grams (1..max_words) of
     each text against a gazetteer (phrase, type); per document the sorted
     list of mentions and of their types.  N-grams are built in-row; the
-    planner picks the join with the gazetteer by the sizes it meets."""
+    gazetteer is broadcast if its measured size allows, so that n-grams are
+    filtered where they are made."""
     toks = docs.select(id_col, words(text).alias("_t"))
     grams = F.flatten(F.array(*[ngrams(F.col("_t"), k) for k in range(1, max_words + 1)]))
     g = toks.select(id_col, F.explode(grams).alias("phrase"))
-    gz = gazetteer.select(F.lower("phrase").alias("phrase"), "type")
+    gz = for_lookup(gazetteer.select(F.lower("phrase").alias("phrase"), "type"))
     hits = g.join(gz, "phrase")
     return hits.groupBy(id_col).agg(
         F.array_join(F.sort_array(F.collect_list("phrase")), "|").alias("mentions"),
