@@ -20,7 +20,7 @@ NOTES = {
     "A7": "status records to rows: p1_status_stream (readers.status_rows), streamed and batch-tested",
     "A11": "append sink: a10_a13_sinks_and_stages",
     "A12": "binary (parquet) sink/source: a10_a13_sinks_and_stages",
-    "A14": "dimension lookup: d6_dimension_lookup, n6_user_ratings_named (size-checked broadcast)",
+    "A14": "dimension lookup: d6_dimension_lookup, n6_user_ratings_named",
     "A15": "code -> name/region broadcast lookup: d2_enrichment_chain",
     "D4": "one projection instead of N merges: b29_documentation_scores",
     "D5": "target-restricted self-join on the rater: n1_item_similarity, n2_user_similarity",
@@ -45,8 +45,8 @@ NOTES = {
     "U6": "row-wise sums and means (b28_row_sums)",
     "U7": "windows and joins instead of row loops (f12, e32, e28, d7 queries)",
     "U8": "generated column expressions (e26_diagnosis_combinations, b22_b23_dummies)",
-    "O10": "NOT BUILT this round (exact kNN without candidate caps pending)",
-    "O11": "NOT BUILT this round (depends on O10)",
+    "O5": "random slope: o5_random_slope; random intercept alone: o5_t23_mixed_model_icc",
+    "O12": "tree, linear and logistic models: o12_classifier_set; neighbour classifiers of a grid: o12_nearest_neighbour_grid",
 }
 
 
