@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions.columns import r6
 from quarry.functions.ordered import running_sums
-from quarry.operators import mixed, models, rasch
+from quarry.operators import linear_grid, mixed, models, rasch, windows
 from quarry.operators.evaluate import stratified_folds
+from quarry.operators.staged import written
 from quarry.plans.registry import register
 from quarry.plans.views import Views
 from quarry.plans.views_sql import with_views
@@ -172,6 +173,29 @@ def o12_classifier_set(spark, root):
     return models.classifier_set(train, test, CASE_FEATURES, "y")
 
 
+# Strengths, penalties and class weights of the searched grids.
+_WEIGHTS = [0.05, 0.275, 0.5, 0.725, 0.95]
+LINEAR_GRID = [linear_grid.Setting("log", p, c, per_total=True) for c in (1e-6, 1e-5, 1e-4, 1e-3) for p in ("l1", "l2")] + [
+    linear_grid.Setting(loss, "l1", 1e-4, weight0=w, weight1=1.0 - w) for loss in ("log", "squared_hinge") for w in _WEIGHTS]
+
+
+@register("o12_linear_grid")
+def o12_linear_grid(spark, root):
+    """The linear classifiers of all grids, fitted together on 70 % of the
+    cases and scored on the others."""
+    train, test = _split(Views(spark, root))
+    fits = linear_grid.fit_grid(train, CASE_FEATURES, "y", LINEAR_GRID)
+    return linear_grid.grid_report(linear_grid.grid_scores(test, CASE_FEATURES, "y", LINEAR_GRID, fits), LINEAR_GRID)
+
+
+@register("o12_linear_grid_coefficients")
+def o12_linear_grid_coefficients(spark, root):
+    train, _ = _split(Views(spark, root))
+    fits = linear_grid.fit_grid(train, CASE_FEATURES, "y", LINEAR_GRID)
+    table = linear_grid.coefficient_table(spark, LINEAR_GRID, fits, CASE_FEATURES)
+    return table.select("loss", "penalty", "strength", "weight0", "term", r6("estimate").alias("estimate"), "converged")
+
+
 @register("o13_class_weighted")
 def o13_class_weighted(spark, root):
     train, test = _split(Views(spark, root))
@@ -191,6 +215,20 @@ def o14_repeated_grid_search(spark, root):
     return models.repeated_grid_search(_cases_filled(Views(spark, root)), CASE_FEATURES, "y", key)
 
 
+@register("o14_repeated_linear_grid")
+def o14_repeated_linear_grid(spark, root):
+    """All settings by two repeats of ten stratified folds, trained together;
+    every case is scored by the fits that did not see it."""
+    c = _cases_filled(Views(spark, root))
+    tie = ["l_orderkey", "l_linenumber", "l_partkey", "price", "ts"]
+    folds = ["fold_0", "fold_1"]
+    for r, name in enumerate(folds):
+        c = stratified_folds(c, "y", F.concat_ws("/", F.lit(r), _case_key()), 10, tie=tie).withColumnRenamed("fold", name)
+    c = written(c.select("y", *CASE_FEATURES, *folds))
+    fits = linear_grid.fit_grid(c, CASE_FEATURES, "y", LINEAR_GRID, folds, 10)
+    return linear_grid.grid_report(linear_grid.grid_scores(c, CASE_FEATURES, "y", LINEAR_GRID, fits, folds), LINEAR_GRID)
+
+
 @register("o14_grid_search_cv")
 def o14_grid_search_cv(spark, root):
     c = _cases_filled(Views(spark, root))
