@@ -16,7 +16,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression, LinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from quarry.session import cut_lineage
 from quarry.functions.columns import r6
 from quarry.operators.aggregate import with_total
+from quarry.operators.isotonic import out_of_fold_calibration
 
 
 def hash_split(df: DataFrame, key: F.Column, frac: float = 0.5, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -408,15 +409,8 @@ def repeated_grid_search(df: DataFrame, features: Sequence[str], label: str, key
 def isotonic_calibration(df: DataFrame, y: str, p: str, key: str, folds: int = 5) -> DataFrame:
     """Isotonic regression of outcomes on scores; every row is calibrated
     by the fit of the folds that it is not in (folds by a hash of ``key``)."""
-    d = df.select(F.col(y).cast("double").alias("label"), F.col(p).alias("p"),
-                  F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(folds)).alias("_fold"))
-    d = VectorAssembler(inputCols=["p"], outputCol="features").transform(d)
-    out = None
-    for k in range(folds):
-        m = IsotonicRegression(labelCol="label").fit(d.filter(F.col("_fold") != k))
-        part = m.transform(d.filter(F.col("_fold") == k)).select("p", "label", r6("prediction").alias("calibrated"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    d = df.withColumn("_fold", F.pmod(F.xxhash64(F.col(key), F.lit("fold")), F.lit(folds)).cast("int"))
+    return out_of_fold_calibration(d, y, p, "_fold", folds).select("p", "label", r6("calibrated").alias("calibrated"))
 
 
 def top_importances(df: DataFrame, features: Sequence[str], label: str, k: int = 10) -> DataFrame:
