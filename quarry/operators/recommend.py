@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import r6
+from quarry.functions.ordered import running_index
+from quarry.operators.staged import written
 
 
 def similarity_to_targets(ratings: DataFrame, targets: DataFrame, entity: str, rater: str,
@@ -47,6 +49,51 @@ def similar_to_target(ratings: DataFrame, targets: DataFrame, entity: str, rater
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def similar_pairs(ratings: DataFrame, entity: str, rater: str, min_score: float, min_common: int, rating: str = "rating") -> DataFrame:
+    """Every pair of entities with more than ``min_common`` co-raters
+    and a cosine over them above ``min_score``: (a, b, n_common, score), a < b.
+
+    A pair needs t = min_common + 1 common raters.  With the raters of every
+    entity in one order, the rarest first, an entity of n raters shares with
+    such a partner one of its first n - t + 1: only those prefixes are joined,
+    on the rater, and the t - 1 busiest raters of an entity form no pair, so a
+    rater of a third of all rows forms none when t > 1.  Equal bits of two
+    64-part sketches of the raters bound the common raters from above and
+    discard pairs before they are counted.  What is left is counted exactly on
+    the rater list of the pair's smaller entity.  Each (entity, rater) is one
+    row (several: averaged); rows with a null take no part.  With
+    ``min_common`` 0 every pair with a common rater is asked for and formed."""
+    t = max(1, min_common + 1)
+    r = ratings.select(F.col(entity).alias("e"), F.col(rater).alias("u"), F.col(rating).cast("double").alias("r")).dropna()
+    r = written(r.groupBy("e", "u").agg(F.avg("r").alias("r")))
+    raters = r.groupBy("u").agg(F.count(F.lit(1)).alias("f"))
+    # how many raters of an entity fall into each of 64 parts
+    part = F.pmod(F.xxhash64("u"), F.lit(64)).cast("int")
+    held = r.groupBy("e", part.alias("part")).agg(F.count(F.lit(1)).cast("int").alias("c"))
+    sketch = held.groupBy("e").agg(F.sum("c").alias("n"), F.map_from_entries(F.collect_list(F.struct("part", "c"))).alias("parts"))
+    sketch = written(sketch.where(F.col("n") >= t).withColumn(
+        "parts", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("parts", i), F.lit(0)))))
+    kept = written(r.join(sketch.select("e", "n"), "e").join(raters, "u"))
+    # the rarest raters of an entity; ties by rater
+    place = running_index(kept.select("e", "u", "n", "f"), ["e"], ["f", "u"], "pos")
+    prefix = written(place.where(F.col("pos") <= F.col("n") - t + 1).select("e", "u"))
+    found = written(prefix.select("u", F.col("e").alias("a")).join(prefix.select("u", F.col("e").alias("b")), "u").where("a < b").select("a", "b").distinct())
+    one, two = (sketch.select(F.col("e").alias(x), F.col("n").alias(f"n_{x}"), F.col("parts").alias(f"p_{x}")) for x in "ab")
+    both = found.join(one, "a").join(two, "b")
+    most = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    first = F.col("n_a") <= F.col("n_b")
+    likely = written(both.where(most >= t).select("a", "b", F.when(first, F.col("a")).otherwise(F.col("b")).alias("e"),
+                                                  F.when(first, F.col("b")).otherwise(F.col("a")).alias("o")))
+    mine = kept.select("e", "u", F.col("r").alias("x"))
+    other = kept.select(F.col("e").alias("o"), "u", F.col("r").alias("y"))
+    g = likely.join(mine, "e").join(other, ["o", "u"]).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("n_common"), F.sum(F.col("x") * F.col("y")).alias("xy"),
+        F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("y") * F.col("y")).alias("yy"))
+    norm = F.sqrt(F.col("xx") * F.col("yy"))
+    g = g.where(F.col("n_common") >= t).select("a", "b", "n_common", r6(F.col("xy") / F.nullif(norm, F.lit(0.0))).alias("score"))
+    return g.where(F.col("score") > min_score)
+
+
 def most_rated(ratings: DataFrame, entity: str, k: int = 1) -> DataFrame:
     """The ``k`` entities with the most ratings (smaller id on ties)."""
     c = ratings.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))

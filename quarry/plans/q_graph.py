@@ -108,6 +108,41 @@ def n3_similar_items_top5(spark, root):
                                        0.975, 1, 5)
 
 
+@register("n3_similar_users_top5", with_views("ratings") + """
+, t AS (SELECT user_id FROM (SELECT user_id, count(*) AS n FROM ratings GROUP BY 1) ORDER BY n DESC, user_id LIMIT 3),
+tr AS (SELECT r.user_id AS target, r.item_id, r.rating AS r1 FROM ratings r JOIN t USING (user_id)),
+p AS (SELECT tr.target, o.user_id AS partner, tr.r1, o.rating AS r2 FROM ratings o JOIN tr ON o.item_id = tr.item_id
+      WHERE o.user_id <> tr.target),
+s AS (SELECT target, partner, count(*) AS n_common, round(sum(r1 * r2) / sqrt(sum(r1 * r1) * sum(r2 * r2)), 6) AS score FROM p GROUP BY 1, 2)
+SELECT target, partner, n_common, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY score DESC, partner) AS rank FROM s
+  WHERE score > 0.975 AND n_common > 1) WHERE rank <= 5""")
+def n3_similar_users_top5(spark, root):
+    r = Views(spark, root).ratings
+    return recommend.similar_to_target(r, recommend.most_rated(r, "user_id", 3), "user_id", "item_id", 0.975, 1, 5)
+
+
+def _pairs_sql(entity: str, rater: str) -> str:
+    return with_views("ratings") + f"""
+SELECT * FROM (
+  SELECT a.{entity} AS a, b.{entity} AS b, count(*) AS n_common,
+    round(sum(a.rating * b.rating) / sqrt(sum(a.rating * a.rating) * sum(b.rating * b.rating)), 6) AS score
+  FROM ratings a JOIN ratings b ON a.{rater} = b.{rater} AND a.{entity} < b.{entity} GROUP BY 1, 2)
+WHERE n_common > 3 AND score > 0.975"""
+
+
+@register("n1_similar_item_pairs", _pairs_sql("item_id", "user_id"))
+def n1_similar_item_pairs(spark, root):
+    """All pairs of items above both thresholds (more than 3 co-raters here:
+    these tables hold no pair with the published 1000)."""
+    return recommend.similar_pairs(Views(spark, root).ratings, "item_id", "user_id", 0.975, 3)
+
+
+@register("n2_similar_user_pairs", _pairs_sql("user_id", "item_id"))
+def n2_similar_user_pairs(spark, root):
+    return recommend.similar_pairs(Views(spark, root).ratings, "user_id", "item_id", 0.975, 3)
+
+
 @register("n6_user_ratings_named", with_views("ratings") + """
 , u AS (SELECT user_id FROM (SELECT user_id, count(*) AS n FROM ratings GROUP BY 1) ORDER BY n DESC, user_id LIMIT 1)
 SELECT r.user_id, r.item_id, round(r.rating, 6) AS rating, p.p_name AS title FROM ratings r JOIN u USING (user_id)
