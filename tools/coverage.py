@@ -27,7 +27,7 @@ NOTES = {
     "D9": "next-try equi-join: e32_feedback_success",
     "E40": "counters as one aggregate: e40_job_counters",
     "F10": "pooled median / IQR per relative period: f10_pooled_band",
-    "G3": "top-5 partners of a target: n3_similar_items_top5",
+    "G3": "top-5 partners of a target: n3_similar_items_top5, n3_similar_users_top5",
     "H2": "tagged union: h1_h2_union_by_name",
     "I5": "one-row summary to rows: i2_i5_wide_to_long, e17_missingness",
     "J14": "Unicode word split: j14_word_count_unicode",
@@ -46,7 +46,7 @@ NOTES = {
     "U7": "windows and joins instead of row loops (f12, e32, e28, d7 queries)",
     "U8": "generated column expressions (e26_diagnosis_combinations, b22_b23_dummies)",
     "O5": "random slope: o5_random_slope; random intercept alone: o5_t23_mixed_model_icc",
-    "O12": "tree, linear and logistic models: o12_classifier_set; neighbour classifiers of a grid: o12_nearest_neighbour_grid",
+    "O12": "tree, linear and logistic models: o12_classifier_set; neighbour classifiers of a grid: o12_nearest_neighbour_grid; linear grids: o12_linear_grid",
 }
 
 
