@@ -269,35 +269,30 @@ def l3_doc_term_matrix(spark, root):
 
 @register("l4_l7_l8_lda_topics")
 def l4_l7_l8_lda_topics(spark, root):
-    """Rows-only: LDA (k=5, online, seed 7): top 10 terms per topic and the
+    """Rows-only: topic model (k=5, seed 7): top 10 terms per topic and the
     number of documents whose dominant topic it is."""
-    d = Views(spark, root).t.documents
-    cv, dtm = topics.doc_term(d, "doc_id", "text", STOP_WORDS)
-    dtm = cut_lineage(dtm)
-    lda = topics.fit_lda(dtm, 5)
-    terms = topics.top_terms(lda, cv.vocabulary, 10)
-    dom = topics.dominant_topic(lda, dtm, "doc_id").groupBy("topic").agg(F.count(F.lit(1)).alias("n_docs"))
-    return terms.join(dom, "topic", "left")
+    counts = topics.term_counts(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS)
+    model = topics.fit_topics(counts, "doc_id", [topics.Setting(5)])
+    dom = topics.document_topics(model).groupBy("topic").agg(F.count(F.lit(1)).alias("n_docs"))
+    return topics.top_terms(model, 10).select("topic", "rank", "weight", "term").join(dom, "topic", "left")
+
+
+# shares of the corpus and topic counts that are tried
+TOPIC_GRID = [(k, share) for share in (0.55, 0.7, 0.85, 1.0) for k in range(2, 11)]
 
 
 @register("l5_l6_topic_grid")
 def l5_l6_topic_grid(spark, root):
-    """Rows-only: topic count x corpus fraction grid scored by NPMI
-    coherence of each topic's top terms (fractions by hash, not sampling)."""
-    d = Views(spark, root).t.documents
-    rows = None
-    for frac in (0.5, 1.0):
-        part = d.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1000)) < frac * 1000)
-        cv, dtm = topics.doc_term(part, "doc_id", "text", STOP_WORDS)
-        dtm = cut_lineage(dtm)
-        for k in (3, 5):
-            lda = topics.fit_lda(dtm, k)
-            terms = topics.top_terms(lda, cv.vocabulary, 10)
-            coh = topics.npmi_coherence(dtm, "doc_id", terms)
-            r = coh.agg(r6(F.avg("coherence")).alias("coherence")).select(
-                F.lit(k).alias("k"), F.lit(frac).alias("fraction"), "coherence")
-            rows = r if rows is None else rows.unionByName(r)
-    return rows
+    """Rows-only: topic count x corpus fraction grid scored by the mean NPMI
+    coherence of its topics' top terms, with its last perplexity bound.  All
+    settings are trained by the same passes (fractions by hash)."""
+    counts = cut_lineage(topics.term_counts(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS))
+    model = topics.fit_topics(counts, "doc_id", [topics.Setting(k, share) for k, share in TOPIC_GRID])
+    coherence = topics.npmi_coherence(counts, "doc_id", topics.top_terms(model, 10), ["k", "share", "topic"])
+    last = spark.createDataFrame([(s.k, s.share, p) for s, p in zip(model.settings, (model.perplexity or [[None] * len(TOPIC_GRID)])[-1], strict=True)],
+                                 "k int, share double, perplexity double")
+    return (coherence.groupBy("k", "share").agg(r6(F.avg("coherence")).alias("coherence")).join(last, ["k", "share"])
+            .select("k", F.col("share").alias("fraction"), "coherence", r6("perplexity").alias("perplexity")))
 
 
 @register("l2_merge_phrases", f"""
