@@ -139,8 +139,8 @@ def repair_repeats(df: DataFrame, by: Sequence[str], order: Sequence[str], start
     from quarry.functions import ordered
     keys = list(by) + [start]
     x = df.withColumn("_step", (F.ceil(F.col(duration_s)) + pad_s).cast("long"))
-    x = ordered.running_sum(x, keys, order, "_step", "_off", exclusive=True)
-    x = ordered.running_index(x, keys, order, "repeat_no").withColumn("repeat_no", F.col("repeat_no").cast("int"))
+    x = ordered.running(x, keys, order, [ordered.Running("_off", "_step", exclusive=True), ordered.Running("repeat_no")]) \
+        .withColumn("repeat_no", F.col("repeat_no").cast("int"))
     return x.withColumn("fixed_start", F.timestamp_add("SECOND", F.col("_off").cast("long"), F.col(start))) \
         .drop("_step", "_off")
 

@@ -133,12 +133,11 @@ LOOKBACKS = range(3, 11)
 
 def _islands(df, by, state, lookbacks=LOOKBACKS):
     """Runs of equal state per entity (gaps and islands), via two running
-    indices computed with the distributed ordered helper; returns run
-    lengths and, for each lookback, the count of non-overlapping windows of
-    that length per run."""
-    from quarry.functions.ordered import running_index
-    a = running_index(df, by, ["ts", "event_id"], "_i1")
-    b = running_index(a, [*by, state], ["ts", "event_id"], "_i2")
+    indices from one placement of the rows; returns run lengths and, for
+    each lookback, the count of non-overlapping windows of that length per
+    run."""
+    from quarry.functions.ordered import Running, running
+    b = running(df.select(*by, state, "ts", "event_id"), by, ["ts", "event_id"], [Running("_i1"), Running("_i2", within=(state,))])
     runs = b.groupBy(*by, state, (F.col("_i1") - F.col("_i2")).alias("_grp")).agg(F.count(F.lit(1)).alias("len"))
     each = runs.withColumn("lookback", F.explode(F.array(*[F.lit(n) for n in lookbacks])))
     return each.withColumn("windows", F.floor(F.col("len") / F.col("lookback")))
