@@ -41,7 +41,7 @@ def _att(spark, root):
 SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS opportunity
 FROM attempts""")
 def f1_opportunity(spark, root):
-    return windows.running_index(_att(spark, root), ["user_id"], ORDER, "opportunity") \
+    return windows.running_index(_att(spark, root).select("user_id", "ts", "event_id"), ["user_id"], ORDER, "opportunity") \
         .select("user_id", "event_id", "opportunity")
 
 
@@ -49,7 +49,8 @@ def f1_opportunity(spark, root):
 SELECT user_id, event_id, CAST(sum(correct) OVER (PARTITION BY user_id ORDER BY ts, event_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_correct FROM attempts""")
 def f2_running_score(spark, root):
-    return windows.running_total(_att(spark, root), ["user_id"], ORDER, "correct", "cum_correct") \
+    a = _att(spark, root).select("user_id", "ts", "event_id", "correct")
+    return windows.running_total(a, ["user_id"], ORDER, "correct", "cum_correct") \
         .select("user_id", "event_id", "cum_correct")
 
 
@@ -59,9 +60,9 @@ SELECT user_id, event_id, question,
   CAST(coalesce(sum(1 - correct) OVER w, 0) AS BIGINT) AS prior_failure
 FROM attempts WINDOW w AS (PARTITION BY user_id, question ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def f3_prior_counts(spark, root):
-    a = _att(spark, root).withColumn("failure", 1 - F.col("correct"))
-    a = windows.running_total(a, ["user_id", "question"], ORDER, "correct", "prior_success", exclusive=True)
-    a = windows.running_total(a, ["user_id", "question"], ORDER, "failure", "prior_failure", exclusive=True)
+    from quarry.functions import ordered
+    a = _att(spark, root).select("user_id", "question", "ts", "event_id", "correct", (1 - F.col("correct")).alias("failure"))
+    a = ordered.running_sums(a, ["user_id", "question"], ORDER, {"correct": "prior_success", "failure": "prior_failure"}, exclusive=True)
     return a.select("user_id", "event_id", "question", "prior_success", "prior_failure")
 
 
@@ -69,7 +70,7 @@ def f3_prior_counts(spark, root):
 SELECT user_id, event_id, lag(time_s) OVER w AS prev_time, round(time_s - lag(time_s) OVER w, 6) AS time_diff
 FROM attempts WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def f4_lag_diff(spark, root):
-    a = windows.lag_diff(_att(spark, root), ["user_id"], ORDER, "time_s", "prev_time", "time_diff")
+    a = windows.lag_diff(_att(spark, root).select("user_id", "ts", "event_id", "time_s"), ["user_id"], ORDER, "time_s", "prev_time", "time_diff")
     return a.select("user_id", "event_id", "prev_time", r6("time_diff").alias("time_diff"))
 
 
@@ -341,7 +342,7 @@ def f17_capped_gaps_wide(spark, root):
 SELECT CAST(opportunity AS INTEGER) AS opportunity, arm, count(*) AS n, round(avg(correct), 6) AS mean_correct FROM o GROUP BY 1, 2""")
 def f19_learning_curve(spark, root):
     v = Views(spark, root)
-    a = windows.running_index(v.attempts, ["user_id", "question"], ORDER, "opportunity")
+    a = windows.running_index(v.attempts.select("user_id", "question", "ts", "event_id", "correct"), ["user_id", "question"], ORDER, "opportunity")
     j = a.join(v.profiles.select("user_id", "arm"), "user_id")
     return j.groupBy("opportunity", "arm").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("correct")).alias("mean_correct"))
 

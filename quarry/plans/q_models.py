@@ -72,7 +72,7 @@ def o4_factor_effects(spark, root):
 
 
 def _factor_model(spark, root):
-    a = Views(spark, root).attempts.withColumn("failure", 1 - F.col("correct"))
+    a = Views(spark, root).attempts.select("user_id", "question", "ts", "event_id", "correct", (1 - F.col("correct")).alias("failure"))
     a = running_sums(a, ["user_id", "question"], ["ts", "event_id"], {"correct": "prior_success", "failure": "prior_failure"}, exclusive=True)
     return mixed.factor_mixed_model(a, "user_id", "question", "prior_success", "prior_failure", "correct")
 

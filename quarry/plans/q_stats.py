@@ -299,7 +299,8 @@ def e46_opportunity_curve(spark, root):
     from quarry.operators import windows
     from quarry.operators.aggregate import quantiles_by
     v = Views(spark, root)
-    a = windows.running_index(v.attempts, ["user_id", "question"], ["ts", "event_id"], "opportunity")
+    a = windows.running_index(v.attempts.select("user_id", "question", "ts", "event_id", "k", "correct"), ["user_id", "question"],
+                              ["ts", "event_id"], "opportunity")
     j = a.join(v.profiles.select("user_id", F.col("arm").alias("klass")), "user_id").withColumn("p", F.col("k") / 100.0)
     med = quantiles_by(j, ["opportunity", "klass"], "p", probs=(0.5,), names=("median_prediction",))
     g = j.groupBy("opportunity", "klass").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("p")).alias("mean_prediction"),
