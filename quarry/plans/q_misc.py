@@ -13,7 +13,6 @@ from quarry.operators.aggregate import with_total
 from quarry.plans.registry import register
 from quarry.plans.views import Views
 from quarry.plans.views_sql import with_views
-from quarry.session import cut_lineage
 from quarry.sources import readers
 
 @register("b18_penicillin_class", with_views("admissions") + """
@@ -285,9 +284,9 @@ def l5_l6_topic_grid(spark, root):
     """Rows-only: topic count x corpus fraction grid scored by the mean NPMI
     coherence of its topics' top terms, with its last perplexity bound.  All
     settings are trained by the same passes (fractions by hash)."""
-    counts = cut_lineage(topics.term_counts(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS))
+    counts = topics.term_counts(Views(spark, root).t.documents, "doc_id", "text", STOP_WORDS)
     model = topics.fit_topics(counts, "doc_id", [topics.Setting(k, share) for k, share in TOPIC_GRID])
-    coherence = topics.npmi_coherence(counts, "doc_id", topics.top_terms(model, 10), ["k", "share", "topic"])
+    coherence = topics.npmi_coherence(model.counts, "doc_id", topics.top_terms(model, 10), ["k", "share", "topic"])
     last = spark.createDataFrame([(s.k, s.share, p) for s, p in zip(model.settings, (model.perplexity or [[None] * len(TOPIC_GRID)])[-1], strict=True)],
                                  "k int, share double, perplexity double")
     return (coherence.groupBy("k", "share").agg(r6(F.avg("coherence")).alias("coherence")).join(last, ["k", "share"])
