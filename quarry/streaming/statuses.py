@@ -20,7 +20,8 @@ from quarry.sources.readers import STATUS_SCHEMA, status_rows  # noqa: F401 (re-
 
 def statuses_from_posts(posts: DataFrame) -> DataFrame:
     """Status records (nested JSON layout) for the posts view; a repost
-    embeds the status of the post it repeats."""
+    embeds the status of the post it repeats.  Posts that repeat none are not
+    joined: their null keys would all meet in one task."""
     def status(prefix: str):
         def c(name):
             return F.col(f"{prefix}.{name}")
@@ -34,13 +35,13 @@ def statuses_from_posts(posts: DataFrame) -> DataFrame:
                      F.transform(F.regexp_extract_all(c("text"), F.lit(r"@([A-Za-z0-9_]+)"), 1),
                                  lambda t: F.struct(t.alias("screen_name"))).alias("user_mentions")).alias("entities"))
 
-    a = posts.alias("a")
-    o = posts.alias("o")
-    j = a.join(o, F.col("a.retweeted") == F.col("o.id"), "left")
     s = status("a")
-    emb = F.when(F.col("o.id").isNotNull(), status("o"))
-    return j.select(*[s[f].alias(f) for f in ("id", "created_at", "full_text", "favorite_count", "retweet_count",
-                                               "user", "entities")], emb.alias("retweeted_status"))
+    own = [s[f].alias(f) for f in ("id", "created_at", "full_text", "favorite_count", "retweet_count", "user", "entities")]
+    o = posts.alias("o")
+    reposts = posts.where(F.col("retweeted").isNotNull()).alias("a").join(o, F.col("a.retweeted") == F.col("o.id"), "left").select(
+        *own, F.when(F.col("o.id").isNotNull(), status("o")).alias("retweeted_status"))
+    plain = posts.where(F.col("retweeted").isNull()).alias("a").select(*own, F.lit(None).cast(reposts.schema["retweeted_status"].dataType).alias("retweeted_status"))
+    return plain.unionByName(reposts)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
