@@ -49,44 +49,59 @@ def similar_to_target(ratings: DataFrame, targets: DataFrame, entity: str, rater
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+HOT = 4096                # entities of a rater above which it is busy; entities of one list
+LOAD = 1 << 20            # listed partners that one row gathers, on average
+
+
 def similar_pairs(ratings: DataFrame, entity: str, rater: str, min_score: float, min_common: int, rating: str = "rating") -> DataFrame:
     """Every pair of entities with more than ``min_common`` co-raters
     and a cosine over them above ``min_score``: (a, b, n_common, score), a < b.
 
-    A pair needs t = min_common + 1 common raters.  With the raters of every
-    entity in one order, the rarest first, an entity of n raters shares with
-    such a partner one of its first n - t + 1: only those prefixes are joined,
-    on the rater, and the t - 1 busiest raters of an entity form no pair, so a
-    rater of a third of all rows forms none when t > 1.  Equal bits of two
-    64-part sketches of the raters bound the common raters from above and
-    discard pairs before they are counted.  What is left is counted exactly on
-    the rater list of the pair's smaller entity.  Each (entity, rater) is one
-    row (several: averaged); rows with a null take no part.  With
-    ``min_common`` 0 every pair with a common rater is asked for and formed."""
+    A pair needs t = min_common + 1 common raters.  Every rater's entities are
+    listed, every entity gathers the lists of its raters, and a partner listed
+    often enough is a candidate: no pair is a row of a shuffle.  An entity
+    leaves out its busiest raters, as many as it has of more than ``HOT``
+    entities, at most t - 1.  With the raters in one order, the busiest last, a
+    pair that leaves out at most s raters on either side still meets t - s
+    times, so a rater of a third of all rows lists nothing when t > 1.
+    Lists are cut to ``HOT`` entities, and the partners of an entity that
+    gathers more than ``LOAD`` are dealt by hash.  Candidates are counted
+    exactly.  Each (entity, rater) is one row (several: averaged); rows with a
+    null take no part.  With ``min_common`` 0 every pair with a common rater is
+    asked for and formed."""
     t = max(1, min_common + 1)
     r = ratings.select(F.col(entity).alias("e"), F.col(rater).alias("u"), F.col(rating).cast("double").alias("r")).dropna()
     r = written(r.groupBy("e", "u").agg(F.avg("r").alias("r")))
     raters = r.groupBy("u").agg(F.count(F.lit(1)).alias("f"))
-    # how many raters of an entity fall into each of 64 parts
-    part = F.pmod(F.xxhash64("u"), F.lit(64)).cast("int")
-    held = r.groupBy("e", part.alias("part")).agg(F.count(F.lit(1)).cast("int").alias("c"))
-    sketch = held.groupBy("e").agg(F.sum("c").alias("n"), F.map_from_entries(F.collect_list(F.struct("part", "c"))).alias("parts"))
-    sketch = written(sketch.where(F.col("n") >= t).withColumn(
-        "parts", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("parts", i), F.lit(0)))))
-    kept = written(r.join(sketch.select("e", "n"), "e").join(raters, "u"))
-    # the rarest raters of an entity; ties by rater
-    place = running_index(kept.select("e", "u", "n", "f"), ["e"], ["f", "u"], "pos")
-    prefix = written(place.where(F.col("pos") <= F.col("n") - t + 1).select("e", "u"))
-    found = written(prefix.select("u", F.col("e").alias("a")).join(prefix.select("u", F.col("e").alias("b")), "u").where("a < b").select("a", "b").distinct())
-    one, two = (sketch.select(F.col("e").alias(x), F.col("n").alias(f"n_{x}"), F.col("parts").alias(f"p_{x}")) for x in "ab")
-    both = found.join(one, "a").join(two, "b")
-    most = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    enough = r.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= t)
+    kept = written(r.join(enough, "e").join(raters, "u").select("e", "u", "r", "n", "f"))
+    # how many busy raters an entity leaves out, and which
+    busy = written(kept.where(F.col("f") > HOT).select("e", "u", "f"))
+    out = busy.groupBy("e").agg(F.least(F.count(F.lit(1)), F.lit(t - 1)).cast("int").alias("s"))
+    late = running_index(busy, ["e"], [F.desc("f"), F.desc("u")], "pos").where(F.col("pos") <= t - 1).select("e", "u")
+    mine = kept.select("e", "u", "f").join(late, ["e", "u"], "left_anti").join(out, "e", "left").select("e", "u", "f", F.coalesce("s", F.lit(0)).alias("s"))
+    mine = written(mine)
+    place = F.pmod(F.xxhash64("e"), F.ceil(F.col("f") / HOT))
+    lists = mine.groupBy("u", F.col("s").alias("s_b"), place.alias("place")).agg(F.collect_list("e").alias("of"))
+    load = mine.groupBy("e").agg(F.ceil(F.sum("f") / LOAD).alias("parts")).where(F.col("parts") > 1)
+    met = mine.select(F.col("e").alias("a"), "u", "s").join(lists, "u")
+    met = met.select("a", F.greatest("s", "s_b").alias("s"), F.filter("of", lambda b: b > F.col("a")).alias("of")).where(F.size("of") > 0)
+    dealt = met.join(load.withColumnRenamed("e", "a"), "a", "left").withColumn("part", F.explode(F.when(
+        F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))))
+    dealt = dealt.withColumn("of", F.when(F.col("parts").isNull(), F.col("of")).otherwise(
+        F.filter("of", lambda b: F.pmod(F.xxhash64(b), F.col("parts")) == F.col("part"))))
+    gathered = dealt.groupBy("a", "s", "part").agg(F.sort_array(F.flatten(F.collect_list("of"))).alias("of"))
+    # a partner that is listed t - s times: equal to the one t - s - 1 places before
+    back = F.lit(t - 1) - F.col("s")
+    often = F.filter("of", lambda b, i: (i >= back) & (F.get("of", i - back) == b))
+    found = gathered.select("a", F.explode(F.array_distinct(often)).alias("b"))
+    likely = written(found.distinct()).join(enough.select(F.col("e").alias("a"), F.col("n").alias("n_a")), "a").join(
+        enough.select(F.col("e").alias("b"), F.col("n").alias("n_b")), "b")
     first = F.col("n_a") <= F.col("n_b")
-    likely = written(both.where(most >= t).select("a", "b", F.when(first, F.col("a")).otherwise(F.col("b")).alias("e"),
-                                                  F.when(first, F.col("b")).otherwise(F.col("a")).alias("o")))
-    mine = kept.select("e", "u", F.col("r").alias("x"))
+    likely = likely.select("a", "b", F.when(first, F.col("a")).otherwise(F.col("b")).alias("e"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("o"))
+    one = kept.select("e", "u", F.col("r").alias("x"))
     other = kept.select(F.col("e").alias("o"), "u", F.col("r").alias("y"))
-    g = likely.join(mine, "e").join(other, ["o", "u"]).groupBy("a", "b").agg(
+    g = likely.join(one, "e").join(other, ["o", "u"]).groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n_common"), F.sum(F.col("x") * F.col("y")).alias("xy"),
         F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("y") * F.col("y")).alias("yy"))
     norm = F.sqrt(F.col("xx") * F.col("yy"))

@@ -48,3 +48,32 @@ def test_clashing_names_and_empty(spark):
     df = spark.createDataFrame([(1, 7, 2.0), (2, 7, 2.0), (2, 8, 1.0)], "u long, e long, r double")
     assert [tuple(r) for r in recommend.similar_pairs(df, "u", "e", 0.5, 0, "r").collect()] == [(1, 2, 1, 1.0)]
     assert recommend.similar_pairs(df.where("u > 5"), "u", "e", 0.5, 0, "r").count() == 0
+
+
+@pytest.mark.parametrize("min_common", [0, 1, 3])
+def test_busy_raters_and_split_entities(spark, monkeypatch, min_common):
+    """Busy raters are left out, lists cut and partners dealt: no pair is lost."""
+    monkeypatch.setattr(recommend, "HOT", 5)
+    monkeypatch.setattr(recommend, "LOAD", 20)
+    rng = random.Random(5)
+    rows = [(f"e{rng.randrange(30)}", int(60 * rng.random() ** 3), float(rng.randrange(1, 6))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "thing string, person long, rating double").repartition(4)
+    got = {(r.a, r.b): (r.n_common, r.score) for r in recommend.similar_pairs(df, "thing", "person", 0.2, min_common).collect()}
+    want = brute(rows, 0.2, min_common)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
+
+
+def test_pairs_below_the_threshold_are_not_written(spark, monkeypatch):
+    """600 raters of 40 things each meet in 468,000 pairs, of which none is asked for."""
+    rows = spark.range(24_000).selectExpr("cast(pmod(xxhash64(id), 100000) AS long) AS thing", "id % 600 AS person", "1.0D AS rating")
+    sizes, plain = [], recommend.written
+
+    def counted(df):
+        out = plain(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(recommend, "written", counted)
+    assert recommend.similar_pairs(rows, "thing", "person", 0.5, 3).count() == 0
+    assert max(sizes) <= 24_000
