@@ -297,32 +297,76 @@ def one_factor(df: DataFrame, items: Sequence[str], iters: int = 100) -> DataFra
     return df.sparkSession.createDataFrame(rows, "item string, loading double, omega double")
 
 
+def _refill(moments: np.ndarray, c: int) -> np.ndarray:
+    """Least squares of column ``c`` on the others from the moments of
+    (1, columns): one weight a place, 0 at its own.  A constant column gets
+    weight 0, columns that depend on each other the shortest solution."""
+    n, mu = moments[0, 0], moments[0, 1:] / moments[0, 0]
+    cov = moments[1:, 1:] / n - np.outer(mu, mu)
+    size = np.sqrt(np.maximum(np.diag(cov), 0.0))
+    use = [o for o in range(len(mu)) if o != c and size[o] > 1e-10]
+    out = np.zeros(len(mu) + 1)
+    if use:
+        corr = cov[np.ix_(use, use)] / np.outer(size[use], size[use])
+        out[1 + np.array(use)] = np.linalg.lstsq(corr, cov[use, c] / size[use], rcond=1e-12)[0] / size[use]
+    out[0] = mu[c] - out[1:] @ mu
+    return out
+
+
 def chained_imputation(df: DataFrame, cols: Sequence[str], rounds: int = 15) -> DataFrame:
     """Chained-equation imputation: start from column means, then per
     round and column fit a linear regression of the column on the others
-    (observed rows) and refill its missing cells.  Each round's table is
-    checkpointed to the shared folder, so lineage stays one round deep."""
-
-    miss = {c: f"_miss_{c}" for c in cols}
-    x = df
-    for c in cols:
-        x = x.withColumn(miss[c], F.col(c).isNull())
-    means = x.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    for c in cols:
-        x = x.withColumn(c, F.coalesce(F.col(c), F.lit(means[c])))
-    x = cut_lineage(x)
+    (observed rows) and refill its missing cells.
+
+    A refilled cell is a linear function of the observed cells of its row, the
+    same for all rows that miss the same columns.  So the moments of the
+    observed cells, per set of missing columns, hold all that the fits need:
+    one pass adds them up, the rounds run on them, and a last pass fills the
+    cells.  The driver holds a matrix of (columns + 1)^2 numbers per set of
+    missing columns that occurs, never a row."""
+    cols, p = list(cols), len(cols)
+    value = [F.col(f"`{c}`").cast("double") for c in cols]
+    stat = df.agg(*[f(v).alias(f"{n}{i}") for i, v in enumerate(value) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean = np.array([stat[f"m{i}"] for i in range(p)], np.float64)          # null: not a number
+    sd = np.array([stat[f"s{i}"] or 1.0 for i in range(p)], np.float64)
+    if not (np.isfinite(mean) & np.isfinite(sd)).all():
+        raise ValueError("a column without observed values or with values that are not finite")
+    z = [F.coalesce((v - float(m)) / float(s), F.lit(0.0)) for v, m, s in zip(value, mean, sd, strict=True)]
+    missed = F.lit(0).cast("long")
+    for i, v in enumerate(value):
+        missed = missed + F.when(v.isNull(), F.lit(1 << i)).otherwise(F.lit(0))
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    rows = df.select(missed.alias("_missed"), *[x.alias(f"z{i}") for i, x in enumerate(z)]).groupBy("_missed").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"z{i}").alias(f"z{i}") for i in range(p)],
+        *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"z{i}_{j}") for i, j in pairs]).collect()
+    moments, fill = {}, {}
+    for r in rows:
+        m = np.zeros((p + 1, p + 1))
+        m[0, 0] = r["n"]
+        m[0, 1:] = m[1:, 0] = [r[f"z{i}"] for i in range(p)]
+        for i, j in pairs:
+            m[i + 1, j + 1] = m[j + 1, i + 1] = r[f"z{i}_{j}"]
+        moments[r["_missed"]] = m
+        # how (1, columns) come of the observed cells; the column mean is 0
+        fill[r["_missed"]] = np.diag([1.0] + [0.0 if r["_missed"] >> i & 1 else 1.0 for i in range(p)])
     for _ in range(rounds):
-        for c in cols:
-            others = [o for o in cols if o != c]
-            va = VectorAssembler(inputCols=others, outputCol="_f")
-            obs = va.transform(x.filter(~F.col(miss[c])))
-            m = LinearRegression(featuresCol="_f", labelCol=c, regParam=0.0).fit(obs)
-            pred = F.lit(m.intercept)
-            for o, b in zip(others, m.coefficients):
-                pred = pred + F.col(o) * float(b)
-            x = x.withColumn(c, F.when(F.col(miss[c]), pred).otherwise(F.col(c)))
-        x = cut_lineage(x)
-    return x.drop(*miss.values())
+        for c in range(p):
+            gaps = [k for k in fill if k >> c & 1]
+            if gaps:
+                fit = _refill(sum(fill[k] @ m @ fill[k].T for k, m in moments.items() if not k >> c & 1), c)
+                for k in gaps:
+                    fill[k][c + 1] = fit @ fill[k]
+    table = df.sparkSession.createDataFrame([(k, *[f[i + 1].tolist() for i in range(p)]) for k, f in fill.items()],
+                                            "_missed long, " + ", ".join(f"_f{i} array<double>" for i in range(p)))
+    # a row per set of missing columns
+    x = df.withColumn("_missed", missed).join(F.broadcast(table), "_missed")
+    for i, c in enumerate(cols):
+        guess = F.get(f"_f{i}", F.lit(0))
+        for j in range(p):
+            guess = guess + F.get(f"_f{i}", F.lit(j + 1)) * z[j]
+        x = x.withColumn(f"_x{i}", F.coalesce(value[i], guess * float(sd[i]) + float(mean[i])))
+    filled = {c: F.col(f"_x{i}").alias(c) for i, c in enumerate(cols)}
+    return x.select(*[filled.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def classifier_set(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
