@@ -10,6 +10,7 @@ from quarry.functions.columns import level_rank, r6
 from quarry.operators import cohort, recode, sequences, stats, topics
 from quarry.operators import text as tx
 from quarry.operators.aggregate import with_total
+from quarry.operators.staged import written
 from quarry.plans.registry import register
 from quarry.plans.views import Views
 from quarry.plans.views_sql import with_views
@@ -330,7 +331,7 @@ def a1_a6_text_scans(spark, root):
     from quarry.streaming.statuses import scratch
     v = Views(spark, root)
     base = scratch(spark, "scans")
-    r = v.ratings
+    r = written(v.ratings)          # joined and averaged once for both layouts
     r.select(F.concat_ws("::", "user_id", "item_id", "rating")).write.text(f"{base}/ratings_colon")
     r.select(F.concat_ws(" ", "user_id", "item_id", "rating")).write.text(f"{base}/ratings_ws")
     e = v.edges
