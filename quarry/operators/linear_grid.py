@@ -152,22 +152,11 @@ def _unmet(s: Setting, w: np.ndarray, g: np.ndarray, rate: float) -> float:
     return float(max(abs(g[0]), np.abs(w[1:] - kept).max(initial=0.0)))
 
 
-def fit_grid(df: DataFrame, features: Sequence[str], label: str, settings: Sequence[Setting], folds: Sequence[str] = (),
-             n_folds: int = 0, rounds: int = 100, tol: float = 1e-9) -> list[Fit]:
-    """Every setting fitted on all rows (``folds`` empty: repeat and fold are
-    -1) or, for each column of ``folds`` and each of its folds 1 ..
-    ``n_folds``, on the rows outside that fold.
-
-    Rows with a null or non-finite feature, a label other than 0 or 1 or no
-    fold take no part.  A fit without rows keeps zeros and is not converged;
-    a constant feature gets slope 0."""
-    points = written(_points(df, features, label, folds))
-    dim = len(features)
-    stat = points.agg(*[f(F.col("x")[j]).alias(f"{n}{j}") for j in range(dim) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-    mean = np.array([stat[f"m{j}"] or 0.0 for j in range(dim)])
-    sd = np.array([stat[f"s{j}"] or 1.0 for j in range(dim)])
-    jobs = [(i, r, k) for i in range(len(settings)) for r, k in ([(r, k) for r in range(len(folds)) for k in range(1, n_folds + 1)] or [(-1, -1)])]
-    at = {j: np.zeros(dim + 1) for j in jobs}               # accepted
+def _train(points: DataFrame, mean: np.ndarray, sd: np.ndarray, settings: Sequence[Setting], repeats: int, jobs: Sequence[tuple],
+           begin: dict[int, np.ndarray], rounds: int, tol: float) -> tuple[dict, dict, dict]:
+    """The fits ``jobs`` from their setting's ``begin``: slopes, what is held of each, and whether it converged."""
+    dim = len(mean)
+    at = {j: begin[j[0]] for j in jobs}                      # accepted
     held: dict[tuple, tuple] = {}                           # objective, gradient, step, share of it, expected fall
     trial, done = dict(at), {}
     upper = np.triu_indices(dim + 1)
@@ -175,10 +164,10 @@ def fit_grid(df: DataFrame, features: Sequence[str], label: str, settings: Seque
         live = [j for j in jobs if j not in done]
         if not live:
             break
-        for j, v in zip(live, _sums(points, mean, sd, len(folds), [(settings[j[0]], j[1], j[2], trial[j]) for j in live])):
+        for j, v in zip(live, _sums(points, mean, sd, repeats, [(settings[j[0]], j[1], j[2], trial[j]) for j in live])):
             s, total = settings[j[0]], v[0]
             if total <= 0:
-                done[j] = False
+                at[j], done[j] = np.zeros(dim + 1), False
                 continue
             rate = s.rate(total)
             objective = v[1] / total + _penalty(s, trial[j], rate)
@@ -201,6 +190,30 @@ def fit_grid(df: DataFrame, features: Sequence[str], label: str, settings: Seque
             trial[j] = at[j] + d
             if _unmet(s, at[j], g, rate) < tol:
                 done[j] = True
+    return at, held, done
+
+
+def fit_grid(df: DataFrame, features: Sequence[str], label: str, settings: Sequence[Setting], folds: Sequence[str] = (),
+             n_folds: int = 0, rounds: int = 100, tol: float = 1e-9) -> list[Fit]:
+    """Every setting fitted on all rows (``folds`` empty: repeat and fold are
+    -1) or, for each column of ``folds`` and each of its folds 1 ..
+    ``n_folds``, on the rows outside that fold.
+
+    Rows with a null or non-finite feature, a label other than 0 or 1 or no
+    fold take no part.  A fit without rows keeps zeros and is not converged;
+    a constant feature gets slope 0.  Fits outside folds begin where the
+    setting's fit on all rows ends, which is near: few passes hold all of them."""
+    points = written(_points(df, features, label, folds))
+    dim = len(features)
+    stat = points.agg(*[f(F.col("x")[j]).alias(f"{n}{j}") for j in range(dim) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean = np.array([stat[f"m{j}"] or 0.0 for j in range(dim)])
+    sd = np.array([stat[f"s{j}"] or 1.0 for j in range(dim)])
+    jobs = [(i, r, k) for i in range(len(settings)) for r, k in ([(r, k) for r in range(len(folds)) for k in range(1, n_folds + 1)] or [(-1, -1)])]
+    begin = {i: np.zeros(dim + 1) for i in range(len(settings))}
+    if folds:
+        whole = _train(points, mean, sd, settings, len(folds), [(i, -1, -1) for i in begin], begin, rounds, tol)[0]
+        begin = {i: whole[i, -1, -1] for i in begin}
+    at, held, done = _train(points, mean, sd, settings, len(folds), jobs, begin, rounds, tol)
     out = []
     for j in jobs:
         slopes = at[j][1:] / sd
