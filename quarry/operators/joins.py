@@ -8,6 +8,7 @@ raters after a size check)."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -83,31 +84,36 @@ class _Passages:
         x = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
         return np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * self.up[:len(x)], dtype=np.uint64)])
 
-    def _hashes(self, sums: np.ndarray, at: np.ndarray, n: int, salt: int) -> np.ndarray:
-        h = (sums[at + n] - sums[at]) * self.down[at] ^ np.uint64(salt % (1 << 64))
+    def _hashes(self, sums: np.ndarray, at: np.ndarray, n: int, salt: np.ndarray) -> np.ndarray:
+        h = (sums[at + n] - sums[at]) * self.down[at] ^ salt
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         return (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
 
     def slots(self, passage: str, salt: int) -> list[int]:
         """The slots that are set for a wanted passage."""
-        sums, first, n = self._sums(passage), np.zeros(1, np.int64), len(passage)
-        made = [self._hashes(sums, first, m, salt)[0] for m in ({n, HEAD} if n > HEAD else {n} if n else ())]
+        sums, first, n, of = self._sums(passage), np.zeros(1, np.int64), len(passage), np.array([salt % (1 << 64)], np.uint64)
+        made = [self._hashes(sums, first, m, of)[0] for m in ({n, HEAD} if n > HEAD else {n} if n else ())]
         return [int((h * np.array([p], np.uint64))[0] >> self.shift) for h in made for p in PROBES]
 
-    def found(self, text: str, salt: int, filled: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(length, places whose passage the filter lets through), of at most ``PIECE`` places."""
-        sums = self._sums(text)
+    def found(self, pieces: Sequence[str], salts: Sequence[int], filled: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(length, places in the joined pieces whose passage lies within its
+        piece and passes the filter).  Pieces are looked up together, at most
+        ``PIECE`` places and an overlap, so that short texts cost no more a
+        character than long ones."""
+        sums = self._sums("".join(pieces))
+        many = np.array([len(p) for p in pieces])
+        ends, salt = np.repeat(np.cumsum(many), many), np.repeat(np.array([s % (1 << 64) for s in salts], np.uint64), many)
 
         def passed(at: np.ndarray, n: int) -> np.ndarray:
-            at = at[:np.searchsorted(at, len(sums) - n)]
-            h = self._hashes(sums, at, n, salt)
+            at = at[at + n <= ends[at]]
+            h = self._hashes(sums, at, n, salt[at])
             for p in PROBES:
                 slot = (h * np.uint64(p)) >> self.shift
                 keep = np.flatnonzero(filled[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
                 at, h = at[keep], h[keep]
             return at
 
-        every = np.arange(min(len(text), PIECE))
+        every = np.arange(len(ends))
         heads = passed(every, HEAD) if self.overlap >= HEAD else every
         for n in self.lengths:
             yield n, passed(heads if n > HEAD else every, n)
@@ -152,22 +158,36 @@ def containment_match(posts: DataFrame, candidates: DataFrame, handle: str, text
         here |= np.frombuffer(some, np.uint8)[:len(here)]
     seen = spark.sparkContext.broadcast(filled)
 
-    def held(t: str, salt: int) -> set[str]:
-        found = {""} if 0 in lengths else set()
-        for a in range(0, len(t), PIECE):
-            piece = t[a:a + PIECE + passages.overlap]
-            for n, places in passages.found(piece, salt, seen.value):
-                found.update(piece[i:i + n] for i in places.tolist())
-        return found
+    def packs(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[str], list[int]]]:
+        """Rows, pieces of their texts and salts, as many as are looked up together."""
+        pack, size = ([], [], []), 0
+        for i, (t, salt) in enumerate(zip(batch.column("text").to_pylist(), batch.column("salt").to_pylist(), strict=True)):
+            for a in range(0, len(t), PIECE):
+                piece = t[a:a + PIECE + passages.overlap]
+                if size + len(piece) > PIECE + passages.overlap:
+                    yield pack
+                    pack, size = ([], [], []), 0
+                for one, value in zip(pack, (i, piece, salt), strict=True):
+                    one.append(value)
+                size += len(piece)
+        if size:
+            yield pack
 
     def passages_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                got = list(held(batch.column("text")[i].as_py(), batch.column("salt")[i].as_py()))
-                one = pa.array([i] * len(got), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("_cid").take(one), batch.column("_h").take(one), pa.array(got, pa.string())],
+            whole = [(i, "") for i in range(batch.num_rows)] if 0 in lengths else []
+            for found in itertools.chain([whole], (held(*pack) for pack in packs(batch))):
+                of = pa.array([i for i, _ in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("_cid").take(of), batch.column("_h").take(of), pa.array([t for _, t in found], pa.string())],
                                                  names=["_cid", "_h", "_pre"])
 
+    def held(of: list[int], pieces: list[str], salts: list[int]) -> set[tuple[int, str]]:
+        text, starts, got = "".join(pieces), np.cumsum([0, *map(len, pieces)]), set()
+        for n, places in passages.found(pieces, salts, seen.value):
+            which = np.searchsorted(starts, places, side="right") - 1
+            got.update((of[k], text[i:i + n]) for k, i in zip(which.tolist(), places.tolist(), strict=True))
+        return got
+
     rows = candidates.select(F.col(key).alias("_cid"), F.col(handle).alias("_h"), F.col(text).alias("text"))
     rows = rows.where("_cid is not null and _h is not null and text is not null").withColumn("salt", F.xxhash64("_h"))
     found = rows.mapInArrow(passages_of, rows.select("_cid", "_h").schema.add("_pre", "string"))

@@ -118,3 +118,22 @@ def test_containment_match_finds_the_passage_at_any_place(spark, monkeypatch):
     again = {r.id: r.matched_id for r in joins.containment_match(df, df, "handle", "text", "id", 30).collect()}
     assert again == got
     assert joins.containment_match(df.limit(0), df, "handle", "text", "id", 30).count() == 0
+
+
+def test_short_texts_are_looked_up_together(monkeypatch):
+    import numpy as np
+
+    from quarry.operators import joins
+    wanted = ["stay at home today", "wash your hands"]
+    passages = joins._Passages([len(w) for w in wanted], 17)
+    filled = np.zeros((1 << 17) // 8, np.uint8)
+    for slot in [s for w in wanted for s in passages.slots(w, 5)]:
+        filled[slot >> 3] |= 1 << (slot & 7)
+    pieces = [f"{i} {wanted[i % 2]} {i}" for i in range(50)] + ["wash your", " hands", wanted[0]]
+    calls, hashes = [], joins._Passages._hashes
+    monkeypatch.setattr(joins._Passages, "_hashes", lambda *a: calls.append(1) or hashes(*a))
+    text, got = "".join(pieces), []
+    for n, places in passages.found(pieces, [5] * 52 + [-5], filled):          # the last by another salt
+        got += [text[i:i + n] for i in places.tolist() if text[i:i + n] in wanted]
+    assert sorted(got) == sorted(wanted * 25)                                   # none across pieces
+    assert len(calls) == 3                                                      # heads and two lengths, not a call a text
