@@ -16,14 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import r6
-from quarry.functions.ordered import running_sums
 from quarry.operators.staged import written
 
 LOSSES, PENALTIES = ("log", "squared_hinge"), ("l1", "l2")
+TOGETHER = 24             # fits of one loss whose sums are formed together
 
 
 @dataclass(frozen=True)
@@ -80,8 +80,9 @@ def _arrays(batch: pa.RecordBatch, dim: int, repeats: int) -> tuple[np.ndarray,
 def _loss_terms(loss: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Loss of each row with its first and second derivative by the score."""
     if loss == "log":
-        p = 0.5 * (1.0 + np.tanh(0.5 * z))
-        return np.logaddexp(0.0, z) - y * z, p - y, p * (1.0 - p)
+        e = np.exp(-np.abs(z))
+        p = np.where(z >= 0.0, 1.0, e) / (1.0 + e)
+        return np.log1p(e) + np.maximum(z, 0.0) - y * z, p - y, p * (1.0 - p)
     side = 2.0 * y - 1.0
     short = np.maximum(0.0, 1.0 - side * z)
     return short * short, -2.0 * side * short, 2.0 * (short > 0)
@@ -93,20 +94,23 @@ def _sums(points: DataFrame, mean: np.ndarray, sd: np.ndarray, repeats: int,
     dim = len(mean)
     upper = np.triu_indices(dim + 1)
     size = 2 + (dim + 1) + len(upper[0])
+    of_loss = [[i for i, t in enumerate(trials) if t[0].loss == loss] for loss in LOSSES]
+    parts = [of[a:a + TOGETHER] for of in of_loss for a in range(0, len(of), TOGETHER)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = np.zeros((len(trials), size))
         for batch in batches:
             x, y, folds = _arrays(batch, dim, repeats)
             x = np.column_stack([np.ones(len(y)), (x - mean) / sd])
-            z = x @ np.column_stack([t[3] for t in trials])
-            for i, (s, repeat, fold, _) in enumerate(trials):
-                w = np.where(y == 1.0, s.weight1, s.weight0)
-                if repeat >= 0:
-                    w = w * (folds[:, repeat] != fold)
-                value, first, second = _loss_terms(s.loss, z[:, i], y)
-                curve = x.T @ (x * (w * second)[:, None])
-                acc[i] += np.concatenate([[w.sum(), w @ value], x.T @ (w * first), curve[upper]])
+            products, of_y = x[:, upper[0]] * x[:, upper[1]], (y == 1.0)[:, None]
+            for part in parts:
+                some = [trials[i] for i in part]
+                w = np.where(of_y, [t[0].weight1 for t in some], [t[0].weight0 for t in some])
+                for j, (_, repeat, fold, _) in enumerate(some):
+                    if repeat >= 0:
+                        w[:, j] *= folds[:, repeat] != fold
+                value, first, second = _loss_terms(some[0][0].loss, x @ np.column_stack([t[3] for t in some]), y[:, None])
+                acc[part] += np.column_stack([w.sum(axis=0), (w * value).sum(axis=0), (w * first).T @ x, (w * second).T @ products])
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(trials), dtype=np.int32), size)),
                                           pa.array(np.tile(np.arange(size, dtype=np.int32), len(trials))), pa.array(acc.ravel())],
                                          names=["trial", "pos", "v"])
@@ -231,10 +235,11 @@ def coefficient_table(spark, settings: Sequence[Setting], fits: Sequence[Fit], f
 
 def grid_scores(df: DataFrame, features: Sequence[str], label: str, settings: Sequence[Setting], fits: Sequence[Fit],
                 folds: Sequence[str] = ()) -> DataFrame:
-    """Each row's score by each setting: (setting, repeat, fold, y, score).
-    With ``folds`` a row is scored by the fit that did not see it, once a
+    """The rows' scores by each setting: (setting, repeat, fold, score, t,
+    pos), ``t`` rows of one batch with that score, ``pos`` of them with label
+    1.  With ``folds`` a row is scored by the fit that did not see it, once a
     repeat; the score is the linear predictor."""
-    points = _points(df, features, label, folds)
+    points = written(_points(df, features, label, folds))
     dim, repeats = len(features), len(folds)
     beta = {(f.setting, f.repeat, f.fold): f.beta for f in fits}
 
@@ -242,28 +247,73 @@ def grid_scores(df: DataFrame, features: Sequence[str], label: str, settings: Se
         for batch in batches:
             x, y, of = _arrays(batch, dim, repeats)
             x = np.column_stack([np.ones(len(y)), x])
-            for (setting, repeat, fold), b in beta.items():
-                mine = slice(None) if repeat < 0 else of[:, repeat] == fold
-                score = x[mine] @ b
-                same = [np.full(len(score), v, np.int32) for v in (setting, repeat, fold)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, same), pa.array(y[mine]), pa.array(score)],
-                                                 names=["setting", "repeat", "fold", "y", "score"])
+            for key, b in beta.items():
+                mine = slice(None) if key[1] < 0 else of[:, key[1]] == key[2]
+                score, at, t = np.unique(x[mine] @ b + 0.0, return_inverse=True, return_counts=True)
+                pos = np.bincount(at, weights=y[mine], minlength=len(score))
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.full(len(score), v, np.int32)) for v in key], pa.array(score),
+                                                  pa.array(t.astype(np.int32)), pa.array(pos.astype(np.int32))],
+                                                 names=["setting", "repeat", "fold", "score", "t", "pos"])
+
+    return points.mapInArrow(run, "setting int, repeat int, fold int, score double, t int, pos int")
+
+
+def _ranked(scores: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per ``by`` and range of scores: (first score, t, pos, u, off).  ``u`` sums
+    the mean ranks, from 1 within the range, of the rows with label 1, ``off``
+    the squared errors of the chances.  Rows are dealt by range of score,
+    equal ones to one task, and pass it in order, a batch at a time."""
+    schema = ", ".join(f"{c} int" for c in by) + ", first double, t long, pos long, u double, off double"
 
-    return points.mapInArrow(run, "setting int, repeat int, fold int, y double, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, list] = {}
+        last = [np.zeros(0)] * (len(by) + 3)                  # the last score, which may go on in the next batch
+
+        def add(key, score, t, pos):
+            for a, b in zip(starts := np.flatnonzero(np.r_[True, (np.diff(key, axis=1) != 0).any(axis=0)]), [*starts[1:], len(t)]):
+                held = sums.setdefault(tuple(int(k[a]) for k in key), [float(score[a]), 0, 0, 0.0, 0.0])
+                n, m = t[a:b], pos[a:b]
+                with np.errstate(over="ignore"):
+                    p = 1.0 / (1.0 + np.exp(-score[a:b]))
+                held[3] += float(m @ (held[1] + np.cumsum(n) - n + (n + 1) / 2))
+                held[4] += float((m * (1 - p) ** 2 + (n - m) * p * p).sum())
+                held[1], held[2] = held[1] + int(n.sum()), held[2] + int(m.sum())
+
+        def merged(columns):
+            *key, score, t, pos = columns
+            new = np.r_[True, (np.diff(np.stack(key), axis=1) != 0).any(axis=0) | ((score[1:] != score[:-1]) & ~(np.isnan(score[1:]) & np.isnan(score[:-1])))]
+            at = np.flatnonzero(new)
+            return [*[k[at] for k in key], score[at], np.add.reduceat(t, at), np.add.reduceat(pos, at)]
+
+        for batch in batches:
+            if batch.num_rows:
+                columns = merged([np.r_[o, np.asarray(c, np.float64)] for o, c in zip(last, batch.columns, strict=True)])
+                last = [c[-1:] for c in columns]
+                *key, score, t, pos = (c[:-1] for c in columns)
+                if len(t):
+                    add(np.stack(key), score, t, pos)
+        if len(last[0]):
+            *key, score, t, pos = last
+            add(np.stack(key), score, t, pos)
+        rows = [[*k, *v] for k, v in sums.items()]
+        kinds = [pa.int32()] * len(by) + [pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                         names=[*by, "first", "t", "pos", "u", "off"])
+
+    return scores.repartitionByRange(*by, "score").sortWithinPartitions(*by, "score").select(*by, "score", "t", "pos").mapInArrow(run, schema)
 
 
 def grid_report(scores: DataFrame, settings: Sequence[Setting]) -> DataFrame:
     """ROC AUC and (log loss only) Brier score of every setting,
     averaged over the folds of all repeats.  A fold with one class has no AUC
-    and does not count in that average."""
+    and does not count in that average.  Scores are sorted once, in ranges;
+    a range adds a few numbers a fit, and ranks go on from range to range."""
     by = ["setting", "repeat", "fold"]
-    p = 1.0 / (1.0 + F.exp(-F.col("score")))
-    distinct = written(scores.groupBy(*by, "score").agg(F.count(F.lit(1)).alias("t"), F.sum("y").cast("long").alias("pos")))
-    below = running_sums(distinct, by, ["score"], {"t": "below"}, exclusive=True)
-    pos, neg = F.col("pos"), F.col("t") - F.col("pos")
-    n1, n0 = F.sum(pos), F.sum(neg)
-    auc = (F.sum(pos * (F.col("below") + (F.col("t") + 1) / 2)) - n1 * (n1 + 1) / 2) / F.nullif(n1 * n0, F.lit(0))
-    per = below.groupBy(*by).agg(F.sum("t").alias("n"), auc.alias("auc"), (F.sum(pos * (1 - p) * (1 - p) + neg * p * p) / F.sum("t")).alias("brier"))
+    before = Window.partitionBy(*by).orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = _ranked(scores, by).withColumn("below", F.coalesce(F.sum("t").over(before), F.lit(0).cast("long")))
+    n1, n0 = F.sum("pos"), F.sum("t") - F.sum("pos")
+    auc = (F.sum(F.col("u") + F.col("pos") * F.col("below")) - n1 * (n1 + 1) / 2) / F.nullif(n1 * n0, F.lit(0))
+    per = ranges.groupBy(*by).agg(F.sum("t").alias("n"), auc.alias("auc"), (F.sum("off") / F.sum("t")).alias("brier"))
     names = scores.sparkSession.createDataFrame(
         [(i, s.loss, s.penalty, float(s.strength), float(s.weight0)) for i, s in enumerate(settings)],
         "setting int, loss string, penalty string, strength double, weight0 double")

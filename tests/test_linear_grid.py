@@ -96,3 +96,30 @@ def test_constant_features_empty_tables_and_unknown_settings(spark, table):
     assert lg.grid_report(lg.grid_scores(flat.where("a > 1e9"), ["a", "b"], "y", GRID[:1], [f]), GRID[:1]).count() == 0
     with pytest.raises(ValueError):
         lg.Setting("hinge")
+
+
+def test_scores_are_sorted_once_and_ties_cross_batches(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.choice([0.0, -0.0, 0.1, 0.5, 2.0]) if i % 3 else rng.random(), 1.5, int(rng.random() < 0.4)) for i in range(400)]
+    table = spark.createDataFrame(rows, "a double, b double, y int").repartition(3)
+    grid = [lg.Setting("log", "l1", 0.01), lg.Setting("log", "l2", 0.01)]
+    betas = [np.array([0.2, -1.0, 0.0]), np.zeros(3)]                                # scores with ties; all equal
+    fits = [lg.Fit(i, -1, -1, b, b, 0.0, True) for i, b in enumerate(betas)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        scores = lg.grid_scores(table, ["a", "b"], "y", grid, fits)
+        writes, written = [], lg.written
+        monkeypatch.setattr(lg, "written", lambda df: writes.append(1) or written(df))
+        got = {r.penalty: r for r in lg.grid_report(scores, grid).collect()}
+    finally:
+        spark.conf.set(key, was)
+    assert not writes                                                                # the scores are not written again
+    for s, b in zip(grid, betas):
+        z = [(b[0] + b[1] * r[0], r[2]) for r in rows]
+        pos, neg = [v for v, y in z if y], [v for v, y in z if not y]
+        auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+        brier = np.mean([(1 / (1 + math.exp(-v)) - y) ** 2 for v, y in z])
+        r = got[s.penalty]
+        assert (r.n_fits, r.n_scored) == (1, 400) and abs(r.roc_auc - auc) < 2e-6 and abs(r.brier - brier) < 2e-6
