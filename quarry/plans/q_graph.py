@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import graph, recommend
 from quarry.operators.joins import lookup_dimension
+from quarry.operators.staged import written
 from quarry.plans.registry import register
 from quarry.plans.views import Views
 from quarry.plans.views_sql import with_views
@@ -159,7 +160,7 @@ def n6_user_ratings_named(spark, root):
 def n4_n5_als_recommendations(spark, root):
     """Rows-only: ALS fit (rank 10, 20 iterations) and top-10 items for the
     most active user."""
-    r = Views(spark, root).ratings.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
+    r = written(Views(spark, root).ratings.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating"))
     model = recommend.fit_als(r, "user_id", "item_id")
     users = recommend.most_rated(r, "user_id", 1)
     return recommend.recommend_for(model, users, 10)
