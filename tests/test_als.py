@@ -1,5 +1,6 @@
 """ALS in few blocks: the factors of pyspark.ml's ALS, with less shuffle."""
 
+import math
 import random
 
 import numpy as np
@@ -21,7 +22,7 @@ def factors(df):
     return {r.id: np.array(r.features, np.float64) for r in df.collect()}
 
 
-@pytest.mark.parametrize("blocks,bundle", [(3, 1 << 20), (2, 40)])
+@pytest.mark.parametrize("blocks,bundle", [(3, 1 << 20), (2, 7)])
 def test_factors_are_those_of_als(spark, blocks, bundle):
     df = ratings(spark, 60, 40, 900)
     mine = als.fit(df, "person", "thing", "rating", 4, 4, 0.1, 42, 2, blocks, bundle)
@@ -46,8 +47,8 @@ def test_no_iterations_give_the_starting_users(spark):
         assert a.keys() == b.keys() and all(np.array_equal(a[k], b[k]) for k in b)
 
 
-@pytest.mark.parametrize("row", [(None, 1, 1.0), (1, None, 1.0)])
-def test_ids_are_checked_as_before(spark, row):
+@pytest.mark.parametrize("row", [(None, 1, 1.0), (1, None, 1.0), (1, 1, None), (1, 1, math.nan)])
+def test_rows_are_checked_as_before(spark, row):
     df = ratings(spark, 10, 10, 50).union(spark.createDataFrame([row], "person int, thing int, rating double"))
     with pytest.raises(Exception, match="(?i)null"):
         recommend.fit_als(df, "person", "thing", rank=2, max_iter=1)
