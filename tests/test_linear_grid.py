@@ -123,3 +123,39 @@ def test_scores_are_sorted_once_and_ties_cross_batches(spark, monkeypatch):
         brier = np.mean([(1 / (1 + math.exp(-v)) - y) ** 2 for v, y in z])
         r = got[s.penalty]
         assert (r.n_fits, r.n_scored) == (1, 400) and abs(r.roc_auc - auc) < 2e-6 and abs(r.brier - brier) < 2e-6
+
+
+def test_fits_outside_folds_need_no_passes_of_their_own(spark, monkeypatch):
+    table = spark.range(0, 60_000, 1, 4).selectExpr(
+        "pmod(xxhash64(id), 1000) / 100D AS a", "pmod(xxhash64(id, 1), 1000) / 1000D AS b", "cast(pmod(xxhash64(id, 2), 10) + 1 AS int) AS f1",
+        "cast(pmod(xxhash64(id, 3), 100) < 20 + 3 * (pmod(xxhash64(id), 1000) / 100) AS int) AS y").cache()
+    asked, sums = [], lg._sums
+    monkeypatch.setattr(lg, "_sums", lambda *a: asked.extend(t[1:3] for t in a[-1]) or sums(*a))
+    grid = [lg.Setting("log", "l1", 1e-3), lg.Setting("log", "l2", 1e-3, weight0=0.2, weight1=0.8), lg.Setting("squared_hinge", "l1", 1e-3)]
+    fits = lg.fit_grid(table, ["a", "b"], "y", grid, ["f1"], 10)
+    assert len(fits) == 30 and all(f.converged for f in fits)
+    assert set(asked) == {(-1, -1)}
+    for k in (1, 10):
+        alone = lg.fit_grid(table.where(f"f1 <> {k}"), ["a", "b"], "y", [lg.Setting("log", "l2", 1e-9, weight0=0.2, weight1=0.8), lg.Setting("squared_hinge", "l2", 1e-9)])
+        free = lg.fit_grid(table, ["a", "b"], "y", [lg.Setting("log", "l2", 1e-9, weight0=0.2, weight1=0.8), lg.Setting("squared_hinge", "l2", 1e-9)], ["f1"], 10)
+        for i, f in enumerate(alone):
+            assert np.allclose(f.beta, next(g for g in free if (g.setting, g.fold) == (i, k)).beta, rtol=1e-7, atol=1e-9)
+
+
+def test_scores_are_packed_and_ranges_add_up(spark, rows, table, monkeypatch):
+    monkeypatch.setattr(lg, "RANGE_ROWS", 60)
+    monkeypatch.setattr(lg, "SCORED", 50)
+    grid = GRID[:2]
+    fits = [lg.Fit(i, 0, k, b, b, 0.0, True) for i, b in enumerate([np.array([0.1, 0.3, -1.0, 0.0]), np.array([0.1, 0.0, 0.0, 0.0])]) for k in (1, 2, 3)]
+    scores = lg.grid_scores(table, X, "y", grid, fits, ["f1"])
+    packed = scores.groupBy("setting").count().collect()
+    assert max(r["count"] for r in packed) < 300                                 # not a row a score
+    assert scores.select("range").distinct().count() > 2
+    got = {r.penalty: r for r in lg.grid_report(scores, grid).collect()}
+    aucs = []
+    for f in fits[:3]:
+        z = [(f.beta[0] + np.dot(f.beta[1:], r[1:4]), r[4]) for r in rows if r[5] == f.fold]
+        pos, neg = [v for v, y in z if y], [v for v, y in z if not y]
+        aucs.append(sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg)))
+    assert abs(got["l1"].roc_auc - np.mean(aucs)) < 2e-6 and got["l2"].roc_auc == 0.5
+    assert got["l1"].n_scored == got["l2"].n_scored == 600

@@ -187,3 +187,22 @@ def test_hop_distance_counts_every_edge_into_the_target(spark):
     visited, info = hop_distance(e, 1, 10, target=9)
     assert info == {"rounds": 2, "hits": 2, "found_at": 2} and visited.count() == 4
     assert hop_distance(e, 77, 10)[0].count() == 1
+
+
+def test_only_rows_at_the_ends_of_folds_are_ordered(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from quarry.functions import ordered
+    from quarry.operators.evaluate import stratified_folds
+    df = spark.range(0, 3000).selectExpr("id", "id % 2 AS stratum", "id % 7 AS tie").union(spark.sql("SELECT 9000L, CAST(NULL AS LONG), 1L"))
+    df = df.union(df.where("id < 40"))                                             # rows that come twice
+    seen, real = [], ordered.running_index
+    monkeypatch.setattr(ordered, "running_index", lambda d, *a, **k: seen.append(d.count()) or real(d, *a, **k))
+    got = stratified_folds(df, "stratum", F.col("id").cast("string"), 5, tie=["tie"])
+    w = Window.partitionBy("stratum").orderBy(F.md5(F.col("id").cast("string")), "tie")
+    want = df.where("stratum IS NOT NULL").withColumn("fold", F.ntile(5).over(w))
+    assert got.columns == ["stratum", "id", "tie", "fold"]
+    assert sorted(map(tuple, got.select("id", "fold").collect())) == sorted(map(tuple, want.select("id", "fold").collect()))
+    assert sum(seen) < 100
+    same = spark.range(0, 50).selectExpr("0 AS stratum", "'a' AS k")                # one key: all rows are ordered
+    assert sorted(r["count"] for r in stratified_folds(same, "stratum", F.col("k"), 4).groupBy("fold").count().collect()) == [12, 12, 13, 13]
