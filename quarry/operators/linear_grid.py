@@ -190,11 +190,14 @@ def _unmet(s: Setting, w: np.ndarray, g: np.ndarray, rate: float) -> float:
     return float(max(abs(g[0]), np.abs(w[1:] - kept).max(initial=0.0)))
 
 
-def _train(sums: Callable, settings: Sequence[Setting], jobs: Sequence[tuple], begin: dict[tuple, np.ndarray], rounds: int,
-           tol: float) -> tuple[dict, dict, dict]:
-    """The fits ``jobs`` from ``begin``: slopes, what is held of each, and whether it converged."""
-    dim = len(next(iter(begin.values()))) - 1 if begin else 0
-    at = {j: begin[j] for j in jobs}                         # accepted
+def _train(points: DataFrame, mean: np.ndarray, sd: np.ndarray, settings: Sequence[Setting], repeats: int, jobs: Sequence[tuple],
+           begin: dict[int, np.ndarray], rounds: int, tol: float, near: dict[tuple, np.ndarray] | None = None,
+           sums: Callable | None = None) -> tuple[dict, dict, dict]:
+    """The fits ``jobs`` from ``near`` or else their setting's ``begin``:
+    slopes, what is held of each, and whether it converged.  ``sums`` gives the
+    sums of trials and their jobs, without it a pass over the rows."""
+    dim = len(mean)
+    at = {j: (near or {}).get(j, begin[j[0]]) for j in jobs}  # accepted
     held: dict[tuple, tuple] = {}                           # objective, gradient, step, share of it, expected fall
     trial, done = dict(at), {}
     upper = np.triu_indices(dim + 1)
@@ -202,7 +205,8 @@ def _train(sums: Callable, settings: Sequence[Setting], jobs: Sequence[tuple], b
         live = [j for j in jobs if j not in done]
         if not live:
             break
-        for j, v in zip(live, sums([(settings[j[0]], j[1], j[2], trial[j]) for j in live], live)):
+        asked = [(settings[j[0]], j[1], j[2], trial[j]) for j in live]
+        for j, v in zip(live, sums(asked, live) if sums else _sums(points, mean, sd, repeats, asked)):
             s, total = settings[j[0]], v[0]
             if total <= 0:
                 at[j], done[j] = np.zeros(dim + 1), False
@@ -374,20 +378,19 @@ def fit_grid(df: DataFrame, features: Sequence[str], label: str, settings: Seque
     mean = np.array([stat[f"m{j}"] or 0.0 for j in range(dim)])
     sd = np.array([stat[f"s{j}"] or 1.0 for j in range(dim)])
 
-    def passes(trials, _):
-        return _sums(points, mean, sd, len(folds), trials)
-
-    n1, whole = stat["n1"] or 0.0, [(i, -1, -1) for i in range(len(settings))]
-    start = {j: np.concatenate([[_intercept(settings[j[0]], stat["n"] - n1, n1)], np.zeros(dim)]) for j in whole}
-    jobs, (at, held, done) = whole, _train(passes, settings, whole, start, rounds, tol)
+    n1, rows = stat["n1"] or 0.0, (points, mean, sd, settings, len(folds))
+    begin = {i: np.concatenate([[_intercept(s, stat["n"] - n1, n1)], np.zeros(dim)]) for i, s in enumerate(settings)}
+    jobs = [(i, -1, -1) for i in begin]
+    at, held, done = _train(*rows, jobs, begin, rounds, tol)
     if folds:
+        begin = {i: at[i, -1, -1] for i in begin}
         jobs = [(i, r, k) for i in range(len(settings)) for r in range(len(folds)) for k in range(1, n_folds + 1)]
-        series = _Series(points, mean, sd, len(folds), n_folds, settings, [at[j] for j in whole])
-        at, held, done = _train(series.sums, settings, jobs, {j: series.begin[j[0]] for j in jobs}, rounds, tol / 2)
+        series = _Series(points, mean, sd, len(folds), n_folds, settings, list(begin.values()))
+        at, held, done = _train(*rows, jobs, begin, rounds, tol / 2, sums=series.sums)
         left = [j for j in jobs if settings[j[0]].loss == "log" and not (done.get(j) and series.bound(j, at[j]) <= tol / 2)]
         # what moved too far for the series may have left it altogether
-        near = {j: at[j] if done.get(j) and series.bound(j, at[j]) < 1e-2 else series.begin[j[0]] for j in left}
-        for had, new in zip((at, held, done), _train(passes, settings, left, near, rounds, tol)):
+        near = {j: at[j] for j in left if done.get(j) and series.bound(j, at[j]) < 1e-2}
+        for had, new in zip((at, held, done), _train(*rows, left, begin, rounds, tol, near)):
             for j in left:
                 had.pop(j, None)
             had.update(new)
